@@ -1,0 +1,132 @@
+"""Scans, sources and sinks (s1-s9).
+
+Each key performs its writes into a fresh folder under the shared checkpoint
+root when called, and returns a DataFrame reading what was written, so the
+oracle can compare it with the table it came from.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ledgerlens.operators import trends
+from ledgerlens.plans.registry import query
+from ledgerlens.sources import files
+from ledgerlens.sources.ledger import ledger_for
+from ledgerlens.sources.schemas import LOAD_ORDER
+
+
+@query("s1_csv_scan", """
+SELECT transaction_id, account_id, merchant_id, CAST(amount AS DOUBLE) AS amount, currency,
+       transaction_date, transaction_type, status
+FROM transactions
+""")
+def s1(spark, sf_dir):
+    """Typed CSV scan (header, empty field = NULL) of the transactions written as CSV."""
+    L = ledger_for(spark, sf_dir)
+    path = files.fresh_dir(spark, "s1-transactions-csv")
+    files.write_csv(L.transactions, path)
+    return files.read_csv(spark, path, "transactions")
+
+
+@query("s2_idempotent_reload", """
+SELECT flag_id, transaction_id, flagged_date, flag_reason, is_resolved, resolved_date FROM fraud_flags
+""")
+def s2(spark, sf_dir):
+    """Loading the same table twice leaves one copy (overwrite, not append)."""
+    L = ledger_for(spark, sf_dir)
+    target = files.fresh_dir(spark, "s2-fraud-flags")
+    files.reload(L.fraud_flags, target, "fraud_flags")
+    return files.reload(L.fraud_flags, target, "fraud_flags")
+
+
+_COUNT_UNION = "\nUNION ALL\n".join(
+    f"SELECT {i + 1} AS load_order, '{t}' AS table_name, COUNT(*) AS row_count FROM {t}"
+    for i, t in enumerate(LOAD_ORDER)
+)
+
+
+@query("s3_ordered_load", _COUNT_UNION)
+def s3(spark, sf_dir):
+    """CSV dump of all six tables, loaded back parents first; rows per table as loaded."""
+    L = ledger_for(spark, sf_dir)
+    folder = files.fresh_dir(spark, "s3-load")
+    paths = files.dump_csv(L.as_dict(), f"{folder}/csv")
+    loaded = files.ordered_load(spark, paths, f"{folder}/parquet")
+    counts = files.row_counts(loaded, "row_count")
+    order = spark.createDataFrame([(i + 1, t) for i, t in enumerate(LOAD_ORDER)], "load_order long, table_name string")
+    return order.join(F.broadcast(counts), "table_name").select("load_order", "table_name", "row_count")
+
+
+@query("s4_row_count_reconcile", "\nUNION ALL\n".join(
+    f"SELECT '{t}' AS table_name, COUNT(*) AS source_rows, COUNT(*) AS loaded_rows, TRUE AS matches FROM {t}"
+    for t in LOAD_ORDER
+))
+def s4(spark, sf_dir):
+    """Source and loaded row counts per table after a CSV round trip."""
+    L = ledger_for(spark, sf_dir)
+    folder = files.fresh_dir(spark, "s4-load")
+    paths = files.dump_csv(L.as_dict(), f"{folder}/csv")
+    loaded = files.ordered_load(spark, paths, f"{folder}/parquet")
+    return files.reconcile(L.as_dict(), loaded)
+
+
+@query("s5_csv_sink", """
+SELECT settlement_id, transaction_id, settlement_date, CAST(settled_amount AS DOUBLE) AS settled_amount,
+       CAST(processing_fee AS DOUBLE) AS processing_fee, status
+FROM settlements
+""")
+def s5(spark, sf_dir):
+    """CSV sink with a header, read back through the typed scan."""
+    L = ledger_for(spark, sf_dir)
+    path = files.fresh_dir(spark, "s5-settlements-csv")
+    files.write_csv(L.settlements, path)
+    return files.read_csv(spark, path, "settlements")
+
+
+KPI_SQL = """
+SELECT COUNT(transaction_id) AS total_tx_count,
+       COALESCE(CAST(SUM(amount) AS DOUBLE), 0.0) AS total_tx_volume,
+       COALESCE(CAST(SUM(amount) AS DOUBLE) / NULLIF(COUNT(transaction_id), 0), 0.0) AS avg_tx_value
+FROM transactions
+WHERE status = 'completed'
+"""
+
+
+@query("s6_sql_to_frame", KPI_SQL)
+def s6(spark, sf_dir):
+    """SQL text over temp views to a DataFrame (the dashboard's KPI query)."""
+    ledger_for(spark, sf_dir).register_views("s6_")
+    return spark.sql(KPI_SQL.replace("FROM transactions", "FROM s6_transactions"))
+
+
+@query("s7_first_row", KPI_SQL + "LIMIT 1")
+def s7(spark, sf_dir):
+    """The one-row result as a single record (``limit(1)``; ``first()`` on the driver)."""
+    return trends.overview_kpis(ledger_for(spark, sf_dir).transactions).limit(1)
+
+
+@query("s8_typed_tables", "SELECT customer_id, full_name, email, country, join_date, segment, is_active FROM customers")
+def s8(spark, sf_dir):
+    """Fixed schema on read: customers through CSV and the conform step."""
+    L = ledger_for(spark, sf_dir)
+    path = files.fresh_dir(spark, "s8-customers-csv")
+    files.write_csv(L.customers, path)
+    return files.read_csv(spark, path, "customers")
+
+
+S9_MONTH = "1998-06-01"
+
+
+@query("s9_date_partitioned_ledger", f"""
+SELECT transaction_id, account_id, merchant_id, CAST(amount AS DOUBLE) AS amount, currency, transaction_date,
+       transaction_type, status, CAST(date_trunc('month', transaction_date) AS DATE) AS transaction_month
+FROM transactions
+WHERE CAST(date_trunc('month', transaction_date) AS DATE) = DATE '{S9_MONTH}'
+""")
+def s9(spark, sf_dir):
+    """Month-partitioned transactions; one month read with directory pruning."""
+    L = ledger_for(spark, sf_dir)
+    path = files.fresh_dir(spark, "s9-ledger-by-month")
+    files.write_partitioned_ledger(L.transactions, path)
+    return files.read_month(spark, path, S9_MONTH)

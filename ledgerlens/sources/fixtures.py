@@ -145,7 +145,9 @@ def derive_transactions(lineitem: DataFrame, orders: DataFrame, accounts: DataFr
         "l_orderkey", "l_suppkey", "l_extendedprice", "l_shipdate",
         (F.col("l_orderkey") * 100 + F.row_number().over(order_lines)).alias("transaction_id"),
     )
-    joined = lines.join(order_acct, lines.l_orderkey == order_acct.o_orderkey).where(
+    # Both sides grow with the data: a shuffle join, never a broadcast of the
+    # line side.  ``lines`` is already clustered by l_orderkey from the window.
+    joined = lines.join(order_acct.hint("shuffle_hash"), lines.l_orderkey == order_acct.o_orderkey).where(
         F.to_date("l_shipdate") >= F.col("opened_date")
     )
     tid = F.col("transaction_id")

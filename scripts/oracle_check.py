@@ -1,55 +1,20 @@
 """Run registered queries in Spark and their oracle SQL in DuckDB; compare.
 
     python scripts/oracle_check.py [sf_dir] [key-prefix ...]
-
-Compares column names, row counts and the multiset of rows (values compared
-exactly after sorting columns by name).  Prints one line per key.
 """
 
 from __future__ import annotations
 
-import datetime as dt
-import decimal
 import os
 import sys
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import duckdb  # noqa: E402
-
 from ledgerlens.plans.registry import oracle_sql, queries  # noqa: E402
+from ledgerlens.plans.verify import compare, duck  # noqa: E402
 from ledgerlens.session import get_session  # noqa: E402
 
-DRIVER_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
-                 "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
-
-
-def norm(v):
-    if isinstance(v, decimal.Decimal):
-        return repr(float(v))
-    if isinstance(v, float):
-        return repr(v)
-    if isinstance(v, (dt.date, dt.datetime)):
-        return v.isoformat()
-    return v
-
-
-def canon(cols, rows):
-    order = sorted(range(len(cols)), key=lambda i: cols[i])
-    out = [tuple(norm(r[i]) for i in order) for r in rows]
-    out.sort(key=lambda t: tuple((x is None, str(x)) for x in t))
-    return [cols[i] for i in order], out
-
-
-def duck(sf_dir):
-    con = duckdb.connect()
-    for t in DRIVER_TABLES:
-        p = f"{sf_dir}/{t}.parquet"
-        if os.path.exists(p):
-            con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{p}')")
-    return con
-
 
 def main(argv):
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
@@ -64,38 +29,14 @@ def main(argv):
         t0 = time.time()
         try:
             df = build(spark, sf_dir)
-            s_cols = df.columns
-            s_rows = [tuple(r) for r in df.collect()]
+            if key not in sqls:
+                print(f"NOSQL {key}: rows={df.count()}")
+                continue
+            ok, msg = compare(df, con, sqls[key])
         except Exception as e:  # noqa: BLE001
-            print(f"FAIL  {key}: spark error {type(e).__name__}: {str(e)[:300]}")
-            bad += 1
-            continue
-        ts = time.time() - t0
-        if key not in sqls:
-            print(f"NOSQL {key}: rows={len(s_rows)} {ts:.2f}s")
-            continue
-        try:
-            cur = con.execute(sqls[key])
-            d_cols = [d[0] for d in cur.description]
-            d_rows = cur.fetchall()
-        except Exception as e:  # noqa: BLE001
-            print(f"FAIL  {key}: duckdb error {str(e)[:300]}")
-            bad += 1
-            continue
-        sc, sr = canon(s_cols, s_rows)
-        dc, dr = canon(d_cols, d_rows)
-        if sc != dc:
-            print(f"FAIL  {key}: columns spark={sc} duck={dc}")
-            bad += 1
-        elif len(sr) != len(dr):
-            print(f"FAIL  {key}: rows spark={len(sr)} duck={len(dr)}")
-            bad += 1
-        elif sr != dr:
-            diff = [(a, b) for a, b in zip(sr, dr) if a != b][:3]
-            print(f"FAIL  {key}: values differ, e.g. {diff}")
-            bad += 1
-        else:
-            print(f"ok    {key}: rows={len(sr)} {ts:.2f}s")
+            ok, msg = False, f"error {type(e).__name__}: {str(e)[:300]}"
+        bad += not ok
+        print(f"{'ok   ' if ok else 'FAIL '} {key}: {msg} {time.time() - t0:.2f}s")
     print(f"failures: {bad}")
     return 1 if bad else 0
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlens.operators.common import completed, sort_keys
+from ledgerlens.operators.ranking import DEFAULT_MAX_GROUP_ROWS, rank_within_groups
 
 
 def merchant_settled_revenue(
@@ -47,11 +48,13 @@ def top_merchants_with_rank(revenue: DataFrame, k: int = 20, *, group_col: str =
     return ranked.orderBy(*sort_keys("-total_revenue", "merchant_id"))
 
 
-def rank_within(df: DataFrame, group_col: str, value_col: str, out_col: str = "rank") -> DataFrame:
+def rank_within(df: DataFrame, group_col: str, value_col: str, out_col: str = "rank",
+                max_group_rows: int = DEFAULT_MAX_GROUP_ROWS) -> DataFrame:
     """w1: RANK (with gaps) of ``value_col`` descending inside ``group_col``,
-    for every row."""
-    w = Window.partitionBy(group_col).orderBy(F.col(value_col).desc_nulls_first())
-    return df.withColumn(out_col, F.rank().over(w))
+    for every row.  A category with more than ``max_group_rows`` merchants is
+    ranked with the distributed form instead of one task."""
+    return rank_within_groups(df, [group_col], [F.col(value_col).desc_nulls_first()], out_col,
+                              kind="rank", max_group_rows=max_group_rows)
 
 
 def top_merchants(revenue: DataFrame, k: int = 10) -> DataFrame:

@@ -67,9 +67,11 @@ def checkpoint_root(spark: SparkSession) -> str:
     """
     global _FALLBACK_CHECKPOINT
     configured = spark.conf.get("spark.checkpoint.dir", None)
+    current = spark.sparkContext.getCheckpointDir()
     if configured:
+        if not current:
+            spark.sparkContext.setCheckpointDir(configured)
         return configured.rstrip("/")
-    current = spark.sparkContext.getCheckpointDir()
     if current:
         return current.rstrip("/")
     if _FALLBACK_CHECKPOINT is None:

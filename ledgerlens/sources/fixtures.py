@@ -6,24 +6,27 @@ projection, a join or a per-order window, so the derivation scales with the
 input:
 
 * ``lineitem`` is shuffled once, on ``l_orderkey``: the per-order numbering
-  window and the join to ``orders`` share that exchange.
+  window and the join to ``orders`` share that exchange (orders with an
+  outsized number of lines switch to the distributed numbering of
+  :mod:`ledgerlens.operators.ranking`).
 * an order's account follows from the order alone, so ``orders`` is joined to
   ``accounts`` first (``orders`` is a quarter of ``lineitem``) and the result
   meets ``lineitem`` on the order key.
 * dimension joins (``nation``, ``merchants``) carry no hints: the planner
   broadcasts a side only when its measured size is under the threshold and
-  keeps a sort-merge join otherwise.
+  keeps a shuffle join otherwise.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.numeric import int_div  # noqa: F401  (re-export for users)
 from ledgerlens.functions.temporal import add_seconds
+from ledgerlens.operators.ranking import DEFAULT_MAX_GROUP_ROWS, rank_within_groups
 from ledgerlens.sources.schemas import MONEY, conform
 
 # Fixed values that must equal the source generator's lists (in source order).
@@ -127,7 +130,19 @@ def derive_merchants(supplier: DataFrame, nation: DataFrame) -> DataFrame:
     return conform(out, "merchants")
 
 
-def derive_transactions(lineitem: DataFrame, orders: DataFrame, accounts: DataFrame) -> DataFrame:
+LINE_ORDER = [
+    "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate",
+    "l_extendedprice", "l_quantity", "l_discount", "l_tax",
+]
+
+
+def derive_transactions(
+    lineitem: DataFrame,
+    orders: DataFrame,
+    accounts: DataFrame,
+    *,
+    max_lines_per_order: int = DEFAULT_MAX_GROUP_ROWS,
+) -> DataFrame:
     # Account of each order, with the account's currency and opening date.
     cust = F.col("o_custkey")
     order_acct = orders.select(
@@ -135,15 +150,17 @@ def derive_transactions(lineitem: DataFrame, orders: DataFrame, accounts: DataFr
         (cust * 2 + F.when(cust % 5 == 0, F.col("o_orderkey") % 2).otherwise(0)).alias("account_id"),
     ).join(accounts.select("account_id", "currency", "opened_date"), "account_id")
 
-    # Per-order line numbering: the window and the order join both need
-    # lineitem clustered by l_orderkey, so one exchange serves both.
-    order_lines = Window.partitionBy("l_orderkey").orderBy(
-        "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate",
-        "l_extendedprice", "l_quantity", "l_discount", "l_tax",
+    # Per-order line numbering.  With orders of ordinary size this is a
+    # window: it and the order join both need lineitem clustered by
+    # l_orderkey, so one exchange serves both.  An order with more lines than
+    # ``max_lines_per_order`` switches to the distributed numbering.
+    numbered = rank_within_groups(
+        lineitem, ["l_orderkey"], [F.col(c) for c in LINE_ORDER], "line_no",
+        kind="row_number", max_group_rows=max_lines_per_order,
     )
-    lines = lineitem.select(
+    lines = numbered.select(
         "l_orderkey", "l_suppkey", "l_extendedprice", "l_shipdate",
-        (F.col("l_orderkey") * 100 + F.row_number().over(order_lines)).alias("transaction_id"),
+        (F.col("l_orderkey") * 100 + F.col("line_no")).alias("transaction_id"),
     )
     # Both sides grow with the data: a shuffle join, never a broadcast of the
     # line side.  ``lines`` is already clustered by l_orderkey from the window.

@@ -71,10 +71,7 @@ def cohort_analysis(customers: DataFrame, accounts: DataFrame, transactions: Dat
     ).orderBy(*sort_keys("cohort_month", "months_active_offset"))
 
 
-def cohort_retention_pct(
-    customers: DataFrame, accounts: DataFrame, transactions: DataFrame, *, max_offset: int = 12
-) -> DataFrame:
-    """q13: retention in percent (2 digits) for offsets up to ``max_offset``."""
+def _retention_pct(customers: DataFrame, accounts: DataFrame, transactions: DataFrame, max_offset: int) -> DataFrame:
     counts = cohort_retention_counts(customers, accounts, transactions).where(
         F.col("months_active_offset") <= max_offset
     )
@@ -84,23 +81,39 @@ def cohort_retention_pct(
         "cohort_size",
         "months_active_offset",
         round_ratio_percent("active_customers", "cohort_size", 2).alias("retention_rate"),
-    ).orderBy(*sort_keys("cohort_month", "months_active_offset"))
+    )
+
+
+def cohort_retention_pct(
+    customers: DataFrame, accounts: DataFrame, transactions: DataFrame, *, max_offset: int = 12
+) -> DataFrame:
+    """q13: retention in percent (2 digits) for offsets up to ``max_offset``."""
+    return _retention_pct(customers, accounts, transactions, max_offset).orderBy(
+        *sort_keys("cohort_month", "months_active_offset")
+    )
 
 
 def cohort_matrix(retention: DataFrame, *, max_offset: int = 12) -> DataFrame:
     """q14 / f12: one row per cohort (``yyyy-MM``), one column per offset
     ``"0"`` .. ``"max_offset"``; NULL where the cohort had no activity.
 
-    The value list is explicit, so the pivot needs no extra pass to find it.
+    Each (cohort, offset) cell is unique, so the pivot is one conditional
+    aggregation per offset in a single ``groupBy`` (Spark's ``pivot`` with
+    ``first`` plans a second aggregation and keeps the input's sort).
     """
-    offsets = list(range(max_offset + 1))
-    wide = (
-        retention.withColumn("cohort_month", year_month_label("cohort_month"))
-        .groupBy("cohort_month")
-        .pivot("months_active_offset", offsets)
-        .agg(F.first("retention_rate"))
+    offset = F.col("months_active_offset")
+    return (
+        retention.groupBy(year_month_label("cohort_month").alias("cohort_month"))
+        .agg(*[F.max(F.when(offset == o, F.col("retention_rate"))).alias(str(o)) for o in range(max_offset + 1)])
+        .orderBy("cohort_month")
     )
-    return wide.select("cohort_month", *[F.col(f"`{o}`").alias(str(o)) for o in offsets]).orderBy("cohort_month")
+
+
+def cohort_matrix_from_ledger(
+    customers: DataFrame, accounts: DataFrame, transactions: DataFrame, *, max_offset: int = 12
+) -> DataFrame:
+    """q14 straight from the ledger (no intermediate sort)."""
+    return cohort_matrix(_retention_pct(customers, accounts, transactions, max_offset), max_offset=max_offset)
 
 
 def retention_at_offset_by_segment(

@@ -22,6 +22,8 @@ SESSION_DEFAULTS = {
     # Runtime re-planning: coalesce small shuffle partitions, split skewed
     # join partitions, and turn sort-merge joins into broadcast joins only
     # when the measured shuffle output of one side is below the threshold.
+    # The plan-time threshold applies to Spark's size estimate from file
+    # statistics; at cluster scale no fact table comes near it.
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -32,6 +34,9 @@ SESSION_DEFAULTS = {
     "spark.sql.parquet.compression.codec": "zstd",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.showConsoleProgress": "false",
+    # Skip capturing a Python call site for every Column call (a JVM round
+    # trip each); plans are unchanged.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -50,3 +50,25 @@ def test_month_filter_prunes_partitions(spark, ledger, tmp_path):
     assert re.search(r"PartitionFilters: \[[^\]]*transaction_month", text)
     whole = ledger.transactions.where("trunc(transaction_date, 'MM') = date'1998-06-01'").count()
     assert df.count() == whole
+
+
+def test_fact_rows_are_pre_aggregated_before_any_shuffle(spark):
+    """Every path from the transactions scan meets a partial aggregate before
+    its first exchange or join, in the queries that join the fact table to a
+    dimension (the fact side is reduced per key before it moves)."""
+    from ledgerlens.plans.inspect import operators_above
+
+    # (q5/q12 first attach each transaction's flag on the unique transaction
+    # key, then reduce per merchant before the merchant join.)
+    keys = ["q6_cohort_analysis", "q8_customer_lifetime_value", "k3_volume_share_by_segment",
+            "a7_multi_key_group", "r6_currency_match", "j6_null_key"]
+    for key in keys:
+        chains = operators_above(plan_text(queries()[key](spark, SF_SMALL), "simple"), "/transactions]")
+        assert chains, key
+        for chain in chains:
+            upto = []
+            for op in chain:
+                if "Join" in op or op.startswith("Exchange"):
+                    break
+                upto.append(op)
+            assert any(op.startswith("HashAggregate") for op in upto), (key, chain[:6])

@@ -87,19 +87,29 @@ FEE_BANDS_BP = {"high": (350, 500), "medium": (200, 300), "low": (100, 180)}
 
 def fee_band(settlements: DataFrame, transactions: DataFrame, merchants: DataFrame, tolerance_cents: float = 0.5) -> DataFrame:
     """r3: fee / amount inside the band of the merchant's tier, allowing half a
-    cent for rounding.  Exact: ``10000 * fee_c`` against ``amount_c * bp``."""
-    s = _settled(settlements, transactions).join(merchants.select("merchant_id", "risk_tier"), "merchant_id")
-    tier = F.col("risk_tier")
-
-    def bp(i):
-        return (F.when(tier == "high", FEE_BANDS_BP["high"][i]).when(tier == "medium", FEE_BANDS_BP["medium"][i])
-                .otherwise(FEE_BANDS_BP["low"][i]))
-
+    cent for rounding.  Exact: ``10000 * fee_c`` against ``amount_c * bp``.
+
+    The band depends on the merchant's tier, which is only known after the
+    merchant join.  So each settlement is first checked against *every* band
+    and counted per merchant (one conditional count per tier, map-side
+    partial aggregation); the merchant join then sees one row per merchant
+    and picks the count of its own tier.
+    """
+    s = _settled(settlements, transactions).where(F.col("merchant_id").isNotNull())
     fee = cents("processing_fee") * 10000
     amt = cents("amount")
     tol = int(tolerance_cents * 10000)
-    bad = (fee < amt * bp(0) - tol) | (fee > amt * bp(1) + tol)
-    return _rule(s, "fee_band:processing_fee/amount_in_tier_band", bad)
+    counts = [F.count(F.lit(1)).alias("n")]
+    for tier, (lo, hi) in FEE_BANDS_BP.items():
+        outside = (fee < amt * lo - tol) | (fee > amt * hi + tol)
+        counts.append(F.count_if(outside).alias(f"bad_{tier}"))
+    per = s.groupBy("merchant_id").agg(*counts)
+    j = per.join(merchants.select("merchant_id", "risk_tier"), "merchant_id")
+    tier = F.col("risk_tier")
+    own = (F.when(tier == "high", F.col("bad_high")).when(tier == "medium", F.col("bad_medium"))
+           .otherwise(F.col("bad_low")))
+    agg = j.agg(F.sum("n").alias("checked"), F.sum(own).alias("v")).fillna(0)
+    return _explode_rules(agg, [("fee_band:processing_fee/amount_in_tier_band", "v")])
 
 
 def settlement_balance(settlements: DataFrame, transactions: DataFrame) -> DataFrame:

@@ -23,20 +23,25 @@ def cohort_sizes(customers: DataFrame) -> DataFrame:
 def monthly_active_customers(customers: DataFrame, accounts: DataFrame, transactions: DataFrame) -> DataFrame:
     """p6: distinct (customer, cohort month, activity month) of completed activity.
 
-    Transactions are first reduced to distinct (account, month) pairs, a
-    map-side partial aggregate, so an account with a huge share of the rows
-    shrinks to one row per month before any join.  The reference joins the
-    customer table twice on the same unique key; once is enough.
+    Transactions are first reduced to one row per account holding the set of
+    its active months.  The set is bounded by the calendar span (months), not
+    by the account's row count, and ``collect_set`` merges map-side, so an
+    account with a huge share of the rows is one small row before any join.
+    Keying that aggregate on the account alone lets the account join reuse
+    its partitioning (no second shuffle of the fact side).  The months are
+    exploded after the join and made distinct per customer (partial
+    de-duplication before that shuffle).  The reference joins the customer
+    table twice on the same unique key; once is enough.
     """
     acct_months = (
         completed(transactions)
-        .select("account_id", month_start("transaction_date").alias("activity_month"))
-        .distinct()
+        .groupBy("account_id")
+        .agg(F.collect_set(month_start("transaction_date")).alias("months"))
     )
     owners = accounts.select("account_id", "customer_id").join(customer_cohorts(customers), "customer_id")
     return (
         acct_months.join(owners, "account_id")
-        .select("customer_id", "cohort_month", "activity_month")
+        .select("customer_id", "cohort_month", F.explode("months").alias("activity_month"))
         .distinct()
     )
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ledgerlens.functions import numeric as N
 from ledgerlens.functions import temporal as T
 from ledgerlens.functions import text as X
-from ledgerlens.operators import cohort, lifetime, merchants, risk, rolling, trends
+from ledgerlens.operators import cohort, lifetime, merchants, risk, rolling, rules, trends
 from ledgerlens.operators.common import bounded_broadcast, completed, sort_keys
 from ledgerlens.plans.catalog_core import COHORT_CORE, LIFETIME_CORE, MERCHANT_REVENUE
 from ledgerlens.plans.registry import age_months_sql, query, rr
@@ -742,8 +742,7 @@ def f18(spark, sf_dir):
     return t.select("transaction_id", T.format_timestamp("transaction_date").alias("transaction_text"))
 
 
-# Fee bands in basis points by risk tier (source generator).
-FEE_BANDS_BP = {"high": (350, 500), "medium": (200, 300), "low": (100, 180)}
+FEE_BANDS_BP = rules.FEE_BANDS_BP
 
 
 @query("f19_case_by_tier", """

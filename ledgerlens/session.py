@@ -80,6 +80,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     if current:
         return current.rstrip("/")
     if _FALLBACK_CHECKPOINT is None:
-        _FALLBACK_CHECKPOINT = tempfile.mkdtemp(prefix="ledgerlens-ckpt-")
+        # Local runs only.  A stable folder per user, so a ledger written by
+        # one process (keyed by its source files) is reused by the next.
+        _FALLBACK_CHECKPOINT = os.path.join(tempfile.gettempdir(), f"ledgerlens-checkpoint-{os.getuid()}")
+        os.makedirs(_FALLBACK_CHECKPOINT, exist_ok=True)
     spark.sparkContext.setCheckpointDir(_FALLBACK_CHECKPOINT)
     return spark.sparkContext.getCheckpointDir().rstrip("/")

@@ -1,7 +1,7 @@
 """Derive the six ledger tables from the driver's TPC-H style tables.
 
 The rules are the ones written down in FIXTURES.md section 3; the DuckDB oracle
-(:mod:`ledgerlens.plans.oracle`) states the same rules in SQL.  Everything is a
+(:mod:`ledgerlens.plans.oracle_mapping`) states the same rules in SQL.  Everything is a
 projection, a join or a per-order window, so the derivation scales with the
 input:
 
@@ -24,7 +24,6 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.functions.numeric import int_div  # noqa: F401  (re-export for users)
 from ledgerlens.functions.temporal import add_seconds
 from ledgerlens.operators.ranking import DEFAULT_MAX_GROUP_ROWS, rank_within_groups
 from ledgerlens.sources.schemas import MONEY, conform

@@ -123,12 +123,12 @@ def _source_key(sf_dir: str) -> str:
 
 
 _LOCK = threading.Lock()
-_CACHE: dict[tuple[int, str], Ledger] = {}
+_CACHE: dict[tuple[str, int, str], Ledger] = {}
 
 
 def ledger_for(spark: SparkSession, sf_dir: str) -> Ledger:
     """The written ledger for ``sf_dir`` (derived and written on first use)."""
-    key = (id(spark), os.path.abspath(sf_dir))
+    key = (spark.sparkContext.applicationId, id(spark), os.path.abspath(sf_dir))
     with _LOCK:
         if key not in _CACHE:
             path = f"{checkpoint_root(spark)}/ledger-{_source_key(sf_dir)}"

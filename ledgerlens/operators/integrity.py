@@ -118,6 +118,47 @@ def foreign_key_audit(child: DataFrame, parent: DataFrame, child_table: str, chi
     return _explode_rules(agg.fillna(0), [(name, "v")])
 
 
+# ---- offending rows (the second mode of the audits) ----------------------------
+
+def null_rows(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows with a NULL in any of ``columns`` (i1)."""
+    cond = F.lit(False)
+    for c in columns:
+        cond = cond | F.col(c).isNull()
+    return df.where(cond)
+
+
+def domain_rows(df: DataFrame, column: str, values: list[str]) -> DataFrame:
+    """Rows whose ``column`` is outside ``values`` (NULL passes) (i4)."""
+    return df.where(~F.col(column).isin(*values))
+
+
+def range_rows(df: DataFrame, column: str, op: str, bound) -> DataFrame:
+    """Rows failing ``column op bound`` (NULL passes) (i5)."""
+    return df.where(~_OPS[op](F.col(column), F.lit(bound)))
+
+
+def length_rows(df: DataFrame, column: str, limit: int) -> DataFrame:
+    """Rows whose text is longer than ``limit`` (i7)."""
+    return df.where(F.length(column) > limit)
+
+
+def duplicate_key_rows(df: DataFrame, keys: list[str]) -> DataFrame:
+    """All rows whose non-NULL key occurs more than once (i2, i3).
+
+    The duplicated keys are found with one aggregation (partial counts first)
+    and the rows are picked with a semi join; a key with a huge number of
+    copies is one row of the key table, and the planner's skew handling
+    splits its side of the semi join."""
+    dup = (
+        df.where(" AND ".join(f"`{k}` IS NOT NULL" for k in keys))
+        .groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+        .where(F.col("_n") > 1)
+        .select(*keys)
+    )
+    return df.join(dup, keys, "left_semi")
+
+
 def union_all(frames: list[DataFrame]) -> DataFrame:
     out = frames[0]
     for f in frames[1:]:

@@ -107,3 +107,22 @@ def test_fixed_size_sample_is_repeatable(spark):
     a = [r.transaction_id for r in q(spark, "r9_fixed_size_sample").collect()]
     b = [r.transaction_id for r in q(spark, "r9_fixed_size_sample").collect()]
     assert a == b and len(a) == len(set(a)) == 1000
+
+
+def test_offending_rows_agree_with_the_counts(spark):
+    from ledgerlens.sources.fixtures import read_driver
+
+    li = read_driver(spark, SF_SMALL, "lineitem", ["l_orderkey", "l_linenumber"])
+    rows = I.duplicate_key_rows(li, ["l_orderkey", "l_linenumber"])
+    distinct_keys = rows.select("l_orderkey", "l_linenumber").distinct().count()
+    assert rows.count() - distinct_keys == 1401  # rows beyond the first per key
+    cust = read_driver(spark, SF_SMALL, "customer", ["c_custkey", "c_acctbal"])
+    assert I.range_rows(cust, "c_acctbal", ">=", 0).count() == 11
+    assert I.null_rows(cust, ["c_custkey"]).count() == 0
+
+
+def test_orphan_rows_against_active_accounts(spark, ledger):
+    active = ledger.accounts.where(F.col("status") == "active")
+    orphans = I.orphan_rows(ledger.transactions, active, "account_id", "account_id")
+    got = {r.rule: r.violations for r in q(spark, "i6_foreign_key").collect()}
+    assert orphans.count() == got["foreign_key:transactions.account_id->accounts[status=active].account_id"]

@@ -3,7 +3,7 @@
     BENCH_SF_DIR=/root/testdata/sf0.1 BENCH_CPUS=8 python bench.py
 
 Derives and writes the ledger once (timed as ``ledger_build``), then runs
-every headline query ``BENCH_REPEATS`` times (default 3) after one warm-up
+every headline query ``BENCH_REPEATS`` times (default 5) after one warm-up
 and reports the median per query.  Execution is forced with the ``noop``
 sink, so the full plan runs without collecting rows to the driver.
 Prints one JSON line.
@@ -41,7 +41,7 @@ HEADLINE = [
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    repeats = int(os.environ.get("BENCH_REPEATS", "3"))
+    repeats = int(os.environ.get("BENCH_REPEATS", "5"))
 
     from ledgerlens.plans.registry import queries
     from ledgerlens.session import get_session
@@ -50,7 +50,8 @@ def main() -> None:
     extra = {}
     scratch = tempfile.mkdtemp(prefix="ledgerlens-bench-")
     extra["spark.checkpoint.dir"] = os.environ.get("BENCH_CHECKPOINT_DIR", scratch)
-    spark = get_session(master=f"local[{cpus}]", shuffle_partitions=cpus * 2, extra=extra)
+    partitions = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", cpus))
+    spark = get_session(master=f"local[{cpus}]", shuffle_partitions=partitions, extra=extra)
 
     t0 = time.perf_counter()
     ledger_for(spark, sf_dir)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens.functions.numeric import mean_money, money_per
 from ledgerlens.functions.temporal import age_months
-from ledgerlens.operators.common import completed, sort_keys
+from ledgerlens.operators.common import completed, sort_keys, top_k_with_lookup
 
 
 def customer_activity(accounts: DataFrame, transactions: DataFrame) -> DataFrame:
@@ -48,19 +48,28 @@ def customer_lifetime_value(
     customers: DataFrame, accounts: DataFrame, transactions: DataFrame, *, k: int | None = 50
 ) -> DataFrame:
     """q8: profile, completed count, spend, mean value (2 digits), whole months
-    active (at least 1) and spend per month (2 digits); top ``k`` by spend."""
+    active (at least 1) and spend per month (2 digits); top ``k`` by spend.
+
+    With ``k`` the top customers are chosen on the per-customer figures and
+    only those customers' profiles are looked up (:func:`top_k_with_lookup`),
+    so the customer table is never shuffled against every customer's figures.
+    """
     act = customer_activity(accounts, transactions)
-    j = customers.select("customer_id", "full_name", "segment", "country").join(act, "customer_id")
-    out = j.select(
+    figures = act.select(
         "customer_id",
-        "full_name",
-        "segment",
-        "country",
         "completed_transaction_count",
         F.col("total_spend").alias("customer_lifetime_value"),
         mean_money("total_spend", "completed_transaction_count").alias("avg_transaction_value"),
         "months_active",
         money_per("total_spend", "months_active").alias("revenue_per_month"),
     )
-    ordered = out.orderBy(*sort_keys("-customer_lifetime_value", "customer_id"))
-    return ordered.limit(k) if k else ordered
+    profile = customers.select("customer_id", "full_name", "segment", "country")
+    order = sort_keys("-customer_lifetime_value", "customer_id")
+    if k:
+        joined = top_k_with_lookup(figures, profile, "customer_id", order, k)
+    else:
+        joined = profile.join(figures, "customer_id").orderBy(*order)
+    return joined.select(
+        "customer_id", "full_name", "segment", "country", "completed_transaction_count",
+        "customer_lifetime_value", "avg_transaction_value", "months_active", "revenue_per_month",
+    )

@@ -70,22 +70,21 @@ def test_rank_has_gaps_on_ties(spark):
         [(i, i, T("2024-01-03 00:00"), D(a), D(0), "settled") for i, a in ((1, 100), (2, 100), (3, 90))],
         SCHEMAS["settlements"])
     rev = merchants.merchant_settled_revenue(m, t, s)
-    ranks = {r.merchant_id: r.category_revenue_rank for r in merchants.top_merchants_with_rank(rev, 20).collect()}
+    top = merchants.top_merchants_by_revenue(m, t, s, 20)
+    ranks = {r.merchant_id: r.category_revenue_rank for r in merchants.top_merchants_with_rank(top).collect()}
     assert ranks == {1: 1, 2: 1, 3: 3}
     full = {r.merchant_id: r.rank for r in merchants.rank_within(rev, "category", "total_revenue").collect()}
     assert full == {1: 1, 2: 1, 3: 3}
 
 
 def test_top_k_rank_is_rank_over_all_merchants(spark):
-    # Category A has the top merchant; the k=2 cut keeps merchants 1 and 3,
-    # merchant 3's rank in B must still count merchant 2? No: 2 is in A.
+    # The in-category rank of the top-k merchants comes from the k rows alone.
     m = frame(spark, "merchants", [merchant(1, "A"), merchant(2, "A"), merchant(3, "B"), merchant(4, "B")])
     amounts = {1: 500, 2: 100, 3: 400, 4: 300}
     t = frame(spark, "transactions", [tx(i, 1, i, a, "2024-01-01 00:00") for i, a in amounts.items()])
     s = spark.createDataFrame([(i, i, T("2024-01-03 00:00"), D(a), D(0), "settled") for i, a in amounts.items()],
                               SCHEMAS["settlements"])
-    rev = merchants.merchant_settled_revenue(m, t, s)
-    top = merchants.top_merchants_with_rank(rev, 3).collect()
+    top = merchants.top_merchants_with_rank(merchants.top_merchants_by_revenue(m, t, s, 3)).collect()
     assert [(r.merchant_id, r.category_revenue_rank) for r in top] == [(1, 1), (3, 1), (4, 2)]
 
 
@@ -202,5 +201,17 @@ def test_top_merchants_limit(spark, k):
     t = frame(spark, "transactions", [tx(1, 1, 1, 5, "2024-01-01 00:00"), tx(2, 1, 2, 7, "2024-01-01 00:00")])
     s = spark.createDataFrame([(i, i, T("2024-01-03 00:00"), D(a), D(0), "settled") for i, a in ((1, 5), (2, 7))],
                               SCHEMAS["settlements"])
-    out = merchants.top_merchants(merchants.merchant_settled_revenue(m, t, s), k).collect()
+    out = merchants.top_merchants(merchants.top_merchants_by_revenue(m, t, s, k)).collect()
     assert [r.merchant_name for r in out] == ["m2", "m1"][:k]
+
+
+def test_top_k_lookup_falls_back_when_a_key_has_no_dimension_row(spark):
+    # Merchant 9 has the most revenue but no merchant row: the inner join
+    # drops it, so the top 2 must be merchants 2 and 1.
+    m = frame(spark, "merchants", [merchant(1), merchant(2)])
+    amounts = {1: 100, 2: 200, 9: 900}
+    t = frame(spark, "transactions", [tx(i, 1, i, a, "2024-01-01 00:00") for i, a in amounts.items()])
+    s = spark.createDataFrame([(i, i, T("2024-01-03 00:00"), D(a), D(0), "settled") for i, a in amounts.items()],
+                              SCHEMAS["settlements"])
+    top = merchants.top_merchants_by_revenue(m, t, s, 2).collect()
+    assert [r.merchant_id for r in top] == [2, 1]

@@ -38,7 +38,7 @@ def skewed(spark, ledger, tmp_path_factory):
 
 CASES = {
     "q3_merchant_performance": lambda L: merchants.top_merchants_with_rank(
-        merchants.merchant_settled_revenue(L.merchants, L.transactions, L.settlements), 20),
+        merchants.top_merchants_by_revenue(L.merchants, L.transactions, L.settlements, 20)),
     "q4_settlement_latency": lambda L: latency.settlement_latency(L.settlements, L.transactions, L.merchants),
     "q5_risk_indicators": lambda L: risk.risk_indicators(L.transactions, L.merchants, L.fraud_flags),
     "q6_cohort_analysis": lambda L: cohort.cohort_analysis(L.customers, L.accounts, L.transactions),

@@ -55,25 +55,40 @@ def sort_keys(*keys) -> list[Column]:
     return out
 
 
-def top_k_with_lookup(facts: DataFrame, dim: DataFrame, key: str, order: list[Column], k: int) -> DataFrame:
-    """``facts ⋈ dim`` on ``key``, top ``k`` by ``order`` — without joining
-    every fact row.
-
-    The top ``k`` of ``facts`` is taken first (a distributed top-k; ``k`` rows
-    reach the driver), then only those keys are read from ``dim`` (an IN
-    filter the Parquet scan can use to skip row groups) and joined.  That is
-    the exact answer when each of the ``k`` keys has its dimension row.  If
-    any is missing, an inner join would have dropped it and promoted a row
+SMALL_DIMENSION_ROWS = 1_000_000
+
+
+def top_k_with_lookup(
+    facts: DataFrame,
+    dim: DataFrame,
+    key: str,
+    order: list[Column],
+    k: int,
+    *,
+    small_dim_rows: int = SMALL_DIMENSION_ROWS,
+) -> DataFrame:
+    """``facts ⋈ dim`` on ``key``, top ``k`` by ``order``.
+
+    A dimension of at most ``small_dim_rows`` rows (checked by reading at most
+    that many plus one) is simply joined: the planner broadcasts it.  A larger
+    one is never joined against every fact row: the top ``k`` of ``facts`` is
+    taken first (a distributed top-k; ``k`` rows reach the driver), then only
+    those keys are read from ``dim`` (an IN filter the Parquet scan uses to
+    skip row groups; at most ``k`` rows come back) and the two small sets are
+    joined.  That is exact when each of the ``k`` keys has its dimension row;
+    if one is missing, an inner join would have dropped it and promoted a row
     beyond the top ``k``, so the plain join-then-limit plan is used instead.
     ``key`` must be unique in ``dim``.
     """
+    plain = facts.join(dim, key).orderBy(*order).limit(k)
+    if dim.limit(small_dim_rows + 1).count() <= small_dim_rows:
+        return plain
     spark = facts.sparkSession
     top_rows = facts.orderBy(*order).limit(k).collect()
+    keys = {r[key] for r in top_rows}
+    found_rows = dim.where(F.col(key).isin(list(keys))).collect() if keys else []
+    if {r[key] for r in found_rows} != keys:
+        return plain
     top = spark.createDataFrame(top_rows, schema=facts.schema)
-    keys = [r[key] for r in top_rows]
-    if not keys:
-        return facts.join(dim, key).orderBy(*order).limit(k)
-    found = dim.where(F.col(key).isin(keys))
-    if found.select(key).distinct().count() == len(set(keys)):
-        return top.join(F.broadcast(found), key).orderBy(*order)
-    return facts.join(dim, key).orderBy(*order).limit(k)
+    found = spark.createDataFrame(found_rows, schema=dim.schema)
+    return top.join(F.broadcast(found), key).orderBy(*order)  # at most k rows each

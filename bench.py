@@ -3,8 +3,9 @@
     BENCH_SF_DIR=/root/testdata/sf0.1 BENCH_CPUS=8 python bench.py
 
 Derives and writes the ledger once (timed as ``ledger_build``), then runs
-every headline query ``BENCH_REPEATS`` times (default 5) after one warm-up
-and reports the median per query.  Execution is forced with the ``noop``
+every headline query ``BENCH_REPEATS`` times (default 5) after
+``BENCH_WARMUPS`` warm-up runs (default 2; the JVM compiles hot paths over
+the first runs) and reports the median per query.  Execution is forced with the ``noop``
 sink, so the full plan runs without collecting rows to the driver.
 Prints one JSON line.  ``BENCH_ALL=1`` times every registered key instead
 of the headline queries.
@@ -43,6 +44,7 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     repeats = int(os.environ.get("BENCH_REPEATS", "5"))
+    warmups = int(os.environ.get("BENCH_WARMUPS", "2"))
 
     from ledgerlens.plans.registry import queries
     from ledgerlens.session import get_session
@@ -63,7 +65,8 @@ def main() -> None:
     keys = list(qs) if os.environ.get("BENCH_ALL") else HEADLINE
     for key in keys:
         df_fn = qs[key]
-        df_fn(spark, sf_dir).write.format("noop").mode("overwrite").save()  # warm-up
+        for _ in range(warmups):  # JIT and plan-cache warm-up
+            df_fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
         runs = []
         for _ in range(repeats):
             t = time.perf_counter()
@@ -81,6 +84,7 @@ def main() -> None:
         "sf": os.path.basename(sf_dir.rstrip("/")).replace("sf", ""),
         "cpus": cpus,
         "repeats": repeats,
+        "warmups": warmups,
     }))
     spark.stop()
 

@@ -18,6 +18,7 @@ LOCATION``.
 from __future__ import annotations
 
 import hashlib
+import logging
 import math
 import os
 import threading
@@ -29,6 +30,8 @@ from ledgerlens.session import checkpoint_root
 from ledgerlens.sources import fixtures
 from ledgerlens.sources.schemas import LOAD_ORDER, SCHEMAS
 
+log = logging.getLogger(__name__)
+
 # Bump when a derivation rule changes, so stale written tables are not reused.
 MAPPING_VERSION = "2"
 
@@ -124,7 +127,14 @@ def write_ledger(spark: SparkSession, sf_dir: str, path: str, *, buckets: int |
     def write(name: str, df: DataFrame) -> DataFrame:
         target = f"{path}/{name}"
         if buckets and name in BUCKETED:
-            return write_bucketed(name, df, target)
+            try:
+                return write_bucketed(name, df, target)
+            except Exception as err:  # noqa: BLE001 - no usable session catalog
+                # Bucketing needs the session catalog (its default database
+                # folder must be creatable).  Without it the table is written
+                # plain: same rows, the joins just shuffle.
+                log.warning("bucketed write of %s failed (%s); writing it unbucketed", name, err)
+                target = f"{target}-plain"
         if not _done(spark, target):
             df.write.mode("overwrite").parquet(target)
         return spark.read.schema(SCHEMAS[name]).parquet(target)

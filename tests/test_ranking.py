@@ -48,3 +48,12 @@ def test_transactions_same_with_distributed_line_numbering(spark, ledger):
     forced = fixtures.derive_transactions(li, orders, ledger.accounts, max_lines_per_order=0)
     assert forced.exceptAll(ledger.transactions).count() == 0
     assert ledger.transactions.exceptAll(forced).count() == 0
+
+
+def test_unbucketed_fallback_gives_the_same_ledger(spark, ledger, tmp_path):
+    from ledgerlens.sources.ledger import write_ledger
+
+    # An invalid table name makes the catalog registration fail.
+    L = write_ledger(spark, SF_SMALL, str(tmp_path / "ledger"), buckets=4, table_prefix="not a name")
+    assert L.transactions.exceptAll(ledger.transactions).count() == 0
+    assert L.settlements.count() == ledger.settlements.count()

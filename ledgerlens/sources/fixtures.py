@@ -187,6 +187,9 @@ def derive_settlements(transactions: DataFrame, merchants: DataFrame) -> DataFra
     eligible = transactions.where((F.col("status") == "completed") & (g % 50 != 0)).select(
         "transaction_id", "merchant_id", "amount", "transaction_date"
     )
+    # Row-level lookup of the merchant's tier.  The merchant table is
+    # broadcast when AQE measures it small; otherwise a shuffle join whose
+    # hot merchant partitions AQE's skew-join handling splits.
     j = eligible.join(merchants.select("merchant_id", "risk_tier"), "merchant_id")
     tier = F.col("risk_tier")
     bp = (

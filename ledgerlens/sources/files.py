@@ -70,12 +70,28 @@ def dump_csv(tables: dict[str, DataFrame], folder: str) -> dict[str, str]:
     return paths
 
 
-def ordered_load(spark: SparkSession, csv_paths: dict[str, str], target: str) -> dict[str, DataFrame]:
+class LoadAuditError(ValueError):
+    """A loaded ledger broke a foreign key."""
+
+
+def ordered_load(spark: SparkSession, csv_paths: dict[str, str], target: str, *, audit: bool = True) -> dict[str, DataFrame]:
     """s3: load parents before children (CSV -> typed Parquet), one job per
-    table; returns the loaded tables read back."""
+    table; then audit every foreign key of the loaded tables (i6) and raise
+    :class:`LoadAuditError` if any child row is orphaned.  Returns the loaded
+    tables read back."""
+    from ledgerlens.operators.integrity import foreign_key_audit, union_all
+    from ledgerlens.sources.schemas import FOREIGN_KEYS
+
     loaded = {}
     for name in LOAD_ORDER:
         loaded[name] = reload(read_csv(spark, csv_paths[name], name), f"{target}/{name}", name)
+    if audit:
+        audits = union_all([
+            foreign_key_audit(loaded[c], loaded[p], c, cc, p, pc) for c, cc, p, pc, _ in FOREIGN_KEYS
+        ])
+        bad = [(r.rule, r.violations) for r in audits.where(F.col("violations") > 0).collect()]
+        if bad:
+            raise LoadAuditError(f"orphaned rows after load: {bad}")
     return loaded
 
 

@@ -126,3 +126,15 @@ def test_orphan_rows_against_active_accounts(spark, ledger):
     orphans = I.orphan_rows(ledger.transactions, active, "account_id", "account_id")
     got = {r.rule: r.violations for r in q(spark, "i6_foreign_key").collect()}
     assert orphans.count() == got["foreign_key:transactions.account_id->accounts[status=active].account_id"]
+
+
+def test_ordered_load_rejects_orphans(spark, ledger, tmp_path):
+    from ledgerlens.sources import files
+
+    tables = ledger.as_dict()
+    tables["accounts"] = tables["accounts"].where("account_id % 2 = 0")  # drop parents of some transactions
+    paths = files.dump_csv(tables, str(tmp_path / "csv"))
+    with pytest.raises(files.LoadAuditError):
+        files.ordered_load(spark, paths, str(tmp_path / "parquet"))
+    ok = files.ordered_load(spark, files.dump_csv(ledger.as_dict(), str(tmp_path / "csv2")), str(tmp_path / "pq2"))
+    assert ok["transactions"].count() == ledger.transactions.count()

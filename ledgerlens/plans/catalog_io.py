@@ -13,7 +13,7 @@ from ledgerlens.operators import trends
 from ledgerlens.plans.registry import query
 from ledgerlens.sources import files
 from ledgerlens.sources.ledger import ledger_for
-from ledgerlens.sources.schemas import LOAD_ORDER
+from ledgerlens.sources.schemas import LOAD_ORDER, conform
 
 
 @query("s1_csv_scan", """
@@ -96,8 +96,8 @@ WHERE status = 'completed'
 @query("s6_sql_to_frame", KPI_SQL)
 def s6(spark, sf_dir):
     """SQL text over temp views to a DataFrame (the dashboard's KPI query)."""
-    ledger_for(spark, sf_dir).register_views("s6_")
-    return spark.sql(KPI_SQL.replace("FROM transactions", "FROM s6_transactions"))
+    prefix = ledger_for(spark, sf_dir).register_views()
+    return spark.sql(KPI_SQL.replace("FROM transactions", f"FROM {prefix}transactions"))
 
 
 @query("s7_first_row", KPI_SQL + "LIMIT 1")
@@ -112,7 +112,7 @@ def s8(spark, sf_dir):
     L = ledger_for(spark, sf_dir)
     path = files.fresh_dir(spark, "s8-customers-csv")
     files.write_csv(L.customers, path)
-    return files.read_csv(spark, path, "customers")
+    return conform(files.read_csv(spark, path, "customers"), "customers")
 
 
 S9_MONTH = "1998-06-01"

@@ -145,10 +145,10 @@ GROUP BY 1 ORDER BY 1
 def p8(spark, sf_dir):
     """SQL text with GROUP BY 1 / ORDER BY 1 over temp views (s6)."""
     L = _L(spark, sf_dir)
-    L.register_views("ll_")
-    return spark.sql("""
+    prefix = L.register_views()
+    return spark.sql(f"""
         SELECT trunc(transaction_date, 'MM') AS transaction_month, COUNT(transaction_id) AS transaction_volume
-        FROM ll_transactions WHERE status = 'completed'
+        FROM {prefix}transactions WHERE status = 'completed'
         GROUP BY 1 ORDER BY 1
     """)
 

@@ -56,10 +56,16 @@ class Ledger:
     def as_dict(self) -> dict[str, DataFrame]:
         return {f.name: getattr(self, f.name) for f in fields(self)}
 
-    def register_views(self, prefix: str = "") -> None:
-        """Temp views named after the tables, for ``spark.sql`` (s6)."""
+    def register_views(self, prefix: str | None = None) -> str:
+        """Temp views named after the tables, for ``spark.sql`` (s6).
+
+        The default prefix is unique to this ledger object, so ledgers of
+        different inputs in one session never replace each other's views.
+        Returns the prefix used."""
+        prefix = f"ledger_{id(self):x}_" if prefix is None else prefix
         for name, df in self.as_dict().items():
             df.createOrReplaceTempView(prefix + name)
+        return prefix
 
 
 def derive_ledger(spark: SparkSession, sf_dir: str) -> Ledger:

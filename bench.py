@@ -17,7 +17,6 @@ import json
 import os
 import statistics
 import sys
-import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -50,14 +49,13 @@ def main() -> None:
     from ledgerlens.session import get_session
     from ledgerlens.sources.ledger import ledger_for
 
-    extra = {}
-    scratch = tempfile.mkdtemp(prefix="ledgerlens-bench-")
-    extra["spark.checkpoint.dir"] = os.environ.get("BENCH_CHECKPOINT_DIR", scratch)
     partitions = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", cpus))
-    spark = get_session(master=f"local[{cpus}]", shuffle_partitions=partitions, extra=extra)
+    # The checkpoint folder is the session's (spark.checkpoint.dir); the
+    # library sets a local one only when none is configured.
+    spark = get_session(master=f"local[{cpus}]", shuffle_partitions=partitions)
 
     t0 = time.perf_counter()
-    ledger_for(spark, sf_dir)
+    ledger_for(spark, sf_dir, fresh=True)  # derive and write a new copy: timed
     build = time.perf_counter() - t0
 
     qs = queries()

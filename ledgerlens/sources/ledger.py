@@ -22,6 +22,7 @@ import logging
 import math
 import os
 import threading
+import uuid
 from dataclasses import dataclass, fields
 
 from pyspark.sql import DataFrame, SparkSession
@@ -196,13 +197,21 @@ _LOCK = threading.Lock()
 _CACHE: dict[tuple[str, int, str], Ledger] = {}
 
 
-def ledger_for(spark: SparkSession, sf_dir: str) -> Ledger:
-    """The written ledger for ``sf_dir`` (derived and written on first use)."""
+def ledger_for(spark: SparkSession, sf_dir: str, *, fresh: bool = False) -> Ledger:
+    """The written ledger for ``sf_dir`` (derived and written on first use).
+
+    Written tables are reused across sessions (the folder is keyed by the
+    source files and the mapping version).  ``fresh=True`` derives and writes
+    a new copy in its own folder (used to time the derivation)."""
     key = (spark.sparkContext.applicationId, id(spark), os.path.abspath(sf_dir))
     with _LOCK:
-        if key not in _CACHE:
+        if fresh or key not in _CACHE:
             source = _source_key(sf_dir)
             buckets = bucket_count(sf_dir)
-            path = f"{checkpoint_root(spark)}/ledger-{source}-b{buckets}"
+            name = f"ledger-{source}-b{buckets}"
+            if fresh:
+                source = f"{source}_{uuid.uuid4().hex[:8]}"
+                name = f"ledger-{source}-b{buckets}"
+            path = f"{checkpoint_root(spark)}/{name}"
             _CACHE[key] = write_ledger(spark, sf_dir, path, buckets=buckets, table_prefix=f"ledgerlens_{source}")
         return _CACHE[key]

@@ -46,13 +46,16 @@ def main() -> None:
     warmups = int(os.environ.get("BENCH_WARMUPS", "2"))
 
     from ledgerlens.plans.registry import queries
-    from ledgerlens.session import get_session
+    from ledgerlens.session import get_session, input_bytes, settings_for_input
     from ledgerlens.sources.ledger import ledger_for
 
-    partitions = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", cpus))
-    # The checkpoint folder is the session's (spark.checkpoint.dir); the
-    # library sets a local one only when none is configured.
-    spark = get_session(master=f"local[{cpus}]", shuffle_partitions=partitions)
+    # Partitioning sized from the input (see session.settings_for_input); the
+    # checkpoint folder is the session's (spark.checkpoint.dir), the library
+    # sets a local one only when none is configured.
+    extra = settings_for_input(input_bytes(sf_dir), cpus)
+    if os.environ.get("BENCH_SHUFFLE_PARTITIONS"):
+        extra["spark.sql.shuffle.partitions"] = os.environ["BENCH_SHUFFLE_PARTITIONS"]
+    spark = get_session(master=f"local[{cpus}]", extra=extra)
 
     t0 = time.perf_counter()
     ledger_for(spark, sf_dir, fresh=True)  # derive and write a new copy: timed

@@ -60,6 +60,41 @@ def get_session(
     return spark
 
 
+MB = 1024 * 1024
+
+
+def settings_for_input(input_bytes: int, cores: int) -> dict[str, str]:
+    """Partitioning settings sized from the bytes a job reads.
+
+    Shuffle partitions start at about one per 128 MB of input (never fewer
+    than two per core) so that, after the first exchange, every reducer's
+    share fits comfortably in executor memory and spills rarely; AQE then
+    coalesces small partitions toward the 128 MB advisory size and splits
+    partitions that are skewed beyond 512 MB.  File splits of 256 MB keep scan
+    tasks few but bounded.  At 100 TB of input this starts around 800k
+    shuffle partitions (capped at 200k), at sf0.1 it is ``2 * cores``.
+    """
+    partitions = max(2 * cores, min(200_000, -(-input_bytes // (128 * MB))))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128MB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512MB",
+        "spark.sql.files.maxPartitionBytes": "256MB",
+    }
+
+
+def input_bytes(sf_dir: str, tables: tuple[str, ...] = ("lineitem", "orders", "customer", "supplier")) -> int:
+    """Total size of the driver tables the ledger is derived from."""
+    total = 0
+    for t in tables:
+        try:
+            total += os.path.getsize(os.path.join(sf_dir, f"{t}.parquet"))
+        except OSError:
+            pass
+    return total
+
+
 _FALLBACK_CHECKPOINT: str | None = None
 
 

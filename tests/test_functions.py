@@ -60,3 +60,15 @@ def test_labels(spark):
     rows = df.select(thousands("n").alias("a"), money_label("c").alias("b"), percent_label("p").alias("c")).collect()
     assert tuple(rows[0]) == ("1,234,567", "€1,234.50", "12.30%")
     assert tuple(rows[1]) == ("12", "€0.05", "-")
+
+
+def test_partitioning_settings_follow_the_input_size():
+    from ledgerlens.session import settings_for_input
+
+    small = settings_for_input(10 * 1024 * 1024, 8)
+    assert small["spark.sql.shuffle.partitions"] == "16"
+    big = settings_for_input(100 * 1024**4, 4000)
+    assert big["spark.sql.shuffle.partitions"] == "200000"
+    mid = settings_for_input(64 * 1024**3, 8)  # 64 GiB -> one per 128 MB
+    assert mid["spark.sql.shuffle.partitions"] == "512"
+    assert mid["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] == "512"

@@ -75,7 +75,11 @@ def settings_for_input(input_bytes: int, cores: int) -> dict[str, str]:
     shuffle partitions (capped at 200k), at sf0.1 it is ``2 * cores``.
     """
     partitions = max(2 * cores, min(200_000, -(-input_bytes // (128 * MB))))
+    # On a shared cluster, coalesce toward the advisory size rather than
+    # toward the core count (Spark's own advice for busy clusters).
+    sized = partitions > 2 * cores
     return {
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false" if sized else "true",
         "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128MB",

@@ -72,3 +72,10 @@ def test_partitioning_settings_follow_the_input_size():
     mid = settings_for_input(64 * 1024**3, 8)  # 64 GiB -> one per 128 MB
     assert mid["spark.sql.shuffle.partitions"] == "512"
     assert mid["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] == "512"
+
+
+def test_large_inputs_coalesce_by_size():
+    from ledgerlens.session import settings_for_input
+
+    assert settings_for_input(10 * 1024 * 1024, 8)["spark.sql.adaptive.coalescePartitions.parallelismFirst"] == "true"
+    assert settings_for_input(100 * 1024**4, 4000)["spark.sql.adaptive.coalescePartitions.parallelismFirst"] == "false"

@@ -8,7 +8,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerlens.operators import cohort, latency, lifetime, merchants, risk
+from ledgerlens.operators import cohort, latency, lifetime, merchants, risk, rules, segments
 from ledgerlens.operators.common import report
 from ledgerlens.plans.registry import REGISTRY, queries
 from ledgerlens.plans.verify import compare
@@ -44,6 +44,10 @@ CASES = {
     "q6_cohort_analysis": lambda L: cohort.cohort_analysis(L.customers, L.accounts, L.transactions),
     "q8_customer_lifetime_value": lambda L: lifetime.customer_lifetime_value(L.customers, L.accounts, L.transactions),
     "q12_fraud_rate_by_category": lambda L: risk.fraud_rate_by(L.transactions, L.merchants, L.fraud_flags),
+    "q13_cohort_retention_12m": lambda L: cohort.cohort_retention_pct(L.customers, L.accounts, L.transactions),
+    "k3_volume_share_by_segment": lambda L: segments.volume_share_by_segment(L.customers, L.accounts, L.transactions),
+    "r3_fee_band": lambda L: rules.fee_band(L.settlements, L.transactions, L.merchants),
+    "r6_currency_match": lambda L: rules.currency_match(L.transactions, L.accounts),
     "w1_rank": lambda L: merchants.rank_within(
         merchants.merchant_settled_revenue(L.merchants, L.transactions, L.settlements, merchant_cols=("category",)),
         "category", "total_revenue", "category_revenue_rank", max_group_rows=2),

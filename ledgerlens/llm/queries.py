@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from ledgerlens.llm.exact_dedup import OP1_SQL, op1_exact_dedup
+from ledgerlens.llm.secret_scan import op4_secret_scan
 
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
+    "op4_secret_scan": op4_secret_scan,
 }
 
 ORACLE_SQL = {

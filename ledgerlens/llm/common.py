@@ -35,3 +35,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def text_of(column: str | Column) -> Column:
     """The whole text; null counts as empty."""
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit(""))
+
+
+LAST_ID = 9223372036854775807  # stands for a null identifier while ids are compared
+
+
+def row_key(docs: DataFrame) -> DataFrame:
+    """``docs`` with __id (null ids last) and __hash (of the whole text)."""
+    return docs.withColumns({"__id": F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)), "__hash": F.xxhash64(text_of("text"))})
+
+
+def rows_chosen(docs: DataFrame, chosen: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose (__id, __hash) is in ``chosen``, all their columns.
+
+    ``chosen`` also has __copies, the number of such rows: only rows that really
+    repeat go through a second exchange, which leaves one of them."""
+    names = docs.columns
+    stay = row_key(docs).join(chosen, ["__id", "__hash"])
+    alone = stay.where("__copies = 1").select(names)
+    return alone.unionByName(stay.where("__copies > 1").dropDuplicates(["__id", "__hash"]).select(names))

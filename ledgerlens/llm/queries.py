@@ -5,11 +5,13 @@ from __future__ import annotations
 from ledgerlens.llm.exact_dedup import OP1_SQL, op1_exact_dedup
 from ledgerlens.llm.license_scan import op6_license_scan
 from ledgerlens.llm.secret_scan import op4_secret_scan
+from ledgerlens.llm.simhash import op7_simhash
 
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op4_secret_scan": op4_secret_scan,
     "op6_license_scan": op6_license_scan,
+    "op7_simhash": op7_simhash,
 }
 
 ORACLE_SQL = {

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from ledgerlens.llm.exact_dedup import OP1_SQL, op1_exact_dedup
 from ledgerlens.llm.license_scan import op6_license_scan
+from ledgerlens.llm.nearest import op3_nearest
 from ledgerlens.llm.packing import op9_best_fit_packing
 from ledgerlens.llm.secret_scan import op4_secret_scan
 from ledgerlens.llm.simhash import op7_simhash
@@ -12,6 +13,7 @@ from ledgerlens.llm.toxicity import op2_toxicity
 QUERIES = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_toxicity": op2_toxicity,
+    "op3_nearest": op3_nearest,
     "op4_secret_scan": op4_secret_scan,
     "op6_license_scan": op6_license_scan,
     "op7_simhash": op7_simhash,

@@ -8,6 +8,7 @@ from ledgerlens.llm.nearest import op3_nearest
 from ledgerlens.llm.packing import op9_best_fit_packing
 from ledgerlens.llm.secret_scan import op4_secret_scan
 from ledgerlens.llm.simhash import op7_simhash
+from ledgerlens.llm.token_files import op8_token_files
 from ledgerlens.llm.toxicity import op2_toxicity
 
 QUERIES = {
@@ -17,6 +18,7 @@ QUERIES = {
     "op4_secret_scan": op4_secret_scan,
     "op6_license_scan": op6_license_scan,
     "op7_simhash": op7_simhash,
+    "op8_token_files": op8_token_files,
     "op9_best_fit_packing": op9_best_fit_packing,
 }
 

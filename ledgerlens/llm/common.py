@@ -54,3 +54,21 @@ def rows_chosen(docs: DataFrame, chosen: DataFrame) -> DataFrame:
     stay = row_key(docs).join(chosen, ["__id", "__hash"])
     alone = stay.where("__copies = 1").select(names)
     return alone.unionByName(stay.where("__copies > 1").dropDuplicates(["__id", "__hash"]).select(names))
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the Python workers this package, once for each application (needed where
+    it isn't installed on the executors): a zip that Spark's own file server hands out."""
+    import os
+    import shutil
+    import tempfile
+
+    import ledgerlens
+
+    context = spark.sparkContext
+    if getattr(context, "_ledgerlens_shipped", False):
+        return
+    here = os.path.dirname(os.path.abspath(ledgerlens.__file__))
+    package = os.path.join(tempfile.mkdtemp(prefix="ledgerlens-package-"), "ledgerlens")
+    context.addPyFile(shutil.make_archive(package, "zip", os.path.dirname(here), "ledgerlens"))
+    context._ledgerlens_shipped = True

@@ -2,6 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
+from pyspark.sql import DataFrame, SparkSession
+
+from ledgerlens.llm.bpe import op5_byte_bpe
+from ledgerlens.llm.common import ship_package
 from ledgerlens.llm.exact_dedup import OP1_SQL, op1_exact_dedup
 from ledgerlens.llm.license_scan import op6_license_scan
 from ledgerlens.llm.nearest import op3_nearest
@@ -11,16 +18,27 @@ from ledgerlens.llm.simhash import op7_simhash
 from ledgerlens.llm.token_files import op8_token_files
 from ledgerlens.llm.toxicity import op2_toxicity
 
-QUERIES = {
+
+def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    @wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship_package(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
+QUERIES = {name: _shipped(query) for name, query in {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_toxicity": op2_toxicity,
     "op3_nearest": op3_nearest,
     "op4_secret_scan": op4_secret_scan,
+    "op5_byte_bpe": op5_byte_bpe,
     "op6_license_scan": op6_license_scan,
     "op7_simhash": op7_simhash,
     "op8_token_files": op8_token_files,
     "op9_best_fit_packing": op9_best_fit_packing,
-}
+}.items()}
 
 ORACLE_SQL = {
     "op1_exact_dedup": OP1_SQL,

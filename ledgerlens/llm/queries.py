@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ledgerlens.llm.bpe import op5_byte_bpe
 from ledgerlens.llm.common import ship_package
 from ledgerlens.llm.exact_dedup import OP1_SQL, op1_exact_dedup
+from ledgerlens.llm.html_extract import op10_html_extract
 from ledgerlens.llm.license_scan import op6_license_scan
 from ledgerlens.llm.nearest import op3_nearest
 from ledgerlens.llm.packing import op9_best_fit_packing
@@ -38,6 +39,7 @@ QUERIES = {name: _shipped(query) for name, query in {
     "op7_simhash": op7_simhash,
     "op8_token_files": op8_token_files,
     "op9_best_fit_packing": op9_best_fit_packing,
+    "op10_html_extract": op10_html_extract,
 }.items()}
 
 ORACLE_SQL = {

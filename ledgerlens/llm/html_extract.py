@@ -42,7 +42,7 @@ SALTS = 64
 #: Pages of a host with one and the same text in a slot before it counts as template text.
 TEMPLATE_PAGES = 5
 #: Elements nested deeper than this are flattened into their ancestor.
-DEPTH = 150
+DEPTH = 80
 #: Longest repeated run of parts that is looked for, and most parts of one element before they are generalised.
 PERIOD, PARTS = 6, 64
 #: Share of its parent's text that a part must have for the descent to go on into it.

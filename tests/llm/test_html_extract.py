@@ -60,7 +60,7 @@ def test_odd_pages_do_not_crash(page):
 
 
 def test_wrappers_stay_bounded():
-    pages = ["<article>" + "".join(f"<div class='c{chr(97 + (i * k) % 26)}{'x' * (i % 9)}{'y' * (k % 11)}'><p>t {i} {k}</p></div><h{1 + (i * i + k) % 6}>u</h1>" for i in range(300)) + "</article>" for k in range(40)]
+    pages = ["<article>" + "".join(f"<div class='c{chr(97 + (i * k) % 26)}{'x' * (i % 9)}{'y' * (k % 11)}'><p>t {i} {k}</p></div><h{1 + (i * i + k) % 6}>u</h{1 + (i * i + k) % 6}>" for i in range(300)) + "</article>" for k in range(40)]
     w = wrapper_of(pages)
     assert len(hx.json.dumps(w)) < 60_000
     assert texts(pages)[7].count("t ") == 300

@@ -7,6 +7,8 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
+
 from ledgerlens.llm.bpe import op5_byte_bpe
 from ledgerlens.llm.common import ship_package
 from ledgerlens.llm.exact_dedup import OP1_SQL, op1_exact_dedup
@@ -40,6 +42,7 @@ QUERIES = {name: _shipped(query) for name, query in {
     "op8_token_files": op8_token_files,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_html_extract": op10_html_extract,
+    "pipeline": corpus_pipeline.run,
 }.items()}
 
 ORACLE_SQL = {

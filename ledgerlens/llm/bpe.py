@@ -36,7 +36,7 @@ from ledgerlens.llm.chunks import Codes
 from ledgerlens.llm.common import table, text_of
 
 #: Characters of a block's texts, about.
-BLOCK_CHARS = 24_000_000
+BLOCK_CHARS = 14_000_000
 LONG = 512
 BUCKETS = 16_381
 #: Bits of an id, of a place in a word, and what stands for "no rank" and for a word's edges.
@@ -47,8 +47,8 @@ BLOCK = ("doc_ids array<bigint>, starts array<int>, lengths array<int>, codes ar
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body`` of ``value``, which is computed once."""
-    return F.element_at(F.transform(F.array(value), body), 1)
+    """``body`` of ``value``, which is computed once (a fold over nothing, so no array is made)."""
+    return F.aggregate(F.array().cast("array<int>"), value, lambda held, _: held, body)
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -96,13 +96,16 @@ def gathered(docs: DataFrame, ranks: dict[bytes, int], pattern: str, block_chars
             """Chunk codes become word codes; only distinct chunks are split."""
             known: dict[str, int] = {}
             per_chunk = [[known.setdefault(w, len(known)) for w in split(c)] for c in chunks]
-            sizes = np.fromiter(map(len, per_chunk), np.int64, len(chunks))
+            sizes = np.fromiter(map(len, per_chunk), np.int32, len(chunks))
             flat = np.fromiter((w for ws in per_chunk for w in ws), np.int32, int(sizes.sum()))
-            used = np.concatenate(codes)
+            del per_chunk
+            counts, used = np.array([len(c) for c in codes]), np.concatenate(codes)
             lengths = sizes[used]
-            ends = np.cumsum(lengths)
-            words = flat[np.repeat(np.cumsum(sizes)[used] - ends, lengths) + np.arange(ends[-1] if len(ends) else 0)]
-            edges = np.concatenate([[0], ends])[np.cumsum([0] + [len(c) for c in codes])]
+            ends = np.cumsum(lengths, dtype=np.int32)
+            words = np.repeat(np.cumsum(sizes, dtype=np.int32)[used] - ends, lengths)
+            words += np.arange(len(words), dtype=np.int32)
+            words = flat[words]
+            edges = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])]
             keys = [w.encode() for w in known]
             long_words = [k for k in keys if len(k) > LONG]
             long_ids = [[shared.value[w]] if w in shared.value else merge_long(w, shared.value) for w in long_words]
@@ -128,35 +131,53 @@ def gathered(docs: DataFrame, ranks: dict[bytes, int], pattern: str, block_chars
     return rows.mapInArrow(blocks, BLOCK)
 
 
+def cuckoo(entries: dict[int, int], sizes: tuple[int, int]) -> tuple[list[int], list[int]]:
+    """Two tables of ``key << ID | rank``; a key is in one or the other at its remainder by the table's size."""
+    tables = [[-1] * sizes[0], [-1] * sizes[1]]
+    for key, rank in entries.items():
+        entry, side = key << ID | rank, 0
+        for _ in range(10_000):
+            at = (entry >> ID) % sizes[side]
+            tables[side][at], entry = entry, tables[side][at]
+            if entry < 0:
+                break
+            side = 1 - side
+        else:
+            raise ValueError("the tables are too small for these ranks")
+    return tables[0], tables[1]
+
+
 class RankMap:
-    """The literals: whole words' ranks and pairs' ranks (arrays of maps, a key's bucket given by its
-    remainder), the ids of single bytes, and the bytes of ids."""
+    """The literals: the rank map from pairs of parts (two tables of packed keys and ranks), whole words'
+    ranks (an array of maps, a key's bucket given by its hash), the ids of single bytes, the ranks of two
+    bytes (ready to be parts of a word), the bytes of ids."""
 
     def __init__(self, ranks: dict[bytes, int], buckets: int = BUCKETS):
         from xxhash import xxh64_intdigest
 
         self.buckets = buckets
         words: list[dict] = [{} for _ in range(buckets)]
-        pairs: list[dict] = [{} for _ in range(buckets)]
+        pairs: dict[int, int] = {}
         for key, rank in ranks.items():
             hashed = xxh64_intdigest(key, 42)
             words[(hashed - (hashed >> 63 << 64)) % buckets][key.hex().upper()] = rank  # Spark's xxhash64, signed
             for k in range(1, len(key)):
                 if key[:k] in ranks and key[k:] in ranks:
-                    pair = ranks[key[:k]] << ID | ranks[key[k:]]
-                    pairs[pair % buckets][pair] = rank
-        pieces = {i: k.hex().upper() for k, i in ranks.items()}
+                    pairs[ranks[key[:k]] << ID | ranks[key[k:]]] = rank
+        self.sizes = (2 * len(pairs) + 1, 2 * len(pairs) + 3)
         dump = lambda x: json.dumps(x, separators=(",", ":"))
-        self.words, self.pairs = dump(words), dump(pairs)
-        self.bytes = dump([ranks[bytes([b])] for b in range(256)])
+        self.first, self.second = map(dump, cuckoo(pairs, self.sizes))
+        pieces = {i: k.hex().upper() for k, i in ranks.items()}
+        self.words, self.bytes = dump(words), dump([ranks[bytes([b])] for b in range(256)])
+        self.byte_pairs = dump([ranks.get(bytes([a, b]), NO_RANK) << (ID + PLACE) for a in range(256) for b in range(256)])
         self.pieces = dump([pieces.get(i, "") for i in range(max(pieces) + 1)])
 
     def literal(self) -> Column:
         read = lambda text, kind: F.from_json(F.lit(text), kind)
         return F.struct(
             F.transform(read(self.words, "array<map<string,int>>"), lambda m: F.transform_keys(m, lambda k, _: F.unhex(k))).alias("words"),
-            F.transform(read(self.pairs, "array<map<string,bigint>>"), lambda m: F.transform_keys(m, lambda k, _: k.cast("bigint"))).alias("pairs"),
-            read(self.bytes, "array<bigint>").alias("bytes"),
+            read(self.first, "array<bigint>").alias("first"), read(self.second, "array<bigint>").alias("second"),
+            read(self.bytes, "array<bigint>").alias("bytes"), read(self.byte_pairs, "array<bigint>").alias("byte_pairs"),
             F.transform(read(self.pieces, "array<string>"), lambda h: F.unhex(h).cast("string")).alias("pieces"))
 
     def word(self, literal: Column, key: Column) -> Column:
@@ -165,33 +186,39 @@ class RankMap:
 
     def pair(self, literal: Column, left: Column, right: Column) -> Column:
         """The rank of two parts side by side, or NO_RANK."""
-        return let(F.shiftleft(left, ID).bitwiseOR(right), lambda key: F.coalesce(
-            F.try_element_at(F.get(literal["pairs"], F.pmod(key, F.lit(self.buckets)).cast("int")), key), F.lit(NO_RANK).cast("bigint")))
+
+        def found(key: Column) -> Column:
+            probe = lambda name, size, other: let(F.get(literal[name], (key % size).cast("int")), lambda e: F.when(
+                F.shiftright(e, ID) == key, e.bitwiseAND(F.lit(2**ID - 1))).otherwise(other))
+            return probe("first", self.sizes[0], probe("second", self.sizes[1], F.lit(NO_RANK).cast("bigint")))
+
+        return let(F.shiftleft(left, ID).bitwiseOR(right), found)
 
 
 def fold(word: Column, literal: Column, ranks: RankMap) -> Column:
     """Ids of a word (binary) that is no single token, by ranked merges."""
     n, low_bits = F.octet_length(word), F.lit(2 ** (ID + PLACE) - 1)
     id_of = lambda part: part.bitwiseAND(F.lit(2**ID - 1))
-    edge = F.lit(EDGE).cast("bigint")
     # one character for each byte, as code points 0 to 255
-    ids = let(F.decode(word, "ISO-8859-1"), lambda chars: F.concat(
-        F.array(edge), F.transform(F.sequence(F.lit(1), n), lambda i: F.get(literal["bytes"], F.ascii(chars.substr(i, F.lit(1))))), F.array(edge)))
-    start = let(ids, lambda x: F.transform(x, lambda part, i: F.shiftleft(
-        F.when(i <= n, ranks.pair(literal, part, F.get(x, i + 1))).otherwise(F.lit(NO_RANK).cast("bigint")), ID + PLACE
-    ).bitwiseOR(F.shiftleft(i.cast("bigint"), ID)).bitwiseOR(part)))
+    byte = lambda chars, i: F.ascii(chars.substr(i, F.lit(1)))
+    start = let(F.decode(word, "ISO-8859-1"), lambda chars: F.flatten(F.array(
+        F.array(F.lit(NO_RANK << (ID + PLACE) | EDGE)),
+        F.transform(F.sequence(F.lit(1), n), lambda i: let(byte(chars, i), lambda b: F.when(
+            i < n, F.get(literal["byte_pairs"], b * 256 + byte(chars, i + 1))).otherwise(F.lit(NO_RANK << (ID + PLACE)))
+            .bitwiseOR(F.shiftleft(i.cast("bigint"), ID)).bitwiseOR(F.get(literal["bytes"], b)))),
+        F.array(F.lit(NO_RANK << (ID + PLACE) | EDGE)))))
 
     def merged(parts: Column, least: Column) -> Column:
         """The first of the pair's two parts takes the merged id (its rank); the part before it and it itself are ranked anew."""
         new = F.shiftright(least, ID + PLACE)
         at = F.array_position(parts, least).cast("int")
-        return let(F.struct(new.alias("id"), at.alias("at")), lambda m: F.concat(
-            F.slice(parts, F.lit(1), m["at"] - 2),
+        return let(at, lambda k: F.flatten(F.array(
+            F.slice(parts, F.lit(1), k - 2),
             F.array(
-                let(F.get(parts, m["at"] - 2), lambda p: F.shiftleft(ranks.pair(literal, id_of(p), m["id"]), ID + PLACE).bitwiseOR(p.bitwiseAND(low_bits))),
-                F.shiftleft(ranks.pair(literal, m["id"], id_of(F.get(parts, m["at"] + 1))), ID + PLACE)
-                .bitwiseOR(least.bitwiseAND(F.lit(2 ** (ID + PLACE) - 2**ID))).bitwiseOR(m["id"])),
-            F.slice(parts, m["at"] + 2, n + 2)))
+                let(F.get(parts, k - 2), lambda p: F.shiftleft(ranks.pair(literal, id_of(p), new), ID + PLACE).bitwiseOR(p.bitwiseAND(low_bits))),
+                F.shiftleft(ranks.pair(literal, new, id_of(F.get(parts, k + 1))), ID + PLACE)
+                .bitwiseOR(least.bitwiseAND(F.lit(2 ** (ID + PLACE) - 2**ID))).bitwiseOR(new)),
+            F.slice(parts, k + 2, n + 2))))
 
     step = lambda parts, _: let(F.array_min(parts), lambda least: F.when(F.shiftright(least, ID + PLACE) == NO_RANK, parts).otherwise(merged(parts, least)))
     return F.aggregate(F.sequence(F.lit(2), n), start, step, lambda parts: F.transform(F.slice(parts, F.lit(2), F.size(parts) - 2), lambda p: id_of(p).cast("int")))

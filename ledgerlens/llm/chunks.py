@@ -11,6 +11,10 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
 _INNER = re.compile(r"\s (?:\s|\Z)")
 _RUNS = re.compile(r"\s*\S+|\s+")
 
@@ -41,3 +45,27 @@ class Codes(dict):
 
     def of(self, text: str) -> Iterable[int]:
         return map(self.__getitem__, chunks(text))
+
+
+def coded(texts: pa.StringArray) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """The distinct chunks of a batch of texts, all texts' chunks as codes of them, and each text's number of chunks.
+
+    Arrow splits and numbers the words; Python sees distinct words only, and the few
+    texts with runs of white space that ``chunks`` cuts in another way."""
+    if not len(texts):
+        return [], np.zeros(0, np.int32), np.zeros(0, np.int64)
+    lists = pc.split_pattern(texts, " ")
+    words = lists.values.dictionary_encode()
+    at = lists.offsets.to_numpy() - lists.offsets[0].as_py()
+    codes, distinct = words.indices.to_numpy(zero_copy_only=False).astype(np.int32), words.dictionary.to_pylist()
+    opening, first = np.unique(codes[at[:-1]], return_inverse=True)  # a text's first word has no space before it
+    codes[at[:-1]] = len(distinct) + first
+    all_chunks = [" " + w for w in distinct] + [distinct[k] for k in opening]
+    per_text = np.split(codes, at[1:-1])
+    other = Codes()
+    for k, text in enumerate(texts.to_pylist()):
+        if _INNER.search(text):
+            per_text[k] = len(all_chunks) + np.fromiter(other.of(text), np.int32)
+        elif not text or text[0] == " ":  # nothing before the first space
+            per_text[k] = per_text[k][1:]
+    return all_chunks + other.new, np.concatenate([np.zeros(0, np.int32), *per_text]), np.array([len(c) for c in per_text], np.int64)

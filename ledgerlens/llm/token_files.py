@@ -18,14 +18,16 @@ in a text are ordinary text; an empty table gives no file; extra columns are not
 
 from __future__ import annotations
 
+import re
 from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.chunks import Codes
+from ledgerlens.llm.chunks import Codes, coded
 from ledgerlens.llm.common import run_folder, table, text_of
 from ledgerlens.llm.wavelet import WaveletMatrix
 
@@ -35,49 +37,101 @@ END_ID = 0
 FILES = "part int, shard int, start_in_part long, n_docs long, n_tokens long, doc_ids binary, without_id long, file binary"
 
 
+#: Letters or digits, then other marks: the pattern never matches across that place.
+_WORD_AND_MARKS = re.compile(r"( ?[^\W_]+)([^\w\s']+)")
+
+
+class _Ragged:
+    """Arrays of ids, one after another; grows by doubling."""
+
+    def __init__(self, dtype):
+        self.flat, self.starts, self.n = np.empty(1 << 16, dtype), np.zeros(1 << 14, np.int64), 0
+
+    def add(self, flat: np.ndarray, lengths: np.ndarray) -> None:
+        size = int(self.starts[self.n])
+        if size + len(flat) > len(self.flat):
+            self.flat = np.concatenate([self.flat[:size], np.empty(max(size, len(flat)), self.flat.dtype)])
+        self.flat[size:size + len(flat)] = flat
+        if self.n + len(lengths) >= len(self.starts):
+            self.starts = np.concatenate([self.starts[: self.n + 1], np.zeros(max(self.n, len(lengths)) + 1, np.int64)])
+        self.starts[self.n + 1:self.n + 1 + len(lengths)] = size + np.cumsum(lengths)
+        self.n += len(lengths)
+
+    def take(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The given arrays one after another, and their lengths."""
+        starts = self.starts[rows]
+        lengths = self.starts[rows + 1] - starts
+        ends = np.cumsum(lengths)
+        at = np.repeat(starts - (ends - lengths), lengths)
+        at += np.arange(len(at))
+        return self.flat[at], lengths
+
+
 class Encoder:
-    """Ids of whole texts by the tokenizers library, each distinct chunk encoded once while it is kept."""
+    """Ids of whole texts by the tokenizers library.  Distinct chunks are cut into a word and the marks
+    after it, or as the pattern says; each distinct part is encoded once while it is kept (a part's ids don't depend on its
+    neighbours, since the pattern cuts there).  Parts are handed to the library joined by line feeds,
+    which are tokens of their own between parts that hold none."""
 
     def __init__(self, vocabulary: str):
+        import public_tokenizers
         from tokenizers import Tokenizer
 
+        self.pattern = public_tokenizers.PATTERN
         self.tokenizer = Tokenizer.from_file(vocabulary)
         self.tokenizer.encode_special_tokens = True
+        (self.feed,) = self._ids("\n")
         self._forget()
 
+    def _ids(self, text: str) -> list[int]:
+        return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
+
     def _forget(self) -> None:
-        self.codes = Codes()
-        self.size, self.flat = 0, np.empty(1 << 20, np.uint32)
-        self.starts, self.known = np.zeros(1 << 18, np.int64), 0
+        self.codes, self.parts = Codes(), Codes()
+        self.chunk_parts, self.part_ids = _Ragged(np.int32), _Ragged(np.uint16)
 
     def _learn(self) -> None:
+        """Cut the chunks met since the last call, encode the parts they bring."""
         new, self.codes.new = self.codes.new, []
-        for a in range(0, len(new), 8192):
-            ids = [e.ids for e in self.tokenizer.encode_batch_fast(new[a:a + 8192], add_special_tokens=False)]
-            lengths = np.fromiter(map(len, ids), np.int64, len(ids))
-            total = int(lengths.sum())
-            if self.size + total > len(self.flat):
-                self.flat = np.concatenate([self.flat[: self.size], np.empty(max(len(self.flat), total), np.uint32)])
-            self.flat[self.size:self.size + total] = np.fromiter((i for x in ids for i in x), np.uint32, total)
-            if self.known + len(ids) + 1 > len(self.starts):
-                self.starts = np.concatenate([self.starts, np.zeros(max(len(self.starts), len(ids)), np.int64)])
-            self.starts[self.known + 1:self.known + 1 + len(ids)] = self.size + np.cumsum(lengths)
-            self.size += total
-            self.known += len(ids)
+        if not new:
+            return
+        cut, counts, match, pieces = [], [], _WORD_AND_MARKS.fullmatch, regex.compile(self.pattern).findall
+        for chunk in new:
+            m = match(chunk)
+            parts = m.groups() if m else (chunk,) if chunk[1:].isalpha() else pieces(chunk)
+            cut += parts
+            counts.append(len(parts))
+        self.chunk_parts.add(np.fromiter(map(self.parts.__getitem__, cut), np.int32, len(cut)), np.array(counts))
+        words, self.parts.new = self.parts.new, []
+        for a in range(0, len(words), 4096):
+            some = words[a:a + 4096]
+            plain = [w for w in some if "\n" not in w and not w[-1:].isspace()]
+            ids = np.array(self._ids("\n".join(plain)), np.uint16)
+            feeds = np.nonzero(ids == self.feed)[0]
+            if len(feeds) == max(0, len(plain) - 1):
+                lengths = np.diff(np.concatenate([[-1], feeds, [len(ids)]])) - 1 if plain else np.zeros(0, np.int64)
+                ids = np.delete(ids, feeds)
+                held = iter(np.split(ids, np.cumsum(lengths)[:-1])) if len(plain) < len(some) else None
+                if held is None:
+                    self.part_ids.add(ids, lengths)
+                    continue
+                own = set(plain)
+                lists = [next(held) if w in own else np.array(self._ids(w), np.uint16) for w in some]
+            else:
+                lists = [np.array(self._ids(w), np.uint16) for w in some]
+            self.part_ids.add(np.concatenate(lists), np.array([len(x) for x in lists]))
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, each with the end id after it, and their numbers."""
         if len(self.codes) > CACHE:
             self._forget()
-        codes = [np.fromiter(self.codes.of(t), np.int64) for t in texts]
+        distinct, codes, per_text = coded(pa.array(texts, pa.string()))
+        known = np.fromiter(map(self.codes.__getitem__, distinct), np.int32, len(distinct))
         self._learn()
-        flat = np.concatenate([np.zeros(0, np.int64), *codes])
-        lengths = self.starts[flat + 1] - self.starts[flat]
-        ends = np.cumsum(lengths)
-        total = int(ends[-1]) if len(ends) else 0
-        ids = self.flat[np.repeat(self.starts[flat] - (ends - lengths), lengths) + np.arange(total)]
-        chunk_ends = np.cumsum([len(c) for c in codes], dtype=np.int64)
-        at = np.concatenate([[0], ends])[chunk_ends]
+        parts, per_chunk = self.chunk_parts.take(known[codes])
+        ids, per_part = self.part_ids.take(parts)
+        part_ends = np.concatenate([[0], np.cumsum(per_chunk)])[np.cumsum(per_text)]
+        at = np.concatenate([[0], np.cumsum(per_part)])[part_ends]
         return np.insert(ids, at, END_ID), np.diff(np.concatenate([[0], at])) + 1
 
 

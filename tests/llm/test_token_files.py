@@ -5,12 +5,13 @@ from zlib import crc32
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import regex
 from tokenizers import Tokenizer
 
 from ledgerlens.llm import token_files
-from ledgerlens.llm.chunks import chunks
+from ledgerlens.llm.chunks import chunks, coded
 from ledgerlens.llm.wavelet import WaveletMatrix
 
 SCHEMA = "doc_id long, text string, part int, shard string"
@@ -30,6 +31,13 @@ def test_chunks_split_like_the_pattern():
         assert [m for p in parts for m in regex.findall(public_tokenizers.PATTERN, p)] == regex.findall(public_tokenizers.PATTERN, t), repr(t)
 
 
+def test_batches_are_coded_like_single_texts():
+    for texts in ([], [""], ODD, [random_text() for _ in range(500)] + ODD):
+        distinct, codes, counts = coded(pa.array(texts, pa.string()))
+        ends = np.cumsum(counts)
+        assert [[distinct[c] for c in codes[e - n:e]] for e, n in zip(ends, counts)] == [chunks(t) for t in texts]
+
+
 @pytest.mark.parametrize("n,top", [(0, 5), (1, 1), (700, 3), (3000, 50257), (1500, 100_000)])
 def test_wavelet_matrix(n, top):
     ids = np.array([rng.randrange(top) for _ in range(n)], np.uint32)

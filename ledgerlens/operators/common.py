@@ -30,17 +30,6 @@ def completed(transactions: DataFrame, status: str = "completed", status_col: st
     return transactions.where(F.col(status_col) == status)
 
 
-def bounded_broadcast(dim: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``dim`` only if it has at most ``max_rows`` rows.
-
-    The check reads at most ``max_rows + 1`` rows.  Beyond the bound the frame
-    is returned unhinted and the planner keeps a shuffle join (or broadcasts
-    at run time if the measured size turns out small).
-    """
-    n = dim.limit(max_rows + 1).count()
-    return F.broadcast(dim) if n <= max_rows else dim
-
-
 def sort_keys(*keys) -> list[Column]:
     """Order keys with the reference database's NULL placement: NULLs last
     ascending, first descending.  Strings starting with '-' sort descending."""
@@ -55,40 +44,10 @@ def sort_keys(*keys) -> list[Column]:
     return out
 
 
-SMALL_DIMENSION_ROWS = 1_000_000
-
-
-def top_k_with_lookup(
-    facts: DataFrame,
-    dim: DataFrame,
-    key: str,
-    order: list[Column],
-    k: int,
-    *,
-    small_dim_rows: int = SMALL_DIMENSION_ROWS,
-) -> DataFrame:
-    """``facts ⋈ dim`` on ``key``, top ``k`` by ``order``.
+def top_k_with_lookup(facts: DataFrame, dim: DataFrame, key: str, order: list[Column], k: int) -> DataFrame:
+    """``facts ⋈ dim`` on ``key``, top ``k`` by ``order``: one lazy plan.
 
-    A dimension of at most ``small_dim_rows`` rows (checked by reading at most
-    that many plus one) is simply joined: the planner broadcasts it.  A larger
-    one is never joined against every fact row: the top ``k`` of ``facts`` is
-    taken first (a distributed top-k; ``k`` rows reach the driver), then only
-    those keys are read from ``dim`` (an IN filter the Parquet scan uses to
-    skip row groups; at most ``k`` rows come back) and the two small sets are
-    joined.  That is exact when each of the ``k`` keys has its dimension row;
-    if one is missing, an inner join would have dropped it and promoted a row
-    beyond the top ``k``, so the plain join-then-limit plan is used instead.
-    ``key`` must be unique in ``dim``.
-    """
-    plain = facts.join(dim, key).orderBy(*order).limit(k)
-    if dim.limit(small_dim_rows + 1).count() <= small_dim_rows:
-        return plain
-    spark = facts.sparkSession
-    top_rows = facts.orderBy(*order).limit(k).collect()
-    keys = {r[key] for r in top_rows}
-    found_rows = dim.where(F.col(key).isin(list(keys))).collect() if keys else []
-    if {r[key] for r in found_rows} != keys:
-        return plain
-    top = spark.createDataFrame(top_rows, schema=facts.schema)
-    found = spark.createDataFrame(found_rows, schema=dim.schema)
-    return top.join(F.broadcast(found), key).orderBy(*order)  # at most k rows each
+    ``facts`` has one row per key already, so the join moves one row per key and the
+    planner broadcasts ``dim`` only if its measured size allows; the top k is a
+    distributed one (k rows per task)."""
+    return facts.join(dim, key).orderBy(*order).limit(k)

@@ -50,9 +50,8 @@ def customer_lifetime_value(
     """q8: profile, completed count, spend, mean value (2 digits), whole months
     active (at least 1) and spend per month (2 digits); top ``k`` by spend.
 
-    With ``k`` the top customers are chosen on the per-customer figures and
-    only those customers' profiles are looked up (:func:`top_k_with_lookup`),
-    so the customer table is never shuffled against every customer's figures.
+    Transactions are summed per customer before the profiles are joined, and the
+    top ``k`` is a distributed one (:func:`top_k_with_lookup`).
     """
     act = customer_activity(accounts, transactions)
     figures = act.select(

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlens.operators.common import completed, sort_keys, top_k_with_lookup
-from ledgerlens.operators.ranking import DEFAULT_MAX_GROUP_ROWS, rank_within_groups
+from ledgerlens.operators.ranking import descending_magnitude, rank_within_groups
 
 
 def settled_revenue_by_merchant(transactions: DataFrame, settlements: DataFrame) -> DataFrame:
@@ -47,9 +47,8 @@ def top_merchants_by_revenue(
 ) -> DataFrame:
     """The ``k`` merchants with the highest settled revenue, with attributes.
 
-    The top ``k`` is taken on the per-merchant sums and only those merchants
-    are looked up (see :func:`top_k_with_lookup`), instead of joining every
-    merchant's sum to the merchant table first.
+    Transactions are summed per merchant first, so the join with the merchant
+    table moves one row per merchant (see :func:`top_k_with_lookup`).
     """
     return top_k_with_lookup(
         settled_revenue_by_merchant(transactions, settlements),
@@ -75,13 +74,11 @@ def top_merchants_with_rank(top: DataFrame, *, group_col: str = "category") -> D
     return ranked.orderBy(*sort_keys(*REVENUE_ORDER))
 
 
-def rank_within(df: DataFrame, group_col: str, value_col: str, out_col: str = "rank",
-                max_group_rows: int = DEFAULT_MAX_GROUP_ROWS) -> DataFrame:
-    """w1: RANK (with gaps) of ``value_col`` descending inside ``group_col``,
-    for every row.  A category with more than ``max_group_rows`` merchants is
-    ranked with the distributed form instead of one task."""
+def rank_within(df: DataFrame, group_col: str, value_col: str, out_col: str = "rank") -> DataFrame:
+    """w1: RANK (with gaps) of ``value_col`` descending inside ``group_col``, for
+    every row; a large category is ranked in pieces of like revenue."""
     return rank_within_groups(df, [group_col], [F.col(value_col).desc_nulls_first()], out_col,
-                              kind="rank", max_group_rows=max_group_rows)
+                              descending_magnitude(F.col(value_col)))
 
 
 def top_merchants(top: DataFrame) -> DataFrame:

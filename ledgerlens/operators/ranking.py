@@ -1,29 +1,11 @@
 """RANK / ROW_NUMBER inside groups that stays balanced when one group is huge.
 
-A window partitioned by the group key sends each group to one task.  That is
-the right plan while groups are small, and a straggler (or worse) when one
-group holds a large share of all rows.  ``rank_within_groups`` measures the
-largest group first (one aggregation on the group key, partial counts before
-the shuffle) and picks:
-
-* the plain window, when every group has at most ``max_group_rows`` rows;
-* otherwise a distributed rank:
-
-  1. range-partition on (group, order) - a large group is split over several
-     partitions, and rows with equal keys always land in the same one;
-  2. tag each row with its partition id and cut the lineage with
-     ``checkpoint()`` (into the shared checkpoint folder), so the tags are
-     fixed even if a task is re-run;
-  3. rank inside (partition, group) with a window - these pieces are bounded
-     by the partition size;
-  4. add, for groups that continue from earlier partitions, the number of
-     the group's rows in those partitions.  Only the first and last group of
-     a partition can span partitions, so that offset table has fewer rows
-     than twice the partition count: a proven bound, safe to broadcast.
-
-Ties never straddle a partition boundary (equal keys share a partition), so
-the local rank plus the offset is the global RANK; for ROW_NUMBER the order
-among exact ties is arbitrary, as in SQL.
+A window partitioned by the group key alone sends each group to one task.  Here a
+group is cut into *pieces* by a column that follows the order (rows of a smaller piece
+come first, ties share a piece): rows are ranked inside (group, piece), and each piece
+adds the number of the group's rows in the pieces before it.  That running sum is a
+window over one row per (group, piece), counted with map-side partial sums, so no task
+sees more than a piece's rows or a group's pieces.  It is one lazy plan for every size.
 """
 
 from __future__ import annotations
@@ -31,10 +13,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlens.session import checkpoint_root
-
-DEFAULT_MAX_GROUP_ROWS = 1_000_000
-
 
 def _rank_fn(kind: str):
     if kind == "rank":
@@ -44,71 +22,11 @@ def _rank_fn(kind: str):
     raise ValueError(f"unknown ranking kind {kind!r}")
 
 
-def _same(left: DataFrame, right: DataFrame, cols: list[str]):
-    """Null-safe equality on ``cols`` (a NULL group is a group too)."""
-    cond = None
-    for c in cols:
-        e = left[c].eqNullSafe(right[c])
-        cond = e if cond is None else cond & e
-    return cond
-
-
-def largest_group(df: DataFrame, group_cols: list[str]) -> int:
-    """Row count of the largest group (0 for an empty frame)."""
-    top = df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
-    return int(top or 0)
-
-
-def window_rank(df: DataFrame, group_cols: list[str], order: list[Column], out_col: str, kind: str = "rank") -> DataFrame:
-    """The plain window form (one task per group)."""
-    w = Window.partitionBy(*group_cols).orderBy(*order)
-    return df.withColumn(out_col, _rank_fn(kind).over(w))
-
-
-def distributed_rank(
-    df: DataFrame,
-    group_cols: list[str],
-    order: list[Column],
-    out_col: str,
-    kind: str = "rank",
-    partitions: int | None = None,
-) -> DataFrame:
-    """Rank inside groups without putting any group in a single task."""
-    spark = df.sparkSession
-    checkpoint_root(spark)  # make sure a checkpoint folder is registered
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    tagged = (
-        df.repartitionByRange(n, *[F.col(c) for c in group_cols], *order)
-        .withColumn("_pid", F.spark_partition_id())
-        .checkpoint(eager=True)
-    )
-
-    local = tagged.withColumn(
-        "_local", _rank_fn(kind).over(Window.partitionBy("_pid", *group_cols).orderBy(*order))
-    )
-
-    # First and last group of each partition: at most 2 rows per partition.
-    key = F.struct(*[F.col(c) for c in group_cols])
-    ends = tagged.groupBy("_pid").agg(F.min(key).alias("first"), F.max(key).alias("last"))
-    boundary = (
-        ends.select(F.explode(F.array("first", "last")).alias("k"))
-        .select(*[F.col(f"k.{c}").alias(c) for c in group_cols])
-        .distinct()
-    )
-    spans = (
-        tagged.join(F.broadcast(boundary), _same(tagged, boundary, group_cols), "left_semi")
-        .groupBy(*group_cols, "_pid")
-        .agg(F.count(F.lit(1)).alias("_n"))
-    )
-    before = Window.partitionBy(*group_cols).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = spans.withColumn("_off", F.sum("_n").over(before)).where(F.col("_off") > 0).select(
-        *group_cols, "_pid", "_off"
-    )
-    offsets = offsets.select(*[F.col(c).alias(f"_o_{c}") for c in group_cols], F.col("_pid").alias("_o_pid"), "_off")
-    cond = [local[c].eqNullSafe(offsets[f"_o_{c}"]) for c in group_cols] + [local["_pid"] == offsets["_o_pid"]]
-    out = local.join(F.broadcast(offsets), cond, "left")
-    rank = (F.col("_local") + F.coalesce(F.col("_off"), F.lit(0))).cast("int")
-    return out.withColumn(out_col, rank).drop("_pid", "_local", "_off", "_o_pid", *[f"_o_{c}" for c in group_cols])
+def descending_magnitude(value: Column, per_doubling: int = 8) -> Column:
+    """A piece for ``value`` descending, NULLs first: ``per_doubling`` pieces for each
+    doubling of a positive value; values of zero or less share the last piece."""
+    steps = F.floor(F.log2(F.greatest(value.cast("double"), F.lit(0.0)) + 1) * per_doubling)
+    return F.when(value.isNull(), F.lit(-(2**31))).otherwise(-steps)
 
 
 def rank_within_groups(
@@ -116,14 +34,16 @@ def rank_within_groups(
     group_cols: list[str],
     order: list[Column],
     out_col: str,
+    piece: Column,
     kind: str = "rank",
-    max_group_rows: int = DEFAULT_MAX_GROUP_ROWS,
 ) -> DataFrame:
-    """RANK / ROW_NUMBER of ``order`` inside ``group_cols``, skew-safe.
-
-    Costs one aggregation on the group key to find the largest group; the
-    window form is used when that group fits ``max_group_rows``.
-    """
-    if largest_group(df, group_cols) <= max_group_rows:
-        return window_rank(df, group_cols, order, out_col, kind)
-    return distributed_rank(df, group_cols, order, out_col, kind)
+    """RANK / ROW_NUMBER of ``order`` inside ``group_cols`` (a NULL group is a group too)."""
+    keys = [*group_cols, "_piece"]
+    cut = df.withColumn("_piece", piece)
+    local = cut.withColumn("_local", _rank_fn(kind).over(Window.partitionBy(*keys).orderBy(*order)))
+    before = Window.partitionBy(*group_cols).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = cut.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    offsets = sizes.select(*[F.col(c).alias(f"_o_{c}") for c in keys], F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    same = [local[c].eqNullSafe(offsets[f"_o_{c}"]) for c in keys]
+    ranked = local.join(offsets, same).withColumn(out_col, (F.col("_local") + F.col("_off")).cast("int"))
+    return ranked.drop("_piece", "_local", "_off", *[f"_o_{c}" for c in keys])

@@ -9,7 +9,7 @@ from ledgerlens.functions import numeric as N
 from ledgerlens.functions import temporal as T
 from ledgerlens.functions import text as X
 from ledgerlens.operators import cohort, lifetime, merchants, risk, rolling, rules, trends
-from ledgerlens.operators.common import bounded_broadcast, completed, sort_keys
+from ledgerlens.operators.common import completed, sort_keys
 from ledgerlens.plans.catalog_core import COHORT_CORE, LIFETIME_CORE, MERCHANT_REVENUE
 from ledgerlens.plans.registry import age_months_sql, query, rr
 from ledgerlens.sources.ledger import ledger_for
@@ -251,9 +251,9 @@ def j4(spark, sf_dir):
 SELECT t.transaction_id, m.risk_tier FROM transactions t JOIN merchants m ON t.merchant_id = m.merchant_id
 """)
 def j5(spark, sf_dir):
-    """Lookup in a small dimension: broadcast only under a checked row bound."""
+    """Lookup in a dimension: no hint; Spark broadcasts it only if its measured bytes allow."""
     L = _L(spark, sf_dir)
-    dim = bounded_broadcast(L.merchants.select("merchant_id", "risk_tier"), 1_000_000)
+    dim = L.merchants.select("merchant_id", "risk_tier")
     return L.transactions.select("transaction_id", "merchant_id").join(dim, "merchant_id").select(
         "transaction_id", "risk_tier"
     )

@@ -16,8 +16,15 @@ def _list(values: list[str]) -> str:
     return "[" + ", ".join("'" + v.replace("'", "''") + "'" for v in values) + "]"
 
 
-H = "((transaction_id * 7919) % 1000003)"
-G = "((transaction_id * 104729) % 999983)"
+H = "(((transaction_id % 1000003) * 7919) % 1000003)"
+G = "(((transaction_id % 999983) * 104729) % 999983)"
+
+
+def extended_sql(key: str, number: str) -> str:
+    """``key`` with ``number``'s two-digit groups and their number appended."""
+    groups = f"CAST(ceil(length(CAST({number} AS VARCHAR)) / 2.0) AS BIGINT)"
+    return f"(({key} * CAST(pow(100, {groups}) AS BIGINT) + {number}) * 10 + {groups})"
+
 
 CTES: dict[str, str] = {
     "customers": """
@@ -52,23 +59,23 @@ SELECT transaction_id, account_id,
        CASE WHEN {G} % 100 < 85 THEN l_suppkey END AS merchant_id,
        CAST(l_extendedprice AS DECIMAL(15,2)) AS amount,
        currency,
-       l_shipdate + to_seconds({H} % 86400) AS transaction_date,
+       l_shipdate + to_seconds(date_diff('day', DATE '1995-01-01', opened_date) * 86400 + {H} % 86400) AS transaction_date,
        CASE WHEN {G} % 100 < 80 THEN 'purchase' WHEN {G} % 100 < 85 THEN 'refund'
             ELSE 'transfer' END AS transaction_type,
        CASE WHEN {H} % 100 < 90 THEN 'completed' WHEN {H} % 100 < 98 THEN 'failed'
             ELSE 'pending' END AS status
 FROM (
-  SELECT li.l_orderkey * 100 + row_number() OVER (
-           PARTITION BY li.l_orderkey ORDER BY li.l_linenumber, li.l_partkey, li.l_suppkey,
-             li.l_shipdate, li.l_extendedprice, li.l_quantity, li.l_discount, li.l_tax) AS transaction_id,
-         li.l_suppkey, li.l_extendedprice, li.l_shipdate, li.l_orderkey
-  FROM lineitem li) l
+  SELECT {extended_sql(extended_sql("l_orderkey", "l_linenumber"), "nth")} AS transaction_id,
+         l_suppkey, l_extendedprice, l_shipdate, l_orderkey
+  FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
+                                     ORDER BY l_partkey, l_suppkey, l_shipdate, l_extendedprice,
+                                              l_quantity, l_discount, l_tax) - 1 AS nth
+        FROM lineitem) numbered) l
 JOIN (
   SELECT o.o_orderkey,
          o.o_custkey * 2 + CASE WHEN o.o_custkey % 5 = 0 THEN o.o_orderkey % 2 ELSE 0 END AS account_id
   FROM orders o) o ON l.l_orderkey = o.o_orderkey
-JOIN accounts a USING (account_id)
-WHERE CAST(l.l_shipdate AS DATE) >= a.opened_date""",
+JOIN accounts a USING (account_id)""",
     "settlements": f"""
 SELECT transaction_id AS settlement_id, transaction_id,
        transaction_date + to_seconds((1 + {H} % 5) * 86400 + ({G} % 24) * 3600 + ({G} % 60) * 60)
@@ -80,12 +87,12 @@ SELECT transaction_id AS settlement_id, transaction_id,
 FROM (
   SELECT t.transaction_id, t.transaction_date, t.amount,
          CAST(round(t.amount * CAST(CASE m.risk_tier
-                WHEN 'high' THEN 350 + ((t.transaction_id * 7919) % 1000003) % 151
-                WHEN 'medium' THEN 200 + ((t.transaction_id * 7919) % 1000003) % 101
-                ELSE 100 + ((t.transaction_id * 7919) % 1000003) % 81 END AS INTEGER) * 0.0001, 2)
+                WHEN 'high' THEN 350 + (((t.transaction_id % 1000003) * 7919) % 1000003) % 151
+                WHEN 'medium' THEN 200 + (((t.transaction_id % 1000003) * 7919) % 1000003) % 101
+                ELSE 100 + (((t.transaction_id % 1000003) * 7919) % 1000003) % 81 END AS INTEGER) * 0.0001, 2)
               AS DECIMAL(15,2)) AS fee
   FROM transactions t JOIN merchants m ON t.merchant_id = m.merchant_id
-  WHERE t.status = 'completed' AND ((t.transaction_id * 104729) % 999983) % 50 <> 0) s""",
+  WHERE t.status = 'completed' AND (((t.transaction_id % 999983) * 104729) % 999983) % 50 <> 0) s""",
     "fraud_flags": f"""
 SELECT transaction_id AS flag_id, transaction_id, flagged_date,
        ({_list(FLAG_REASONS)})[({G} % 5) + 1] AS flag_reason,

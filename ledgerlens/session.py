@@ -64,22 +64,17 @@ MB = 1024 * 1024
 
 
 def settings_for_input(input_bytes: int, cores: int) -> dict[str, str]:
-    """Partitioning settings sized from the bytes a job reads.
+    """Partitioning settings sized from the bytes a job reads, by one rule at all sizes.
 
     Shuffle partitions start at about one per 128 MB of input (never fewer
     than two per core) so that, after the first exchange, every reducer's
     share fits comfortably in executor memory and spills rarely; AQE then
     coalesces small partitions toward the 128 MB advisory size and splits
     partitions that are skewed beyond 512 MB.  File splits of 256 MB keep scan
-    tasks few but bounded.  At 100 TB of input this starts around 800k
-    shuffle partitions (capped at 200k), at sf0.1 it is ``2 * cores``.
+    tasks few but bounded.
     """
-    partitions = max(2 * cores, min(200_000, -(-input_bytes // (128 * MB))))
-    # On a shared cluster, coalesce toward the advisory size rather than
-    # toward the core count (Spark's own advice for busy clusters).
-    sized = partitions > 2 * cores
+    partitions = max(2 * cores, -(-input_bytes // (128 * MB)))
     return {
-        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false" if sized else "true",
         "spark.sql.shuffle.partitions": str(partitions),
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128MB",
@@ -88,15 +83,33 @@ def settings_for_input(input_bytes: int, cores: int) -> dict[str, str]:
     }
 
 
-def input_bytes(sf_dir: str, tables: tuple[str, ...] = ("lineitem", "orders", "customer", "supplier")) -> int:
+def file_system(spark: SparkSession, path: str):
+    """(Hadoop file system, path) of ``path``: any store that Spark reads."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
+
+
+def path_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of a file, or of all files below a folder; 0 if there is none."""
+    fs, where = file_system(spark, path)
+    return int(fs.getContentSummary(where).getLength()) if fs.exists(where) else 0
+
+
+def path_files(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
+    """(path, length, modification time) of a file or of all files below a folder."""
+    fs, where = file_system(spark, path)
+    out = []
+    if fs.exists(where):
+        files = fs.listFiles(where, True)
+        while files.hasNext():
+            f = files.next()
+            out.append((f.getPath().toString(), int(f.getLen()), int(f.getModificationTime())))
+    return sorted(out)
+
+
+def input_bytes(spark: SparkSession, sf_dir: str, tables: tuple[str, ...] = ("lineitem", "orders", "customer", "supplier")) -> int:
     """Total size of the driver tables the ledger is derived from."""
-    total = 0
-    for t in tables:
-        try:
-            total += os.path.getsize(os.path.join(sf_dir, f"{t}.parquet"))
-        except OSError:
-            pass
-    return total
+    return sum(path_bytes(spark, f"{sf_dir.rstrip('/')}/{t}.parquet") for t in tables)
 
 
 _FALLBACK_CHECKPOINT: str | None = None
@@ -106,8 +119,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and written intermediate tables.
 
     On a cluster this is ``spark.checkpoint.dir`` (a shared file system the
-    executors and the driver all see).  Only when the session has none, as in
-    local tests, a private folder is created and registered.
+    executors and the driver all see).  Only a session on a local master may do
+    without the setting: a private folder is then created and registered.
     """
     global _FALLBACK_CHECKPOINT
     configured = spark.conf.get("spark.checkpoint.dir", None)
@@ -118,6 +131,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if current:
         return current.rstrip("/")
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if _FALLBACK_CHECKPOINT is None:
         # Local runs only.  A stable folder per user, so a ledger written by
         # one process (keyed by its source files) is reused by the next.

@@ -5,10 +5,9 @@ The rules are the ones written down in FIXTURES.md section 3; the DuckDB oracle
 projection, a join or a per-order window, so the derivation scales with the
 input:
 
-* ``lineitem`` is shuffled once, on ``l_orderkey``: the per-order numbering
-  window and the join to ``orders`` share that exchange (orders with an
-  outsized number of lines switch to the distributed numbering of
-  :mod:`ledgerlens.operators.ranking`).
+* every ``lineitem`` row becomes one transaction.  Its id is built from the order
+  key, the line number and a running number among equal line numbers, so the only
+  window is over (order, line number) and an order of any size is spread by its lines.
 * an order's account follows from the order alone, so ``orders`` is joined to
   ``accounts`` first (``orders`` is a quarter of ``lineitem``) and the result
   meets ``lineitem`` on the order key.
@@ -21,11 +20,10 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.temporal import add_seconds
-from ledgerlens.operators.ranking import DEFAULT_MAX_GROUP_ROWS, rank_within_groups
 from ledgerlens.sources.schemas import MONEY, conform
 
 # Fixed values that must equal the source generator's lists (in source order).
@@ -40,8 +38,9 @@ FLAG_REASONS = [
     "Mismatched Billing Details",
     "Card-Not-Present Anomaly",
 ]
-# Fixed values of the mapping itself (FIXTURES.md section 3).
+# Fixed values of the source generator: the currencies of accounts, in its order.
 CURRENCY_CYCLE = ["EUR", "EUR", "GBP", "AUD", "CAD"]
+# Fixed values of the mapping itself (FIXTURES.md section 3).
 EPOCH = dt.date(1995, 1, 1)
 H_MULT, H_MOD = 7919, 1000003
 G_MULT, G_MOD = 104729, 999983
@@ -71,11 +70,18 @@ def pick(values: list[str], index: Column) -> Column:
 
 
 def h_of(transaction_id: Column) -> Column:
-    return (transaction_id * H_MULT) % H_MOD
+    return ((transaction_id % H_MOD) * H_MULT) % H_MOD
 
 
 def g_of(transaction_id: Column) -> Column:
-    return (transaction_id * G_MULT) % G_MOD
+    return ((transaction_id % G_MOD) * G_MULT) % G_MOD
+
+
+def extended(key: Column, number: Column) -> Column:
+    """``key`` with ``number`` (0 or more) appended so that no two pairs give the same
+    value, whatever the numbers: the number's two-digit groups, then how many there are."""
+    groups = F.ceil(F.greatest(F.length(number.cast("string")), F.lit(1)) / 2).cast("int")
+    return (key * F.pow(F.lit(100.0), groups).cast("long") + number) * 10 + groups
 
 
 def derive_customers(customer: DataFrame, nation: DataFrame) -> DataFrame:
@@ -130,18 +136,12 @@ def derive_merchants(supplier: DataFrame, nation: DataFrame) -> DataFrame:
 
 
 LINE_ORDER = [
-    "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate",
+    "l_partkey", "l_suppkey", "l_shipdate",
     "l_extendedprice", "l_quantity", "l_discount", "l_tax",
 ]
 
 
-def derive_transactions(
-    lineitem: DataFrame,
-    orders: DataFrame,
-    accounts: DataFrame,
-    *,
-    max_lines_per_order: int = DEFAULT_MAX_GROUP_ROWS,
-) -> DataFrame:
+def derive_transactions(lineitem: DataFrame, orders: DataFrame, accounts: DataFrame) -> DataFrame:
     # Account of each order, with the account's currency and opening date.
     cust = F.col("o_custkey")
     order_acct = orders.select(
@@ -149,23 +149,18 @@ def derive_transactions(
         (cust * 2 + F.when(cust % 5 == 0, F.col("o_orderkey") % 2).otherwise(0)).alias("account_id"),
     ).join(accounts.select("account_id", "currency", "opened_date"), "account_id")
 
-    # Per-order line numbering.  With orders of ordinary size this is a
-    # window: it and the order join both need lineitem clustered by
-    # l_orderkey, so one exchange serves both.  An order with more lines than
-    # ``max_lines_per_order`` switches to the distributed numbering.
-    numbered = rank_within_groups(
-        lineitem, ["l_orderkey"], [F.col(c) for c in LINE_ORDER], "line_no",
-        kind="row_number", max_group_rows=max_lines_per_order,
-    )
-    lines = numbered.select(
-        "l_orderkey", "l_suppkey", "l_extendedprice", "l_shipdate",
-        (F.col("l_orderkey") * 100 + F.col("line_no")).alias("transaction_id"),
-    )
-    # Both sides grow with the data: a shuffle join, never a broadcast of the
-    # line side.  ``lines`` is already clustered by l_orderkey from the window.
-    joined = lines.join(order_acct.hint("shuffle_hash"), lines.l_orderkey == order_acct.o_orderkey).where(
-        F.to_date("l_shipdate") >= F.col("opened_date")
-    )
+    # Line numbers repeat inside an order; a running number tells those lines apart.
+    same_line = Window.partitionBy("l_orderkey", "l_linenumber").orderBy(*LINE_ORDER)
+    lines = lineitem.select(
+        "l_orderkey", "l_suppkey", "l_extendedprice", "l_shipdate", "l_linenumber",
+        (F.row_number().over(same_line) - 1).cast("long").alias("nth"),
+    ).withColumn("transaction_id", extended(extended(F.col("l_orderkey"), F.col("l_linenumber").cast("long")), F.col("nth")))
+    # Both sides grow with the data: no hint, so the join can spill and AQE can
+    # split an order with an outsized share of the lines.
+    joined = lines.join(order_acct, lines.l_orderkey == order_acct.o_orderkey)
+    # No transaction before its account opened: the ship date, counted from the
+    # mapping's first day, is counted from the day the account opened.
+    shift = F.datediff("opened_date", F.lit(EPOCH)).cast("long") * 86400
     tid = F.col("transaction_id")
     h, g = h_of(tid), g_of(tid)
     out = joined.select(
@@ -174,7 +169,7 @@ def derive_transactions(
         F.when(g % 100 < 85, F.col("l_suppkey")).alias("merchant_id"),
         F.col("l_extendedprice").cast(MONEY).alias("amount"),
         "currency",
-        add_seconds("l_shipdate", h % 86400).alias("transaction_date"),
+        add_seconds("l_shipdate", shift + h % 86400).alias("transaction_date"),
         F.when(g % 100 < 80, "purchase").when(g % 100 < 85, "refund").otherwise("transfer").alias("transaction_type"),
         F.when(h % 100 < 90, "completed").when(h % 100 < 98, "failed").otherwise("pending").alias("status"),
     )

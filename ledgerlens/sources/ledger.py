@@ -20,26 +20,26 @@ from __future__ import annotations
 import hashlib
 import logging
 import math
-import os
 import threading
 import uuid
 from dataclasses import dataclass, fields
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlens.session import checkpoint_root
+from ledgerlens.session import checkpoint_root, file_system, path_bytes, path_files
 from ledgerlens.sources import fixtures
 from ledgerlens.sources.schemas import LOAD_ORDER, SCHEMAS
 
 log = logging.getLogger(__name__)
 
 # Bump when a derivation rule changes, so stale written tables are not reused.
-MAPPING_VERSION = "2"
+MAPPING_VERSION = "3"
 
 # Tables written bucketed, and their bucket column.
 BUCKETED = {"transactions": "transaction_id", "settlements": "transaction_id", "fraud_flags": "transaction_id"}
 BUCKET_INPUT_BYTES = 512 * 1024 * 1024
-MIN_BUCKETS, MAX_BUCKETS = 8, 65536
+MIN_BUCKETS = 8
 
 
 @dataclass(frozen=True)
@@ -102,20 +102,14 @@ def _done(spark: SparkSession, path: str) -> bool:
 
     Uses the Hadoop file system of the path, so it works for any shared store
     the checkpoint folder lives on."""
-    jvm = spark.sparkContext._jvm
-    marker = jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
-    fs = marker.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs, marker = file_system(spark, f"{path}/_SUCCESS")
     return bool(fs.exists(marker))
 
 
-def bucket_count(sf_dir: str) -> int:
+def bucket_count(spark: SparkSession, sf_dir: str) -> int:
     """Buckets for the transaction-keyed tables: one per 512 MB of line-item
-    input (so a bucket file stays in the hundreds of MB), within bounds."""
-    try:
-        size = os.path.getsize(os.path.join(sf_dir, "lineitem.parquet"))
-    except OSError:
-        size = 0
-    return max(MIN_BUCKETS, min(MAX_BUCKETS, math.ceil(size / BUCKET_INPUT_BYTES)))
+    input, so a bucket file stays in the hundreds of MB."""
+    return max(MIN_BUCKETS, math.ceil(path_bytes(spark, f"{sf_dir.rstrip('/')}/lineitem.parquet") / BUCKET_INPUT_BYTES))
 
 
 def _ddl(name: str) -> str:
@@ -136,10 +130,10 @@ def write_ledger(spark: SparkSession, sf_dir: str, path: str, *, buckets: int |
         if buckets and name in BUCKETED:
             try:
                 return write_bucketed(name, df, target)
-            except Exception as err:  # noqa: BLE001 - no usable session catalog
-                # Bucketing needs the session catalog (its default database
-                # folder must be creatable).  Without it the table is written
-                # plain: same rows, the joins just shuffle.
+            except AnalysisException as err:
+                # Bucketing needs the session catalog.  Where it refuses the
+                # table, the table is written plain: same rows, the joins just
+                # shuffle.  Any other failure is the job's own and is raised.
                 log.warning("bucketed write of %s failed (%s); writing it unbucketed", name, err)
                 target = f"{target}-plain"
         if not _done(spark, target):
@@ -159,8 +153,9 @@ def write_ledger(spark: SparkSession, sf_dir: str, path: str, *, buckets: int |
                 .saveAsTable(table)
             )
         else:
+            spark.sql(f"DROP TABLE IF EXISTS {table}")  # external: its files stay, an old location goes
             spark.sql(
-                f"CREATE TABLE IF NOT EXISTS {table} ({_ddl(name)}) USING parquet "
+                f"CREATE TABLE {table} ({_ddl(name)}) USING parquet "
                 f"CLUSTERED BY ({col}) SORTED BY ({col}) INTO {buckets} BUCKETS LOCATION '{target}'"
             )
         return spark.table(table).select(*SCHEMAS[name].fieldNames())
@@ -179,17 +174,12 @@ def write_ledger(spark: SparkSession, sf_dir: str, path: str, *, buckets: int |
     return Ledger(customers, accounts, merchants, transactions, settlements, fraud_flags)
 
 
-def _source_key(sf_dir: str) -> str:
-    h = hashlib.sha1(MAPPING_VERSION.encode())
-    base = os.path.abspath(sf_dir)
-    h.update(base.encode())
+def _source_key(spark: SparkSession, sf_dir: str) -> str:
+    """A digest of the mapping and of every source file's path, length and time."""
+    h = hashlib.sha1(f"{MAPPING_VERSION}:{sf_dir.rstrip('/')}".encode())
     for name in sorted(fixtures.DRIVER_COLUMNS):
-        p = os.path.join(base, f"{name}.parquet")
-        try:
-            st = os.stat(p)
-            h.update(f"{name}:{st.st_size}:{int(st.st_mtime)}".encode())
-        except OSError:
-            h.update(f"{name}:missing".encode())
+        for f in path_files(spark, f"{sf_dir.rstrip('/')}/{name}.parquet"):
+            h.update(repr((name, *f)).encode())
     return h.hexdigest()[:16]
 
 
@@ -200,18 +190,16 @@ _CACHE: dict[tuple[str, int, str], Ledger] = {}
 def ledger_for(spark: SparkSession, sf_dir: str, *, fresh: bool = False) -> Ledger:
     """The written ledger for ``sf_dir`` (derived and written on first use).
 
-    Written tables are reused across sessions (the folder is keyed by the
-    source files and the mapping version).  ``fresh=True`` derives and writes
+    Written tables are reused within and across sessions as long as the source
+    files are the same ones (the folder is keyed by them and the mapping version).  ``fresh=True`` derives and writes
     a new copy in its own folder (used to time the derivation)."""
-    key = (spark.sparkContext.applicationId, id(spark), os.path.abspath(sf_dir))
+    source = _source_key(spark, sf_dir)
+    key = (spark.sparkContext.applicationId, id(spark), source)
     with _LOCK:
         if fresh or key not in _CACHE:
-            source = _source_key(sf_dir)
-            buckets = bucket_count(sf_dir)
-            name = f"ledger-{source}-b{buckets}"
+            buckets = bucket_count(spark, sf_dir)
             if fresh:
                 source = f"{source}_{uuid.uuid4().hex[:8]}"
-                name = f"ledger-{source}-b{buckets}"
-            path = f"{checkpoint_root(spark)}/{name}"
+            path = f"{checkpoint_root(spark)}/ledger-{source}-b{buckets}"
             _CACHE[key] = write_ledger(spark, sf_dir, path, buckets=buckets, table_prefix=f"ledgerlens_{source}")
         return _CACHE[key]

@@ -68,14 +68,24 @@ def test_partitioning_settings_follow_the_input_size():
     small = settings_for_input(10 * 1024 * 1024, 8)
     assert small["spark.sql.shuffle.partitions"] == "16"
     big = settings_for_input(100 * 1024**4, 4000)
-    assert big["spark.sql.shuffle.partitions"] == "200000"
+    assert big["spark.sql.shuffle.partitions"] == str(100 * 1024 * 8)  # one per 128 MB, no cap
     mid = settings_for_input(64 * 1024**3, 8)  # 64 GiB -> one per 128 MB
     assert mid["spark.sql.shuffle.partitions"] == "512"
     assert mid["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] == "512"
 
 
-def test_large_inputs_coalesce_by_size():
-    from ledgerlens.session import settings_for_input
 
-    assert settings_for_input(10 * 1024 * 1024, 8)["spark.sql.adaptive.coalescePartitions.parallelismFirst"] == "true"
-    assert settings_for_input(100 * 1024**4, 4000)["spark.sql.adaptive.coalescePartitions.parallelismFirst"] == "false"
+
+def test_sizes_and_files_of_folders_and_single_files(spark, tmp_path):
+    from ledgerlens.session import path_bytes, path_files
+    from ledgerlens.sources.ledger import bucket_count
+
+    folder = tmp_path / "lineitem.parquet"
+    folder.mkdir()
+    (folder / "part-0").write_bytes(b"x" * 3000)
+    with open(folder / "part-1", "wb") as f:
+        f.truncate(9 * 512 * 1024 * 1024)  # sparse
+    assert path_bytes(spark, str(folder)) == 3000 + 9 * 512 * 1024 * 1024
+    assert bucket_count(spark, str(tmp_path)) == 10
+    assert path_bytes(spark, str(folder / "part-0")) == 3000 and path_bytes(spark, str(tmp_path / "none")) == 0
+    assert [x[1] for x in path_files(spark, str(folder))] == [3000, 9 * 512 * 1024 * 1024]

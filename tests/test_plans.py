@@ -2,6 +2,8 @@
 
 import re
 
+import pytest
+
 from ledgerlens.plans.inspect import plan_text
 from ledgerlens.plans.registry import queries
 from ledgerlens.sources import files
@@ -25,24 +27,15 @@ def test_top_k_uses_take_ordered(spark):
     assert "TakeOrderedAndProject" in plan_text(queries()["r9_fixed_size_sample"](spark, SF_SMALL), "simple")
 
 
-def test_top_k_reports_look_up_only_the_winners(spark, ledger):
-    """With a large dimension, the top k is taken on the aggregates and the
-    dimension scan reads only those keys (an IN filter pushed into Parquet)."""
-    from ledgerlens.operators import merchants
-    from ledgerlens.operators.common import top_k_with_lookup, sort_keys
-    from ledgerlens.operators.lifetime import customer_activity
-
-    figures = customer_activity(ledger.accounts, ledger.transactions)
-    profile = ledger.customers.select("customer_id", "full_name")
-    order = sort_keys("-total_spend", "customer_id")
-    big = top_k_with_lookup(figures, profile, "customer_id", order, 5, small_dim_rows=10)
-    small = top_k_with_lookup(figures, profile, "customer_id", order, 5)
-    assert [tuple(r) for r in big.collect()] == [tuple(r) for r in small.select(*big.columns).collect()]
-    text = plan_text(big)
-    assert "SortMergeJoin" not in text and "transactions" not in text
-    lookup = ledger.merchants.where(ledger.merchants.merchant_id.isin([1, 2]))
-    assert re.search(r"PushedFilters: \[[^\]]*In\(merchant_id,", plan_text(lookup))
-    assert merchants is not None
+LAZY = ["q3_merchant_performance", "q8_customer_lifetime_value", "q11_top_merchants", "p10_rename_columns", "j5_lookup", "w1_rank"]
+
+
+@pytest.mark.parametrize("key", LAZY)
+def test_no_job_runs_while_a_frame_is_built(spark, ledger, key):
+    queries()[key](spark, SF_SMALL)  # the ledger is written
+    spark.sparkContext.setJobGroup(f"building-{key}", key)
+    queries()[key](spark, SF_SMALL)
+    assert list(spark.sparkContext.statusTracker().getJobIdsForGroup(f"building-{key}")) == []
 
 
 def test_global_windows_only_above_the_daily_aggregate(spark):

@@ -50,7 +50,7 @@ CASES = {
     "r6_currency_match": lambda L: rules.currency_match(L.transactions, L.accounts),
     "w1_rank": lambda L: merchants.rank_within(
         merchants.merchant_settled_revenue(L.merchants, L.transactions, L.settlements, merchant_cols=("category",)),
-        "category", "total_revenue", "category_revenue_rank", max_group_rows=2),
+        "category", "total_revenue", "category_revenue_rank"),
 }
 
 

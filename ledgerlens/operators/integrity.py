@@ -143,6 +143,11 @@ def length_rows(df: DataFrame, column: str, limit: int) -> DataFrame:
     return df.where(F.length(column) > limit)
 
 
+def numeric_fit_rows(df: DataFrame, column: str, precision: int = 15, scale: int = 2) -> DataFrame:
+    """Rows whose ``column`` doesn't fit NUMERIC(precision, scale) after rounding (i8)."""
+    return df.where(F.col(column).isNotNull() & F.expr(f"try_cast(round(`{column}`, {scale}) AS decimal({precision},{scale}))").isNull())
+
+
 def duplicate_key_rows(df: DataFrame, keys: list[str]) -> DataFrame:
     """All rows whose non-NULL key occurs more than once (i2, i3).
 
@@ -168,15 +173,25 @@ def union_all(frames: list[DataFrame]) -> DataFrame:
 
 # ---- deletes (i9, i10) ----------------------------------------------------------
 
-def cascade_delete(tables: dict[str, DataFrame], doomed_customers: DataFrame) -> dict[str, DataFrame]:
-    """i9: remove customers and every dependant row (ON DELETE CASCADE).
+def cascade_delete(tables: dict[str, DataFrame], doomed_customers: DataFrame | None = None,
+                   doomed_accounts: DataFrame | None = None) -> dict[str, DataFrame]:
+    """i9: remove customers (or accounts) and every dependant row (ON DELETE CASCADE).
 
     Each level is a left-anti join against the removed keys of its parent, so
     the removed key sets are derived, never collected."""
-    gone_c = doomed_customers.select("customer_id")
-    customers = tables["customers"].join(gone_c, "customer_id", "left_anti")
-    gone_a = tables["accounts"].join(gone_c, "customer_id", "left_semi").select("account_id")
-    accounts = tables["accounts"].join(gone_c, "customer_id", "left_anti")
+    customers, accounts = tables["customers"], tables["accounts"]
+    gone_a = None
+    if doomed_customers is not None:
+        gone_c = doomed_customers.select("customer_id")
+        gone_a = accounts.join(gone_c, "customer_id", "left_semi").select("account_id")
+        customers = customers.join(gone_c, "customer_id", "left_anti")
+        accounts = accounts.join(gone_c, "customer_id", "left_anti")
+    if doomed_accounts is not None:
+        own = doomed_accounts.select("account_id")
+        accounts = accounts.join(own, "account_id", "left_anti")
+        gone_a = own if gone_a is None else gone_a.unionByName(own)
+    if gone_a is None:
+        return dict(tables)
     gone_t = tables["transactions"].join(gone_a, "account_id", "left_semi").select("transaction_id")
     transactions = tables["transactions"].join(gone_a, "account_id", "left_anti")
     settlements = tables["settlements"].join(gone_t, "transaction_id", "left_anti")
@@ -189,15 +204,15 @@ def cascade_delete(tables: dict[str, DataFrame], doomed_customers: DataFrame) ->
 
 def set_null_delete(merchants: DataFrame, transactions: DataFrame, doomed_merchants: DataFrame) -> tuple[DataFrame, DataFrame]:
     """i10: remove merchants; their transactions stay with a NULL merchant
-    (ON DELETE SET NULL)."""
+    (ON DELETE SET NULL).  Transactions without a merchant don't meet the join:
+    they are one key, and can't match."""
     gone = doomed_merchants.select(F.col("merchant_id").alias("gone_id")).distinct()
     kept = merchants.join(gone, merchants.merchant_id == gone.gone_id, "left_anti")
-    t = transactions.join(gone, transactions.merchant_id == gone.gone_id, "left")
+    t = transactions.where(F.col("merchant_id").isNotNull()).join(gone, F.col("merchant_id") == F.col("gone_id"), "left")
     nulled = t.select(
-        *[F.when(F.col("gone_id").isNotNull(), F.lit(None).cast("long")).otherwise(F.col(c)).alias(c)
-          if c == "merchant_id" else F.col(c) for c in transactions.columns]
+        *[F.when(F.col("gone_id").isNull(), F.col(c)).alias(c) if c == "merchant_id" else F.col(c) for c in transactions.columns]
     )
-    return kept, nulled
+    return kept, nulled.unionByName(transactions.where(F.col("merchant_id").isNull()))
 
 
 def remaining_counts(tables: dict[str, DataFrame]) -> DataFrame:

@@ -1,8 +1,8 @@
 """Integrity audits (i1-i10) and ledger rule audits (r1-r11).
 
-Audits run over the derived ledger (clean: zero violations expected) and,
-where the driver tables carry natural violations, over those too (FIXTURES.md
-section 4), so every audit is exercised on dirty input as well.  The oracle
+Audits run over the derived ledger (clean: zero violations expected) and over
+input that breaks their rule: driver tables with natural violations (FIXTURES.md
+section 4) or dirty copies of the ledger tables (:mod:`ledgerlens.plans.dirty`).  The oracle
 SQL is generated from the same rule specs as the Spark side.
 """
 
@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens.operators import integrity as I
 from ledgerlens.operators import rules as R
+from ledgerlens.plans.dirty import dirty, dirty_sql, renamed, too_large
 from ledgerlens.plans.registry import query, rr
 from ledgerlens.sources import schemas as S
 from ledgerlens.sources.fixtures import read_driver
@@ -38,15 +39,17 @@ def _union(parts: list[str]) -> str:
 
 def _i1_sql() -> str:
     return _union([
-        _counts_sql(t, {f"not_null:{t}.{c}": f"{c} IS NULL" for c in S.required_columns(t)}) for t in S.LOAD_ORDER
+        _counts_sql(source, {f"{name}not_null:{t}.{c}": f"{c} IS NULL" for c in S.required_columns(t)})
+        for t in S.LOAD_ORDER for name, source in (("", t), ("dirty ", dirty_sql(t)))
     ])
 
 
 @query("i1_not_null", _i1_sql())
 def i1(spark, sf_dir):
-    """NULLs in required columns of all six tables."""
+    """NULLs in required columns of all six tables and of their dirty copies."""
     L = ledger_for(spark, sf_dir)
-    return I.union_all([I.not_null_audit(L.table(t), t, S.required_columns(t)) for t in S.LOAD_ORDER])
+    audit = lambda t, df: I.not_null_audit(df, t, S.required_columns(t))
+    return I.union_all([f for t in S.LOAD_ORDER for f in (audit(t, L.table(t)), renamed(audit(t, dirty(t, L.table(t)))))])
 
 
 # ---- i2, i3 ----------------------------------------------------------------------
@@ -109,13 +112,14 @@ def _in_list(vals: list[str]) -> str:
 
 
 @query("i4_domain_check", _union([
-    _counts_sql(t, {f"domain:{t}.{c}": f"{c} NOT IN {_in_list(v)}" for c, v in cols.items()})
-    for t, cols in _by_table(S.DOMAINS).items()
+    _counts_sql(source, {f"{name}domain:{t}.{c}": f"{c} NOT IN {_in_list(v)}" for c, v in cols.items()})
+    for t, cols in _by_table(S.DOMAINS).items() for name, source in (("", t), ("dirty ", dirty_sql(t)))
 ]))
 def i4(spark, sf_dir):
-    """CHECK (col IN (...)) lists; NULL passes."""
+    """CHECK (col IN (...)) lists, on the tables and their dirty copies; NULL passes."""
     L = ledger_for(spark, sf_dir)
-    return I.union_all([I.domain_audit(L.table(t), t, cols) for t, cols in _by_table(S.DOMAINS).items()])
+    return I.union_all([f for t, cols in _by_table(S.DOMAINS).items() for f in (
+        I.domain_audit(L.table(t), t, cols), renamed(I.domain_audit(dirty(t, L.table(t)), t, cols)))])
 
 
 # ---- i5 ------------------------------------------------------------------------
@@ -176,13 +180,14 @@ def i6(spark, sf_dir):
 # ---- i7, i8 ---------------------------------------------------------------------
 
 @query("i7_length_check", _union([
-    _counts_sql(t, {f"length:{t}.{c}<={n}": f"length({c}) > {n}" for c, n in cols.items()})
-    for t, cols in _by_table(S.LENGTHS).items()
+    _counts_sql(source, {f"{name}length:{t}.{c}<={n}": f"length({c}) > {n}" for c, n in cols.items()})
+    for t, cols in _by_table(S.LENGTHS).items() for name, source in (("", t), ("dirty ", dirty_sql(t)))
 ]))
 def i7(spark, sf_dir):
-    """VARCHAR(n) limits."""
+    """VARCHAR(n) limits, on the tables and their dirty copies."""
     L = ledger_for(spark, sf_dir)
-    return I.union_all([I.length_audit(L.table(t), t, cols) for t, cols in _by_table(S.LENGTHS).items()])
+    return I.union_all([f for t, cols in _by_table(S.LENGTHS).items() for f in (
+        I.length_audit(L.table(t), t, cols), renamed(I.length_audit(dirty(t, L.table(t)), t, cols)))])
 
 
 DIRTY_NUMERIC = [("lineitem", "l_extendedprice"), ("orders", "o_totalprice"), ("customer", "c_acctbal")]
@@ -199,6 +204,10 @@ def _numeric_groups():
     _counts_sql(t, {f"numeric(15,2):{t}.{c}": f"{c} IS NOT NULL AND TRY_CAST(round({c}, 2) AS DECIMAL(15,2)) IS NULL"
                     for c in cols})
     for t, cols in _numeric_groups().items()
+] + [
+    _counts_sql("(SELECT " + ", ".join(f"{e} AS {c}" for c, e in too_large(t, cols).items()) + f" FROM {t})",
+                {f"dirty numeric(15,2):{t}.{c}": f"{c} IS NOT NULL AND TRY_CAST(round({c}, 2) AS DECIMAL(15,2)) IS NULL" for c in cols})
+    for t, cols in _numeric_groups().items() if t in S.SCHEMAS
 ]))
 def i8(spark, sf_dir):
     """Values fit NUMERIC(15,2) (ledger money and the driver's double amounts)."""
@@ -207,6 +216,9 @@ def i8(spark, sf_dir):
     for t, cols in _numeric_groups().items():
         df = L.table(t) if t in S.SCHEMAS else read_driver(spark, sf_dir, t, cols)
         frames.append(I.numeric_fit_audit(df, t, cols))
+        if t in S.SCHEMAS:
+            large = df.select(*[F.expr(e).alias(c) for c, e in too_large(t, cols).items()])
+            frames.append(renamed(I.numeric_fit_audit(large, t, cols)))
     return I.union_all(frames)
 
 
@@ -230,6 +242,21 @@ def i9(spark, sf_dir):
     return I.remaining_counts(left)
 
 
+@query("i9_cascade_delete_accounts", """
+WITH gone AS (SELECT account_id FROM accounts WHERE status = 'closed')
+SELECT 'customers' AS table_name, COUNT(*) AS remaining_rows FROM customers
+UNION ALL SELECT 'accounts', COUNT(*) FROM accounts WHERE account_id NOT IN (FROM gone)
+UNION ALL SELECT 'merchants', COUNT(*) FROM merchants
+UNION ALL SELECT 'transactions', COUNT(*) FROM transactions WHERE account_id NOT IN (FROM gone)
+UNION ALL SELECT 'settlements', COUNT(*) FROM settlements JOIN transactions USING (transaction_id) WHERE account_id NOT IN (FROM gone)
+UNION ALL SELECT 'fraud_flags', COUNT(*) FROM fraud_flags JOIN transactions USING (transaction_id) WHERE account_id NOT IN (FROM gone)
+""")
+def i9_accounts(spark, sf_dir):
+    """ON DELETE CASCADE from accounts: remove closed accounts and all their dependants; rows left per table."""
+    L = ledger_for(spark, sf_dir)
+    return I.remaining_counts(I.cascade_delete(L.as_dict(), doomed_accounts=L.accounts.where(F.col("status") == "closed")))
+
+
 @query("i10_set_null_delete", """
 WITH gone AS (SELECT merchant_id FROM merchants WHERE risk_tier = 'high')
 SELECT 'merchants' AS table_name, COUNT(*) AS remaining_rows FROM merchants WHERE merchant_id NOT IN (SELECT merchant_id FROM gone)
@@ -280,15 +307,23 @@ def r1(spark, sf_dir):
 
 
 SETTLED = "settlements s JOIN transactions t ON s.transaction_id = t.transaction_id"
+DIRTY_SETTLED = f"{dirty_sql('settlements')} s JOIN {dirty_sql('transactions')} t ON s.transaction_id = t.transaction_id"
 SECS = "(epoch(s.settlement_date) - epoch(t.transaction_date))"
 
 
-@query("r2_settlement_window", _rule_sql("window:settlement_in[1d,6d)", SETTLED,
-                                         f"{SECS} < 86400 OR {SECS} >= 518400"))
+def _clean_and_dirty(L, tables: tuple[str, ...], audit):
+    """``audit`` of the tables and of their dirty copies."""
+    clean = [L.table(t) for t in tables]
+    return audit(*clean).unionByName(renamed(audit(*[dirty(t, df) for t, df in zip(tables, clean)])))
+
+
+@query("r2_settlement_window", _union([
+    _rule_sql(f"{name}window:settlement_in[1d,6d)", source, f"{SECS} < 86400 OR {SECS} >= 518400")
+    for name, source in (("", SETTLED), ("dirty ", DIRTY_SETTLED))
+]))
 def r2(spark, sf_dir):
     """Settled at least one day and less than six days after the transaction."""
-    L = ledger_for(spark, sf_dir)
-    return R.settlement_window(L.settlements, L.transactions)
+    return _clean_and_dirty(ledger_for(spark, sf_dir), ("settlements", "transactions"), R.settlement_window)
 
 
 def _bp_sql(i: int) -> str:
@@ -308,21 +343,24 @@ def r3(spark, sf_dir):
     return R.fee_band(L.settlements, L.transactions, L.merchants)
 
 
-@query("r4_settlement_balance", _counts_sql(SETTLED, {
-    "balance:settled_amount=greatest(amount-fee,0)": "s.settled_amount <> greatest(t.amount - s.processing_fee, 0)",
-    "balance:settled_amount>=0": "s.settled_amount < 0",
-}))
+@query("r4_settlement_balance", _union([_counts_sql(source, {
+    f"{name}balance:settled_amount=greatest(amount-fee,0)":
+        "s.settled_amount <> CASE WHEN t.amount - s.processing_fee > 0 OR t.amount - s.processing_fee IS NULL "
+        "THEN coalesce(t.amount - s.processing_fee, 0) ELSE 0 END",
+    f"{name}balance:settled_amount>=0": "s.settled_amount < 0",
+}) for name, source in (("", SETTLED), ("dirty ", DIRTY_SETTLED))]))
 def r4(spark, sf_dir):
     """settled + fee = amount (floored at zero)."""
-    L = ledger_for(spark, sf_dir)
-    return R.settlement_balance(L.settlements, L.transactions)
+    return _clean_and_dirty(ledger_for(spark, sf_dir), ("settlements", "transactions"), R.settlement_balance)
 
 
-@query("r5_merchant_presence", _rule_sql("presence:merchant_null<=>transfer", "transactions",
-                                         "(merchant_id IS NULL) <> (transaction_type = 'transfer')"))
+@query("r5_merchant_presence", _union([
+    _rule_sql(f"{name}presence:merchant_null<=>transfer", source, "(merchant_id IS NULL) <> (transaction_type = 'transfer')")
+    for name, source in (("", "transactions"), ("dirty ", dirty_sql("transactions")))
+]))
 def r5(spark, sf_dir):
     """The merchant is NULL exactly for transfers."""
-    return R.merchant_presence(ledger_for(spark, sf_dir).transactions)
+    return _clean_and_dirty(ledger_for(spark, sf_dir), ("transactions",), R.merchant_presence)
 
 
 @query("r6_currency_match", _rule_sql("currency:transaction=account",
@@ -338,15 +376,16 @@ _FD = "(epoch(f.flagged_date) - epoch(t.transaction_date))"
 _RD = "(epoch(f.resolved_date) - epoch(f.flagged_date))"
 
 
-@query("r7_flag_timing", _counts_sql("fraud_flags f JOIN transactions t ON f.transaction_id = t.transaction_id", {
-    "flag:flagged_in[0h,4h)": f"{_FD} < 0 OR {_FD} >= 14400",
-    "flag:resolved_date<=>is_resolved": "(f.resolved_date IS NOT NULL) <> f.is_resolved",
-    "flag:resolved_in[1d,8d)": f"f.is_resolved AND ({_RD} < 86400 OR {_RD} >= 691200)",
-}))
+@query("r7_flag_timing", _union([_counts_sql(source, {
+    f"{name}flag:flagged_in[0h,4h)": f"{_FD} < 0 OR {_FD} >= 14400",
+    f"{name}flag:resolved_date<=>is_resolved": "(f.resolved_date IS NOT NULL) <> f.is_resolved",
+    f"{name}flag:resolved_in[1d,8d)": f"f.is_resolved AND ({_RD} < 86400 OR {_RD} >= 691200)",
+}) for name, source in (
+    ("", "fraud_flags f JOIN transactions t ON f.transaction_id = t.transaction_id"),
+    ("dirty ", f"{dirty_sql('fraud_flags')} f JOIN {dirty_sql('transactions')} t ON f.transaction_id = t.transaction_id"))]))
 def r7(spark, sf_dir):
     """Flag 0 to < 4 h after; resolved date exactly when resolved, 1 to < 8 days later."""
-    L = ledger_for(spark, sf_dir)
-    return R.flag_timing(L.fraud_flags, L.transactions)
+    return _clean_and_dirty(ledger_for(spark, sf_dir), ("fraud_flags", "transactions"), R.flag_timing)
 
 
 @query("r8_settlement_backlog", """

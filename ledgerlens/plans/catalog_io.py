@@ -10,10 +10,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ledgerlens.operators import trends
+from ledgerlens.operators.integrity import union_all
 from ledgerlens.plans.registry import query
 from ledgerlens.sources import files
 from ledgerlens.sources.ledger import ledger_for
-from ledgerlens.sources.schemas import LOAD_ORDER, conform
+from ledgerlens.sources.schemas import LOAD_ORDER, PRIMARY_KEYS, SCHEMAS, conform
 
 
 @query("s1_csv_scan", """
@@ -29,15 +30,24 @@ def s1(spark, sf_dir):
     return files.read_csv(spark, path, "transactions")
 
 
-@query("s2_idempotent_reload", """
-SELECT flag_id, transaction_id, flagged_date, flag_reason, is_resolved, resolved_date FROM fraud_flags
-""")
+@query("s2_idempotent_reload", "\nUNION ALL\n".join(
+    f"SELECT '{t}' AS table_name, COUNT(*) AS row_count, COUNT(DISTINCT {PRIMARY_KEYS[t][0]}) AS key_count, "
+    f"MIN({PRIMARY_KEYS[t][0]}) AS first_key, MAX({PRIMARY_KEYS[t][0]}) AS last_key FROM {t}" for t in LOAD_ORDER
+))
 def s2(spark, sf_dir):
-    """Loading the same table twice leaves one copy (overwrite, not append)."""
+    """Loading all six tables twice leaves one copy of each (replaced, not appended)."""
     L = ledger_for(spark, sf_dir)
-    target = files.fresh_dir(spark, "s2-fraud-flags")
-    files.reload(L.fraud_flags, target, "fraud_flags")
-    return files.reload(L.fraud_flags, target, "fraud_flags")
+    folder, frames = files.fresh_dir(spark, "s2-reload"), []
+    for t in LOAD_ORDER:
+        key = PRIMARY_KEYS[t][0]
+        files.reload(L.table(t), f"{folder}/{t}", t)
+        again = files.reload(L.table(t), f"{folder}/{t}", t)
+        # the table's keys are unique, so distinct keys are counted per key first
+        per_key = again.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+        frames.append(per_key.agg(
+            F.coalesce(F.sum("n"), F.lit(0)).alias("row_count"), F.count(key).alias("key_count"), F.min(key).alias("first_key"), F.max(key).alias("last_key"),
+        ).select(F.lit(t).alias("table_name"), "*"))
+    return union_all(frames)
 
 
 _COUNT_UNION = "\nUNION ALL\n".join(
@@ -106,13 +116,20 @@ def s7(spark, sf_dir):
     return trends.overview_kpis(ledger_for(spark, sf_dir).transactions).limit(1)
 
 
-@query("s8_typed_tables", "SELECT customer_id, full_name, email, country, join_date, segment, is_active FROM customers")
+@query("s8_typed_tables", "\nUNION ALL\n".join(
+    f"SELECT '{t}' AS table_name, '{f.name}' AS column_name, '{f.dataType.simpleString()}' AS data_type, COUNT({f.name}) AS non_null_rows FROM {t}"
+    for t in LOAD_ORDER for f in SCHEMAS[t].fields
+))
 def s8(spark, sf_dir):
-    """Fixed schema on read: customers through CSV and the conform step."""
+    """Fixed schemas on read: all six tables through CSV and the conform step, type and values per column."""
     L = ledger_for(spark, sf_dir)
-    path = files.fresh_dir(spark, "s8-customers-csv")
-    files.write_csv(L.customers, path)
-    return conform(files.read_csv(spark, path, "customers"), "customers")
+    folder, frames = files.fresh_dir(spark, "s8-csv"), []
+    for t in LOAD_ORDER:
+        files.write_csv(L.table(t), f"{folder}/{t}")
+        df = conform(files.read_csv(spark, f"{folder}/{t}", t), t)
+        rows = F.array(*[F.struct(F.lit(c).alias("column_name"), F.lit(kind).alias("data_type"), F.count(c).alias("non_null_rows")) for c, kind in df.dtypes])
+        frames.append(df.agg(rows.alias("r")).select(F.lit(t).alias("table_name"), F.inline("r")))
+    return union_all(frames)
 
 
 S9_MONTH = "1998-06-01"
@@ -130,3 +147,25 @@ def s9(spark, sf_dir):
     path = files.fresh_dir(spark, "s9-ledger-by-month")
     files.write_partitioned_ledger(L.transactions, path)
     return files.read_month(spark, path, S9_MONTH)
+
+
+def _month_query(key: str, table: str, date_col: str, columns: str) -> None:
+    month = files.month_column(date_col)
+
+    @query(key, f"""
+SELECT {columns}, CAST(date_trunc('month', {date_col}) AS DATE) AS {month}
+FROM {table}
+WHERE CAST(date_trunc('month', {date_col}) AS DATE) = DATE '{S9_MONTH}'
+""")
+    def build(spark, sf_dir):
+        """One month of a table laid out by month, read with directory pruning."""
+        path = files.fresh_dir(spark, f"s9-{table}-by-month")
+        files.write_partitioned_ledger(ledger_for(spark, sf_dir).table(table), path, date_col, PRIMARY_KEYS[table][0])
+        return files.read_month(spark, path, S9_MONTH, table, date_col)
+
+
+_month_query("s9_settlements_by_month", "settlements", "settlement_date",
+             "settlement_id, transaction_id, settlement_date, CAST(settled_amount AS DOUBLE) AS settled_amount, "
+             "CAST(processing_fee AS DOUBLE) AS processing_fee, status")
+_month_query("s9_flags_by_month", "fraud_flags", "flagged_date",
+             "flag_id, transaction_id, flagged_date, flag_reason, is_resolved, resolved_date")

@@ -14,10 +14,10 @@ from ledgerlens.sources import schemas as S
 
 # Times that break the windows of r2 and r7, and money that breaks r4 and the ranges.
 _SPECIAL = {
-    ("settlements", "settlement_date"): "WHEN {key} % 5 = 2 THEN settlement_date + INTERVAL 30 DAY",
-    ("settlements", "settled_amount"): "WHEN {key} % 5 = 1 THEN CAST(-1 AS DECIMAL(15,2))",
-    ("fraud_flags", "flagged_date"): "WHEN {key} % 5 = 3 THEN flagged_date - INTERVAL 9 DAY",
-    ("transactions", "merchant_id"): "WHEN {key} % 5 = 4 THEN NULL",
+    ("settlements", "settlement_date"): "WHEN {key} % 17 = 2 THEN settlement_date + INTERVAL 30 DAY",
+    ("settlements", "settled_amount"): "WHEN {key} % 19 = 1 THEN CAST(-1 AS DECIMAL(15,2))",
+    ("fraud_flags", "flagged_date"): "WHEN {key} % 17 = 3 THEN flagged_date - INTERVAL 9 DAY",
+    ("transactions", "merchant_id"): "WHEN {key} % 19 = 4 THEN NULL",
 }
 
 

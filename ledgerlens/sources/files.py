@@ -1,10 +1,12 @@
 """CSV and Parquet in and out of the ledger (s1-s5, s8, s9).
 
-* CSV follows the source's layout: a header row, UTF-8, an empty field is
-  NULL, timestamps as ``yyyy-MM-dd HH:mm:ss``.  Reads always use the fixed
-  schema (never inference) and fail fast on a malformed row.
-* Loads write each table to Parquet with ``mode('overwrite')``, so a rerun
-  ends in the same state (the reference truncates and reloads).
+* CSV is the common dialect: a header row, UTF-8, fields quoted with ``"`` and
+  quotes doubled, line breaks allowed inside quotes, spaces kept, an empty field is
+  NULL, timestamps as ``yyyy-MM-dd HH:mm:ss``.  Reads always use the fixed schema
+  (never inference), check the header's names, and fail fast on a malformed row.
+* Loads write to a staging folder, audit the staged tables and only then put them
+  in place of the old ones, so a rerun ends in the same state and a refused load
+  leaves the old contents.
 * The date-partitioned ledger replaces the reference's date indexes: a month
   filter prunes whole directories before any file is opened.
 """
@@ -13,11 +15,12 @@ from __future__ import annotations
 
 import uuid
 
+import pyspark.sql.types as T
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.temporal import month_start
-from ledgerlens.session import checkpoint_root
+from ledgerlens.session import checkpoint_root, file_system
 from ledgerlens.sources.schemas import LOAD_ORDER, SCHEMAS, conform
 
 TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
@@ -29,36 +32,56 @@ def fresh_dir(spark: SparkSession, label: str) -> str:
     return f"{checkpoint_root(spark)}/{label}-{uuid.uuid4().hex[:12]}"
 
 
+# One dialect for both directions.
+CSV_DIALECT = {
+    "header": True,
+    "quote": '"',
+    "escape": '"',
+    "nullValue": "",
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+    "timestampNTZFormat": TIMESTAMP_FORMAT,
+    "dateFormat": DATE_FORMAT,
+}
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     """s5: CSV with a header; NULL as an empty field."""
-    (
-        df.write.mode("overwrite")
-        .option("header", True)
-        .option("nullValue", "")
-        .option("emptyValue", "")
-        .option("timestampNTZFormat", TIMESTAMP_FORMAT)
-        .option("dateFormat", DATE_FORMAT)
-        .csv(path)
-    )
+    df.write.mode("overwrite").options(**CSV_DIALECT, emptyValue="").csv(path)
 
 
 def read_csv(spark: SparkSession, path: str, table: str) -> DataFrame:
-    """s1: typed CSV scan with the table's fixed schema."""
-    return (
-        spark.read.schema(SCHEMAS[table])
-        .option("header", True)
-        .option("nullValue", "")
-        .option("mode", "FAILFAST")
-        .option("timestampNTZFormat", TIMESTAMP_FORMAT)
-        .option("dateFormat", DATE_FORMAT)
-        .csv(path)
-    )
+    """s1: typed CSV scan with the table's fixed schema.
+
+    Fields may hold line breaks, so a file is read by one task; large tables come
+    as folders of many files."""
+    return spark.read.schema(SCHEMAS[table]).options(**CSV_DIALECT, multiLine=True, enforceSchema=False, mode="FAILFAST").csv(path)
+
+
+def publish(spark: SparkSession, staged: str, target: str) -> None:
+    """Put the folder ``staged`` in the place of ``target`` (same store): the old contents
+    are set aside first and go only when the new ones are there."""
+    fs, new = file_system(spark, staged)
+    _, at = file_system(spark, target)
+    _, aside = file_system(spark, f"{target}-{uuid.uuid4().hex[:12]}-old")
+    fs.mkdirs(at.getParent())
+    had = fs.exists(at)
+    if had and not fs.rename(at, aside):
+        raise OSError(f"can't set {target} aside")
+    if not fs.rename(new, at):
+        if had:
+            fs.rename(aside, at)
+        raise OSError(f"can't publish {staged} as {target}")
+    if had:
+        fs.delete(aside, True)
 
 
 def reload(df: DataFrame, target: str, table: str) -> DataFrame:
-    """s2: replace the target's contents with ``df`` (idempotent)."""
-    conform(df, table).write.mode("overwrite").parquet(target)
-    return df.sparkSession.read.schema(SCHEMAS[table]).parquet(target)
+    """s2: replace the target's contents with ``df`` (idempotent; written whole, then published)."""
+    spark, staged = df.sparkSession, f"{target}-{uuid.uuid4().hex[:12]}-staged"
+    conform(df, table).write.parquet(staged)
+    publish(spark, staged, target)
+    return spark.read.schema(SCHEMAS[table]).parquet(target)
 
 
 def dump_csv(tables: dict[str, DataFrame], folder: str) -> dict[str, str]:
@@ -71,28 +94,51 @@ def dump_csv(tables: dict[str, DataFrame], folder: str) -> dict[str, str]:
 
 
 class LoadAuditError(ValueError):
-    """A loaded ledger broke a foreign key."""
+    """A ledger to be loaded broke a constraint."""
+
+
+def constraint_audits(tables: dict[str, DataFrame]) -> DataFrame:
+    """Every declared constraint of the six tables (i1-i7): rule, checked_rows, violations.
+    Money is read as NUMERIC(15,2), so a value that doesn't fit (i8) fails the scan."""
+    from ledgerlens.operators import integrity as I
+    from ledgerlens.sources import schemas as S
+
+    def of(mapping: dict, table: str) -> dict:
+        return {c: v for (t, c), v in mapping.items() if t == table}
+
+    audits = []
+    for t, df in tables.items():
+        audits += [I.not_null_audit(df, t, S.required_columns(t)), I.primary_key_audit(df, t, S.PRIMARY_KEYS[t])]
+        audits += [I.unique_audit(df, t, keys) for keys in S.UNIQUE_KEYS.get(t, [])]
+        if of(S.DOMAINS, t):
+            audits.append(I.domain_audit(df, t, of(S.DOMAINS, t)))
+        if ranges := [(c, op, b) for name, c, op, b in S.RANGES if name == t]:
+            audits.append(I.range_audit(df, t, ranges))
+        audits.append(I.length_audit(df, t, of(S.LENGTHS, t)))
+    audits += [I.foreign_key_audit(tables[c], tables[p], c, cc, p, pc) for c, cc, p, pc, _ in S.FOREIGN_KEYS]
+    return I.union_all(audits)
 
 
 def ordered_load(spark: SparkSession, csv_paths: dict[str, str], target: str, *, audit: bool = True) -> dict[str, DataFrame]:
-    """s3: load parents before children (CSV -> typed Parquet), one job per
-    table; then audit every foreign key of the loaded tables (i6) and raise
-    :class:`LoadAuditError` if any child row is orphaned.  Returns the loaded
-    tables read back."""
-    from ledgerlens.operators.integrity import foreign_key_audit, union_all
-    from ledgerlens.sources.schemas import FOREIGN_KEYS
-
-    loaded = {}
+    """s3: stage the six tables (CSV -> typed Parquet, parents before children), audit every
+    declared constraint of the staged tables, and publish them, parents first.  A violation
+    raises :class:`LoadAuditError` and leaves the target as it was.  Returns the loaded tables."""
+    staging = f"{target}-{uuid.uuid4().hex[:12]}-staged"
+    staged = {}
     for name in LOAD_ORDER:
-        loaded[name] = reload(read_csv(spark, csv_paths[name], name), f"{target}/{name}", name)
-    if audit:
-        audits = union_all([
-            foreign_key_audit(loaded[c], loaded[p], c, cc, p, pc) for c, cc, p, pc, _ in FOREIGN_KEYS
-        ])
-        bad = [(r.rule, r.violations) for r in audits.where(F.col("violations") > 0).collect()]
-        if bad:
-            raise LoadAuditError(f"orphaned rows after load: {bad}")
-    return loaded
+        conform(read_csv(spark, csv_paths[name], name), name).write.parquet(f"{staging}/{name}")
+        staged[name] = spark.read.schema(SCHEMAS[name]).parquet(f"{staging}/{name}")
+    fs, folder = file_system(spark, staging)
+    try:
+        if audit:
+            bad = [(r.rule, r.violations) for r in constraint_audits(staged).where(F.col("violations") > 0).collect()]
+            if bad:
+                raise LoadAuditError(f"constraints broken by the load, nothing published: {bad}")
+        for name in LOAD_ORDER:
+            publish(spark, f"{staging}/{name}", f"{target}/{name}")
+    finally:
+        fs.delete(folder, True)
+    return {name: spark.read.schema(SCHEMAS[name]).parquet(f"{target}/{name}") for name in LOAD_ORDER}
 
 
 def row_counts(tables: dict[str, DataFrame], column: str) -> DataFrame:
@@ -117,23 +163,23 @@ def reconcile(source: dict[str, DataFrame], loaded: dict[str, DataFrame]) -> Dat
     )
 
 
-def write_partitioned_ledger(transactions: DataFrame, path: str, date_col: str = "transaction_date") -> None:
-    """s9: transactions laid out by month.
+def month_column(date_col: str) -> str:
+    return date_col.removesuffix("_date") + "_month"
 
-    Rows are range-partitioned on (month, transaction id) before the write:
-    each task covers a slice of consecutive months, so it writes into few
-    month directories, and a month holding a large share of the rows is split
-    over several tasks instead of landing in one."""
-    with_month = transactions.withColumn("transaction_month", month_start(date_col))
-    (
-        with_month.repartitionByRange("transaction_month", "transaction_id")
-        .write.mode("overwrite")
-        .partitionBy("transaction_month")
-        .parquet(path)
-    )
+
+def write_partitioned_ledger(rows: DataFrame, path: str, date_col: str = "transaction_date", key: str = "transaction_id") -> None:
+    """s9: a table laid out by the month of ``date_col``.
+
+    Rows are range-partitioned on (month, key) before the write: each task covers a
+    slice of consecutive months, so it writes into few month directories, and a month
+    holding a large share of the rows is split over several tasks."""
+    month = month_column(date_col)
+    rows.withColumn(month, month_start(date_col)).repartitionByRange(month, key).write.mode("overwrite").partitionBy(month).parquet(path)
 
 
-def read_month(spark: SparkSession, path: str, month: str) -> DataFrame:
-    """One month of the partitioned ledger: the filter on the partition
-    column becomes a ``PartitionFilters`` entry (directory pruning)."""
-    return spark.read.parquet(path).where(F.col("transaction_month") == F.lit(month).cast("date"))
+def read_month(spark: SparkSession, path: str, month: str, table: str = "transactions", date_col: str = "transaction_date") -> DataFrame:
+    """One month of a table laid out by month: the filter on the partition column
+    becomes a ``PartitionFilters`` entry (directory pruning).  The schema is fixed."""
+    column = month_column(date_col)
+    schema = T.StructType([*SCHEMAS[table].fields, T.StructField(column, T.DateType())])
+    return spark.read.schema(schema).parquet(path).where(F.col(column) == F.lit(month).cast("date"))

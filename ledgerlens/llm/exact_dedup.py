@@ -28,7 +28,13 @@ from pyspark.sql import types as T
 
 from ledgerlens.llm.common import WHITE, land, run_folder, text_of
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: Settings while the stream runs.  Changed rows alone are uploaded to the checkpoint, and
+#: a store takes the disk that it uses (by default each preallocates some MB, for every partition).
+STATE = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+}
 #: Rows of a hit group that one task compares with its stored document.
 SALT_ROWS = 2048
 ARRIVAL = T.StructType([
@@ -78,7 +84,7 @@ class DedupStream:
 
     def _consume(self) -> None:
         """Run the stream over what is new in the inbox, then stop."""
-        spark, key = self.spark, "spark.sql.streaming.stateStore.providerClass"
+        spark = self.spark
         source = spark.readStream.schema(ARRIVAL)
         if self.files_per_batch:
             source = source.option("maxFilesPerTrigger", self.files_per_batch)
@@ -91,8 +97,9 @@ class DedupStream:
         def keep(batch: DataFrame, number: int) -> None:
             batch.withColumn("batch", F.lit(number)).write.mode("overwrite").parquet(f"{changed}/batch={number}")
 
-        before = spark.conf.get(key, None)
-        spark.conf.set(key, ROCKSDB)
+        before = {key: spark.conf.get(key, None) for key in STATE}
+        for key, value in STATE.items():
+            spark.conf.set(key, value)
         try:
             query = (
                 state.writeStream.outputMode("update").foreachBatch(keep)
@@ -100,7 +107,8 @@ class DedupStream:
             )
             query.awaitTermination()
         finally:
-            spark.conf.set(key, before) if before else spark.conf.unset(key)
+            for key, value in before.items():
+                spark.conf.set(key, value) if value is not None else spark.conf.unset(key)
 
     def held(self) -> DataFrame:
         """The state: digest, first_id (stable identifier), locator, group_size."""

@@ -140,19 +140,21 @@ def links(distinct: DataFrame, radius: int = RADIUS, tile: int = TILE) -> DataFr
 
 
 def classes(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, tile: int = TILE) -> DataFrame:
-    """Per row of ``docs``: __id, __hash, fp, and component_id, the smallest __id reachable."""
+    """Per row of ``docs``: __id, __hash, fp, root (the component's smallest fingerprint) and component_id, the smallest __id reachable.
+
+    Only ``root`` tells components apart: those of null ids, or of one repeated id, share a component_id."""
     marked = land(fingerprints(docs, shingle), run_folder(docs.sparkSession, "simhash"))
     nodes = marked.groupBy("fp").agg(F.min("__id").alias("least"))
     roots = components(links(nodes.select("fp"), radius, tile)).withColumnRenamed("node", "fp")
     rooted = nodes.join(roots, "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    return marked.join(rooted.select("fp", "root").join(least, "root").select("fp", "component_id"), "fp")
+    return marked.join(rooted.select("fp", "root").join(least, "root").select("fp", "root", "component_id"), "fp")
 
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """One document of each component, its smallest ``doc_id`` (then the smaller text hash), all columns."""
     found = classes(docs, shingle, radius)
-    first = found.groupBy("component_id").agg(F.min(F.struct("__id", "__hash")).alias("k")).select("k.*")
+    first = found.groupBy("root").agg(F.min(F.struct("__id", "__hash")).alias("k")).select("k.*")
     copies = found.groupBy("__id", "__hash").agg(F.count(F.lit(1)).alias("__copies"))
     return rows_chosen(docs, copies.join(first, ["__id", "__hash"]))
 

@@ -97,5 +97,14 @@ def test_one_of_each_group_stays(spark):
     assert kept.columns == ["doc_id", "text", "fp", "tile"]
 
 
+def test_unlike_texts_with_null_or_equal_ids_stay(spark):
+    texts = ["quite another thing here", "nothing like the rest of them", "a third text of its own kind"]
+    rows = [(None, t, 0, 0) for t in texts] + [(None, texts[0], 0, 0), (5, "one text under number five", 0, 0), (5, "far away words share that id", 0, 0)]
+    prints = [brute_print(t) for _, t, _, _ in rows]
+    assert all(a == b or bin(a ^ b).count("1") > 3 for a in prints for b in prints)
+    kept = simhash.keep_one(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert sorted((r.doc_id or 0, r.text) for r in kept) == sorted({(r[0] or 0, r[1]) for r in rows})
+
+
 def test_empty_table(spark):
     assert simhash.classes(spark.createDataFrame([], SCHEMA)).count() == 0

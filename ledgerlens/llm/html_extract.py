@@ -13,9 +13,10 @@ task has met before only add to the slots' statistics.
 
 The wrapper then says which parts are the article: boilerplate parts are known by their
 tags, roles and names; a single slot with one and the same text on every page of a host
-is template text; the main part is the article (or main) element, else the part in which
-the descent along the bulk of the text ends.  Every page is parsed whole and read
-through its host's wrapper, block by block.
+is template text.  The main part is the article (or main) element, judged against those
+of the same page; on hosts without, the part in which the descent along the bulk of the
+host's text ends.  A page that has neither makes the same descent in its own tree.  Every
+page is parsed whole and read through its host's wrapper, block by block.
 
 Defined cases: a null or empty page has an empty text; a null or odd url is host ""; an
 unclosed script or comment reaches to the page's end; elements nested over ``DEPTH``
@@ -272,40 +273,60 @@ def _parts(node: dict):
             yield c
 
 
-def marked(wrapper: dict) -> dict:
-    """Set "main" on the parts that hold the article and "skip" on template text inside them."""
-    found: list[tuple[str, dict]] = []
+def _kind(label: str) -> str:
+    """"article" or "main" for a label that names the main part, else ""."""
+    tag = tag_of(label)
+    return "article" if tag == "article" or label.endswith("@articlebody") else "main" if tag == "main" or label.endswith("@main") else ""
 
-    def look(node: dict, inside: str) -> None:
-        for c in _parts(node):
-            if c["l"] == "#" or c["l"].startswith("!"):
-                continue
-            kind = "article" if tag_of(c["l"]) == "article" or c["l"].endswith("@articlebody") else "main" if tag_of(c["l"]) == "main" or c["l"].endswith("@main") else ""
+
+def candidates(root, parts, label) -> list[tuple[str, object]]:
+    """(kind, part) of the article and main parts below ``root``, articles inside articles left out."""
+    found = []
+
+    def look(node, inside: str) -> None:
+        for c in parts(node):
+            kind = _kind(label(c))
             if kind and not (inside == "article" and kind == "article"):
                 found.append((kind, c))
             look(c, "article" if inside == "article" else kind or inside)
 
-    look(wrapper, "")
-    for kind in ("article", "main"):
-        sized = [(_size(c), c) for k, c in found if k == kind]
-        most = max((n for n, _ in sized), default=0)
-        if most:
-            for n, c in sized:
-                if 4 * n >= most:
-                    c["main"] = 1
-            break
+    look(root, "")
+    return found
+
+
+def descent(at, parts, size, label) -> tuple:
+    """The part in which the descent along the bulk of the text ends, and the h1 parts beside its way."""
+    titles = []
+    while True:
+        below = list(parts(at))
+        titles += [c for c in below if tag_of(label(c)) == "h1"]
+        large = max(below, key=size, default=None)
+        if large is None or tag_of(label(large)) in TEXT_LIKE or size(large) < BULK * max(1, size(at)):
+            return at, titles
+        at = large
+
+
+def _wrapper_parts(node: dict):
+    return (c for c in _parts(node) if c["l"] != "#" and not c["l"].startswith("!"))
+
+
+def _page_parts(node: list):
+    return (c for c in node[1] if not isinstance(c, str) and not c[0].startswith("!"))
+
+
+def marked(wrapper: dict) -> dict:
+    """Set "main" on the parts that hold the article, "within" on all that a page may choose, and "skip" on template text inside them."""
+    label = lambda c: c["l"]
+    found = [c for _, c in candidates(wrapper, _wrapper_parts, label) if _size(c)]
+    if found:  # each page chooses among its own
+        wrapper["chosen"] = 1
+        for c in found:
+            c["within"] = 1
     else:
-        at = wrapper
-        while True:
-            parts = [c for c in _parts(at) if c["l"] != "#" and not c["l"].startswith("!")]
-            large = max(parts, key=_size, default=None)
-            for c in parts:
-                if tag_of(c["l"]) == "h1":
-                    c["main"] = 1
-            if large is None or tag_of(large["l"]) in TEXT_LIKE or _size(large) < BULK * max(1, _size(at)):
-                break
-            at = large
-        at["main"] = 1
+        at, titles = descent(wrapper, _wrapper_parts, _size, label)
+        for c in titles:
+            c["main"] = c["within"] = 1
+        at["main"] = at["within"] = 2
     slots: list[dict] = []
 
     def gather(node: dict, inside: bool, once: bool) -> None:
@@ -315,7 +336,7 @@ def marked(wrapper: dict) -> dict:
             return
         if not node["l"].startswith("!"):
             for c in node["c"]:
-                gather(c, inside or bool(node.get("main")), once and node["q"][1] == 1)
+                gather(c, inside or bool(node.get("within")), once and node["q"][1] == 1)
 
     gather(wrapper, False, True)
     constant = [s for s in slots if s["t"] is not None and s["p"] >= TEMPLATE_PAGES]
@@ -325,9 +346,55 @@ def marked(wrapper: dict) -> dict:
     return wrapper
 
 
+def matched(tree: list, wrapper: dict) -> dict[int, dict]:
+    """The wrapper's part of each of the page's elements that has one, by the element's id()."""
+    of = {}
+
+    def match(node: list, w: dict) -> None:
+        of[id(node)] = w
+        parts, k = list(_parts(w)), 0
+        for child in _page_parts(node):
+            label = child[0]
+            part = next((p for p in parts[k:] if p["l"] == label), None) or next((p for p in parts if p["l"] in (label, bare(label))), None)
+            if part is not None:
+                k = next(i for i, p in enumerate(parts) if p is part)
+                match(child, part)
+
+    match(tree, wrapper)
+    return of
+
+
+def main_parts(tree: list, wrapper: dict, of: dict[int, dict]) -> set[int]:
+    """The id() of each element that holds the page's article: the page's own article or main
+    elements, else the part that the host's wrapper marks, else the end of the page's own descent."""
+    sizes: dict[int, int] = {}
+
+    def measure(node: list) -> int:
+        sizes[id(node)] = n = sum(len(" ".join(c.split())) for c in node[1] if isinstance(c, str)) + sum(map(measure, _page_parts(node)))
+        return n
+
+    measure(tree)
+    size, label = lambda c: sizes[id(c)], lambda c: c[0]
+    found = candidates(tree, _page_parts, label)
+    for kind in ("article", "main"):
+        own = [c for k, c in found if k == kind]
+        most = max(map(size, own), default=0)
+        if most:
+            return {id(c) for c in own if 4 * size(c) >= most}
+    if found and wrapper.get("chosen"):  # an empty article
+        return set()
+    by_host = {k: w["main"] for k, w in of.items() if w.get("main")}
+    if any(rank == 2 and sizes[k] for k, rank in by_host.items()):
+        return set(by_host)
+    at, titles = descent(tree, _page_parts, size, label)
+    return {id(at), *map(id, titles)}
+
+
 def extracted(tree: list, wrapper: dict) -> str:
     """The blocks of a page's main part, in page order, read through the wrapper."""
     blocks, text = [], []
+    of = matched(tree, wrapper)
+    chosen = main_parts(tree, wrapper, of)
 
     def flush() -> None:
         words = " ".join(html.unescape("".join(text)).split())
@@ -335,10 +402,10 @@ def extracted(tree: list, wrapper: dict) -> str:
         if words:
             blocks.append(words)
 
-    def read(node: list, w: dict | None, main: bool) -> None:
-        parts = list(_parts(w)) if w else []
-        slots = [p for p in parts if p["l"] == "#"]
-        k = 0
+    def read(node: list, main: bool) -> None:
+        main = main or id(node) in chosen
+        w = of.get(id(node))
+        slots = [p for p in _parts(w) if p["l"] == "#"] if w else []
         skip = main and len(slots) == 1 and bool(slots[0].get("skip"))
         for child in node[1]:
             if isinstance(child, str):
@@ -349,18 +416,18 @@ def extracted(tree: list, wrapper: dict) -> str:
                         text.append(child)
                 continue
             flush()
-            label = child[0]
-            if label.startswith("!"):
+            if child[0].startswith("!"):
                 continue
-            if main and tag_of(label) == "header":  # in an article: its headings only
-                child = [label, [c for c in child[1] if not isinstance(c, str) and re.match(r"h[1-6]\b", c[0])]]
-            part = next((p for p in parts[k:] if p["l"] == label), None) or next((p for p in parts if p["l"] in (label, bare(label))), None)
-            if part is not None:
-                k = next(i for i, p in enumerate(parts) if p is part)
-            read(child, part, main or bool(part and part.get("main")))
+            if main and tag_of(child[0]) == "header":  # in an article: its headings only
+                for c in child[1]:
+                    if not isinstance(c, str) and re.match(r"h[1-6]\b", c[0]):
+                        read(c, True)
+                        flush()
+            else:
+                read(child, main)
             flush()
 
-    read(tree, wrapper, bool(wrapper.get("main")))
+    read(tree, False)
     flush()
     return "\n".join(blocks)
 

@@ -54,6 +54,17 @@ def test_a_constant_slot_in_the_article_is_template_text_unless_all_pages_are_co
     assert texts([page(i) for i in range(3)])[1] == "Always the same\nbody 1"
 
 
+def test_each_page_of_a_host_has_its_own_main_part():
+    words = "some text of the page " * 20
+    post = [f"<body><article class='post'><h1>T {i}</h1><p>{words}{i}</p></article></body>" for i in range(9)]
+    other = ["<body><article class='opinion'><p>an opinion</p></article></body>", "<body><div>Top</div><main><p>only main</p></main></body>",
+             f"<body><div>Top</div><div class='content'><p>{words}</p><p>no article here</p></div></body>"]
+    assert texts(post + other)[9:] == ["an opinion", "only main", f"{words.strip()}\nno article here"]
+    assert texts(post + ["<body><div>Top</div><article></article></body>"])[9] == ""
+    most = [f"<body><div class='a'><p>{words}{i}</p><p>end</p></div></body>" for i in range(20)]
+    assert texts(most + ["<body><div class='b'><p>another</p><p>template</p></div></body>"])[20] == "another\ntemplate"
+
+
 @pytest.mark.parametrize("page", ["", "   ", "plain text only", "<", "<p", "<!-- open", "<script>never closed", "</p></div>", "<p>" * 3000, "<div>" * 9000 + "deep", "<p a='unclosed>x</p>", "a < b & c", "<table><tr><td>a<td>b<tr><td>c</table>", "\x00<p>x</p>"])
 def test_odd_pages_do_not_crash(page):
     assert isinstance(texts([page, page, "<p>x</p>"])[0], str)

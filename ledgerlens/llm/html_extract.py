@@ -12,8 +12,8 @@ a third of all pages costs no task more than its share.  Pages whose folded stre
 task has met before only add to the slots' statistics.
 
 The wrapper then says which parts are the article: boilerplate parts are known by their
-tags, roles and names; a single slot with one and the same text on every page of a host
-is template text.  The main part is the article (or main) element, judged against those
+tags, roles and names; a single slot with one and the same text on every page of a host,
+outside headings, paragraphs and the like, is template text.  The main part is the article (or main) element, judged against those
 of the same page; on hosts without, the part in which the descent along the bulk of the
 host's text ends.  A page that has neither makes the same descent in its own tree.  Every
 page is parsed whole and read through its host's wrapper, block by block.
@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 from ledgerlens.llm.common import land, run_folder, table
 
 SALTS = 64
-#: Pages of a host with one and the same text in a slot before it counts as template text.
+#: Least pages of a host for which a text that all of them have counts as template text.
 TEMPLATE_PAGES = 5
 #: Elements nested deeper than this are flattened into their ancestor.
 DEPTH = 80
@@ -152,6 +152,7 @@ def _close(stack: list, tags: tuple, stop: frozenset | tuple) -> None:
 
 # A wrapper node: {"l": label, "q": [least, most], "c": children}; most 2 stands for any number.
 # A slot: {"l": "#", "q": ..., "t": hash of the one text it had, or null, "n": characters, "p": pages}.
+# The root also has "p", the host's pages.
 # A repeated group of several parts: {"l": "(a|b)", "q": ..., "c": parts}.
 
 
@@ -172,7 +173,8 @@ def stream(tree: list) -> dict:
             slot()
             children.append(stream(child))
     slot()
-    return {"l": tree[0], "q": [1, 1], "c": folded(children)}
+    node = {"l": tree[0], "q": [1, 1], "c": folded(children)}
+    return node if tree[0] else node | {"p": 1}
 
 
 def folded(parts: list[dict]) -> list[dict]:
@@ -225,7 +227,8 @@ def joined(a: dict, b: dict, repeat: bool) -> dict:
     if a["l"] == "#":
         pages = max(a["p"], b["p"]) if repeat else a["p"] + b["p"]
         return {"l": "#", "q": quantity, "t": a["t"] if a["t"] == b["t"] and not repeat else None, "n": a["n"] + b["n"], "p": pages}
-    return {"l": a["l"], "q": quantity, "c": aligned(a["c"], b["c"])}
+    node = {"l": a["l"], "q": quantity, "c": aligned(a["c"], b["c"])}
+    return node | {"p": a["p"] + b["p"]} if "p" in a else node
 
 
 def aligned(a: list[dict], b: list[dict]) -> list[dict]:
@@ -327,22 +330,24 @@ def marked(wrapper: dict) -> dict:
         for c in titles:
             c["main"] = c["within"] = 1
         at["main"] = at["within"] = 2
-    slots: list[dict] = []
+    slots: list[tuple[dict, bool]] = []
 
-    def gather(node: dict, inside: bool, once: bool) -> None:
+    def gather(node: dict, inside: bool, always: bool, prose: bool) -> None:
+        once = always and node["q"] == [1, 1]
         if node["l"] == "#":
-            if inside and once and node["q"][1] == 1:
-                slots.append(node)
+            if inside and node["q"][1] == 1:
+                slots.append((node, once and not prose))
             return
-        if not node["l"].startswith("!"):
+        if not node["l"].startswith("!") and node["q"][1] == 1:
             for c in node["c"]:
-                gather(c, inside or bool(node.get("within")), once and node["q"][1] == 1)
-
-    gather(wrapper, False, True)
-    constant = [s for s in slots if s["t"] is not None and s["p"] >= TEMPLATE_PAGES]
-    if any(s["t"] is None for s in slots):  # else all the host's pages may be copies
-        for s in constant:
-            s["skip"] = 1
+                gather(c, inside or bool(node.get("within")), once, prose or tag_of(node["l"]) in TEXT_LIKE)
+
+    gather(wrapper, False, True, False)
+    pages = wrapper["p"]
+    if any(s["t"] is None for s, _ in slots):  # else all the host's pages may be copies
+        for s, template in slots:
+            if template and s["t"] is not None and s["p"] == pages >= TEMPLATE_PAGES:
+                s["skip"] = 1
     return wrapper
 
 
@@ -390,6 +395,11 @@ def main_parts(tree: list, wrapper: dict, of: dict[int, dict]) -> set[int]:
     return {id(at), *map(id, titles)}
 
 
+def own_text(node: list) -> int:
+    """The hash that stream() gives to an element's text, when it is one slot."""
+    return crc32(" ".join("".join(c for c in node[1] if isinstance(c, str)).split()).encode("utf-8", "replace"))
+
+
 def extracted(tree: list, wrapper: dict) -> str:
     """The blocks of a page's main part, in page order, read through the wrapper."""
     blocks, text = [], []
@@ -406,7 +416,7 @@ def extracted(tree: list, wrapper: dict) -> str:
         main = main or id(node) in chosen
         w = of.get(id(node))
         slots = [p for p in _parts(w) if p["l"] == "#"] if w else []
-        skip = main and len(slots) == 1 and bool(slots[0].get("skip"))
+        skip = main and len(slots) == 1 and bool(slots[0].get("skip")) and slots[0]["t"] == own_text(node)
         for child in node[1]:
             if isinstance(child, str):
                 if main and not skip:
@@ -457,6 +467,8 @@ def _add(w: dict, page: dict) -> None:
         if w["t"] != page["t"]:
             w["t"] = None
         return
+    if "p" in w:
+        w["p"] += page["p"]
     at = 0
     for part in page["c"]:
         k = next((i for i in range(at, len(w["c"])) if w["c"][i]["l"] in (part["l"], bare(part["l"]))), None)

@@ -65,6 +65,22 @@ def test_each_page_of_a_host_has_its_own_main_part():
     assert texts(most + ["<body><div class='b'><p>another</p><p>template</p></div></body>"])[20] == "another\ntemplate"
 
 
+def test_constant_text_of_some_pages_and_constant_headings_stay():
+    plain = [f"<article><p>body {i}</p></article>" for i in range(20)]
+    copies = ["<article><div>Only here</div><blockquote>Said once</blockquote><p>copied</p></article>"] * 6
+    assert texts(plain + copies)[20:] == ["Only here\nSaid once\ncopied"] * 6
+    assert texts(copies + plain)[0] == "Only here\nSaid once\ncopied"
+    assert texts([f"<article><h2>Summary</h2><p>body {i}</p></article>" for i in range(9)])[4] == "Summary\nbody 4"
+
+
+def test_pages_of_a_known_shape_count(spark):
+    rows = [(i, "http://h.example/", f"<article><div>{'Read on' if i % 2 else 'Other'}</div><p>body {i}</p></article>", "", "", "") for i in range(12)]
+    rows += [(i, "http://k.example/", f"<article><div>Same</div><p>body {i}</p></article>", "", "", "") for i in range(12)]
+    pages = spark.createDataFrame(rows, SCHEMA).coalesce(2)
+    got = {(r.url, r.page_id): r.text for r in hx.extract(pages, hx.wrappers(pages)).collect()}
+    assert got["http://h.example/", 3] == "Read on\nbody 3" and got["http://k.example/", 3] == "body 3"
+
+
 @pytest.mark.parametrize("page", ["", "   ", "plain text only", "<", "<p", "<!-- open", "<script>never closed", "</p></div>", "<p>" * 3000, "<div>" * 9000 + "deep", "<p a='unclosed>x</p>", "a < b & c", "<table><tr><td>a<td>b<tr><td>c</table>", "\x00<p>x</p>"])
 def test_odd_pages_do_not_crash(page):
     assert isinstance(texts([page, page, "<p>x</p>"])[0], str)

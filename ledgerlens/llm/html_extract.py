@@ -99,15 +99,66 @@ def tag_of(label: str) -> str:
     return label.lstrip("!").split(" ", 1)[0]
 
 
+class _Open:
+    """The open elements of a page being parsed, as (tag, node, first).
+
+    ``first`` has, for the elements since the last list-like one, the place of the
+    outermost of each tag that a neighbour of its kind closes; so a step's cost doesn't
+    grow with the depth.  Elements over ``DEPTH`` deep share their ancestor's node, boilerplate
+    among them has a node outside the tree."""
+
+    def __init__(self, root: list):
+        self.stack, self.places = [("", root, {})], {}
+
+    @property
+    def node(self) -> list:
+        return self.stack[-1][1]
+
+    def push(self, tag: str, label: str) -> None:
+        above, place = self.node[1], len(self.stack)
+        if place < DEPTH:
+            node = [label, []]
+            above.append(node)
+        else:
+            above.append("\n")
+            node = ["!", []] if label.startswith("!") else self.node
+        first = {} if tag in LIST_LIKE else self.stack[-1][2]
+        if tag in OWN_KIND:
+            first.setdefault(tag, place)
+        self.places.setdefault(tag, []).append(place)
+        self.stack.append((tag, node, first))
+
+    def close_from(self, place: int) -> None:
+        while len(self.stack) > place:
+            tag, node, first = self.stack.pop()
+            self.places[tag].pop()
+            if first.get(tag) == len(self.stack):
+                del first[tag]
+            if len(self.stack) >= DEPTH:
+                self.node[1].append("\n")
+
+    def close(self, tag: str) -> None:
+        """Close the innermost open element of this tag, and all inside it."""
+        if self.places.get(tag):
+            self.close_from(self.places[tag][-1])
+
+    def close_kind(self, tag: str) -> None:
+        """Close the outermost open element that ``tag`` ends, above the nearest list-like one."""
+        first = self.stack[-1][2]
+        found = [first[t] for t in OWN_KIND[tag] if t in first]
+        if found:
+            self.close_from(min(found))
+
+
 def parsed(page: str) -> list:
     """The page as a tree of [label, children]; a child is an element, a text, or "\\n" for a line break.
 
     Inline elements go, their text stays; omitted end tags are supplied."""
     root = ["", []]
-    stack, at = [("", root)], 0
+    opened, at = _Open(root), 0
     for m in _TOKEN.finditer(page):
         if m.start() > at:
-            stack[-1][1][1].append(page[at:m.start()])
+            opened.node[1].append(page[at:m.start()])
         at = m.end()
         tag = m["tag"]
         if tag is None:
@@ -117,39 +168,23 @@ def parsed(page: str) -> list:
             continue
         if m["end"]:
             if tag == "br":
-                stack[-1][1][1].append("\n")
-            elif any(name == tag for name, _ in stack):
-                while stack.pop()[0] != tag:
-                    pass
+                opened.node[1].append("\n")
+            else:
+                opened.close(tag)
             continue
         if tag in VOID:
-            stack[-1][1][1].append("\n")
+            opened.node[1].append("\n")
             continue
-        if tag in CLOSED_BY_BLOCK and any(name == "p" for name, _ in stack):
-            _close(stack, ("p",), ())
+        if tag in CLOSED_BY_BLOCK:
+            opened.close("p")
         if tag in OWN_KIND:
-            _close(stack, OWN_KIND[tag], LIST_LIKE)
-        node = [label_of(tag, m["rest"]), []]
-        stack[-1][1][1].append(node)
-        if len(stack) < DEPTH:
-            stack.append((tag, node))
+            opened.close_kind(tag)
+        opened.push(tag, label_of(tag, m["rest"]))
     if at < len(page):
-        stack[-1][1][1].append(page[at:])
+        opened.node[1].append(page[at:])
     return root
 
 
-def _close(stack: list, tags: tuple, stop: frozenset | tuple) -> None:
-    """Close the outermost open element of ``tags`` above the nearest of ``stop``."""
-    k = len(stack) - 1
-    found = None
-    while k > 0 and stack[k][0] not in stop:
-        if stack[k][0] in tags:
-            found = k
-        k -= 1
-    if found is not None:
-        del stack[found:]
-
-
 # A wrapper node: {"l": label, "q": [least, most], "c": children}; most 2 stands for any number.
 # A slot: {"l": "#", "q": ..., "t": hash of the one text it had, or null, "n": characters, "p": pages}.
 # The root also has "p", the host's pages.

@@ -81,6 +81,14 @@ def test_pages_of_a_known_shape_count(spark):
     assert got["http://h.example/", 3] == "Read on\nbody 3" and got["http://k.example/", 3] == "body 3"
 
 
+def test_text_after_a_region_nested_too_deep_stays_in_the_article():
+    deep = "<div>" * 100 + "deep<p>est</p>er<div class='ad'><div>Buy</div> now</div><ul><li class='ad'>Buy<li>an item</ul>" + "</div>" * 100
+    page = f"<body><div>Top</div><div><article><p>before</p>{deep}<p>after</p></article></div><div>End</div></body>"
+    assert texts([page]) == ["before\ndeep\nest\ner\nan item\nafter"]
+    many = "<ul>" + "<center>" * 50_000 + "<li>a" * 50_000
+    assert texts([f"<article>{many}</article>"])[0].count("a") == 50_000
+
+
 @pytest.mark.parametrize("page", ["", "   ", "plain text only", "<", "<p", "<!-- open", "<script>never closed", "</p></div>", "<p>" * 3000, "<div>" * 9000 + "deep", "<p a='unclosed>x</p>", "a < b & c", "<table><tr><td>a<td>b<tr><td>c</table>", "\x00<p>x</p>"])
 def test_odd_pages_do_not_crash(page):
     assert isinstance(texts([page, page, "<p>x</p>"])[0], str)

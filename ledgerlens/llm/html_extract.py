@@ -12,7 +12,8 @@ a third of all pages costs no task more than its share.  Pages whose folded stre
 task has met before only add to the slots' statistics.
 
 The wrapper then says which parts are the article: boilerplate parts are known by their
-tags, roles and names; a single slot with one and the same text on every page of a host,
+tags, roles and names (a name counts if it is, or ends in, a word for boilerplate, and the
+part doesn't hold the article or the bulk of the text; a header gives its headings); a single slot with one and the same text on every page of a host,
 outside headings, paragraphs and the like, is template text.  The main part is the article (or main) element, judged against those
 of the same page; on hosts without, the part in which the descent along the bulk of the
 host's text ends.  A page that has neither makes the same descent in its own tree.  Every
@@ -63,6 +64,10 @@ nav navbar navigation menu breadcrumb breadcrumbs sidebar aside footer header ma
 consent gdpr popup modal overlay alert comment comments commentlist disqus reply replies respond share sharing social related recommended
 recommendations subscribe subscription newsletter signup login search pagination pager widget widgets skip copyright paywall teaser outbrain taboola""".split())
 KEPT_WHATEVER_NAME = frozenset("html body main".split())
+#: Words of a name that say how its element looks or what is beside it, and last words that only say that it is a box.
+STATE_WORDS = frozenset("has have with without no not non".split())
+BOX_WORDS = frozenset("""area bar block bottom box button buttons column container content div form group holder icons inner item items
+left links list outer panel posts right row section slot top unit wrap wrapper""".split())
 
 _TAG = r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+"""
 _TOKEN = re.compile(
@@ -80,23 +85,40 @@ def host_of(url: str | None) -> str:
     return m[1].lower() if m else ""
 
 
+def name_says(name: str) -> str:
+    """The boilerplate word that a class or id ends in (words for a box left out), else ""."""
+    words = [w.lower() for w in _NAME.findall(name)]
+    if STATE_WORDS & set(words[:-1]):
+        return ""
+    while len(words) > 1 and words[-1] in BOX_WORDS:
+        words.pop()
+    return words[-1] if words and words[-1] in DROPPED_NAMES else ""
+
+
+@lru_cache(maxsize=20_000)
+def doubt_of(label: str) -> tuple[bool, bool]:
+    """Of an element that is boilerplate by name only: is a whole name boilerplate, and do its names say no more than header?"""
+    names = [n for n in label.split(" ")[1:] if not n.startswith("@")]
+    said = {name_says(n) for n in names} - {""}
+    return any([w.lower() for w in _NAME.findall(n)] == [name_says(n)] for n in names), said <= {"header", "masthead"}
+
+
 @lru_cache(maxsize=20_000)
 def label_of(tag: str, rest: str) -> str:
-    """An element's symbol: its tag, and its names (numbers left out) and role; "!" first if it is boilerplate."""
+    """An element's symbol: its tag, and its names (numbers left out) and role; "!" first if it is boilerplate, "~" if by its names only."""
     attributes = {a.lower(): b or c or d for a, b, c, d in _ATTRIBUTE.findall(rest)} if rest.strip(" /") else {}
     names = sorted({re.sub(r"\d+", "", n) for k in ("class", "id") for n in attributes.get(k, "").split()})
     role = attributes.get("role", "").lower() or ("articlebody" if attributes.get("itemprop", "").lower() == "articlebody" else "")
     hidden = attributes.get("aria-hidden") == "true" or re.search(r"display\s*:\s*none", attributes.get("style", "")) or re.search(r"(?:^|\s)hidden(?:\s|$|=)", rest)
-    words = {w.lower() for n in names for w in _NAME.findall(n)}
-    named = words & DROPPED_NAMES and tag not in KEPT_WHATEVER_NAME and role not in ("main", "articlebody")
+    named = any(map(name_says, names)) and tag not in KEPT_WHATEVER_NAME and role not in ("main", "articlebody")
+    dropped = tag in DROPPED or role in DROPPED_ROLES or hidden
     if tag == "article":  # a class may only describe an article, unless it names it outright
-        named = {n.lower() for n in names} & DROPPED_NAMES
-    dropped = tag in DROPPED or role in DROPPED_ROLES or named or hidden
-    return ("!" if dropped else "") + " ".join([tag, *names, *([f"@{role}"] if role else [])])
+        dropped, named = dropped or {n.lower() for n in names} & DROPPED_NAMES, False
+    return ("!" if dropped else "~" if named else "") + " ".join([tag, *names, *([f"@{role}"] if role else [])])
 
 
 def tag_of(label: str) -> str:
-    return label.lstrip("!").split(" ", 1)[0]
+    return label.lstrip("!~").split(" ", 1)[0]
 
 
 class _Open:
@@ -105,7 +127,7 @@ class _Open:
     ``first`` has, for the elements since the last list-like one, the place of the
     outermost of each tag that a neighbour of its kind closes; so a step's cost doesn't
     grow with the depth.  Elements over ``DEPTH`` deep share their ancestor's node, boilerplate
-    among them has a node outside the tree."""
+    among them has a node outside the tree, or by name only, a node of its own."""
 
     def __init__(self, root: list):
         self.stack, self.places = [("", root, {})], {}
@@ -122,6 +144,9 @@ class _Open:
         else:
             above.append("\n")
             node = ["!", []] if label.startswith("!") else self.node
+            if label.startswith("~") and not node[0].startswith("~"):
+                node = [label, []]
+                above.append(node)
         first = {} if tag in LIST_LIKE else self.stack[-1][2]
         if tag in OWN_KIND:
             first.setdefault(tag, place)
@@ -239,7 +264,7 @@ def folded(parts: list[dict]) -> list[dict]:
 
 def bare(label: str) -> str:
     """A label without names and role."""
-    return ("!" if label.startswith("!") else "") + tag_of(label)
+    return (label[0] if label[:1] in ("!", "~") else "") + tag_of(label)
 
 
 def collected(parts: list[dict], name) -> list[dict]:
@@ -298,8 +323,17 @@ def expression(node: dict) -> str:
 
 
 def _size(node: dict) -> int:
-    """Characters in a part, boilerplate left out."""
-    return node["n"] if node["l"] == "#" else 0 if node["l"].startswith("!") else sum(map(_size, node["c"]))
+    """Characters in a part, boilerplate in it left out."""
+    return node["n"] if node["l"] == "#" else sum(_size(c) for c in node["c"] if c["l"][:1] not in ("!", "~"))
+
+
+def _loose(node: dict) -> int:
+    """The same with what is boilerplate by a part of a name only."""
+    return node["n"] if node["l"] == "#" else sum(_loose(c) for c in node["c"] if _counts(c["l"]))
+
+
+def _counts(label: str) -> bool:
+    return not label.startswith("!") and not (label.startswith("~") and doubt_of(label)[0])
 
 
 def _parts(node: dict):
@@ -317,31 +351,60 @@ def _kind(label: str) -> str:
     return "article" if tag == "article" or label.endswith("@articlebody") else "main" if tag == "main" or label.endswith("@main") else ""
 
 
-def candidates(root, parts, label) -> list[tuple[str, object]]:
-    """(kind, part) of the article and main parts below ``root``, articles inside articles left out."""
+#: Added to the doubts of a part inside one that a whole name calls boilerplate.
+WHOLE_NAME = 1_000
+
+
+def candidates(root, parts, label) -> list[tuple[str, object, int]]:
+    """(kind, part, doubts) of the article and main parts below ``root``, articles inside articles left out.
+
+    The doubts count the parts round it that are boilerplate by name."""
     found = []
 
-    def look(node, inside: str) -> None:
+    def look(node, inside: str, doubts: int) -> None:
         for c in parts(node):
-            kind = _kind(label(c))
+            kind, d = _kind(label(c)), doubts
+            if label(c).startswith("~"):
+                kind, d = "", d + (WHOLE_NAME if doubt_of(label(c))[0] else 1)
             if kind and not (inside == "article" and kind == "article"):
-                found.append((kind, c))
-            look(c, "article" if inside == "article" else kind or inside)
+                found.append((kind, c, d))
+            look(c, "article" if inside == "article" else kind or inside, d)
 
-    look(root, "")
+    look(root, "", 0)
     return found
 
 
-def descent(at, parts, size, label) -> tuple:
-    """The part in which the descent along the bulk of the text ends, and the h1 parts beside its way."""
+def best(found: list, size) -> list:
+    """The main parts among candidates: the least doubtful of a good size, articles first."""
+    found = [f for f in found if size(f[1])]
+    found = [f for f in found if f[2] < WHOLE_NAME] or found
+    most = max((size(c) for _, c, _ in found), default=0)
+    least = min((d for _, c, d in found if 4 * size(c) >= most), default=0)
+    for kind in ("article", "main"):
+        own = [c for k, c, d in found if k == kind and d <= least]
+        if own:
+            most = max(map(size, own))
+            return [c for c in own if 4 * size(c) >= most]
+    return []
+
+
+def descent(at, parts, size, loose, label) -> tuple:
+    """The part in which the descent along the bulk of the text ends, and the h1 parts beside its way.
+
+    A part that is boilerplate by name only is gone into if it holds the bulk; by a whole name, if there is no other text."""
     titles = []
     while True:
         below = list(parts(at))
-        titles += [c for c in below if tag_of(label(c)) == "h1"]
-        large = max(below, key=size, default=None)
-        if large is None or tag_of(label(large)) in TEXT_LIKE or size(large) < BULK * max(1, size(at)):
+        plain = [c for c in below if not label(c).startswith("~")]
+        titles += [c for c in plain if tag_of(label(c)) == "h1"]
+        large = max(plain, key=size, default=None)
+        named = max((c for c in below if label(c).startswith("~") and tag_of(label(c)) not in TEXT_LIKE), key=lambda c: (not doubt_of(label(c))[0], loose(c)), default=None)
+        if named is not None and loose(named) and (not loose(at) if doubt_of(label(named))[0] else loose(named) >= BULK * loose(at)):
+            at = named
+        elif large is None or tag_of(label(large)) in TEXT_LIKE or size(large) < BULK * max(1, size(at)):
             return at, titles
-        at = large
+        else:
+            at = large
 
 
 def _wrapper_parts(node: dict):
@@ -353,15 +416,24 @@ def _page_parts(node: list):
 
 
 def marked(wrapper: dict) -> dict:
-    """Set "main" on the parts that hold the article, "within" on all that a page may choose, and "skip" on template text inside them."""
+    """Set "main" on the parts that hold the article, "within" on all that a page may choose, "kept" on boilerplate by name that has the bulk of the text, and "skip" on template text inside them."""
     label = lambda c: c["l"]
-    found = [c for _, c in candidates(wrapper, _wrapper_parts, label) if _size(c)]
+    found = [c for _, c, _ in candidates(wrapper, _wrapper_parts, label) if _size(c) or _loose(c)]
+    bulk = BULK * max(1, _loose(wrapper))
+
+    def keep(node: dict) -> None:
+        for c in _wrapper_parts(node):
+            if c["l"].startswith("~") and _counts(c["l"]) and _loose(c) >= bulk:
+                c["kept"] = 1
+            keep(c)
+
+    keep(wrapper)
     if found:  # each page chooses among its own
         wrapper["chosen"] = 1
         for c in found:
             c["within"] = 1
     else:
-        at, titles = descent(wrapper, _wrapper_parts, _size, label)
+        at, titles = descent(wrapper, _wrapper_parts, _size, _loose, label)
         for c in titles:
             c["main"] = c["within"] = 1
         at["main"] = at["within"] = 2
@@ -373,6 +445,8 @@ def marked(wrapper: dict) -> dict:
             if inside and node["q"][1] == 1:
                 slots.append((node, once and not prose))
             return
+        if node["l"].startswith("~") and inside and not node.get("within") and not node.get("kept"):
+            return
         if not node["l"].startswith("!") and node["q"][1] == 1:
             for c in node["c"]:
                 gather(c, inside or bool(node.get("within")), once, prose or tag_of(node["l"]) in TEXT_LIKE)
@@ -404,30 +478,45 @@ def matched(tree: list, wrapper: dict) -> dict[int, dict]:
     return of
 
 
-def main_parts(tree: list, wrapper: dict, of: dict[int, dict]) -> set[int]:
+def main_parts(tree: list, wrapper: dict, of: dict[int, dict]) -> dict[int, bool]:
     """The id() of each element that holds the page's article: the page's own article or main
-    elements, else the part that the host's wrapper marks, else the end of the page's own descent."""
-    sizes: dict[int, int] = {}
-
-    def measure(node: list) -> int:
-        sizes[id(node)] = n = sum(len(" ".join(c.split())) for c in node[1] if isinstance(c, str)) + sum(map(measure, _page_parts(node)))
-        return n
+    elements, else the part that the host's wrapper marks, else the end of the page's own descent.
+    Its value says whether the element's text is all in parts that are boilerplate by a part of a name."""
+    sizes: dict[int, tuple[int, int]] = {}
+
+    def measure(node: list) -> None:
+        plain = every = sum(len(" ".join(c.split())) for c in node[1] if isinstance(c, str))
+        for c in _page_parts(node):
+            measure(c)
+            p, e = sizes[id(c)]
+            plain += 0 if c[0].startswith("~") else p
+            every += e if _counts(c[0]) else 0
+        sizes[id(node)] = plain, every
 
     measure(tree)
-    size, label = lambda c: sizes[id(c)], lambda c: c[0]
+    size, loose, label = lambda c: sizes[id(c)][0], lambda c: sizes[id(c)][1], lambda c: c[0]
+    only_named = lambda key: not sizes[key][0]
     found = candidates(tree, _page_parts, label)
-    for kind in ("article", "main"):
-        own = [c for k, c in found if k == kind]
-        most = max(map(size, own), default=0)
-        if most:
-            return {id(c) for c in own if 4 * size(c) >= most}
+    own = best(found, lambda c: size(c) or loose(c))
+    if own:
+        return {id(c): only_named(id(c)) for c in own}
     if found and wrapper.get("chosen"):  # an empty article
-        return set()
+        return {}
     by_host = {k: w["main"] for k, w in of.items() if w.get("main")}
-    if any(rank == 2 and sizes[k] for k, rank in by_host.items()):
-        return set(by_host)
-    at, titles = descent(tree, _page_parts, size, label)
-    return {id(at), *map(id, titles)}
+    if any(rank == 2 and sizes[k][1] for k, rank in by_host.items()):
+        return {k: only_named(k) for k in by_host}
+    at, titles = descent(tree, _page_parts, size, loose, label)
+    return {id(c): only_named(id(c)) for c in [at, *titles]}
+
+
+def headings(node: list):
+    """The headings in an element, itself included."""
+    if re.match(r"~?h[1-6]\b", node[0]):
+        yield node
+    else:
+        for c in _page_parts(node):
+            if not c[0].startswith("~") or doubt_of(c[0])[1]:
+                yield from headings(c)
 
 
 def own_text(node: list) -> int:
@@ -447,8 +536,8 @@ def extracted(tree: list, wrapper: dict) -> str:
         if words:
             blocks.append(words)
 
-    def read(node: list, main: bool) -> None:
-        main = main or id(node) in chosen
+    def read(node: list, main: bool, named: bool) -> None:
+        main, named = main or id(node) in chosen, named or chosen.get(id(node), False)
         w = of.get(id(node))
         slots = [p for p in _parts(w) if p["l"] == "#"] if w else []
         skip = main and len(slots) == 1 and bool(slots[0].get("skip")) and slots[0]["t"] == own_text(node)
@@ -461,18 +550,19 @@ def extracted(tree: list, wrapper: dict) -> str:
                         text.append(child)
                 continue
             flush()
-            if child[0].startswith("!"):
+            label = child[0]
+            if label.startswith("!"):
                 continue
-            if main and tag_of(child[0]) == "header":  # in an article: its headings only
-                for c in child[1]:
-                    if not isinstance(c, str) and re.match(r"h[1-6]\b", c[0]):
-                        read(c, True)
-                        flush()
-            else:
-                read(child, main)
+            dropped = main and label.startswith("~") and id(child) not in chosen and not of.get(id(child), {}).get("kept") and not (named and _counts(label))
+            if main and tag_of(label) == "header" or dropped and doubt_of(label)[1]:  # in an article: its headings only
+                for c in headings(child):
+                    read(c, True, False)
+                    flush()
+            elif not dropped:
+                read(child, main, named)
             flush()
 
-    read(tree, False)
+    read(tree, False, False)
     flush()
     return "\n".join(blocks)
 

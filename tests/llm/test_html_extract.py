@@ -89,6 +89,25 @@ def test_text_after_a_region_nested_too_deep_stays_in_the_article():
     assert texts([f"<article>{many}</article>"])[0].count("a") == 50_000
 
 
+WORDS = "some text of the page " * 20
+
+
+@pytest.mark.parametrize("around", ["<div class='content has-sidebar'>", "<div id='page' class='no-sidebar'>", "<section class='share-price'>", "<div class='page-widget'>", "<div class='widget'>"])
+def test_a_name_does_not_drop_the_article(around):
+    close = f"</{around[1:].split()[0]}>"
+    end = f"<div class='related-posts'><article><p>{WORDS}teaser</p></article></div>"
+    assert texts([f"<body><div class='site-header'>Top</div>{around}<article><h1>T</h1><p>{WORDS}</p></article>{end}{close}</body>"]) == [f"T\n{WORDS.strip()}"]
+    if around != "<div class='widget'>":
+        assert texts([f"<body><div>Top</div>{around}<p>{WORDS}</p><p>end {i}</p>{close}</body>" for i in range(3)])[1] == f"{WORDS.strip()}\nend 1"
+        assert texts([f"<body><article>{around}<p>{WORDS}</p><p>end {i}</p>{close}</article></body>" for i in range(3)])[1] == f"{WORDS.strip()}\nend 1"
+
+
+def test_boilerplate_names_in_an_article():
+    inside = "<div class='post-header'><div><h1>T</h1></div>by me</div><h2 class='page-header'>H</h2><p>body</p><section class='share-price'><p>9.50</p></section><div class='share-buttons'>Tweet</div><div class='sidebar'>Side</div><div id='post-comments'><h3>Comments</h3><p>Reader</p></div>"
+    assert texts([f"<article>{inside}</article>"]) == ["T\nH\nbody\n9.50"]
+    assert texts([f"<body><div class='comments'><article><p>{WORDS * 9}</p></article></div><article><p>short</p></article></body>"]) == ["short"]
+
+
 @pytest.mark.parametrize("page", ["", "   ", "plain text only", "<", "<p", "<!-- open", "<script>never closed", "</p></div>", "<p>" * 3000, "<div>" * 9000 + "deep", "<p a='unclosed>x</p>", "a < b & c", "<table><tr><td>a<td>b<tr><td>c</table>", "\x00<p>x</p>"])
 def test_odd_pages_do_not_crash(page):
     assert isinstance(texts([page, page, "<p>x</p>"])[0], str)

@@ -9,11 +9,12 @@ is inferred in the same way from unlabelled candidates.  Then every candidate of
 every document (a run of 16 or more credential characters with a digit or an inner
 capital, outside the base spans) is scored by its mean log-likelihood ratio per
 symbol against the background; those above the kind's threshold become spans of
-kind ``format``.  The threshold is calibrated on held-out values: at least the
-5th percentile of labelled ones and the 99.5th of background ones.
+kind ``format``.  The threshold is calibrated on all distinct values of the corpus:
+at least the 5th percentile of labelled ones and the 99.5th of unlabelled candidates,
+both exact, found by counts in ever narrower bins.
 
-Scans are map-only passes over whole texts; only the bounded samples reach the
-driver.  Null texts count as empty; repeated rows, null ids and extra columns
+Scans are map-only passes over whole texts; only the bounded samples and the bins'
+counts reach the driver.  Null texts count as empty; repeated rows, null ids and extra columns
 change nothing; an empty table gives an empty result; a kind with fewer than
 ``MIN_VALUES`` values gets no automaton (base spans stay).
 """
@@ -42,6 +43,8 @@ DIGIT_OR_INNER_CAPITAL = re.compile(r"[0-9]|.[A-Z]")
 FIT_VALUES = 600
 MIN_VALUES = 20
 ALPHA = 0.05
+#: Bins of one pass that looks for the thresholds' percentiles.
+BINS = 1_024
 REDACTED = "<secret>"
 
 
@@ -187,7 +190,9 @@ def mean_log_likelihood(tables: list, value: str) -> float:
 
 
 class FormatModel:
-    """Automata per kind with thresholds, and the background's."""
+    """Automata per kind with thresholds, and the background's.
+
+    The thresholds are those of the values given, every other one held out; ``calibrate`` takes all of a corpus."""
 
     def __init__(self, labelled: dict[str, list[str]], background: list[str]):
         self.automata: dict[str, tuple[list, float]] = {}
@@ -205,6 +210,32 @@ class FormatModel:
     def _ratio(self, tables: list, value: str) -> float:
         return mean_log_likelihood(tables, value) - mean_log_likelihood(self.background, value)
 
+    def ratios(self, value: str, kind: str) -> list[tuple[str, float]]:
+        """(automaton's kind, ratio) of a value: of a labelled one by its own kind, of a candidate by every kind."""
+        kinds = list(self.automata) if kind == "other" else [kind] if kind in self.automata else []
+        if not kinds:
+            return []
+        base = mean_log_likelihood(self.background, value)
+        return [(k, mean_log_likelihood(self.automata[k][0], value) - base) for k in kinds]
+
+    def calibrate(self, seen: DataFrame) -> None:
+        """Set the thresholds by all rows of ``seen`` (kind, value)."""
+        if not self.automata:
+            return
+        spark = seen.sparkSession
+        shared = spark.sparkContext.broadcast(self)
+
+        def scored(batches):
+            for batch in batches:
+                rows = [(k, kind == "other", r) for kind, v in zip(batch.column("kind").to_pylist(), batch.column("value").to_pylist()) for k, r in shared.value.ratios(v, kind)]
+                kinds, other, ratios = map(list, zip(*rows)) if rows else ([], [], [])
+                yield pa.RecordBatch.from_pydict({"kind": pa.array(kinds, pa.string()), "other": pa.array(other, pa.bool_()), "ratio": pa.array(ratios, pa.float64())})
+
+        found = order_statistics(land(seen.mapInArrow(scored, "kind string, other boolean, ratio double"), run_folder(spark, "secret-ratios")))
+        for kind, (tables, _) in self.automata.items():
+            least = found[kind, False]
+            self.automata[kind] = (tables, max(least, found.get((kind, True), least)))
+
     def accepts(self, value: str) -> bool:
         if not self.automata:
             return False
@@ -219,8 +250,28 @@ class FormatModel:
         return plain, sorted(plain + more)
 
 
+def order_statistics(ratios: DataFrame) -> dict[tuple[str, bool], float]:
+    """Per (kind, other) of ``ratios``: the value of rank n/20 (labelled) or 0.995 n (other), counted from 0.
+
+    Each pass counts a range's values in ``BINS`` bins and goes on with the bin that holds the rank."""
+    keys = ["kind", "other"]
+    summed = [F.min("ratio").alias("low"), F.max("ratio").alias("high"), F.count(F.lit(1)).alias("n")]
+    at = {(r.kind, r.other): (r.low, r.high, int(r.n * 0.995) if r.other else r.n // 20) for r in ratios.groupBy(keys).agg(*summed).collect()}
+    while wide := {k: v for k, v in at.items() if v[0] < v[1]}:
+        low, high = (F.coalesce(*[F.when((F.col("kind") == k) & (F.col("other") == o), F.lit(v[side])) for (k, o), v in wide.items()]) for side in (0, 1))
+        inside = ratios.withColumns({"from": low, "to": high}).where("ratio >= from and ratio <= to")
+        share = (F.col("ratio") - F.col("from")) / (F.col("to") - F.col("from"))
+        binned = inside.groupBy(*keys, F.least(F.floor(share * BINS), F.lit(BINS - 1)).alias("bin")).agg(*summed)
+        for r in sorted(binned.collect(), key=lambda r: r.bin):
+            _, _, rank = wide[r.kind, r.other]
+            if 0 <= rank < r.n:
+                at[r.kind, r.other] = (r.low, r.high, rank)
+            wide[r.kind, r.other] = (0, 0, rank - r.n)
+    return {k: low for k, (low, _, _) in at.items()}
+
+
 def fit(docs: DataFrame) -> FormatModel:
-    """Infer the automata from all documents' labelled and unlabelled values, a bounded sample of each."""
+    """Infer the automata from a bounded sample of all documents' labelled and unlabelled values, the thresholds from all."""
 
     def values(batches):
         for batch in batches:
@@ -234,7 +285,9 @@ def fit(docs: DataFrame) -> FormatModel:
 
     seen = land(docs.select("text").mapInArrow(values, "kind string, value string").distinct(), run_folder(docs.sparkSession, "secrets"))
     sample = lambda kind, n: [r.value for r in seen.where(F.col("kind") == kind).orderBy(F.xxhash64("value"), "value").limit(n).collect()]
-    return FormatModel({k: sample(k, FIT_VALUES) for k in KINDS[:3]}, sample("other", 4 * FIT_VALUES))
+    model = FormatModel({k: sample(k, FIT_VALUES) for k in KINDS[:3]}, sample("other", 4 * FIT_VALUES))
+    model.calibrate(seen)
+    return model
 
 
 def joined(spans: list) -> str:

@@ -4,7 +4,7 @@ import random
 import re
 
 from ledgerlens.llm.secret_scan import (
-    KINDS, MIN_VALUES, Automaton, FormatModel, base_matches, base_sha256, compacted, fit, mean_log_likelihood, redact, scan)
+    KINDS, MIN_VALUES, Automaton, FormatModel, base_matches, base_sha256, candidates, compacted, fit, mean_log_likelihood, redact, scan)
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, spans string"
 rng = random.Random(7)
@@ -65,6 +65,19 @@ def test_scan_adds_formats_and_keeps_base(spark):
     assert clean[1000].text is None and clean[1001].text == ""
 
 
+def test_thresholds_come_from_all_values(spark):
+    draw = lambda symbols, n: "".join(rng.choices(symbols, k=n))
+    others = [draw("0123456789", 16) for _ in range(3000)] + [draw("0123456789abcdef", 18) for _ in range(150)]
+    hexes = HEXES + [draw("0123456789abcdef", 30) for _ in range(900)]
+    texts = [f"see {v} here" for v in others] + [f"sum {h} end" for h in hexes]
+    docs = spark.createDataFrame([(i, t, None, None, None, "") for i, t in enumerate(texts)], SCHEMA)
+    model = fit(docs)
+    values = lambda kind: {v for t in texts for k, v in ([("other", v) for _, _, v in candidates(t, base_matches(t))] + [(KINDS[b[1]], b[3]) for b in base_matches(t)]) if k == kind}
+    assert len(values("other")) > 2400 and len(values("hex")) > 600
+    own, far = (sorted(dict(model.ratios(v, kind))["hex"] for v in values(kind)) for kind in ("hex", "other"))
+    assert model.automata["hex"][1] == max(own[len(own) // 20], far[int(len(far) * 0.995)])
+
+
 def test_too_few_labels_or_no_rows(spark):
     assert not FormatModel({"hex": HEXES[: MIN_VALUES - 1]}, []).automata
     empty = spark.createDataFrame([], SCHEMA)

@@ -14,6 +14,7 @@ from ledgerlens.llm.common import ship_package
 from ledgerlens.llm.exact_dedup import OP1_SQL, op1_exact_dedup
 from ledgerlens.llm.html_extract import op10_html_extract
 from ledgerlens.llm.license_scan import op6_license_scan
+from ledgerlens.llm.merkle import OP13_SQL, op13_merkle_manifest
 from ledgerlens.llm.nearest import op3_nearest
 from ledgerlens.llm.packing import op9_best_fit_packing
 from ledgerlens.llm.secret_scan import op4_secret_scan
@@ -42,9 +43,11 @@ QUERIES = {name: _shipped(query) for name, query in {
     "op8_token_files": op8_token_files,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_html_extract": op10_html_extract,
+    "op13_merkle_manifest": op13_merkle_manifest,
     "pipeline": corpus_pipeline.run,
 }.items()}
 
 ORACLE_SQL = {
     "op1_exact_dedup": OP1_SQL,
+    "op13_merkle_manifest": OP13_SQL,
 }

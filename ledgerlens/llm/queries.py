@@ -18,6 +18,7 @@ from ledgerlens.llm.merkle import OP13_SQL, op13_merkle_manifest
 from ledgerlens.llm.nearest import op3_nearest
 from ledgerlens.llm.packing import op9_best_fit_packing
 from ledgerlens.llm.secret_scan import op4_secret_scan
+from ledgerlens.llm.sharding import op12_label_propagation_shards
 from ledgerlens.llm.simhash import op7_simhash
 from ledgerlens.llm.token_files import op8_token_files
 from ledgerlens.llm.toxicity import op2_toxicity
@@ -43,6 +44,7 @@ QUERIES = {name: _shipped(query) for name, query in {
     "op8_token_files": op8_token_files,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_html_extract": op10_html_extract,
+    "op12_label_propagation_shards": op12_label_propagation_shards,
     "op13_merkle_manifest": op13_merkle_manifest,
     "pipeline": corpus_pipeline.run,
 }.items()}

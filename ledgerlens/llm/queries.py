@@ -13,6 +13,7 @@ from ledgerlens.llm.bpe import op5_byte_bpe
 from ledgerlens.llm.common import ship_package
 from ledgerlens.llm.exact_dedup import OP1_SQL, op1_exact_dedup
 from ledgerlens.llm.html_extract import op10_html_extract
+from ledgerlens.llm.lexical import OP11_SQL, op11_lexical_search
 from ledgerlens.llm.license_scan import op6_license_scan
 from ledgerlens.llm.merkle import OP13_SQL, op13_merkle_manifest
 from ledgerlens.llm.nearest import op3_nearest
@@ -44,6 +45,7 @@ QUERIES = {name: _shipped(query) for name, query in {
     "op8_token_files": op8_token_files,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_html_extract": op10_html_extract,
+    "op11_lexical_search": op11_lexical_search,
     "op12_label_propagation_shards": op12_label_propagation_shards,
     "op13_merkle_manifest": op13_merkle_manifest,
     "pipeline": corpus_pipeline.run,
@@ -51,5 +53,6 @@ QUERIES = {name: _shipped(query) for name, query in {
 
 ORACLE_SQL = {
     "op1_exact_dedup": OP1_SQL,
+    "op11_lexical_search": OP11_SQL,
     "op13_merkle_manifest": OP13_SQL,
 }

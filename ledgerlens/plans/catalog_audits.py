@@ -8,14 +8,18 @@ SQL is generated from the same rule specs as the Spark side.
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.operators import integrity as I
 from ledgerlens.operators import rules as R
+from ledgerlens.operators.deletes import delete
 from ledgerlens.plans.dirty import dirty, dirty_sql, renamed, too_large
 from ledgerlens.plans.registry import query, rr
 from ledgerlens.sources import schemas as S
+from ledgerlens.sources.files import fresh_dir
 from ledgerlens.sources.fixtures import read_driver
+from ledgerlens.sources.generations import Store
 from ledgerlens.sources.ledger import ledger_for
 
 FEE_BANDS_BP = R.FEE_BANDS_BP
@@ -224,6 +228,25 @@ def i8(spark, sf_dir):
 
 # ---- i9, i10 --------------------------------------------------------------------
 
+def _stored(spark, sf_dir: str, label: str) -> Store:
+    """The ledger in a new store, in parts."""
+    store = Store(spark, fresh_dir(spark, label))
+    store.replace(ledger_for(spark, sf_dir).as_dict())
+    return store
+
+
+def _without_inactive_customers(spark, sf_dir: str) -> dict[str, DataFrame]:
+    store = _stored(spark, sf_dir, "i9")
+    delete(store, "customers", store.read("customers").where(~F.col("is_active")).select("customer_id"))
+    return store.tables()
+
+
+def _without_risky_merchants(spark, sf_dir: str) -> dict[str, DataFrame]:
+    store = _stored(spark, sf_dir, "i10")
+    delete(store, "merchants", store.read("merchants").where(F.col("risk_tier") == "high").select("merchant_id"))
+    return store.tables()
+
+
 @query("i9_cascade_delete", """
 WITH gone_c AS (SELECT customer_id FROM customers WHERE NOT is_active),
 gone_a AS (SELECT account_id FROM accounts WHERE customer_id IN (SELECT customer_id FROM gone_c)),
@@ -236,10 +259,8 @@ UNION ALL SELECT 'settlements', COUNT(*) FROM settlements WHERE transaction_id N
 UNION ALL SELECT 'fraud_flags', COUNT(*) FROM fraud_flags WHERE transaction_id NOT IN (SELECT transaction_id FROM gone_t)
 """)
 def i9(spark, sf_dir):
-    """ON DELETE CASCADE: remove inactive customers and all their dependants; rows left per table."""
-    L = ledger_for(spark, sf_dir)
-    left = I.cascade_delete(L.as_dict(), L.customers.where(~F.col("is_active")))
-    return I.remaining_counts(left)
+    """ON DELETE CASCADE, written: remove inactive customers and all their dependants; rows left per table."""
+    return I.remaining_counts(_without_inactive_customers(spark, sf_dir))
 
 
 @query("i9_cascade_delete_accounts", """
@@ -252,9 +273,10 @@ UNION ALL SELECT 'settlements', COUNT(*) FROM settlements JOIN transactions USIN
 UNION ALL SELECT 'fraud_flags', COUNT(*) FROM fraud_flags JOIN transactions USING (transaction_id) WHERE account_id NOT IN (FROM gone)
 """)
 def i9_accounts(spark, sf_dir):
-    """ON DELETE CASCADE from accounts: remove closed accounts and all their dependants; rows left per table."""
-    L = ledger_for(spark, sf_dir)
-    return I.remaining_counts(I.cascade_delete(L.as_dict(), doomed_accounts=L.accounts.where(F.col("status") == "closed")))
+    """ON DELETE CASCADE from accounts, written: remove closed accounts and all their dependants; rows left per table."""
+    store = _stored(spark, sf_dir, "i9-accounts")
+    delete(store, "accounts", store.read("accounts").where(F.col("status") == "closed").select("account_id"))
+    return I.remaining_counts(store.tables())
 
 
 @query("i10_set_null_delete", """
@@ -265,15 +287,69 @@ UNION ALL SELECT 'transactions.merchant_id_null',
   COUNT(*) FILTER (WHERE merchant_id IS NULL OR merchant_id IN (SELECT merchant_id FROM gone)) FROM transactions
 """)
 def i10(spark, sf_dir):
-    """ON DELETE SET NULL: remove high-risk merchants; transactions stay with a NULL merchant."""
-    L = ledger_for(spark, sf_dir)
-    kept, tx = I.set_null_delete(L.merchants, L.transactions, L.merchants.where(F.col("risk_tier") == "high"))
-    counts = I.remaining_counts({"merchants": kept, "transactions": tx})
-    nulls = tx.agg(F.count_if(F.col("merchant_id").isNull()).alias("remaining_rows")).select(
+    """ON DELETE SET NULL, written: remove high-risk merchants; transactions stay with a NULL merchant."""
+    left = _without_risky_merchants(spark, sf_dir)
+    counts = I.remaining_counts({t: left[t] for t in ("merchants", "transactions")})
+    nulls = left["transactions"].agg(F.count_if(F.col("merchant_id").isNull()).alias("remaining_rows")).select(
         F.lit("transactions.merchant_id_null").alias("table_name"), "remaining_rows")
     return counts.unionByName(nulls)
 
 
+# table -> (own key, parent's key, a value) of the remaining rows
+_ROWS = {
+    "customers": ("customer_id", "NULL", "NULL"),
+    "accounts": ("account_id", "customer_id", "NULL"),
+    "merchants": ("merchant_id", "NULL", "NULL"),
+    "transactions": ("transaction_id", "account_id", "CAST(amount AS DOUBLE)"),
+    "settlements": ("settlement_id", "transaction_id", "CAST(settled_amount AS DOUBLE)"),
+    "fraud_flags": ("flag_id", "transaction_id", "NULL"),
+}
+
+
+def _rows_sql(table: str, where: str = "TRUE") -> str:
+    own, parent, value = _ROWS[table]
+    merchant = "merchant_id" if table in ("merchants", "transactions") else "NULL"
+    return (f"SELECT '{table}' AS table_name, {own} AS row_key, CAST({parent} AS BIGINT) AS parent_key, "
+            f"CAST({merchant} AS BIGINT) AS merchant_key, CAST({value} AS DOUBLE) AS row_value FROM {table} WHERE {where}")
+
+
+def _rows(tables: dict) -> DataFrame:
+    frames = []
+    for t, df in tables.items():
+        own, parent, value = _ROWS[t]
+        merchant = "merchant_id" if t in ("merchants", "transactions") else "NULL"
+        frames.append(df.select(
+            F.lit(t).alias("table_name"), F.col(own).alias("row_key"), F.expr(f"CAST({parent} AS BIGINT)").alias("parent_key"),
+            F.expr(f"CAST({merchant} AS BIGINT)").alias("merchant_key"), F.expr(f"CAST({value} AS DOUBLE)").alias("row_value")))
+    return I.union_all(frames)
+
+
+@query("i9_remaining_rows", """
+WITH gone_a AS (SELECT account_id FROM accounts JOIN customers USING (customer_id) WHERE NOT is_active),
+gone_t AS (SELECT transaction_id FROM transactions WHERE account_id IN (FROM gone_a))
+""" + _union([
+    _rows_sql("customers", "is_active"),
+    _rows_sql("accounts", "account_id NOT IN (FROM gone_a)"),
+    _rows_sql("merchants"),
+    _rows_sql("transactions", "account_id NOT IN (FROM gone_a)"),
+    _rows_sql("settlements", "transaction_id NOT IN (FROM gone_t)"),
+    _rows_sql("fraud_flags", "transaction_id NOT IN (FROM gone_t)"),
+]))
+def i9_rows(spark, sf_dir):
+    """The rows that a written ON DELETE CASCADE from inactive customers leaves, read back from all six tables."""
+    return _rows(_without_inactive_customers(spark, sf_dir))
+
+
+@query("i10_remaining_rows", _union([
+    _rows_sql("merchants", "risk_tier <> 'high'"),
+    _rows_sql("transactions").replace("CAST(merchant_id AS BIGINT)", "CASE WHEN merchant_id NOT IN (SELECT merchant_id FROM merchants WHERE risk_tier = 'high') THEN merchant_id END"),
+]))
+def i10_rows(spark, sf_dir):
+    """Merchants and transactions, read back after a written ON DELETE SET NULL from high-risk merchants."""
+    left = _without_risky_merchants(spark, sf_dir)
+    return _rows({t: left[t] for t in ("merchants", "transactions")})
+
+
 # ---- r1-r11 ----------------------------------------------------------------------
 
 def _rule_sql(name: str, source: str, cond: str, weight: str = "1") -> str:

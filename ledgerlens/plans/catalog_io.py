@@ -35,13 +35,13 @@ def s1(spark, sf_dir):
     f"MIN({PRIMARY_KEYS[t][0]}) AS first_key, MAX({PRIMARY_KEYS[t][0]}) AS last_key FROM {t}" for t in LOAD_ORDER
 ))
 def s2(spark, sf_dir):
-    """Loading all six tables twice leaves one copy of each (replaced, not appended)."""
+    """Loading all six tables of a store twice leaves one copy of each (replaced, not appended)."""
     L = ledger_for(spark, sf_dir)
     folder, frames = files.fresh_dir(spark, "s2-reload"), []
     for t in LOAD_ORDER:
         key = PRIMARY_KEYS[t][0]
-        files.reload(L.table(t), f"{folder}/{t}", t)
-        again = files.reload(L.table(t), f"{folder}/{t}", t)
+        files.reload(L.table(t), folder, t)
+        again = files.reload(L.table(t), folder, t)
         # the table's keys are unique, so distinct keys are counted per key first
         per_key = again.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
         frames.append(per_key.agg(

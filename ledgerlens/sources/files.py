@@ -4,9 +4,9 @@
   quotes doubled, line breaks allowed inside quotes, spaces kept, an empty field is
   NULL, timestamps as ``yyyy-MM-dd HH:mm:ss``.  Reads always use the fixed schema
   (never inference), check the header's names, and fail fast on a malformed row.
-* Loads write to a staging folder, audit the staged tables and only then put them
-  in place of the old ones, so a rerun ends in the same state and a refused load
-  leaves the old contents.
+* Loads write new parts, audit them as written and then commit all tables together
+  (:mod:`ledgerlens.sources.generations`), so a rerun ends in the same state and a load
+  that is refused or stopped leaves the old contents.
 * The date-partitioned ledger replaces the reference's date indexes: a month
   filter prunes whole directories before any file is opened.
 """
@@ -14,14 +14,16 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 import pyspark.sql.types as T
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.temporal import month_start
-from ledgerlens.session import checkpoint_root, file_system
-from ledgerlens.sources.schemas import LOAD_ORDER, SCHEMAS, conform
+from ledgerlens.session import checkpoint_root
+from ledgerlens.sources.generations import Store
+from ledgerlens.sources.schemas import LOAD_ORDER, SCHEMAS
 
 TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
 DATE_FORMAT = "yyyy-MM-dd"
@@ -58,30 +60,10 @@ def read_csv(spark: SparkSession, path: str, table: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[table]).options(**CSV_DIALECT, multiLine=True, enforceSchema=False, mode="FAILFAST").csv(path)
 
 
-def publish(spark: SparkSession, staged: str, target: str) -> None:
-    """Put the folder ``staged`` in the place of ``target`` (same store): the old contents
-    are set aside first and go only when the new ones are there."""
-    fs, new = file_system(spark, staged)
-    _, at = file_system(spark, target)
-    _, aside = file_system(spark, f"{target}-{uuid.uuid4().hex[:12]}-old")
-    fs.mkdirs(at.getParent())
-    had = fs.exists(at)
-    if had and not fs.rename(at, aside):
-        raise OSError(f"can't set {target} aside")
-    if not fs.rename(new, at):
-        if had:
-            fs.rename(aside, at)
-        raise OSError(f"can't publish {staged} as {target}")
-    if had:
-        fs.delete(aside, True)
-
-
 def reload(df: DataFrame, target: str, table: str) -> DataFrame:
-    """s2: replace the target's contents with ``df`` (idempotent; written whole, then published)."""
-    spark, staged = df.sparkSession, f"{target}-{uuid.uuid4().hex[:12]}-staged"
-    conform(df, table).write.parquet(staged)
-    publish(spark, staged, target)
-    return spark.read.schema(SCHEMAS[table]).parquet(target)
+    """s2: replace one table of the store ``target`` with ``df`` (idempotent; one commit)."""
+    store = Store(df.sparkSession, target)
+    return store.read(table, store.replace({table: df}))
 
 
 def dump_csv(tables: dict[str, DataFrame], folder: str) -> dict[str, str]:
@@ -119,26 +101,21 @@ def constraint_audits(tables: dict[str, DataFrame]) -> DataFrame:
     return I.union_all(audits)
 
 
-def ordered_load(spark: SparkSession, csv_paths: dict[str, str], target: str, *, audit: bool = True) -> dict[str, DataFrame]:
-    """s3: stage the six tables (CSV -> typed Parquet, parents before children), audit every
-    declared constraint of the staged tables, and publish them, parents first.  A violation
-    raises :class:`LoadAuditError` and leaves the target as it was.  Returns the loaded tables."""
-    staging = f"{target}-{uuid.uuid4().hex[:12]}-staged"
-    staged = {}
-    for name in LOAD_ORDER:
-        conform(read_csv(spark, csv_paths[name], name), name).write.parquet(f"{staging}/{name}")
-        staged[name] = spark.read.schema(SCHEMAS[name]).parquet(f"{staging}/{name}")
-    fs, folder = file_system(spark, staging)
-    try:
-        if audit:
-            bad = [(r.rule, r.violations) for r in constraint_audits(staged).where(F.col("violations") > 0).collect()]
-            if bad:
-                raise LoadAuditError(f"constraints broken by the load, nothing published: {bad}")
-        for name in LOAD_ORDER:
-            publish(spark, f"{staging}/{name}", f"{target}/{name}")
-    finally:
-        fs.delete(folder, True)
-    return {name: spark.read.schema(SCHEMAS[name]).parquet(f"{target}/{name}") for name in LOAD_ORDER}
+def ordered_load(spark: SparkSession, csv_paths: dict[str, str], target: str, *, audit: bool = True,
+                 on_step: Callable[[str], None] = lambda step: None) -> dict[str, DataFrame]:
+    """s3: write the six tables (CSV -> typed Parquet, parents before children) as new parts of the
+    store ``target``, audit every declared constraint of them as written, and commit all six in one
+    step.  A violation raises :class:`LoadAuditError`; the store stays as it was then, and when the
+    load is stopped anywhere before its commit.  Returns the loaded tables."""
+
+    def check(staged: dict[str, DataFrame]) -> None:
+        bad = [(r.rule, r.violations) for r in constraint_audits(staged).where(F.col("violations") > 0).collect()]
+        if bad:
+            raise LoadAuditError(f"constraints broken by the load, nothing published: {bad}")
+
+    store = Store(spark, target)
+    new = store.replace({name: read_csv(spark, csv_paths[name], name) for name in LOAD_ORDER}, check=check if audit else None, on_step=on_step)
+    return store.tables(new)
 
 
 def row_counts(tables: dict[str, DataFrame], column: str) -> DataFrame:

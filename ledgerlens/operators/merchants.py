@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlens.operators.common import completed, sort_keys, top_k_with_lookup
-from ledgerlens.operators.ranking import descending_magnitude, rank_within_groups
+from ledgerlens.operators.ranking import rank_by_splitters
 
 
 def settled_revenue_by_merchant(transactions: DataFrame, settlements: DataFrame) -> DataFrame:
@@ -76,9 +76,8 @@ def top_merchants_with_rank(top: DataFrame, *, group_col: str = "category") -> D
 
 def rank_within(df: DataFrame, group_col: str, value_col: str, out_col: str = "rank") -> DataFrame:
     """w1: RANK (with gaps) of ``value_col`` descending inside ``group_col``, for
-    every row; a large category is ranked in pieces of like revenue."""
-    return rank_within_groups(df, [group_col], [F.col(value_col).desc_nulls_first()], out_col,
-                              descending_magnitude(F.col(value_col)))
+    every row; a category of any size is ranked in pieces between its revenue quantiles."""
+    return rank_by_splitters(df, [group_col], value_col, out_col)
 
 
 def top_merchants(top: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from ledgerlens.operators.ranking import descending_magnitude, rank_within_groups
+from ledgerlens.operators.ranking import deal, descending_magnitude, rank_by_splitters, rank_within_groups
 from ledgerlens.sources import fixtures
 
 from .conftest import SF_SMALL
@@ -38,6 +38,33 @@ def test_row_number_in_pieces_is_a_consistent_numbering(spark):
         assert values == sorted(values, reverse=True), g
 
 
+@pytest.mark.parametrize("splitters", [2, 40, 300])
+def test_rank_by_splitters_equals_the_plain_window(spark, splitters):
+    df = skewed(spark)
+    order = F.col("v").desc_nulls_first()
+    want = {r.id: r.r for r in df.withColumn("r", F.rank().over(Window.partitionBy("g").orderBy(order))).collect()}
+    got = rank_by_splitters(df, ["g"], "v", "r", splitters)
+    assert got.columns == ["id", "g", "v", "r"]
+    assert {r.id: r.r for r in got.collect()} == want
+
+
+CONCENTRATED = {
+    "one doubling": "CAST(1000000 + pmod(id * 7919, 900001) AS decimal(15,2))",
+    "a third equal": "CAST(IF(id % 3 = 0, 1500000, 1000000 + pmod(id * 7919, 900001)) AS decimal(15,2))",
+    "all equal": "CAST(5 AS decimal(15,2))",
+}
+
+
+@pytest.mark.parametrize("kind", CONCENTRATED)
+def test_splitters_balance_concentrated_values(spark, kind):
+    df = spark.range(40_000).selectExpr("id", "IF(id % 4 = 0, 'b', 'a') AS g", f"{CONCENTRATED[kind]} AS v")
+    dealt = deal(df, ["g"], "v", 64).repartition(8, "g", "_piece", "_salt")
+    sizes = [r["count"] for r in dealt.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 40_000 and max(sizes) < 2 * 40_000 / 8
+    want = df.withColumn("r", F.rank().over(Window.partitionBy("g").orderBy(F.col("v").desc_nulls_first())))
+    assert rank_by_splitters(df, ["g"], "v", "r").exceptAll(want).isEmpty()
+
+
 def test_every_line_is_a_transaction_with_an_id_of_its_own(spark, ledger):
     lines = fixtures.read_driver(spark, SF_SMALL, "lineitem")
     assert ledger.transactions.count() == lines.count() == ledger.transactions.select("transaction_id").distinct().count()

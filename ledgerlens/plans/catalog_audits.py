@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerlens.operators import constraints as C
 from ledgerlens.operators import integrity as I
 from ledgerlens.operators import rules as R
 from ledgerlens.operators.deletes import delete
@@ -81,8 +82,8 @@ def _key_sql(table: str, keys: list[str], kind: str, nulls_allowed: bool) -> str
 def i2(spark, sf_dir):
     """Primary keys unique and not NULL (ledger tables, and lineitem's non-unique pair)."""
     L = ledger_for(spark, sf_dir)
-    frames = [I.primary_key_audit(L.table(t), t, k) for t, k in S.PRIMARY_KEYS.items()]
-    frames += [I.primary_key_audit(read_driver(spark, sf_dir, t, k), t, k) for t, k in DIRTY_KEYS]
+    frames = [C.key_audits(L.table(t), t, [("primary_key", k)]) for t, k in S.PRIMARY_KEYS.items()]
+    frames += [C.key_audits(read_driver(spark, sf_dir, t, k), t, [("primary_key", k)]) for t, k in DIRTY_KEYS]
     return I.union_all(frames)
 
 
@@ -97,8 +98,8 @@ def _unique_specs():
 def i3(spark, sf_dir):
     """UNIQUE columns (NULLs allowed): e-mail, one settlement / flag per transaction; part names."""
     L = ledger_for(spark, sf_dir)
-    frames = [I.unique_audit(L.table(t), t, k) for t, k in _unique_specs()]
-    frames += [I.unique_audit(read_driver(spark, sf_dir, t, k), t, k) for t, k in DIRTY_UNIQUE]
+    frames = [C.key_audits(L.table(t), t, [("unique", k) for k in keys]) for t, keys in S.UNIQUE_KEYS.items()]
+    frames += [C.key_audits(read_driver(spark, sf_dir, t, k), t, [("unique", k)]) for t, k in DIRTY_UNIQUE]
     return I.union_all(frames)
 
 
@@ -175,10 +176,12 @@ ACTIVE_ACCOUNTS = "accounts[status=active]"
 def i6(spark, sf_dir):
     """Orphans per foreign key (NULL passes); also transactions against active accounts only."""
     L = ledger_for(spark, sf_dir)
-    frames = [I.foreign_key_audit(L.table(c), L.table(p), c, cc, p, pc) for c, cc, p, pc, _ in S.FOREIGN_KEYS]
+    links: dict[str, list] = {}
+    for child, column, parent, key, _ in S.FOREIGN_KEYS:
+        links.setdefault(child, []).append((column, parent, L.table(parent), key))
     active = L.accounts.where(F.col("status") == "active")
-    frames.append(I.foreign_key_audit(L.transactions, active, "transactions", "account_id", ACTIVE_ACCOUNTS, "account_id"))
-    return I.union_all(frames)
+    links["transactions"].append(("account_id", ACTIVE_ACCOUNTS, active, "account_id"))
+    return I.union_all([C.foreign_key_audits(L.table(child), child, keys) for child, keys in links.items()])
 
 
 # ---- i7, i8 ---------------------------------------------------------------------

@@ -79,28 +79,6 @@ class LoadAuditError(ValueError):
     """A ledger to be loaded broke a constraint."""
 
 
-def constraint_audits(tables: dict[str, DataFrame]) -> DataFrame:
-    """Every declared constraint of the six tables (i1-i7): rule, checked_rows, violations.
-    Money is read as NUMERIC(15,2), so a value that doesn't fit (i8) fails the scan."""
-    from ledgerlens.operators import integrity as I
-    from ledgerlens.sources import schemas as S
-
-    def of(mapping: dict, table: str) -> dict:
-        return {c: v for (t, c), v in mapping.items() if t == table}
-
-    audits = []
-    for t, df in tables.items():
-        audits += [I.not_null_audit(df, t, S.required_columns(t)), I.primary_key_audit(df, t, S.PRIMARY_KEYS[t])]
-        audits += [I.unique_audit(df, t, keys) for keys in S.UNIQUE_KEYS.get(t, [])]
-        if of(S.DOMAINS, t):
-            audits.append(I.domain_audit(df, t, of(S.DOMAINS, t)))
-        if ranges := [(c, op, b) for name, c, op, b in S.RANGES if name == t]:
-            audits.append(I.range_audit(df, t, ranges))
-        audits.append(I.length_audit(df, t, of(S.LENGTHS, t)))
-    audits += [I.foreign_key_audit(tables[c], tables[p], c, cc, p, pc) for c, cc, p, pc, _ in S.FOREIGN_KEYS]
-    return I.union_all(audits)
-
-
 def ordered_load(spark: SparkSession, csv_paths: dict[str, str], target: str, *, audit: bool = True,
                  on_step: Callable[[str], None] = lambda step: None) -> dict[str, DataFrame]:
     """s3: write the six tables (CSV -> typed Parquet, parents before children) as new parts of the
@@ -108,6 +86,8 @@ def ordered_load(spark: SparkSession, csv_paths: dict[str, str], target: str, *,
     step.  A violation raises :class:`LoadAuditError`; the store stays as it was then, and when the
     load is stopped anywhere before its commit.  Returns the loaded tables."""
 
+    from ledgerlens.operators.constraints import constraint_audits
+
     def check(staged: dict[str, DataFrame]) -> None:
         bad = [(r.rule, r.violations) for r in constraint_audits(staged).where(F.col("violations") > 0).collect()]
         if bad:

@@ -28,6 +28,23 @@ def merchant_flag_counts(transactions: DataFrame, fraud_flags: DataFrame) -> Dat
     )
 
 
+def merchant_activity(transactions: DataFrame, fraud_flags: DataFrame, settlements: DataFrame) -> DataFrame:
+    """Per merchant: transactions, flagged transactions and settled amount of completed ones, each fact read once.
+
+    Settlements are summed per transaction first, so several of one transaction don't multiply
+    its counts; the three tables are bucketed on the transaction, so nothing is shuffled
+    before the aggregate by merchant.  A merchant without settled revenue has NULL."""
+    t = transactions.where(F.col("merchant_id").isNotNull()).select("transaction_id", "merchant_id", "status")
+    paid = settlements.groupBy("transaction_id").agg(F.sum("settled_amount").alias("paid"))
+    f = fraud_flags.groupBy("transaction_id").agg(F.count("flag_id").alias("flags"))
+    joined = t.join(f, "transaction_id", "left").join(paid, "transaction_id", "left")
+    return joined.groupBy("merchant_id").agg(
+        F.sum(F.greatest(F.coalesce("flags", F.lit(0)), F.lit(1))).alias("total_transactions"),
+        F.coalesce(F.sum("flags"), F.lit(0)).alias("flagged_transactions"),
+        F.sum(F.when(F.col("status") == "completed", F.col("paid"))).alias("total_revenue"),
+    )
+
+
 def category_benchmark(metrics: DataFrame, group_col: str = "category") -> DataFrame:
     """a8: pooled rate per group as a ratio of sums (kept as the two sums)."""
     return metrics.groupBy(group_col).agg(

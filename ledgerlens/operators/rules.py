@@ -8,7 +8,7 @@ bounded by the number of distinct compared values, not by its row count.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.numeric import cents, round_ratio_percent
@@ -175,8 +175,11 @@ def coverage(parent: DataFrame, child: DataFrame, parent_col: str, child_col: st
 
 
 def share_profile(df: DataFrame, column: str, label: str) -> DataFrame:
-    """r11: share of each value of a column, percent at 2 digits."""
+    """r11: share of each value of a column, percent at 2 digits.
+
+    The total is a second aggregate, a scalar subquery, so a column with any number of
+    values is never gathered in one task."""
     g = df.groupBy(F.col(column).alias("value")).agg(F.count(F.lit(1)).alias("row_count"))
-    total = F.sum("row_count").over(Window.partitionBy())  # over the few distinct values
+    total = df.agg(F.count(F.lit(1))).scalar()
     return g.select(F.lit(label).alias("profile"), "value", "row_count",
                     round_ratio_percent("row_count", total, 2).alias("share_pct"))

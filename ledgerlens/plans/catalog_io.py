@@ -81,6 +81,39 @@ def s4(spark, sf_dir):
     return files.reconcile(L.as_dict(), loaded)
 
 
+def _spoilt(table: str) -> dict[str, str]:
+    """column -> expression: some rows with another value, by the key."""
+    (key,) = PRIMARY_KEYS[table]
+    last = SCHEMAS[table].fields[-1].name
+    return {f.name: f"CASE WHEN {key} % 101 = 7 THEN NULL ELSE {last} END" if f.name == last else f.name for f in SCHEMAS[table].fields}
+
+
+def _content_sql(table: str) -> str:
+    (key,) = PRIMARY_KEYS[table]
+    spoilt = "SELECT " + ", ".join(f"{e} AS {c}" for c, e in _spoilt(table).items()) + f" FROM {table} WHERE {key} % 103 <> 5"
+    more = f"SELECT * FROM {table} WHERE {key} % 107 = 3"
+    return (f"SELECT '{table}' AS table_name, (SELECT COUNT(*) FROM (FROM {table} EXCEPT ALL ({spoilt} UNION ALL {more}))) AS only_source, "
+            f"(SELECT COUNT(*) FROM (({spoilt} UNION ALL {more}) EXCEPT ALL FROM {table})) AS only_loaded")
+
+
+@query("s4_content_reconcile", "\nUNION ALL\n".join(
+    [f"SELECT '{t}' AS table_name, 0 AS only_source, 0 AS only_loaded" for t in LOAD_ORDER]
+    + [f"SELECT 'spoilt ' || table_name AS table_name, only_source, only_loaded FROM ({_content_sql(t)})" for t in LOAD_ORDER]
+))
+def s4_contents(spark, sf_dir):
+    """Contents per table after a CSV round trip, and against copies with lost, repeated and changed rows."""
+    L = ledger_for(spark, sf_dir)
+    folder = files.fresh_dir(spark, "s4-contents")
+    loaded = files.ordered_load(spark, files.dump_csv(L.as_dict(), f"{folder}/csv"), f"{folder}/parquet")
+    spoilt = {}
+    for t, df in loaded.items():
+        (key,) = PRIMARY_KEYS[t]
+        changed = df.select(*[F.expr(e).alias(c) for c, e in _spoilt(t).items()]).where(f"{key} % 103 <> 5")
+        spoilt[t] = changed.unionByName(df.where(f"{key} % 107 = 3"))
+    found = files.reconcile_contents(L.as_dict(), spoilt).withColumn("table_name", F.concat(F.lit("spoilt "), "table_name"))
+    return files.reconcile_contents(L.as_dict(), loaded).unionByName(found)
+
+
 @query("s5_csv_sink", """
 SELECT settlement_id, transaction_id, settlement_date, CAST(settled_amount AS DOUBLE) AS settled_amount,
        CAST(processing_fee AS DOUBLE) AS processing_fee, status

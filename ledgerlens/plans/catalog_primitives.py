@@ -662,19 +662,14 @@ FROM u
 def f14(spark, sf_dir):
     """Display labels: ``1,234``, ``€1,234.50``, ``12.30%`` and ``-`` for NULL."""
     L = _L(spark, sf_dir)
-    counts = risk.merchant_flag_counts(L.transactions, L.fraud_flags).join(
+    counts = risk.merchant_activity(L.transactions, L.fraud_flags, L.settlements).join(
         L.merchants.select("merchant_id", "category", "risk_tier"), "merchant_id")
     high = F.col("risk_tier") == "high"
-    cat = counts.groupBy("category").agg(
+    j = counts.groupBy("category").agg(
         F.sum("total_transactions").alias("n"), F.sum("flagged_transactions").alias("flagged"),
         F.sum(F.when(high, F.col("total_transactions")).otherwise(0)).alias("n_high"),
-        F.sum(F.when(high, F.col("flagged_transactions")).otherwise(0)).alias("flagged_high"),
+        F.sum(F.when(high, F.col("flagged_transactions")).otherwise(0)).alias("flagged_high"), F.sum("total_revenue").alias("rev"),
     )
-    rev = (
-        merchants.merchant_settled_revenue(L.merchants, L.transactions, L.settlements, merchant_cols=("category",))
-        .groupBy("category").agg(F.sum("total_revenue").alias("rev"))
-    )
-    j = cat.join(rev, "category", "left")
     return j.select(
         "category",
         X.thousands("n").alias("transactions_label"),

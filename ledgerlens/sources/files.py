@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from ledgerlens.functions.temporal import month_start
 from ledgerlens.session import checkpoint_root
 from ledgerlens.sources.generations import Store
-from ledgerlens.sources.schemas import LOAD_ORDER, SCHEMAS
+from ledgerlens.sources.schemas import LOAD_ORDER, PRIMARY_KEYS, SCHEMAS
 
 TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
 DATE_FORMAT = "yyyy-MM-dd"
@@ -52,12 +52,48 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").options(**CSV_DIALECT, emptyValue="").csv(path)
 
 
-def read_csv(spark: SparkSession, path: str, table: str) -> DataFrame:
+def files_by_line_breaks(spark: SparkSession, path: str) -> dict[bool, list[str]]:
+    """The CSV files below ``path``, by whether a field holds a line break: a line has an odd number of quotes.
+
+    A first pass over the lines, in as many tasks as the bytes ask for; one row a file comes back."""
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), "value")
+    odd = F.pmod(F.length("value") - F.length(F.translate("value", '"', "")), F.lit(2)) == 1
+    out: dict[bool, list[str]] = {False: [], True: []}
+    for r in lines.groupBy("file").agg(F.bool_or(odd).alias("odd")).collect():
+        out[r.odd].append(r.file)
+    return out
+
+
+def read_csv(spark: SparkSession, path: str, table: str, *, rejected: str | None = None) -> DataFrame:
     """s1: typed CSV scan with the table's fixed schema.
 
-    Fields may hold line breaks, so a file is read by one task; large tables come
-    as folders of many files."""
-    return spark.read.schema(SCHEMAS[table]).options(**CSV_DIALECT, multiLine=True, enforceSchema=False, mode="FAILFAST").csv(path)
+    A file without line breaks inside fields is split over tasks; only files that have some
+    are read by one task each.  A malformed row fails the scan or, with ``rejected``, goes to
+    that folder as Parquet (table, file, row) and the others are read."""
+    found = files_by_line_breaks(spark, path)
+    whole, broken = found[False] if found[True] else [path], found[True]
+    options = dict(CSV_DIALECT, enforceSchema=False)
+    schema = SCHEMAS[table]
+    if rejected is None:
+        options["mode"] = "FAILFAST"
+    else:
+        options |= {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_row", "columnPruning": False}  # every field is parsed, whatever is read
+        schema = T.StructType([*[T.StructField(f.name, f.dataType) for f in schema.fields], T.StructField("_row", T.StringType())])
+    reader = spark.read.schema(schema).options(**options)
+    frames = ([reader.csv(whole)] if whole else []) + ([reader.option("multiLine", True).csv(broken)] if broken else [])
+    if rejected is None:
+        rows = frames[0]
+    else:
+        frames = [df.withColumn("_file", F.col("_metadata.file_path")) for df in frames]
+        rows = frames[0]
+    for df in frames[1:]:
+        rows = rows.unionByName(df)
+    if rejected is None:
+        return rows
+    parsed = F.hash(*SCHEMAS[table].fieldNames()).between(-(2**31), 2**31 - 1)  # always; a scan of the rejected rows alone isn't allowed
+    bad = rows.where(parsed & F.col("_row").isNotNull()).select(F.lit(table).alias("table"), F.col("_file").alias("file"), F.col("_row").alias("row"))
+    bad.write.mode("append").parquet(rejected)
+    return rows.where(parsed & F.col("_row").isNull()).select(SCHEMAS[table].fieldNames())
 
 
 def reload(df: DataFrame, target: str, table: str) -> DataFrame:
@@ -120,6 +156,57 @@ def reconcile(source: dict[str, DataFrame], loaded: dict[str, DataFrame]) -> Dat
     )
 
 
+#: Buckets of a content comparison; only rows of buckets that differ are compared.
+CONTENT_BUCKETS = 4096
+
+
+def _fingerprinted(df: DataFrame, table: str, buckets: int) -> DataFrame:
+    """``df`` with _bucket (of its key) and _hash (of all columns, nulls told from values)."""
+    columns = [c for f in SCHEMAS[table].fields for c in (F.col(f.name).isNull(), F.col(f.name))]
+    key = [F.col(c) for c in PRIMARY_KEYS[table]]
+    return df.withColumns({"_bucket": F.pmod(F.xxhash64(*key), F.lit(buckets)), "_hash": F.xxhash64(*columns)})
+
+
+def bucket_fingerprints(df: DataFrame, table: str, buckets: int = CONTENT_BUCKETS) -> DataFrame:
+    """Per bucket of keys: row count, and sum and exclusive-or of a hash of each row; the rows' order is no matter."""
+    marked = _fingerprinted(df, table, buckets)
+    return marked.groupBy("_bucket").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("_hash").cast("decimal(20,0)")).alias("total"), F.bit_xor("_hash").alias("mixed"))
+
+
+def differing_buckets(source: DataFrame, loaded: DataFrame, table: str, buckets: int = CONTENT_BUCKETS) -> DataFrame:
+    """The buckets whose fingerprints differ (or that one side lacks)."""
+    a = bucket_fingerprints(source, table, buckets).select("_bucket", F.struct("n", "total", "mixed").alias("a"))
+    b = bucket_fingerprints(loaded, table, buckets).select("_bucket", F.struct("n", "total", "mixed").alias("b"))
+    return a.join(b, "_bucket", "full").where(~F.col("a").eqNullSafe(F.col("b"))).select("_bucket")
+
+
+def differing_rows(source: DataFrame, loaded: DataFrame, table: str, buckets: int = CONTENT_BUCKETS) -> DataFrame:
+    """Rows of one side only (side, copies, the table's columns): as many copies as one side has more than the other.
+
+    Tables are compared bucket by bucket; rows are brought together only where buckets differ."""
+    names = SCHEMAS[table].fieldNames()
+    differ = differing_buckets(source, loaded, table, buckets)
+
+    def of(df: DataFrame, sign: int) -> DataFrame:
+        return _fingerprinted(df.select(names), table, buckets).join(differ, "_bucket", "left_semi").select(*names, F.lit(sign).alias("_sign"))
+
+    net = of(source, 1).unionByName(of(loaded, -1)).groupBy(*names).agg(F.sum("_sign").alias("_net")).where("_net <> 0")
+    return net.select(F.when(F.col("_net") > 0, "source").otherwise("loaded").alias("side"), F.abs("_net").alias("copies"), *names)
+
+
+def reconcile_contents(source: dict[str, DataFrame], loaded: dict[str, DataFrame]) -> DataFrame:
+    """s4: rows that only the source or only the target holds, per table."""
+    frames = []
+    for t in source:
+        rows = differing_rows(source[t], loaded[t], t)
+        only = lambda side: F.coalesce(F.sum(F.when(F.col("side") == side, F.col("copies"))), F.lit(0)).alias(f"only_{side}")
+        frames.append(rows.agg(only("source"), only("loaded")).select(F.lit(t).alias("table_name"), "only_source", "only_loaded"))
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
+
+
 def month_column(date_col: str) -> str:
     return date_col.removesuffix("_date") + "_month"
 

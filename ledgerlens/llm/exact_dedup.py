@@ -14,9 +14,9 @@ Skew: the stream sums each micro-batch per digest before its exchange (a hot
 digest is one row per map task); the byte comparison salts each hit group by
 its size, so a group of a third of all rows is spread over many tasks.
 
-Defined cases: a null text is the empty text; rows that repeat a ``doc_id`` with
-an equal text are one document (``group_size`` counts the rows); a null ``doc_id``
-sorts after every number and stays only if its group has no other; an empty
+Defined cases: a null text is the empty text; of rows that repeat a ``doc_id`` with
+an equal text one stays (``group_size`` counts the rows, ``every_row`` returns them all);
+a null ``doc_id`` sorts after every number and stays only if its group has no other; an empty
 table gives an empty result; extra columns are ignored, whatever their names.
 """
 
@@ -35,6 +35,8 @@ STATE = {
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
 }
+#: Copies of a row that are made at once.
+CHUNK = 4096
 #: Rows of a hit group that one task compares with its stored document.
 SALT_ROWS = 2048
 ARRIVAL = T.StructType([
@@ -118,7 +120,7 @@ class DedupStream:
 
 
 def classes(docs: DataFrame, digest=sha256_hex, stream: DedupStream | None = None) -> DataFrame:
-    """One row per document: doc_id, keep_id, group_size, kept, text_sha256, locator."""
+    """One row per (doc_id, text): doc_id, keep_id, group_size (rows), kept, text_sha256, locator, n (rows like it)."""
     spark = docs.sparkSession
     stream = stream or DedupStream(spark, digest=digest)
     arrivals = stream.ingest(docs)
@@ -138,9 +140,18 @@ def classes(docs: DataFrame, digest=sha256_hex, stream: DedupStream | None = Non
         (F.col("key") == first).alias("kept"),
         F.col("sha").alias("text_sha256"),
         "locator",
+        "n",
     )
 
 
+def every_row(found: DataFrame) -> DataFrame:
+    """``classes`` with a row for every input row; of rows equal in id and text the first alone is kept."""
+    some = found.withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / CHUNK))))
+    copies = F.sequence(F.col("chunk") * CHUNK, F.least(F.col("n"), (F.col("chunk") + 1) * CHUNK) - 1)  # arrays of bounded size
+    each = some.withColumn("copy", F.explode(copies))
+    return each.withColumn("kept", F.col("kept") & (F.col("copy") == 0)).drop("n", "chunk", "copy")
+
+
 def _hits(docs: DataFrame, held: DataFrame, digest, at: str) -> DataFrame:
     """Rows whose digest is held more than once, with their full bytes."""
     repeated = held.where("group_size > 1").select("digest", "first_id", "group_size")
@@ -174,7 +185,7 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Which document of each group of equal texts stays (contract of op1)."""
     from ledgerlens.llm.common import table
 
-    return classes(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
+    return every_row(classes(table(spark, sf_dir, "documents").select("doc_id", "text"))).select(
         "doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
@@ -186,6 +197,6 @@ WITH n AS (
 ), g AS (
   SELECT body, min(doc_id) AS keep_id, count(*) AS group_size FROM n GROUP BY body
 )
-SELECT n.doc_id, g.keep_id, g.group_size, n.doc_id = g.keep_id AS kept, n.text_sha256
+SELECT n.doc_id, g.keep_id, g.group_size, row_number() OVER (PARTITION BY n.body ORDER BY n.doc_id NULLS LAST) = 1 AS kept, n.text_sha256
 FROM n JOIN g ON n.body = g.body
 """

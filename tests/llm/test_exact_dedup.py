@@ -47,9 +47,23 @@ def test_state_outlives_a_batch(spark):
     assert held == [(2, 3), (6, 1), (8, 1)]
 
 
-def test_repeated_rows_are_one_document(spark):
-    r = classes(rows(spark, [(1, "a"), (1, "a"), (2, "a")])).collect()
-    assert sorted((x.doc_id, x.group_size, x.kept) for x in r) == [(1, 3, True), (2, 3, False)]
+def test_every_row_is_returned_and_one_of_a_group_is_kept(spark):
+    import duckdb
+
+    from ledgerlens.llm.exact_dedup import OP1_SQL, every_row
+
+    texts = [(1, "a"), (1, "a"), (2, "a"), (None, "z"), (None, "z"), (None, "a")]
+    r = every_row(classes(rows(spark, texts)))
+    found = [tuple(x) for x in r.select("doc_id", "keep_id", "group_size", "kept").collect()]
+    assert sorted(found, key=str) == sorted([(1, 1, 4, True), (1, 1, 4, False), (2, 1, 4, False), (None, 1, 4, False), (None, None, 2, True), (None, None, 2, False)], key=str)
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", texts)
+    sql = con.execute(OP1_SQL).fetchall()
+    assert sorted(sql, key=str) == sorted(map(tuple, r.select("doc_id", "keep_id", "group_size", "kept", "text_sha256").collect()), key=str)
+
+
+def test_of_repeated_rows_one_stays(spark):
     kept = drop_copies(rows(spark, [(1, "a"), (1, "a"), (2, "a"), (3, "z"), (None, "z"), (None, "y")]))
     assert sorted(kept.select("doc_id", "text").collect(), key=str) == [(1, "a"), (3, "z"), (None, "y")]
     assert kept.columns == ["doc_id", "text", "lang", "source", "n_chars", "digest", "body"]

@@ -7,13 +7,13 @@ meets once, appends the end id, and builds a wavelet matrix file per shard of ab
 store that Spark writes will do): place, counts, and the file's bytes.  A shard's place
 among all is the sum of the ids of the ranges before it: one number per range.
 
-Skew: ranges come from a sample of doc_id, shards are cut inside them, so neither a hot
+Skew: ranges come from a sample of (doc_id, text hash), shards are cut inside them, so neither a hot
 source nor long texts make a large task or file; memory is bounded by a shard, the
 longest text, and ``CACHE`` distinct chunks a worker.
 
 Defined cases: null and empty texts hold the end id alone; rows without an id come
-first; rows that repeat an id are all kept, by the texts' hash; special tokens' strings
-in a text are ordinary text; an empty table gives no file; extra columns are not read.
+first; rows that repeat an id are all kept, by the texts' hash; strings of added tokens
+in a text get the ids that the library gives them; an empty table gives no file; extra columns are not read.
 """
 
 from __future__ import annotations
@@ -79,7 +79,8 @@ class Encoder:
 
         self.pattern = public_tokenizers.PATTERN
         self.tokenizer = Tokenizer.from_file(vocabulary)
-        self.tokenizer.encode_special_tokens = True
+        #: Strings that the library makes one id wherever they stand; a text with one is encoded by itself.
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         (self.feed,) = self._ids("\n")
         self._forget()
 
@@ -125,6 +126,12 @@ class Encoder:
         """The ids of all texts, each with the end id after it, and their numbers."""
         if len(self.codes) > CACHE:
             self._forget()
+        whole = {k: np.array(self._ids(t), np.uint16) for k, t in enumerate(texts) if any(a in t for a in self.added)}
+        if whole:
+            ids, lengths = self.encode(["" if k in whole else t for k, t in enumerate(texts)])
+            own = np.split(ids, np.cumsum(lengths)[:-1])
+            own = [np.append(whole[k], END_ID).astype(ids.dtype) if k in whole else x for k, x in enumerate(own)]
+            return np.concatenate(own), np.array([len(x) for x in own])
         distinct, codes, per_text = coded(pa.array(texts, pa.string()))
         known = np.fromiter(map(self.codes.__getitem__, distinct), np.int32, len(distinct))
         self._learn()
@@ -192,7 +199,8 @@ def _shards(batches, vocabulary: str, shard_tokens: int):
 def write(docs: DataFrame, path: str, vocabulary: str, shard_tokens: int = SHARD_TOKENS) -> None:
     """The token files of ``docs`` (doc_id, text), in ascending doc_id order, as a table at ``path``."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of("text").alias("text"))
-    dealt = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", F.xxhash64("text")).withColumn("part", F.spark_partition_id())
+    order = [F.col("doc_id"), F.xxhash64("text")]  # so that rows of one id, or without one, can be cut into ranges too
+    dealt = rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("part", F.spark_partition_id())
     dealt.mapInArrow(lambda batches: _shards(batches, vocabulary, shard_tokens), FILES).write.mode("overwrite").parquet(path)
 
 

@@ -17,7 +17,7 @@ from ledgerlens.llm.wavelet import WaveletMatrix
 SCHEMA = "doc_id long, text string, part int, shard string"
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 rng = random.Random(21)
-ODD = ["", " ", "   ", "a  b", "a   b", "\n x", " \n \n b", "x \n", "a \t  ", "don't  we'll'", "Ünï 12 345", "é  b", "a　 　b ", "<|endoftext|> x", "!!! 's 's's", "\r\n\r\n  z", "x  ", "x ", "  x"]
+ODD = ["", " ", "   ", "a  b", "a   b", "\n x", " \n \n b", "x \n", "a \t  ", "don't  we'll'", "Ünï 12 345", "é  b", "a　 　b ", "<|endoftext|> x", "a <|endoftext|><|endoftext|>b", "<|endoftext|", "!!! 's 's's", "\r\n\r\n  z", "x  ", "x ", "  x"]
 
 
 def random_text():
@@ -63,8 +63,7 @@ def test_files_against_the_library(spark, tmp_path):
     token_files.write(spark.createDataFrame([(i, t, 9, "clash") for i, t in rows], SCHEMA).repartition(3), path, VOCABULARY, 40)
     got = token_files.read(spark, path).collect()
     t = Tokenizer.from_file(VOCABULARY)
-    t.encode_special_tokens = True
-    want, n = {}, {}
+    want = {}
     for i, text in rows:
         ids = np.array(t.encode(text or "", add_special_tokens=False).ids + [0], "<u4")
         want.setdefault(i, []).append((len(ids), crc32(ids.tobytes())))
@@ -79,6 +78,15 @@ def test_files_against_the_library(spark, tmp_path):
     assert spark.read.parquet(path).count() > 5
 
 
+def test_rows_without_an_id_are_cut_into_ranges(spark, tmp_path):
+    rows = spark.range(6000).selectExpr("IF(id % 3 = 0, NULL, id) AS doc_id", "concat('text ', id) AS text")
+    token_files.write(rows, str(tmp_path / "files"), VOCABULARY, 400)
+    parts = {r.part: r.n for r in spark.read.parquet(str(tmp_path / "files")).groupBy("part").agg({"n_docs": "sum"}).toDF("part", "n").collect()}
+    assert sum(parts.values()) == 6000 and max(parts.values()) < 2 * 6000 / len(parts)
+    got = token_files.read(spark, str(tmp_path / "files")).orderBy("start").collect()
+    assert [r.doc_id for r in got] == [None] * 2000 + [i for i in range(6000) if i % 3]
+
+
 def test_empty_table(spark, tmp_path):
     token_files.write(spark.createDataFrame([], SCHEMA), str(tmp_path / "none"), VOCABULARY)
     assert token_files.read(spark, str(tmp_path / "none")).count() == 0

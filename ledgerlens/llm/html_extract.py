@@ -609,8 +609,8 @@ def wrappers(pages: DataFrame) -> DataFrame:
         held: dict[str, dict] = {}
         shapes: dict[str, set] = {}
         for batch in batches:
-            for url, page in zip(batch.column("url").to_pylist(), batch.column("html").to_pylist()):
-                own, host = stream(parsed(page or "")), host_of(url)
+            for host, page in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist()):
+                own = stream(parsed(page or ""))
                 shape = _shape(own)
                 if host not in held:
                     held[host], shapes[host] = own, {shape}
@@ -623,7 +623,7 @@ def wrappers(pages: DataFrame) -> DataFrame:
             "host": pa.array(list(held), pa.string()), "salt": pa.array([crc32(json.dumps(w).encode()) % SALTS for w in held.values()], pa.int32()),
             "wrapper": pa.array([json.dumps(w) for w in held.values()], pa.string())})
 
-    parts = pages.select("url", "html").mapInArrow(partial, "host string, salt int, wrapper string")
+    parts = pages.select(host_column(F.col("url")).alias("host"), "html").mapInArrow(partial, "host string, salt int, wrapper string")
     salted = parts.repartition("host", "salt").mapInArrow(lambda b: _merge_rows(b, ("host", "salt")), "host string, salt int, wrapper string")
     return salted.repartition("host").mapInArrow(lambda b: _merge_rows(b, ("host",)), "host string, wrapper string")
 
@@ -638,15 +638,18 @@ def host_column(url: Column) -> Column:
 
 
 def extract(pages: DataFrame, found: DataFrame) -> DataFrame:
-    """page_id, url, text of every page, read through its host's wrapper."""
+    """page_id, url, text of every page, read through its host's wrapper (its own, if ``found`` has none)."""
 
     def texts(batches):
         for batch in batches:
-            out = [extracted(parsed(page or ""), _wrapper(w)) for page, w in zip(batch.column("html").to_pylist(), batch.column("wrapper").to_pylist())]
+            out = []
+            for page, w in zip(batch.column("html").to_pylist(), batch.column("wrapper").to_pylist()):
+                tree = parsed(page or "")
+                out.append(extracted(tree, _wrapper(w) if w is not None else marked(stream(tree))))
             yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(out, pa.string())], ["page_id", "url", "text"])
 
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html", host_column(F.col("url")).alias("host"))
-    return rows.join(found, "host").select("page_id", "url", "html", "wrapper").mapInArrow(texts, "page_id long, url string, text string")
+    return rows.join(found, "host", "left").select("page_id", "url", "html", "wrapper").mapInArrow(texts, "page_id long, url string, text string")
 
 
 def op10_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -141,3 +141,13 @@ def test_given_pages(spark):
         want[r.page_id] = "\n".join(" ".join(x) for x in parts if x)
     got = QUERIES["op10_html_extract"](spark, sf).collect()
     assert {r.page_id: r.text for r in got} == want and all(r.n_chars == len(r.text) for r in got)
+
+
+def test_no_page_is_lost_whatever_its_url(spark):
+    urls = ["\u212att" + "p://b.com/x", "http://B.com/y", "HTTP://\u0130x.org/", "http://stra\u00dfe.de/", None, "", "nonsense", "ftp://u@h:1/z", "http://\u212a.com"]
+    page = "<body><article><h1>Title</h1><p>Text of the page</p></article></body>"
+    pages = spark.createDataFrame([(i, u, page, "clash", "clash", "clash") for i, u in enumerate(urls)], SCHEMA)
+    got = hx.extract(pages, hx.wrappers(pages)).collect()
+    assert sorted((r.page_id, r.text) for r in got) == [(i, "Title\nText of the page") for i in range(len(urls))]
+    none = hx.extract(pages, hx.wrappers(pages.where("page_id < 0"))).collect()  # hosts without a wrapper
+    assert sorted((r.page_id, r.text) for r in none) == sorted((r.page_id, r.text) for r in got)

@@ -10,7 +10,7 @@ from ledgerlens.functions import temporal as T
 from ledgerlens.functions import text as X
 from ledgerlens.operators import cohort, lifetime, merchants, risk, rolling, rules, trends
 from ledgerlens.operators.common import completed, sort_keys
-from ledgerlens.plans.catalog_core import ACTIVE_MONTHS, COHORTS, EARNED, MERCHANT_FLAGS, SPENT
+from ledgerlens.plans.catalog_core import ACTIVE_MONTHS, COHORTS, EARNED, MERCHANT_FLAGS, SERIES, SPENT
 from ledgerlens.plans.registry import age_months_sql, query, rr
 from ledgerlens.sources.ledger import ledger_for
 
@@ -407,19 +407,8 @@ def w2(spark, sf_dir):
     return counts.withColumn("prev_month_active_customers", F.lag("active_customers").over(w))
 
 
-DAILY = """
-daily AS (
-  SELECT CAST(transaction_date AS DATE) AS transaction_date, SUM(amount) AS total_amount
-  FROM transactions WHERE status = 'completed' GROUP BY 1
-)"""
-
-
-def _daily_window(key: str, col: str, sql_expr: str):
-    @query(key, f"""
-WITH {DAILY}
-SELECT transaction_date, CAST(total_amount AS DOUBLE) AS daily_amount, {sql_expr} AS {col}
-FROM daily
-""")
+def _daily_window(key: str, col: str):
+    @query(key, f"WITH {SERIES} SELECT transaction_date, daily_amount, {col} FROM series")
     def build(spark, sf_dir):
         q7 = rolling.rolling_metrics(_L(spark, sf_dir).transactions)
         return q7.select("transaction_date", "daily_amount", col)
@@ -428,16 +417,12 @@ FROM daily
     return build
 
 
-_W = "OVER (ORDER BY transaction_date ROWS BETWEEN {n} PRECEDING AND CURRENT ROW)"
-_daily_window("w3_lag_global", "prev_day_amount", "CAST(LAG(total_amount, 1) OVER (ORDER BY transaction_date) AS DOUBLE)")
-_daily_window("w4_lead_global", "next_day_amount", "CAST(LEAD(total_amount, 1) OVER (ORDER BY transaction_date) AS DOUBLE)")
-_daily_window("w5_moving_avg_7", "rolling_avg_7d",
-              rr(f"SUM(total_amount) {_W.format(n=6)} * 100", f"COUNT(total_amount) {_W.format(n=6)}", 0) + " / 100")
-_daily_window("w6_moving_avg_30", "rolling_avg_30d",
-              rr(f"SUM(total_amount) {_W.format(n=29)} * 100", f"COUNT(total_amount) {_W.format(n=29)}", 0) + " / 100")
-_daily_window("w7_moving_sum_30", "rolling_sum_30d", f"CAST(SUM(total_amount) {_W.format(n=29)} AS DOUBLE)")
-_daily_window("w8_period_change", "day_over_day_change",
-              "CAST(total_amount - LAG(total_amount, 1) OVER (ORDER BY transaction_date) AS DOUBLE)")
+_daily_window("w3_lag_global", "prev_day_amount")
+_daily_window("w4_lead_global", "next_day_amount")
+_daily_window("w5_moving_avg_7", "rolling_avg_7d")
+_daily_window("w6_moving_avg_30", "rolling_avg_30d")
+_daily_window("w7_moving_sum_30", "rolling_sum_30d")
+_daily_window("w8_period_change", "day_over_day_change")
 
 
 # ---- sorts and top-k ---------------------------------------------------------

@@ -19,6 +19,11 @@ def month_start(c) -> Column:
     return F.trunc(_col(c), "MM")
 
 
+def month_number(c) -> Column:
+    """Months since the start of year 0, so that a month's successor is one more."""
+    return F.year(_col(c)) * 12 + F.month(_col(c)) - 1
+
+
 def day_of(c) -> Column:
     """Calendar day as DATE (f2)."""
     return F.to_date(_col(c))

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.numeric import round_ratio, round_ratio_percent
-from ledgerlens.functions.temporal import age_months, month_start, year_month_label
+from ledgerlens.functions.temporal import month_number, month_start, year_month_label
 from ledgerlens.operators.common import completed, sort_keys
 
+#: Months of an activity word (the bits of a long).
+WORD = 64
+
 
 def customer_cohorts(customers: DataFrame) -> DataFrame:
     """customer_id -> cohort_month (month of joining, DATE)."""
@@ -20,44 +23,58 @@ def cohort_sizes(customers: DataFrame) -> DataFrame:
     return customer_cohorts(customers).groupBy("cohort_month").agg(F.count("customer_id").alias("cohort_size"))
 
 
-def monthly_active_customers(customers: DataFrame, accounts: DataFrame, transactions: DataFrame) -> DataFrame:
-    """p6: distinct (customer, cohort month, activity month) of completed activity.
+def _active_words(customers: DataFrame, accounts: DataFrame, transactions: DataFrame) -> DataFrame:
+    """(customer_id, cohort_month, block, word): a customer's completed activity as bits.
 
-    Transactions are first reduced to one row per account holding the set of
-    its active months.  The set is bounded by the calendar span (months), not
-    by the account's row count, and ``collect_set`` merges map-side, so an
-    account with a huge share of the rows is one small row before any join.
-    Keying that aggregate on the account alone lets the account join reuse
-    its partitioning (no second shuffle of the fact side).  The months are
-    exploded after the join and made distinct per customer (partial
-    de-duplication before that shuffle).  The reference joins the customer
-    table twice on the same unique key; once is enough.
+    Months are numbered from year 0 on; ``block`` is that number by 64, and bit k of
+    ``word`` says that the customer was active in month ``64 * block + k``.  Words merge
+    by ``bit_or``: on the map side, per account, so that an account with a huge share of
+    the rows is one word a block before any join, then per customer.
     """
-    acct_months = (
+    number = month_number("transaction_date")
+    month = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(number, F.lit(WORD)))
+    per_account = (
         completed(transactions)
-        .groupBy("account_id")
-        .agg(F.collect_set(month_start("transaction_date")).alias("months"))
+        .where(F.col("transaction_date").isNotNull())
+        .groupBy("account_id", F.floor(number / WORD).cast("int").alias("block"))
+        .agg(F.bit_or(month).alias("word"))
     )
     owners = accounts.select("account_id", "customer_id").join(customer_cohorts(customers), "customer_id")
-    return (
-        acct_months.join(owners, "account_id")
-        .select("customer_id", "cohort_month", F.explode("months").alias("activity_month"))
-        .distinct()
-    )
+    return per_account.join(owners, "account_id").groupBy("customer_id", "cohort_month", "block").agg(F.bit_or("word").alias("word"))
+
+
+def _has_bit(k) -> Column:
+    return F.call_function("shiftright", F.col("word"), k if isinstance(k, Column) else F.lit(k)).bitwiseAND(F.lit(1).cast("long"))
+
+
+def monthly_active_customers(customers: DataFrame, accounts: DataFrame, transactions: DataFrame) -> DataFrame:
+    """p6: distinct (customer, cohort month, activity month) of completed activity.
+
+    One row per bit of the customers' words: they are distinct as they stand, so the
+    months are spelled out after the last exchange.  The reference joins the customer
+    table twice on the same unique key; once is enough.
+    """
+    bits = F.filter(F.sequence(F.lit(0), F.lit(WORD - 1)), lambda k: _has_bit(k) == 1)
+    words = _active_words(customers, accounts, transactions)
+    spelled = words.select("customer_id", "cohort_month", "block", F.explode(bits).alias("bit"))
+    number = F.col("block") * WORD + F.col("bit")
+    month = F.make_date(F.floor(number / 12).cast("int"), F.pmod(number, F.lit(12)) + 1, F.lit(1))
+    return spelled.select("customer_id", "cohort_month", month.alias("activity_month"))
 
 
 def cohort_retention_counts(customers: DataFrame, accounts: DataFrame, transactions: DataFrame) -> DataFrame:
     """(cohort_month, months_active_offset) -> active customers.
 
-    After the distinct above, a customer appears once per (cohort, offset),
-    so COUNT equals COUNT(DISTINCT) without a second shuffle.
+    Every bit position is counted by itself in one aggregate per (cohort, block), so no
+    month is spelled out per customer; only the counts of the few (cohort, block) rows
+    are turned into rows, less the cohort's own month number.  Customers without a join
+    date belong to no cohort.
     """
-    active = monthly_active_customers(customers, accounts, transactions)
-    return (
-        active.withColumn("months_active_offset", age_months("activity_month", "cohort_month"))
-        .groupBy("cohort_month", "months_active_offset")
-        .agg(F.count("customer_id").alias("active_customers"))
-    )
+    words = _active_words(customers, accounts, transactions).where(F.col("cohort_month").isNotNull())
+    counted = words.groupBy("cohort_month", "block").agg(*[F.sum(_has_bit(k)).alias(str(k)) for k in range(WORD)])
+    cells = counted.unpivot(["cohort_month", "block"], [str(k) for k in range(WORD)], "bit", "active_customers")
+    offset = F.col("block") * WORD + F.col("bit").cast("int") - month_number("cohort_month")
+    return cells.where(F.col("active_customers") > 0).select("cohort_month", offset.alias("months_active_offset"), "active_customers")
 
 
 def cohort_analysis(customers: DataFrame, accounts: DataFrame, transactions: DataFrame) -> DataFrame:
@@ -126,9 +143,10 @@ def retention_at_offset_by_segment(
 ) -> DataFrame:
     """k5: per segment, the share (percent, 2 digits) of customers active
     exactly ``offset`` months after their join month, pooled over cohorts."""
+    month = month_number("cohort_month") + offset
     active = (
-        monthly_active_customers(customers, accounts, transactions)
-        .where(age_months("activity_month", "cohort_month") == offset)
+        _active_words(customers, accounts, transactions)
+        .where((F.col("block") == F.floor(month / WORD)) & (_has_bit(F.pmod(month, F.lit(WORD))) == 1))
         .select("customer_id")
     )
     seg = customers.select("customer_id", "segment")

@@ -1,6 +1,8 @@
 """Operator semantics on hand-made ledgers (FIXTURES.md section 5)."""
 
 import datetime as dt
+import random
+from collections import Counter
 from decimal import Decimal
 
 import pytest
@@ -162,6 +164,29 @@ def test_sparse_cohort_offsets_lag_previous_observed(spark):
     assert all(r.cohort_size == 2 for r in rows)
 
 
+def test_activity_over_several_calendar_words(spark):
+    """Months on both sides of word boundaries, before joining, 190 months apart; against sets in Python."""
+    rng = random.Random(7)
+    joins = {c: f"{2003 + c % 9}-{1 + c % 12:02d}-{1 + c % 28:02d}" for c in range(30)}
+    c = frame(spark, "customers", [customer(k, d) for k, d in joins.items()])
+    a = frame(spark, "accounts", [account(k, k // 2) for k in range(60)])
+    days = [(rng.randrange(60), rng.randrange(2001, 2017), rng.randrange(1, 13), rng.randrange(1, 29)) for _ in range(900)]
+    days += [(0, y, m, 1) for y, m in ((2005, 4), (2005, 5), (2010, 8), (2010, 9))] + [(1, 2005, 5, 31), (1, 2010, 8, 31)]
+    t = frame(spark, "transactions", [tx(n, k, None, 10, f"{y}-{m:02d}-{d:02d} 23:59", "transfer") for n, (k, y, m, d) in enumerate(days)])
+    active = {(k // 2, y * 12 + m) for k, y, m, _ in days}
+    joined = {k: int(d[:4]) * 12 + int(d[5:7]) for k, d in joins.items()}
+    got = cohort.monthly_active_customers(c, a, t).collect()
+    assert len(got) == len(active) and {(r.customer_id, r.activity_month.year * 12 + r.activity_month.month) for r in got} == active
+    assert all(r.activity_month.day == 1 for r in got)
+    want = Counter((joined[k], month - joined[k]) for k, month in active)
+    got = cohort.cohort_retention_counts(c, a, t).collect()
+    assert {(r.cohort_month.year * 12 + r.cohort_month.month, r.months_active_offset): r.active_customers for r in got} == want
+    assert len(got) == len(want) and min(o for _, o in want) < 0 and max(o for _, o in want) > 64
+    for offset in (3, 61, 64, 100):
+        hits = sum(r.active_customers for r in cohort.retention_at_offset_by_segment(c, a, t, offset=offset).collect())
+        assert hits == sum(n for (_, o), n in want.items() if o == offset)
+
+
 def test_cohort_matrix_has_null_where_absent(spark):
     c = frame(spark, "customers", [customer(1, "2024-01-10")])
     a = frame(spark, "accounts", [account(1, 1)])

@@ -55,6 +55,13 @@ def test_partial_aggregation_before_the_merchant_join(spark):
     assert "partial_count" in text
 
 
+@pytest.mark.parametrize("key", ["q6_cohort_analysis", "q13_cohort_retention_12m", "q14_cohort_matrix", "k5_month3_retention_by_segment", "w2_lag_partitioned"])
+def test_cohorts_count_bits_and_spell_out_no_month(spark, key):
+    text = plan_text(queries()[key](spark, SF_SMALL), "simple")
+    assert "partial_bit_or" in text and "Generate" not in text and "collect_set" not in text
+    assert not re.search(r"hashpartitioning\([^)]*activity_month", text)
+
+
 def test_month_filter_prunes_partitions(spark, ledger, tmp_path):
     path = str(tmp_path / "by_month")
     files.write_partitioned_ledger(ledger.transactions, path)

@@ -1,11 +1,12 @@
 """Operator 9: best fit against a linear search, constraints, nothing lost."""
 
 import random
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import pytest
 
-from ledgerlens.llm.packing import pack_pieces, plan, sequences
+from ledgerlens.llm.common import LAST_ID
+from ledgerlens.llm.packing import BINS_PER_SHARD, pack_pieces, plan, sequences
 
 SCHEMA = "doc_id long, text string, source string, cluster string, shard string, n long"
 rng = random.Random(11)
@@ -31,6 +32,12 @@ def test_tightest_compatible_bin(n_sources, n_clusters):
     assert pack_pieces(pieces, 100) == brute(pieces, 100)
 
 
+def test_runs_of_equal_pieces():
+    pieces = [(rng.randrange(0, 60), rng.choice([None, *range(3)]), rng.choice([None, *range(9)])) for _ in range(60)]
+    pieces = [p for p in pieces for _ in range(rng.randrange(1, 9))]
+    assert pack_pieces(pieces, 100) == brute(pieces, 100)
+
+
 def corpus():
     rows = [(i, " ".join(f"w{rng.randrange(30)}" for _ in range(rng.choice([0, 1, 7, 20, 55, 230]))), rng.choice(["hot", "hot", "a", "b", None])) for i in range(200)]
     rows += [(900 + i, "Copied text, of five words", "hot" if i % 2 else f"s{i}") for i in range(40)]
@@ -70,5 +77,16 @@ def test_constraints_and_nothing_lost(spark, shard_rows):
             assert whole[r.bin_id][r.bin_start:r.bin_start + r.n_words] == text[r.doc_id].split()[r.piece_start:r.piece_start + r.n_words]
 
 
+def test_equal_rows_go_to_all_shards(spark):
+    """100,000 equal rows without an id: each in a bin of its own, as many in one shard as in another."""
+    docs = spark.range(100_000, numPartitions=8).selectExpr("cast(null as long) doc_id", "'one text of all' text", "'hot' source")
+    docs = docs.unionByName(spark.createDataFrame([(LAST_ID, "one text of all", "hot"), (LAST_ID, "alone", None)], "doc_id long, text string, source string"))
+    got = plan(docs).select("doc_id", "bin_id", "n_words").collect()
+    assert len(got) == 100_002 and len({r.bin_id for r in got if r.n_words == 4}) == 100_001
+    assert sorted(r.n_words for r in got if r.doc_id == LAST_ID) == [1, 4] and sum(r.doc_id is None for r in got) == 100_000
+    shards = Counter(r.bin_id // BINS_PER_SHARD for r in got if r.doc_id is None)
+    assert len(shards) == 25 and max(shards.values()) == min(shards.values()) == 4000
+
+
 def test_empty_table(spark):
     assert plan(spark.createDataFrame([], SCHEMA)).count() == 0

@@ -34,6 +34,15 @@ def daily_totals(
     )
 
 
+def daily_totals_from_partials(partials: DataFrame, *, status: str = "completed") -> DataFrame:
+    """Daily totals of one status from kept partials (day, status)."""
+    return (
+        completed(partials, status)
+        .groupBy("transaction_date")
+        .agg(F.sum("transaction_count").alias("transaction_count"), F.sum("daily_amount").alias("daily_amount"))
+    )
+
+
 def _rows(partition_cols: tuple[str, ...], lo: int | None = None) -> Window:
     w = Window.partitionBy(*partition_cols).orderBy("transaction_date")
     return w if lo is None else w.rowsBetween(lo, Window.currentRow)
@@ -54,7 +63,11 @@ def moving_sum(value: str, rows: int, partition_cols: tuple[str, ...] = ()):
 def rolling_metrics(transactions: DataFrame, *, partition_cols: tuple[str, ...] = ()) -> DataFrame:
     """q7: daily count and amount, 7/30-row means, 30-row sum, previous and
     next day's amount and the change from the previous day."""
-    daily = daily_totals(transactions, partition_cols=partition_cols)
+    return rolling_from_daily(daily_totals(transactions, partition_cols=partition_cols), partition_cols=partition_cols)
+
+
+def rolling_from_daily(daily: DataFrame, *, partition_cols: tuple[str, ...] = ()) -> DataFrame:
+    """q7 from daily totals (one row per observed day and key)."""
     ordered = _rows(partition_cols)
     prev = F.lag("daily_amount", 1).over(ordered)
     return daily.select(

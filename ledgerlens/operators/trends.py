@@ -32,6 +32,20 @@ def monthly_trends(
             F.sum(amount_col).alias("total_value"),
         )
     )
+    return _with_mean(monthly, with_mean)
+
+
+def monthly_trends_from_partials(partials: DataFrame, *, with_mean: bool = True, status: str = "completed") -> DataFrame:
+    """q2, q10 from kept partials (day, status)."""
+    monthly = (
+        completed(partials, status)
+        .groupBy(month_start("transaction_date").alias("transaction_month"))
+        .agg(F.sum("transaction_count").alias("transaction_volume"), F.sum("daily_amount").alias("total_value"))
+    )
+    return _with_mean(monthly, with_mean)
+
+
+def _with_mean(monthly: DataFrame, with_mean: bool) -> DataFrame:
     cols = ["transaction_month", "transaction_volume", "total_value"]
     if with_mean:
         monthly = monthly.withColumn("average_value", mean_money("total_value", "transaction_volume"))
@@ -54,6 +68,16 @@ def overview_kpis(
         F.count(id_col).alias("total_tx_count"),
         F.sum(amount_col).alias("s"),
     )
+    return _kpis(agg)
+
+
+def overview_kpis_from_partials(partials: DataFrame, *, status: str = "completed") -> DataFrame:
+    """q9 from kept partials (day, status)."""
+    count = F.coalesce(F.sum("transaction_count"), F.lit(0).cast("long"))
+    return _kpis(completed(partials, status).agg(count.alias("total_tx_count"), F.sum("daily_amount").alias("s")))
+
+
+def _kpis(agg: DataFrame) -> DataFrame:
     return agg.select(
         "total_tx_count",
         F.coalesce(F.col("s").cast("double"), F.lit(0.0)).alias("total_tx_volume"),

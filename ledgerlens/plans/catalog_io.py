@@ -9,11 +9,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ledgerlens.operators import trends
+from ledgerlens.operators import rolling, trends
 from ledgerlens.operators.integrity import union_all
+from ledgerlens.plans.catalog_core import SERIES, TRENDS
 from ledgerlens.plans.registry import query
 from ledgerlens.sources import files
 from ledgerlens.sources.ledger import ledger_for
+from ledgerlens.sources.partials import DailyPartials
 from ledgerlens.sources.schemas import LOAD_ORDER, PRIMARY_KEYS, SCHEMAS, conform
 
 
@@ -182,6 +184,30 @@ def s9(spark, sf_dir):
     return files.read_month(spark, path, S9_MONTH)
 
 
+def _partials(spark, sf_dir):
+    """Partials of the ledger by month, refreshed before and after one month's rows arrive late."""
+    rows = ledger_for(spark, sf_dir).transactions
+    root = files.fresh_dir(spark, "s9-partials")
+    late = F.trunc("transaction_date", "MM") == F.lit(S9_MONTH).cast("date")
+    files.write_partitioned_ledger(rows.where(~late | F.col("transaction_date").isNull()), f"{root}/ledger")
+    kept = DailyPartials(spark, f"{root}/ledger", f"{root}/partials")
+    kept.refresh()
+    files.write_partitioned_ledger(rows.where(late), f"{root}/ledger", mode="append")
+    return kept.refresh()
+
+
+@query("s9_trends_from_partials", TRENDS)
+def s9_trends(spark, sf_dir):
+    """q2 merged from partials per month, of which only the changed month was computed anew."""
+    return trends.monthly_trends_from_partials(_partials(spark, sf_dir))
+
+
+@query("s9_rolling_from_partials", f"WITH {SERIES} SELECT * FROM series")
+def s9_rolling(spark, sf_dir):
+    """q7 merged from partials per month."""
+    return rolling.rolling_from_daily(rolling.daily_totals_from_partials(_partials(spark, sf_dir)))
+
+
 def _month_query(key: str, table: str, date_col: str, columns: str) -> None:
     month = files.month_column(date_col)
 

@@ -211,14 +211,14 @@ def month_column(date_col: str) -> str:
     return date_col.removesuffix("_date") + "_month"
 
 
-def write_partitioned_ledger(rows: DataFrame, path: str, date_col: str = "transaction_date", key: str = "transaction_id") -> None:
-    """s9: a table laid out by the month of ``date_col``.
+def write_partitioned_ledger(rows: DataFrame, path: str, date_col: str = "transaction_date", key: str = "transaction_id", mode: str = "overwrite") -> None:
+    """s9: a table laid out by the month of ``date_col`` (``mode="append"`` adds rows to it).
 
     Rows are range-partitioned on (month, key) before the write: each task covers a
     slice of consecutive months, so it writes into few month directories, and a month
     holding a large share of the rows is split over several tasks."""
     month = month_column(date_col)
-    rows.withColumn(month, month_start(date_col)).repartitionByRange(month, key).write.mode("overwrite").partitionBy(month).parquet(path)
+    rows.withColumn(month, month_start(date_col)).repartitionByRange(month, key).write.mode(mode).partitionBy(month).parquet(path)
 
 
 def read_month(spark: SparkSession, path: str, month: str, table: str = "transactions", date_col: str = "transaction_date") -> DataFrame:

@@ -1,14 +1,18 @@
 """Byte-level BPE encoding and decoding with higher-order functions (operator 5).
 
-Documents are gathered into blocks of bounded size (one row: the block's distinct
-words, as the pattern splits them, and each document as codes of them); nothing is
-shuffled.  In a block, every distinct word is encoded once, by folding ranked merges
-over its byte array: the pair of the lowest rank (the leftmost of equal ones) becomes one
-part, and only the two pairs beside it are ranked anew, until no pair has a rank.  Ranks
-come from a literal map from pairs of parts, kept in buckets so that a look-up reads a
-few keys.  Ids, their text and their decoded bytes are made once per distinct word; a
-document joins those of its codes.  Decoding looks up each id's bytes in a literal array
-and concatenates the binary pieces.
+Documents are gathered into blocks of bounded size (one row: the block's distinct words, as
+the pattern splits them, and each document as codes of them), which are written to the
+shared folder.  Their words are dealt by hash, so that a word of many blocks is encoded
+once: by folding ranked merges over its byte array.  The pair of the lowest rank (the
+leftmost of equal ones) becomes one part, and only the two pairs beside it are ranked anew,
+until no pair has a rank.  Ranks come from a literal map from pairs of parts.  Decoding
+looks up each id's bytes in a literal array and concatenates the binary pieces.  A word's
+ids, their text and their bytes go back to the blocks that hold it; a document joins those
+of its codes.
+
+A word is in a block once, so a row of the deal is a (word, block).  Words are dealt by
+(word, group of at most ``GROUP`` blocks): a word that is in every block of a corpus is
+encoded once a group, and its rows are spread over the groups' tasks.
 
 A part of a word under way is one number: the rank of the pair it begins, its first
 byte's place, its id.  The smallest number is thus the pair to merge next.
@@ -25,25 +29,30 @@ from __future__ import annotations
 import base64
 import heapq
 import json
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens.llm.chunks import Codes
-from ledgerlens.llm.common import table, text_of
+from ledgerlens.llm.common import land, run_folder, table, text_of
 
 #: Characters of a block's texts, about.
-BLOCK_CHARS = 14_000_000
+BLOCK_CHARS = 7_000_000
+#: Blocks whose words are encoded together, tasks of the fold for each block, rows of one fold.
+GROUP, FOLDS, ROWS = 4096, 2, 500_000
 LONG = 512
 BUCKETS = 16_381
 #: Bits of an id, of a place in a word, and what stands for "no rank" and for a word's edges.
 ID, PLACE = 17, 10
 NO_RANK, EDGE = 2**ID - 1, 2**ID - 2
-BLOCK = ("doc_ids array<bigint>, starts array<int>, lengths array<int>, codes array<int>, words array<binary>, "
-         "long_words array<binary>, long_ids array<array<int>>")
+BLOCK = ("doc_ids array<bigint>, lengths array<int>, codes array<int>, words array<binary>, "
+         "long_codes array<int>, long_ids array<array<int>>")
+DEALT = "words array<binary>, blocks array<bigint>, codes array<int>, at array<int>"
+ENCODED = "doc_id bigint, n_tokens bigint, ids string, decoded binary"
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -107,13 +116,16 @@ def gathered(docs: DataFrame, ranks: dict[bytes, int], pattern: str, block_chars
             words = flat[words]
             edges = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])]
             keys = [w.encode() for w in known]
-            long_words = [k for k in keys if len(k) > LONG]
+            long_codes = [i for i, k in enumerate(keys) if len(k) > LONG]
+            long_words = [keys[i] for i in long_codes]
             long_ids = [[shared.value[w]] if w in shared.value else merge_long(w, shared.value) for w in long_words]
+            for i in long_codes:
+                keys[i] = None
             ints = pa.list_(pa.int32())
             return pa.RecordBatch.from_pydict({
-                "doc_ids": pa.array([ids], pa.list_(pa.int64())), "starts": pa.array([edges[:-1]], ints), "lengths": pa.array([np.diff(edges)], ints),
+                "doc_ids": pa.array([ids], pa.list_(pa.int64())), "lengths": pa.array([np.diff(edges)], ints),
                 "codes": pa.array([words], ints), "words": pa.array([keys], pa.list_(pa.binary())),
-                "long_words": pa.array([long_words], pa.list_(pa.binary())), "long_ids": pa.array([long_ids], pa.list_(ints))})
+                "long_codes": pa.array([long_codes], ints), "long_ids": pa.array([long_ids], pa.list_(ints))})
 
         seen, ids, codes, size = Codes(), [], [], 0
         for batch in batches:
@@ -178,7 +190,7 @@ class RankMap:
             F.transform(read(self.words, "array<map<string,int>>"), lambda m: F.transform_keys(m, lambda k, _: F.unhex(k))).alias("words"),
             read(self.first, "array<bigint>").alias("first"), read(self.second, "array<bigint>").alias("second"),
             read(self.bytes, "array<bigint>").alias("bytes"), read(self.byte_pairs, "array<bigint>").alias("byte_pairs"),
-            F.transform(read(self.pieces, "array<string>"), lambda h: F.unhex(h).cast("string")).alias("pieces"))
+            F.transform(read(self.pieces, "array<string>"), F.unhex).alias("pieces"))
 
     def word(self, literal: Column, key: Column) -> Column:
         """The rank of a byte string, null if it has none."""
@@ -224,44 +236,90 @@ def fold(word: Column, literal: Column, ranks: RankMap) -> Column:
     return F.aggregate(F.sequence(F.lit(2), n), start, step, lambda parts: F.transform(F.slice(parts, F.lit(2), F.size(parts) - 2), lambda p: id_of(p).cast("int")))
 
 
-def encoded(block: DataFrame, ranks: RankMap, finish: Callable[[Column], Column]) -> DataFrame:
-    """Per document ``finish`` of doc_id, n_tokens, ids (text, comma-joined), decoded (binary)."""
+def one(values: pa.Array) -> pa.ListArray:
+    """``values`` as the only list of an array."""
+    return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
 
-    def word_ids(word: Column, literal: Column) -> Column:
-        return let(ranks.word(literal, word), lambda r: F.when(r.isNotNull(), F.array(r))
-                   .when(F.octet_length(word) > LONG, F.get("long_ids", F.array_position("long_words", word).cast("int") - 1))
-                   .otherwise(fold(word, literal, ranks)))
 
-    def described(word: Column, literal: Column) -> Column:
-        return let(word_ids(word, literal), lambda i: F.struct(
-            F.size(i).alias("n"), F.array_join(i.cast("array<string>"), ",").alias("ids"),
-            F.array_join(F.transform(i, lambda t: F.get(literal["pieces"], t)), "").alias("bytes")))
+def distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of schema ``DEALT`` from (block, code, word): distinct words, and the place of each row's word among them."""
+
+    def dealt(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        rows = pa.Table.from_batches(held).combine_chunks()
+        words = rows["word"].combine_chunks().dictionary_encode()
+        return pa.RecordBatch.from_pydict({
+            "words": one(words.dictionary), "blocks": one(rows["block"].combine_chunks()),
+            "codes": one(rows["code"].combine_chunks()), "at": one(words.indices)})
 
-    def document(doc: Column, words: Column) -> Column:
-        return let(F.slice("codes", doc["starts"] + 1, doc["lengths"]), lambda codes: F.struct(
-            doc["doc_ids"].alias("doc_id"),
-            F.aggregate(codes, F.lit(0).cast("long"), lambda a, c: a + F.get(words, c)["n"]).alias("n_tokens"),
-            F.array_join(F.transform(codes, lambda c: F.get(words, c)["ids"]), ",").alias("ids"),
-            F.array_join(F.transform(codes, lambda c: F.get(words, c)["bytes"]), "").cast("binary").alias("decoded")))
+    held, n = [], 0
+    for batch in batches:
+        held.append(batch)
+        n += batch.num_rows
+        if n >= ROWS:
+            yield dealt(held)
+            held, n = [], 0
+    if n:
+        yield dealt(held)
 
-    docs = F.arrays_zip("doc_ids", "starts", "lengths")
-    whole = let(ranks.literal(), lambda literal: let(
-        F.transform("words", lambda w: described(w, literal)), lambda words: F.transform(docs, lambda d: finish(document(d, words)))))
-    return block.select(F.inline(whole))
 
+def folded(dealt: DataFrame, ranks: RankMap) -> DataFrame:
+    """(block, code, n, ids, bytes) of rows of schema ``DEALT``: each word folded once, its ids' text and bytes joined."""
 
-def encode(docs: DataFrame, vocabulary: str, pattern: str, finish: Callable[[Column], Column] = lambda d: d) -> DataFrame:
-    """Encode and decode whole texts: ``finish`` of struct<doc_id, n_tokens, ids, decoded> per row of ``docs``."""
+    def described(word: Column, literal: Column) -> Column:
+        ids = let(ranks.word(literal, word), lambda r: F.when(r.isNotNull(), F.array(r)).otherwise(fold(word, literal, ranks)))
+        return let(ids, lambda i: F.struct(
+            F.size(i).alias("n"), F.array_join(i.cast("array<string>"), ",").alias("ids"),
+            F.aggregate(i, F.unhex(F.lit("")), lambda a, t: F.concat(a, F.get(literal["pieces"], t))).alias("bytes")))
+
+    rows = F.arrays_zip("blocks", "codes", "at")
+    return dealt.select(F.inline(let(ranks.literal(), lambda literal: let(
+        F.transform("words", lambda w: described(w, literal)),
+        lambda words: F.transform(rows, lambda r: let(F.get(words, r["at"]), lambda w: F.struct(
+            r["blocks"].alias("block"), r["codes"].alias("code"), w["n"].alias("n"), w["ids"].alias("ids"), w["bytes"].alias("bytes"))))))))
+
+
+def encoded(blocks: DataFrame, ranks: dict[bytes, int], n_blocks: int) -> DataFrame:
+    """(doc_id, n_tokens, ids (text, comma-joined), decoded (binary)) of written blocks (schema ``BLOCK`` and block)."""
+    groups = -(-n_blocks // GROUP)
+    words = blocks.select("block", F.posexplode("words").alias("code", "word")).where("word IS NOT NULL")
+    dealt = words.repartition(FOLDS * n_blocks, "word", F.pmod(F.xxhash64("block"), F.lit(groups))).mapInArrow(distinct, DEALT)
+    shared = blocks.sparkSession.sparkContext.broadcast({i: k for k, i in ranks.items()})
+
+    def documents(block: pa.Table, known: pa.Table) -> pa.Table:
+        """A block's documents from its codes and its words' ids; long words' ids are in the block itself."""
+        held = {name: block[name][0].values for name in ("doc_ids", "lengths", "codes", "long_codes")}
+        long_ids = block["long_ids"][0].as_py()
+        more = {"code": held["long_codes"], "n": pa.array(map(len, long_ids), pa.int32()),
+                "ids": pa.array([",".join(map(str, i)) for i in long_ids], pa.string()),
+                "bytes": pa.array([b"".join(map(shared.value.__getitem__, i)) for i in long_ids], pa.binary())}
+        every = {k: pa.concat_arrays([known[k].combine_chunks(), v]) for k, v in more.items()}
+        order = pa.array(np.argsort(every["code"].to_numpy()))
+        size = lambda n: pa.array(np.concatenate([[0], np.cumsum(n)]), pa.int32())
+        edges = size(held["lengths"].to_numpy())
+        used = {k: every[k].take(order).take(held["codes"]) for k in ("n", "ids", "bytes")}
+        before = np.concatenate([[0], np.cumsum(used["n"].to_numpy(), dtype=np.int64)])
+        lists = lambda k: pa.ListArray.from_arrays(edges, used[k])
+        return pa.table({"doc_id": held["doc_ids"], "n_tokens": np.diff(before[edges.to_numpy()]),
+                         "ids": pc.binary_join(lists("ids"), ","), "decoded": pc.binary_join(lists("bytes"), b"")})
+
+    known = folded(dealt, RankMap(ranks)).repartition(n_blocks, "block").groupBy("block")
+    texts = blocks.drop("words").repartition(n_blocks, "block").groupBy("block")
+    return texts.cogroup(known).applyInArrow(documents, ENCODED)
+
+
+def encode(docs: DataFrame, vocabulary: str, pattern: str, block_chars: int = BLOCK_CHARS) -> DataFrame:
+    """Encode and decode whole texts: (doc_id, n_tokens, ids, decoded) per row of ``docs``."""
     ranks = read_ranks(vocabulary)
-    return encoded(gathered(docs, ranks, pattern), RankMap(ranks), finish)
+    blocks = gathered(docs, ranks, pattern, block_chars).withColumn("block", F.monotonically_increasing_id())
+    blocks = land(blocks, run_folder(docs.sparkSession, "bpe"))
+    return encoded(blocks, ranks, max(blocks.count(), 1))
 
 
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every whole text and the bytes they decode to, as digests (contract of op5)."""
     import public_tokenizers
 
-    digests = lambda d: let(d, lambda x: F.struct(
-        x["doc_id"].alias("doc_id"), x["n_tokens"].alias("n_tokens"),
-        F.sha2(x["ids"].cast("binary"), 256).alias("ids_sha256"), F.sha2(x["decoded"], 256).alias("decoded_sha256")))
     docs = table(spark, sf_dir, "documents")
-    return encode(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN, digests)
+    found = encode(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    return found.select("doc_id", "n_tokens", F.sha2(F.col("ids").cast("binary"), 256).alias("ids_sha256"),
+                        F.sha2("decoded", 256).alias("decoded_sha256"))

@@ -33,7 +33,7 @@ def test_against_the_library(spark, block_chars):
     texts += [random_text(80) for _ in range(300)] + ["".join(rng.choices("aeinrst", k=rng.randrange(2, 30))) for _ in range(300)] + ["word and more, " * 9_000]
     rows = [(i, t, "clash", 1) for i, t in enumerate(texts)] + [(None, "null id", "", 2), (7, texts[7], "", 3)]
     docs = spark.createDataFrame(rows, SCHEMA)
-    got = bpe.encoded(bpe.gathered(docs, RANKS, public_tokenizers.PATTERN, block_chars), bpe.RankMap(RANKS), lambda d: d).collect()
+    got = bpe.encode(docs, VOCABULARY, public_tokenizers.PATTERN, block_chars).collect()
     assert len(got) == len(rows)
     for r in got:
         text = "null id" if r.doc_id is None else texts[r.doc_id] or ""

@@ -1,18 +1,13 @@
 """Byte-level BPE encoding and decoding with higher-order functions (operator 5).
 
 Documents are gathered into blocks of bounded size (one row: the block's distinct words, as
-the pattern splits them, and each document as codes of them), which are written to the
-shared folder.  Their words are dealt by hash, so that a word of many blocks is encoded
-once: by folding ranked merges over its byte array.  The pair of the lowest rank (the
-leftmost of equal ones) becomes one part, and only the two pairs beside it are ranked anew,
-until no pair has a rank.  Ranks come from a literal map from pairs of parts.  Decoding
-looks up each id's bytes in a literal array and concatenates the binary pieces.  A word's
-ids, their text and their bytes go back to the blocks that hold it; a document joins those
-of its codes.
-
-A word is in a block once, so a row of the deal is a (word, block).  Words are dealt by
-(word, group of at most ``GROUP`` blocks): a word that is in every block of a corpus is
-encoded once a group, and its rows are spread over the groups' tasks.
+the pattern splits them, and each document as codes of them); nothing is shuffled.  In a
+block, every distinct word is encoded once, by folding ranked merges over its byte array:
+the pair of the lowest rank (the leftmost of equal ones) becomes one part, and only the two
+pairs beside it are ranked anew, until no pair has a rank.  Ranks come from a literal map
+from pairs of parts.  Decoding looks up each id's bytes in a literal array and concatenates
+the binary pieces.  Ids, their text and their bytes are made once per distinct word; a
+document joins those of its codes, with Arrow's kernels.
 
 A part of a word under way is one number: the rank of the pair it begins, its first
 byte's place, its id.  The smallest number is thus the pair to merge next.
@@ -37,13 +32,11 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.chunks import Codes
-from ledgerlens.llm.common import land, run_folder, table, text_of
+from ledgerlens.llm.chunks import Codes, matches
+from ledgerlens.llm.common import table, text_of
 
-#: Characters of a block's texts, about.
-BLOCK_CHARS = 7_000_000
-#: Blocks whose words are encoded together, tasks of the fold for each block, rows of one fold.
-GROUP, FOLDS, ROWS = 4096, 2, 500_000
+#: Characters of a block's texts, about: the larger a block, the fewer words are folded again in the next one.
+BLOCK_CHARS = 32_000_000
 LONG = 512
 BUCKETS = 16_381
 #: Bits of an id, of a place in a word, and what stands for "no rank" and for a word's edges.
@@ -51,7 +44,6 @@ ID, PLACE = 17, 10
 NO_RANK, EDGE = 2**ID - 1, 2**ID - 2
 BLOCK = ("doc_ids array<bigint>, lengths array<int>, codes array<int>, words array<binary>, "
          "long_codes array<int>, long_ids array<array<int>>")
-DEALT = "words array<binary>, blocks array<bigint>, codes array<int>, at array<int>"
 ENCODED = "doc_id bigint, n_tokens bigint, ids string, decoded binary"
 
 
@@ -104,7 +96,7 @@ def gathered(docs: DataFrame, ranks: dict[bytes, int], pattern: str, block_chars
         def block(ids, codes, chunks):
             """Chunk codes become word codes; only distinct chunks are split."""
             known: dict[str, int] = {}
-            per_chunk = [[known.setdefault(w, len(known)) for w in split(c)] for c in chunks]
+            per_chunk = [[known.setdefault(w, len(known)) for w in matches(c, split)] for c in chunks]
             sizes = np.fromiter(map(len, per_chunk), np.int32, len(chunks))
             flat = np.fromiter((w for ws in per_chunk for w in ws), np.int32, int(sizes.sum()))
             del per_chunk
@@ -236,34 +228,8 @@ def fold(word: Column, literal: Column, ranks: RankMap) -> Column:
     return F.aggregate(F.sequence(F.lit(2), n), start, step, lambda parts: F.transform(F.slice(parts, F.lit(2), F.size(parts) - 2), lambda p: id_of(p).cast("int")))
 
 
-def one(values: pa.Array) -> pa.ListArray:
-    """``values`` as the only list of an array."""
-    return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
-
-
-def distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of schema ``DEALT`` from (block, code, word): distinct words, and the place of each row's word among them."""
-
-    def dealt(held: list[pa.RecordBatch]) -> pa.RecordBatch:
-        rows = pa.Table.from_batches(held).combine_chunks()
-        words = rows["word"].combine_chunks().dictionary_encode()
-        return pa.RecordBatch.from_pydict({
-            "words": one(words.dictionary), "blocks": one(rows["block"].combine_chunks()),
-            "codes": one(rows["code"].combine_chunks()), "at": one(words.indices)})
-
-    held, n = [], 0
-    for batch in batches:
-        held.append(batch)
-        n += batch.num_rows
-        if n >= ROWS:
-            yield dealt(held)
-            held, n = [], 0
-    if n:
-        yield dealt(held)
-
-
-def folded(dealt: DataFrame, ranks: RankMap) -> DataFrame:
-    """(block, code, n, ids, bytes) of rows of schema ``DEALT``: each word folded once, its ids' text and bytes joined."""
+def folded(blocks: DataFrame, ranks: RankMap) -> DataFrame:
+    """``blocks`` with words as structs (n, ids, bytes): each word folded once, its ids' text and bytes joined."""
 
     def described(word: Column, literal: Column) -> Column:
         ids = let(ranks.word(literal, word), lambda r: F.when(r.isNotNull(), F.array(r)).otherwise(fold(word, literal, ranks)))
@@ -271,48 +237,43 @@ def folded(dealt: DataFrame, ranks: RankMap) -> DataFrame:
             F.size(i).alias("n"), F.array_join(i.cast("array<string>"), ",").alias("ids"),
             F.aggregate(i, F.unhex(F.lit("")), lambda a, t: F.concat(a, F.get(literal["pieces"], t))).alias("bytes")))
 
-    rows = F.arrays_zip("blocks", "codes", "at")
-    return dealt.select(F.inline(let(ranks.literal(), lambda literal: let(
-        F.transform("words", lambda w: described(w, literal)),
-        lambda words: F.transform(rows, lambda r: let(F.get(words, r["at"]), lambda w: F.struct(
-            r["blocks"].alias("block"), r["codes"].alias("code"), w["n"].alias("n"), w["ids"].alias("ids"), w["bytes"].alias("bytes"))))))))
+    words = let(ranks.literal(), lambda literal: F.transform("words", lambda w: F.when(w.isNotNull(), described(w, literal))))
+    return blocks.withColumn("words", words)
 
 
-def encoded(blocks: DataFrame, ranks: dict[bytes, int], n_blocks: int) -> DataFrame:
-    """(doc_id, n_tokens, ids (text, comma-joined), decoded (binary)) of written blocks (schema ``BLOCK`` and block)."""
-    groups = -(-n_blocks // GROUP)
-    words = blocks.select("block", F.posexplode("words").alias("code", "word")).where("word IS NOT NULL")
-    dealt = words.repartition(FOLDS * n_blocks, "word", F.pmod(F.xxhash64("block"), F.lit(groups))).mapInArrow(distinct, DEALT)
+def encoded(blocks: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
+    """(doc_id, n_tokens, ids (text, comma-joined), decoded (binary)) of rows of schema ``BLOCK``."""
     shared = blocks.sparkSession.sparkContext.broadcast({i: k for k, i in ranks.items()})
 
-    def documents(block: pa.Table, known: pa.Table) -> pa.Table:
-        """A block's documents from its codes and its words' ids; long words' ids are in the block itself."""
-        held = {name: block[name][0].values for name in ("doc_ids", "lengths", "codes", "long_codes")}
-        long_ids = block["long_ids"][0].as_py()
-        more = {"code": held["long_codes"], "n": pa.array(map(len, long_ids), pa.int32()),
+    def documents(block: pa.RecordBatch) -> pa.RecordBatch:
+        """One block's documents from its codes and its words' ids; long words' ids are in the block itself."""
+        held = {name: block.column(name)[0].values for name in ("doc_ids", "lengths", "codes", "words", "long_codes")}
+        long_ids = block.column("long_ids")[0].as_py()
+        more = {"n": pa.array(map(len, long_ids), pa.int32()),
                 "ids": pa.array([",".join(map(str, i)) for i in long_ids], pa.string()),
                 "bytes": pa.array([b"".join(map(shared.value.__getitem__, i)) for i in long_ids], pa.binary())}
-        every = {k: pa.concat_arrays([known[k].combine_chunks(), v]) for k, v in more.items()}
-        order = pa.array(np.argsort(every["code"].to_numpy()))
-        size = lambda n: pa.array(np.concatenate([[0], np.cumsum(n)]), pa.int32())
-        edges = size(held["lengths"].to_numpy())
-        used = {k: every[k].take(order).take(held["codes"]) for k in ("n", "ids", "bytes")}
+        place = np.arange(len(held["words"]))
+        place[held["long_codes"].to_numpy()] = len(place) + np.arange(len(long_ids))
+        place = pa.array(place[held["codes"].to_numpy()])
+        used = {k: pa.concat_arrays([held["words"].field(k), v]).take(place) for k, v in more.items()}
+        edges = np.concatenate([[0], np.cumsum(held["lengths"].to_numpy())])
         before = np.concatenate([[0], np.cumsum(used["n"].to_numpy(), dtype=np.int64)])
-        lists = lambda k: pa.ListArray.from_arrays(edges, used[k])
-        return pa.table({"doc_id": held["doc_ids"], "n_tokens": np.diff(before[edges.to_numpy()]),
-                         "ids": pc.binary_join(lists("ids"), ","), "decoded": pc.binary_join(lists("bytes"), b"")})
+        lists = lambda k: pa.ListArray.from_arrays(pa.array(edges, pa.int32()), used[k])
+        return pa.RecordBatch.from_pydict({
+            "doc_id": held["doc_ids"], "n_tokens": np.diff(before[edges]),
+            "ids": pc.binary_join(lists("ids"), ","), "decoded": pc.binary_join(lists("bytes"), b"")})
+
+    def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield from (documents(batch.slice(i, 1)) for i in range(batch.num_rows))
 
-    known = folded(dealt, RankMap(ranks)).repartition(n_blocks, "block").groupBy("block")
-    texts = blocks.drop("words").repartition(n_blocks, "block").groupBy("block")
-    return texts.cogroup(known).applyInArrow(documents, ENCODED)
+    return folded(blocks, RankMap(ranks)).mapInArrow(joined, ENCODED)
 
 
 def encode(docs: DataFrame, vocabulary: str, pattern: str, block_chars: int = BLOCK_CHARS) -> DataFrame:
     """Encode and decode whole texts: (doc_id, n_tokens, ids, decoded) per row of ``docs``."""
     ranks = read_ranks(vocabulary)
-    blocks = gathered(docs, ranks, pattern, block_chars).withColumn("block", F.monotonically_increasing_id())
-    blocks = land(blocks, run_folder(docs.sparkSession, "bpe"))
-    return encoded(blocks, ranks, max(blocks.count(), 1))
+    return encoded(gathered(docs, ranks, pattern, block_chars), ranks)
 
 
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,7 +9,7 @@ needs to be tokenized once.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -17,6 +17,8 @@ import pyarrow.compute as pc
 
 _INNER = re.compile(r"\s (?:\s|\Z)")
 _RUNS = re.compile(r"\s*\S+|\s+")
+#: A word of letters, then ASCII marks: two matches of the pattern.
+_LETTERS_MARKS = re.compile(r"( ?[^\W\d_]+)([!-&(-/:-@\[-^`{-~]+)")
 
 
 def chunks(text: str) -> list[str]:
@@ -31,6 +33,15 @@ def chunks(text: str) -> list[str]:
     return ([first] if first else []) + [" " + w for w in rest]
 
 
+def matches(chunk: str, findall: Callable[[str], list[str]]) -> Sequence[str]:
+    """The pattern's matches in a chunk; ``findall`` is asked only for chunks that are neither a
+    word of letters after a space nor such a word and ASCII marks."""
+    if chunk[0] == " " and chunk[1:].isalpha():
+        return (chunk,)
+    m = _LETTERS_MARKS.fullmatch(chunk)
+    return m.groups() if m and m[1].lstrip(" ").isalpha() else findall(chunk)
+
+
 class Codes(dict):
     """chunk -> number; an unseen chunk gets the next one and is noted in ``new``."""
 

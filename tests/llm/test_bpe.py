@@ -4,9 +4,10 @@ import random
 
 import public_tokenizers
 import pytest
+import regex
 import tiktoken
 
-from ledgerlens.llm import bpe
+from ledgerlens.llm import bpe, chunks
 
 SCHEMA = "doc_id long, text string, words string, codes int"
 VOCABULARY = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -27,6 +28,14 @@ def test_long_words_by_heap():
             assert bpe.merge_long(word.encode(), RANKS) == LIBRARY._core_bpe.encode_single_piece(word.encode()), alphabet
 
 
+def test_matches_of_chunks():
+    findall = regex.compile(public_tokenizers.PATTERN).findall
+    known = [" word", "word", " word,", "1abc", " ab12,", " x²)", " don't", "_a", " a_b", " é!?", " \u0301a", "x'", " '", " ", "\n a", " 漢字。", " a\u2028"]
+    for text in known + [random_text(60) + "².,(_" for _ in range(500)]:
+        for chunk in chunks.chunks(text):
+            assert list(chunks.matches(chunk, findall)) == findall(chunk), repr(chunk)
+
+
 @pytest.mark.parametrize("block_chars", [500, 10**9])
 def test_against_the_library(spark, block_chars):
     texts = [None, "", " ", "\n\n", "don't stop  we'll  ", "aaaaaaaaaaaaaaaaaaaaaaaa", "thethethethe", "\x00\x7f  x", "<|endoftext|>", "x" * 700 + " " + "ab" * 400]

@@ -35,8 +35,8 @@ from pyspark.sql import functions as F
 from ledgerlens.llm.chunks import Codes, matches
 from ledgerlens.llm.common import table, text_of
 
-#: Characters of a block's texts, about: the larger a block, the fewer words are folded again in the next one.
-BLOCK_CHARS = 32_000_000
+#: Characters of a block's texts, about: the larger a block, the fewer words are folded again in the next one, but the more memory it takes.
+BLOCK_CHARS = 14_000_000
 LONG = 512
 BUCKETS = 16_381
 #: Bits of an id, of a place in a word, and what stands for "no rank" and for a word's edges.

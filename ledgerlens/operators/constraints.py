@@ -3,12 +3,12 @@
 * ``row_pass``: every NOT NULL, domain, range and length rule of a table, and the range of
   each of its keys, as one aggregate over one scan.
 * ``key_audits``: primary keys and UNIQUE columns of a table over one scan.  A *dense* integer
-  key (its values span at most ``SPAN`` times their number) is a bit of a 4 KB bitmap for each
-  32,768 values: the exchange carries bitmaps, and rows less set bits is the number of
+  key (its values span at most ``SPAN`` times their number) is a bit of a long for each
+  64 values: the exchange carries bitmaps, and rows less set bits is the number of
   duplicates, exactly.  Other keys (sparse numbers, text) are counted per key.
 * ``foreign_key_audits``: all foreign keys of a child table with dense parents over one scan.  Child and parent
-  bitmaps of a bucket are merged; where the child adds no bit, it has no orphan.  Only buckets
-  where it does are looked at by key.  Keys whose parents are sparse are counted per key.
+  bitmaps of a bucket are merged; where the child adds no bit, it has no orphan.  Only keys
+  near those (in runs of 32,768 values) are looked at by key.  Keys whose parents are sparse are counted per key.
 
 A hot key is one bit, or one row a task, before any exchange.  Each function runs the small
 job that tells dense from sparse (or takes its result), so it isn't lazy.
@@ -26,6 +26,8 @@ from ledgerlens.operators.integrity import _OPS, foreign_key_audit, key_audit, u
 from ledgerlens.sources import schemas as S
 
 SPAN = 32
+#: Bits of a key within its run of values (32,768) that is looked at by key where an orphan lies.
+SHIFT = 15
 AUDIT = "rule string, checked_rows long, violations long"
 _INTEGERS = (T.LongType, T.IntegerType, T.ShortType, T.ByteType)
 
@@ -69,11 +71,17 @@ def row_pass(df: DataFrame, table: str) -> tuple[list[tuple[str, int, int]], set
     return rules, {c for c in integers if _is_dense(row[f"span_{c}"])}
 
 
+def _bucket(value: Column, bits: int) -> Column:
+    return F.shiftright(value, bits)
+
+
 def bitmaps(keys: DataFrame) -> DataFrame:
-    """(rule, key) rows as (rule, bucket, n, bits): rows and bitmap of each 32,768 values; a null key has bucket null."""
-    position = F.coalesce(F.bitmap_bit_position("key"), F.lit(0).cast("long"))
-    return keys.groupBy("rule", F.bitmap_bucket_number("key").alias("bucket")).agg(
-        F.count(F.lit(1)).alias("n"), F.bitmap_construct_agg(position).alias("bits"))
+    """(rule, key) rows as (rule, bucket, n, word, bits): rows and bitmap (as a long and as bytes) of each 64 values; a null key has bucket null.
+
+    A bitmap is a long that ``bit_or`` merges in a hash table, so a task sorts no rows and holds one long a bucket."""
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("key").bitwiseAND(63).cast("int"))
+    counted = keys.groupBy("rule", F.shiftright("key", 6).alias("bucket")).agg(F.count(F.lit(1)).alias("n"), F.bit_or(bit).alias("word"))
+    return counted.withColumn("bits", F.unhex(F.lpad(F.hex("word"), 16, "0")))
 
 
 def _exploded(df: DataFrame, columns: dict[str, str]) -> DataFrame:
@@ -121,17 +129,17 @@ def foreign_key_audits(child: DataFrame, child_table: str, keys: list[tuple[str,
     if by_bits:
         own = _exploded(child, {rule(c, p, pc): c for c, p, _, pc in by_bits})
         parents = union_all([rows.select(F.lit(rule(c, p, pc)).alias("rule"), F.col(pc).cast("long").alias("key")) for c, p, rows, pc in by_bits])
-        a, b = bitmaps(own), bitmaps(parents.where("key IS NOT NULL"))
-        both = a.withColumn("mine", F.col("bits")).unionByName(b.select("rule", "bucket", F.lit(0).cast("long").alias("n"), "bits"), allowMissingColumns=True)
-        both = both.groupBy("rule", "bucket").agg(F.sum("n").alias("n"), F.bitmap_count(F.bitmap_or_agg("bits")).alias("bits"),
-                                                  F.bitmap_count(F.bitmap_or_agg(F.when(F.col("mine").isNull(), F.col("bits")))).alias("theirs"))
+        a, b = bitmaps(own).drop("bits"), bitmaps(parents.where("key IS NOT NULL")).drop("bits")
+        both = a.withColumn("theirs", F.lit(None).cast("long")).unionByName(b.select("rule", "bucket", F.lit(0).cast("long").alias("n"), "word", F.col("word").alias("theirs")))
+        both = both.groupBy("rule", "bucket").agg(F.sum("n").alias("n"), F.bit_count(F.bit_or("word")).alias("bits"), F.bit_count(F.coalesce(F.bit_or("theirs"), F.lit(0).cast("long"))).alias("theirs"))
         found = both.withColumn("more", F.when(F.col("bucket").isNotNull() & (F.col("n") > 0), F.col("bits") - F.col("theirs")).otherwise(0))
-        totals = found.groupBy("rule").agg(F.sum("n").alias("checked_rows"), F.collect_list(F.when(F.col("more") > 0, F.col("bucket"))).alias("buckets")).collect()  # one row a rule
+        spread = F.when(F.col("more") > 0, _bucket(F.col("bucket"), SHIFT - 6))
+        totals = found.groupBy("rule").agg(F.sum("n").alias("checked_rows"), F.collect_set(spread).alias("buckets")).collect()  # one row a rule
         bad = [(r.rule, x) for r in totals for x in r.buckets]
         checked = child.sparkSession.createDataFrame([(r.rule, r.checked_rows) for r in totals], "rule string, checked_rows long")
         if bad:  # buckets with orphans, by key
             there = child.sparkSession.createDataFrame(bad, "rule string, bucket long")
-            hit = lambda rows: rows.withColumn("bucket", F.bitmap_bucket_number("key")).join(there, ["rule", "bucket"], "left_semi")
+            hit = lambda rows: rows.withColumn("bucket", _bucket(F.col("key"), SHIFT)).join(there, ["rule", "bucket"], "left_semi")
             orphans = hit(own).groupBy("rule", "key").agg(F.count(F.lit(1)).alias("n")).join(hit(parents).select("rule", "key"), ["rule", "key"], "left_anti")
             checked = checked.join(orphans.groupBy("rule").agg(F.sum("n").alias("violations")), "rule", "left")
         else:

@@ -100,3 +100,25 @@ def test_every_labelled_row_is_learnt(spark):
     assert s[0] >= 0.7 and s[1] >= 0.7 > s[2] and 0.5 <= model.thresholds["en"] <= 0.9
     again = tox.fit(docs.drop("toxic").repartition(3), docs.select("doc_id", "toxic"))
     assert (again.table == model.table).all() and again.thresholds == model.thresholds
+
+
+def test_words_hashed_together_are_hashed_alike():
+    words = ["a", "abc", "abcd", "abcdef", "abcdefgh", "hello_world", "x" * 24, "x" * 25, "x" * 300, "naïve", "ß", "日本語の文字列", "a1"]
+    assert tox.feature_table(words).tolist() == [tox.feature_rows(w) for w in words]
+    assert tox.feature_table([]).shape == (0, 1 + len(tox.PREFIXES))
+
+
+def test_a_shard_is_hashed_once(spark):
+    """r03: epochs read landed codes (no text is dealt, split or hashed again), and what landed is the whole shard."""
+    import pandas as pd
+
+    texts = ["word1 rotten word2", None, "word2 word3", "", "kept word9"]
+    held = pd.DataFrame({"doc_id": [3, 1, 2, 5, 4], "text": texts, "lang": ["en", None, "de", "en", "en"], "toxic": [1, 0, 0, 0, 1], "fits": [True] * 4 + [False], "shard": [7] * 5})
+    landed = spark.createDataFrame(tox._coded_shard(held), tox.CODED)
+    [(row, docs, rows)] = tox._shards(landed.toArrow().to_batches())
+    order = [1, 2, 0, 3, 4]  # by id, the row kept for the calibration last
+    assert row["shard"] == 7 and row["learnt"] == 4 and row["toxic"] == [0, 0, 1, 0, 1] and row["lang"] == [None, "de", "en", "en", "en"]
+    assert [rows[d].tolist() for d in docs] == [[tox.feature_rows(w) for w in tox.words(texts[k])] for k in order]
+    met = dict(zip(row["met"], zip(row["met_clean"], row["met_toxic"])))
+    assert met[tox.feature_rows("word2")[0]] == (1, 1) and met[tox.feature_rows("rotten")[0]] == (0, 1)
+    assert tox.feature_rows("word9")[0] not in met

@@ -25,12 +25,13 @@ import hashlib
 import math
 import re
 from bisect import bisect_right
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import DOCUMENT_COLUMNS, land, run_folder, table
+from ledgerlens.llm.common import DOCUMENT_COLUMNS, land, pieces, run_folder, table
 
 # The base patterns, in the order in which kinds are listed.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.A | re.I)
@@ -274,7 +275,7 @@ def fit(docs: DataFrame) -> FormatModel:
     """Infer the automata from a bounded sample of all documents' labelled and unlabelled values, the thresholds from all."""
 
     def values(batches):
-        for batch in batches:
+        for batch in pieces(batches):
             found = set()
             for text in batch.column("text").to_pylist():
                 base = base_matches(text or "")
@@ -299,7 +300,7 @@ def scan(docs: DataFrame, model: FormatModel) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def spans(batches):
-        for batch in batches:
+        for batch in pieces(batches):
             both = [shared.value.spans(t or "") for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array([joined(b) for b, _ in both], pa.string()), pa.array([joined(a) for _, a in both], pa.string())],
@@ -308,12 +309,11 @@ def scan(docs: DataFrame, model: FormatModel) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(spans, "doc_id long, base string, spans string")
 
 
-def redact(docs: DataFrame, model: FormatModel) -> DataFrame:
-    """``docs`` (the columns of documents) with every span's text replaced; n_chars follows the text."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+def cleaned(batches: Iterable[pa.RecordBatch], model: FormatModel) -> Iterator[pa.RecordBatch]:
+    """The documents of ``batches`` without their secrets, a few rows at a time."""
 
     def without(text: str | None) -> str | None:
-        spans = shared.value.spans(text or "")[1]
+        spans = model.spans(text or "")[1]
         if not spans:
             return text
         out, at = [], 0
@@ -323,17 +323,20 @@ def redact(docs: DataFrame, model: FormatModel) -> DataFrame:
             at = max(at, b)
         return "".join([*out, text[at:]])
 
-    def cleaned(batches):
-        for batch in batches:
-            before = batch.column("text").to_pylist()
-            after = [without(t) for t in before]
-            n = [len(b) if b != a else m for a, b, m in zip(before, after, batch.column("n_chars").to_pylist())]
-            new = {"text": pa.array(after, pa.string()), "n_chars": pa.array(n, pa.int64())}
-            yield pa.RecordBatch.from_arrays([new.get(c, batch.column(c)) for c in DOCUMENT_COLUMNS], DOCUMENT_COLUMNS)
+    for batch in pieces(batches):
+        before = batch.column("text").to_pylist()
+        after = [without(t) for t in before]
+        n = [len(b) if b != a else m for a, b, m in zip(before, after, batch.column("n_chars").to_pylist())]
+        new = {"text": pa.array(after, pa.string()), "n_chars": pa.array(n, pa.int64())}
+        yield pa.RecordBatch.from_arrays([new.get(c, batch.column(c)) for c in DOCUMENT_COLUMNS], DOCUMENT_COLUMNS)
+
 
+def redact(docs: DataFrame, model: FormatModel) -> DataFrame:
+    """``docs`` (the columns of documents) with every span's text replaced; n_chars follows the text."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
     kinds = {"doc_id": "long", "n_chars": "long"}
     typed = docs.select(*[F.col(c).cast(kinds.get(c, "string")).alias(c) for c in DOCUMENT_COLUMNS])
-    return typed.mapInArrow(cleaned, typed.schema)
+    return typed.mapInArrow(lambda batches: cleaned(batches, shared.value), typed.schema)
 
 
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

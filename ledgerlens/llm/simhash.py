@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import LAST_ID, land, row_key, rows_chosen, run_folder, table, text_of
+from ledgerlens.llm.common import LAST_ID, land, pieces, row_key, rows_chosen, run_folder, table, text_of
 from ledgerlens.llm.components import components
 
 SHINGLE = 3
@@ -62,7 +62,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """Per row: __id, __hash, fp (the fingerprint as a signed long)."""
 
     def prints(batches):
-        for batch in batches:
+        for batch in pieces(batches):
             texts = batch.column("text").cast(pa.binary()).to_pylist()
             fps = np.array([fingerprint(t, shingle) for t in texts], "<u8").view("<i8")
             yield pa.RecordBatch.from_arrays([batch.column("__id"), batch.column("__hash"), pa.array(fps, pa.int64())], ["__id", "__hash", "fp"])

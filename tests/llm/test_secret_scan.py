@@ -3,6 +3,9 @@
 import random
 import re
 
+import pyarrow as pa
+
+from ledgerlens.llm import secret_scan
 from ledgerlens.llm.secret_scan import (
     KINDS, MIN_VALUES, Automaton, FormatModel, base_matches, base_sha256, candidates, compacted, fit, mean_log_likelihood, redact, scan)
 
@@ -83,3 +86,18 @@ def test_too_few_labels_or_no_rows(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert scan(empty, fit(empty)).count() == 0
     assert base_sha256(None) == "e3b0c44298fc1c149afbf4c8996fb92427ae41e4649b934ca495991b7852b855"
+
+
+def test_redaction_holds_a_few_texts_at_a_time():
+    """A batch of Spark's 10,000 rows is cleaned and handed on in slices, in order."""
+    texts = [None, "", "password=abcdef12 and", "token: zzzzzz99"] * 500
+    columns = {"doc_id": list(range(2000)), "text": texts, "lang": ["en"] * 2000, "source": [None] * 2000, "n_chars": [len(t or "") for t in texts]}
+    whole = pa.RecordBatch.from_pydict({c: pa.array(v, pa.int64() if c in ("doc_id", "n_chars") else pa.string()) for c, v in columns.items()})
+    model = FormatModel({}, [])
+    out = list(secret_scan.cleaned(iter([whole]), model))
+    assert max(b.num_rows for b in out) <= 256
+    rows = pa.Table.from_batches(out).to_pylist()
+    assert [r["doc_id"] for r in rows] == columns["doc_id"]
+    assert [r["text"] for r in rows[:4]] == [None, "", "<secret> and", "<secret>"]
+    assert rows[:4] * 500 == [{**r, "doc_id": k % 4} for k, r in enumerate(rows)]
+    assert [r["n_chars"] for r in rows] == [len(r["text"] or "") for r in rows]

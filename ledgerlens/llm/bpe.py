@@ -1,9 +1,12 @@
 """Byte-level BPE encoding and decoding with higher-order functions (operator 5).
 
-Documents are gathered into blocks of bounded size (one row: the block's distinct
-words, as the pattern splits them, and each document as codes of them); nothing is
-shuffled.  In a block, every distinct word is encoded once, by folding ranked merges
-over its byte array: the pair of the lowest rank (the leftmost of equal ones) becomes one
+The words that recur in a sample of the rows are encoded first, once for the corpus, and
+kept at hand in a table of bounded size (``VOCABULARY``); it saves time only, every word has the same
+ids with or without it.  Documents are gathered into blocks of bounded size (one row: the block's
+distinct words, as the pattern splits them, those of the table with their ids, and each document as
+codes of them); documents are not shuffled.  In a block, every other distinct word is encoded once.
+
+A word is encoded by folding ranked merges over its byte array: the pair of the lowest rank (the leftmost of equal ones) becomes one
 part, and only the two pairs beside it are ranked anew, until no pair has a rank.  Ranks
 come from a literal map from pairs of parts, kept in buckets so that a look-up reads a
 few keys.  Ids, their text and their decoded bytes are made once per distinct word; a
@@ -25,25 +28,31 @@ from __future__ import annotations
 import base64
 import heapq
 import json
-from collections.abc import Callable
+import re
+from collections.abc import Callable, Iterable
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.chunks import Codes
-from ledgerlens.llm.common import table, text_of
+from ledgerlens.llm.chunks import coded
+from ledgerlens.llm.common import land, pieces, run_folder, table, text_of
 
 #: Characters of a block's texts, about.
-BLOCK_CHARS = 14_000_000
+BLOCK_CHARS = 7_000_000
+#: Rows, about, whose words may enter the vocabulary; rows that count a word once; its words at most.
+SAMPLE_ROWS, GROUP_ROWS, VOCABULARY = 25_000, 1_000, 800_000
 LONG = 512
 BUCKETS = 16_381
 #: Bits of an id, of a place in a word, and what stands for "no rank" and for a word's edges.
 ID, PLACE = 17, 10
 NO_RANK, EDGE = 2**ID - 1, 2**ID - 2
 BLOCK = ("doc_ids array<bigint>, starts array<int>, lengths array<int>, codes array<int>, words array<binary>, "
-         "long_words array<binary>, long_ids array<array<int>>")
+         "given array<struct<n: int, ids: string, bytes: string>>, long_words array<binary>, long_ids array<array<int>>")
+#: Letters, then other marks of ASCII: two matches of the pattern, if the first part holds nothing but letters.
+_LETTERS_AND_MARKS = re.compile(r"( ?[^\W\d_]+)([!-&(-/:-@\[-`{-~]+)")
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -83,52 +92,88 @@ def merge_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return [ranks[word[i:end[i]]] for i in range(n) if alive[i]]
 
 
-def gathered(docs: DataFrame, ranks: dict[bytes, int], pattern: str, block_chars: int = BLOCK_CHARS) -> DataFrame:
-    """Rows of schema ``BLOCK`` from (doc_id, text)."""
-    shared = docs.sparkSession.sparkContext.broadcast(ranks)
+def split_chunks(chunks: list[str], pattern: str) -> list[list[str]]:
+    """The matches of the pattern in each chunk; plain words are told without it."""
+    import regex
 
-    def blocks(batches):
-        import regex
+    split, match, out = regex.compile(pattern).findall, _LETTERS_AND_MARKS.fullmatch, []
+    for chunk in chunks:
+        if (chunk[1:] if chunk[0] == " " else chunk).isalpha():
+            out.append([chunk])
+        elif (m := match(chunk)) and m[1].lstrip(" ").isalpha():
+            out.append([m[1], m[2]])
+        else:
+            out.append(split(chunk))
+    return out
+
+
+def used_chunks(texts: pa.StringArray) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """The chunks that occur in the texts, all texts' chunks as codes of them, and each text's number of chunks."""
+    chunks, codes, counts = coded(texts)
+    used = np.bincount(codes, minlength=len(chunks)) > 0
+    return [c for c, u in zip(chunks, used.tolist()) if u], (np.cumsum(used, dtype=np.int32) - 1)[codes], counts
 
-        split = regex.compile(pattern).findall
 
-        def block(ids, codes, chunks):
+def gathered(docs: DataFrame, ranks: dict[bytes, int], pattern: str, block_chars: int = BLOCK_CHARS, known: pa.Table | None = None) -> DataFrame:
+    """Rows of schema ``BLOCK`` from (doc_id, text); ``known``: the vocabulary."""
+    if known is None:
+        known = pa.table({"word": pa.array([], pa.binary()), "n": pa.array([], pa.int32()), "ids": pa.array([], pa.string()), "bytes": pa.array([], pa.string())})
+    shared = docs.sparkSession.sparkContext.broadcast((ranks, known.combine_chunks()))
+
+    def blocks(batches):
+        ints = pa.list_(pa.int32())
+        one = lambda values: pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
+
+        def block(ids: list[pa.Array], texts: list[pa.Array]) -> pa.RecordBatch:
             """Chunk codes become word codes; only distinct chunks are split."""
-            known: dict[str, int] = {}
-            per_chunk = [[known.setdefault(w, len(known)) for w in split(c)] for c in chunks]
+            all_ranks, vocabulary = shared.value
+            chunks, used, counts = used_chunks(pa.concat_arrays(texts))
+            seen: dict[str, int] = {}
+            per_chunk = [[seen.setdefault(w, len(seen)) for w in ws] for ws in split_chunks(chunks, pattern)]
             sizes = np.fromiter(map(len, per_chunk), np.int32, len(chunks))
             flat = np.fromiter((w for ws in per_chunk for w in ws), np.int32, int(sizes.sum()))
-            del per_chunk
-            counts, used = np.array([len(c) for c in codes]), np.concatenate(codes)
+            del per_chunk, chunks
+            keys = pa.array([w.encode() for w in seen], pa.binary())
+            del seen
+            at = pc.index_in(keys, value_set=vocabulary["word"])
+            fold = np.asarray(pc.is_null(at))
+            # words to fold first, then those of the vocabulary
+            number = np.where(fold, np.cumsum(fold) - 1, fold.sum() + np.cumsum(~fold) - 1).astype(np.int32)
+            flat, words, at = number[flat], keys.filter(pa.array(fold)), at.drop_null()
+            given = pa.StructArray.from_arrays([vocabulary[c].take(at).combine_chunks() for c in ("n", "ids", "bytes")], ["n", "ids", "bytes"])
             lengths = sizes[used]
             ends = np.cumsum(lengths, dtype=np.int32)
-            words = np.repeat(np.cumsum(sizes, dtype=np.int32)[used] - ends, lengths)
-            words += np.arange(len(words), dtype=np.int32)
-            words = flat[words]
-            edges = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])]
-            keys = [w.encode() for w in known]
-            long_words = [k for k in keys if len(k) > LONG]
-            long_ids = [[shared.value[w]] if w in shared.value else merge_long(w, shared.value) for w in long_words]
-            ints = pa.list_(pa.int32())
+            codes = np.repeat(np.cumsum(sizes, dtype=np.int32)[used] - ends, lengths)
+            codes += np.arange(len(codes), dtype=np.int32)
+            codes = flat[codes]
+            edges = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])].astype(np.int32)
+            long_words = words.filter(pc.greater(pc.binary_length(words), LONG)).to_pylist()
+            long_ids = [[all_ranks[w]] if w in all_ranks else merge_long(w, all_ranks) for w in long_words]
             return pa.RecordBatch.from_pydict({
-                "doc_ids": pa.array([ids], pa.list_(pa.int64())), "starts": pa.array([edges[:-1]], ints), "lengths": pa.array([np.diff(edges)], ints),
-                "codes": pa.array([words], ints), "words": pa.array([keys], pa.list_(pa.binary())),
+                "doc_ids": one(pa.concat_arrays(ids)), "starts": one(pa.array(edges[:-1])), "lengths": one(pa.array(np.diff(edges))),
+                "codes": one(pa.array(codes)), "words": one(words), "given": one(given),
                 "long_words": pa.array([long_words], pa.list_(pa.binary())), "long_ids": pa.array([long_ids], pa.list_(ints))})
 
-        seen, ids, codes, size = Codes(), [], [], 0
+        ids, texts, size = [], [], 0
         for batch in batches:
-            for i, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-                ids.append(i)
-                codes.append(np.fromiter(seen.of(text), np.int32))
-                size += len(text)
+            sizes = np.cumsum(np.asarray(pc.utf8_length(batch.column("text"))), dtype=np.int64)
+            at, before = 0, 0
+            while at < batch.num_rows:
+                stop = min(int(np.searchsorted(sizes, before + block_chars - size)) + 1, batch.num_rows)  # the row that fills the block is its last
+                ids.append(batch.column("doc_id").slice(at, stop - at))
+                texts.append(batch.column("text").slice(at, stop - at))
+                size, before, at = size + int(sizes[stop - 1]) - before, int(sizes[stop - 1]), stop
                 if size >= block_chars:
-                    yield block(ids, codes, seen.new)
-                    seen, ids, codes, size = Codes(), [], [], 0
+                    yield block(ids, texts)
+                    ids, texts, size = [], [], 0
         if ids:
-            yield block(ids, codes, seen.new)
+            yield block(ids, texts)
+
+    return whole(docs).mapInArrow(blocks, BLOCK)
+
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of("text").alias("text"))
-    return rows.mapInArrow(blocks, BLOCK)
+def whole(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of("text").alias("text"))
 
 
 def cuckoo(entries: dict[int, int], sizes: tuple[int, int]) -> tuple[list[int], list[int]]:
@@ -224,6 +269,46 @@ def fold(word: Column, literal: Column, ranks: RankMap) -> Column:
     return F.aggregate(F.sequence(F.lit(2), n), start, step, lambda parts: F.transform(F.slice(parts, F.lit(2), F.size(parts) - 2), lambda p: id_of(p).cast("int")))
 
 
+def described(ids: Column, literal: Column) -> Column:
+    """A word's number of ids, their text and the bytes they decode to."""
+    return let(ids, lambda i: F.struct(
+        F.size(i).alias("n"), F.array_join(i.cast("array<string>"), ",").alias("ids"),
+        F.array_join(F.transform(i, lambda t: F.get(literal["pieces"], t)), "").alias("bytes")))
+
+
+def vocabulary(docs: DataFrame, ranks: RankMap, pattern: str, sample_rows: int = SAMPLE_ROWS, group_rows: int = GROUP_ROWS, most: int = VOCABULARY) -> pa.Table:
+    """The words that occur in two groups or more of a sample of rows (or in more, so that there are ``most`` at most),
+    folded once: word, n, ids, bytes."""
+    spark, rows = docs.sparkSession, docs.count()
+    sample = whole(docs if rows <= sample_rows else docs.sample(sample_rows / rows, 5)).select("text")
+
+    def distinct(batches: Iterable[pa.RecordBatch]):
+        for batch in pieces(batches, group_rows):
+            chunks, _, _ = used_chunks(pa.concat_arrays([batch.column("text")]))
+            found = {w for ws in split_chunks(chunks, pattern) for w in ws}
+            yield pa.RecordBatch.from_pydict({"word": pa.array([w.encode() for w in found], pa.binary())})
+
+    found = sample.mapInArrow(distinct, "word binary").where(F.octet_length("word") <= LONG)
+    counted = land(found.groupBy("word").agg(F.count(F.lit(1)).alias("groups")).where("groups > 1"), run_folder(spark, "vocabulary"))
+    least, held = 2, 0
+    for r in sorted(counted.groupBy("groups").count().collect(), key=lambda r: -r.groups):  # a row for each number of groups
+        held += r["count"]
+        if held > most:
+            least, held = r.groups + 1, held - r["count"]
+            break
+
+    def lists(batches: Iterable[pa.RecordBatch]):
+        for batch in batches:
+            words = batch.column("word")
+            yield pa.RecordBatch.from_pydict({"words": pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words)})
+
+    # few tasks, as each gets the literals
+    words = counted.where(F.col("groups") >= least).select("word").repartition(1 + held // 20_000).mapInArrow(lists, "words array<binary>")
+    ids = lambda word, literal: let(ranks.word(literal, word), lambda r: F.when(r.isNotNull(), F.array(r)).otherwise(fold(word, literal, ranks)))
+    folded = let(ranks.literal(), lambda literal: F.transform("words", lambda w: F.struct(w.alias("word"), described(ids(w, literal), literal).alias("d"))))
+    return words.select(F.inline(folded)).select("word", "d.n", "d.ids", "d.bytes").toArrow()  # ``most`` rows at most
+
+
 def encoded(block: DataFrame, ranks: RankMap, finish: Callable[[Column], Column]) -> DataFrame:
     """Per document ``finish`` of doc_id, n_tokens, ids (text, comma-joined), decoded (binary)."""
 
@@ -232,11 +317,6 @@ def encoded(block: DataFrame, ranks: RankMap, finish: Callable[[Column], Column]
                    .when(F.octet_length(word) > LONG, F.get("long_ids", F.array_position("long_words", word).cast("int") - 1))
                    .otherwise(fold(word, literal, ranks)))
 
-    def described(word: Column, literal: Column) -> Column:
-        return let(word_ids(word, literal), lambda i: F.struct(
-            F.size(i).alias("n"), F.array_join(i.cast("array<string>"), ",").alias("ids"),
-            F.array_join(F.transform(i, lambda t: F.get(literal["pieces"], t)), "").alias("bytes")))
-
     def document(doc: Column, words: Column) -> Column:
         return let(F.slice("codes", doc["starts"] + 1, doc["lengths"]), lambda codes: F.struct(
             doc["doc_ids"].alias("doc_id"),
@@ -245,15 +325,17 @@ def encoded(block: DataFrame, ranks: RankMap, finish: Callable[[Column], Column]
             F.array_join(F.transform(codes, lambda c: F.get(words, c)["bytes"]), "").cast("binary").alias("decoded")))
 
     docs = F.arrays_zip("doc_ids", "starts", "lengths")
-    whole = let(ranks.literal(), lambda literal: let(
-        F.transform("words", lambda w: described(w, literal)), lambda words: F.transform(docs, lambda d: finish(document(d, words)))))
-    return block.select(F.inline(whole))
+    every = let(ranks.literal(), lambda literal: let(
+        F.concat(F.transform("words", lambda w: described(word_ids(w, literal), literal)), "given"),
+        lambda words: F.transform(docs, lambda d: finish(document(d, words)))))
+    return block.select(F.inline(every))
 
 
-def encode(docs: DataFrame, vocabulary: str, pattern: str, finish: Callable[[Column], Column] = lambda d: d) -> DataFrame:
+def encode(docs: DataFrame, ranks_path: str, pattern: str, finish: Callable[[Column], Column] = lambda d: d) -> DataFrame:
     """Encode and decode whole texts: ``finish`` of struct<doc_id, n_tokens, ids, decoded> per row of ``docs``."""
-    ranks = read_ranks(vocabulary)
-    return encoded(gathered(docs, ranks, pattern), RankMap(ranks), finish)
+    ranks = read_ranks(ranks_path)
+    literals = RankMap(ranks)
+    return encoded(gathered(docs, ranks, pattern, known=vocabulary(docs, literals, pattern)), literals, finish)
 
 
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -44,3 +44,38 @@ def test_against_the_library(spark, block_chars):
 
 def test_empty_table(spark):
     assert bpe.encode(spark.createDataFrame([], SCHEMA), VOCABULARY, public_tokenizers.PATTERN).count() == 0
+
+
+def test_recurring_words_are_folded_once(spark):
+    """The vocabulary's words come with the library's ids; blocks fold the others only, and ids are the same."""
+    common = ["".join(rng.choices("aeinrstéü", k=rng.randrange(3, 12))) for _ in range(40)]
+    texts = [" ".join(rng.choices(common, k=30)) + f" alone{k}x. " + random_text(20) for k in range(60)] + [None, "", "x" * 600]
+    docs = spark.createDataFrame([(i, t, "", 1) for i, t in enumerate(texts)], SCHEMA)
+    ranks = bpe.RankMap(RANKS)
+    known = bpe.vocabulary(docs, ranks, public_tokenizers.PATTERN, group_rows=5)
+    held = {r["word"].decode(): r for r in known.to_pylist()}
+    assert sum(f" {w}" in held for w in common) > 35 and not any("x" * 600 in w for w in held)
+    for word, r in held.items():
+        ids = LIBRARY.encode_ordinary(word)
+        assert r["ids"] == ",".join(map(str, ids)) and r["n"] == len(ids) and r["bytes"] == word
+    blocks = bpe.gathered(docs, RANKS, public_tokenizers.PATTERN, 2_000, known).cache()
+    assert not any(bytes(w).decode() in held for b in blocks.collect() for w in b.words)
+    got = bpe.encoded(blocks, ranks, lambda d: d).collect()
+    assert sorted(r.doc_id for r in got) == list(range(len(texts)))
+    for r in got:
+        ids = LIBRARY.encode_ordinary(texts[r.doc_id] or "")
+        assert r.ids == ",".join(map(str, ids)) and bytes(r.decoded) == (texts[r.doc_id] or "").encode()
+
+
+def test_the_vocabulary_is_bounded(spark):
+    texts = [" ".join(f"{a}{a}{b}" for b in "abcdefgh") for a in "stuv" for _ in range(3)] + ["often"] * 5
+    docs = spark.createDataFrame([(i, t, "", 1) for i, t in enumerate(texts)], SCHEMA)
+    assert [r["word"] for r in bpe.vocabulary(docs, bpe.RankMap(RANKS), public_tokenizers.PATTERN, group_rows=1, most=5).to_pylist()] == [b"often"]
+
+
+def test_plain_words_as_the_pattern_splits_them():
+    import regex
+
+    parts = ["a", "é", "Ж漢", "1", "²", "Ⅷ", "_", "'", "'s", "!", "...", "\n", "\x1f", "e\u0301", "ª", "½", "😀", "%%%", "`", "~"]
+    chunks = [lead + "".join(rng.choices(parts, k=rng.randrange(1, 5))) for _ in range(5_000) for lead in ("", " ")]
+    assert bpe.split_chunks(chunks, public_tokenizers.PATTERN) == [regex.findall(public_tokenizers.PATTERN, c) for c in chunks]

@@ -28,7 +28,6 @@ from __future__ import annotations
 import base64
 import heapq
 import json
-import re
 from collections.abc import Callable, Iterable
 
 import numpy as np
@@ -43,7 +42,7 @@ from ledgerlens.llm.common import land, pieces, run_folder, table, text_of
 #: Characters of a block's texts, about.
 BLOCK_CHARS = 7_000_000
 #: Rows, about, whose words may enter the vocabulary; rows that count a word once; its words at most.
-SAMPLE_ROWS, GROUP_ROWS, VOCABULARY = 25_000, 1_000, 800_000
+SAMPLE_ROWS, GROUP_ROWS, VOCABULARY = 45_000, 1_000, 800_000
 LONG = 512
 BUCKETS = 16_381
 #: Bits of an id, of a place in a word, and what stands for "no rank" and for a word's edges.
@@ -51,8 +50,8 @@ ID, PLACE = 17, 10
 NO_RANK, EDGE = 2**ID - 1, 2**ID - 2
 BLOCK = ("doc_ids array<bigint>, starts array<int>, lengths array<int>, codes array<int>, words array<binary>, "
          "given array<struct<n: int, ids: string, bytes: string>>, long_words array<binary>, long_ids array<array<int>>")
-#: Letters, then other marks of ASCII: two matches of the pattern, if the first part holds nothing but letters.
-_LETTERS_AND_MARKS = re.compile(r"( ?[^\W\d_]+)([!-&(-/:-@\[-`{-~]+)")
+#: Marks of ASCII without the apostrophe: after letters, up to the chunk's end, they are one match of the pattern.
+MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -96,12 +95,11 @@ def split_chunks(chunks: list[str], pattern: str) -> list[list[str]]:
     """The matches of the pattern in each chunk; plain words are told without it."""
     import regex
 
-    split, match, out = regex.compile(pattern).findall, _LETTERS_AND_MARKS.fullmatch, []
+    split, out = regex.compile(pattern).findall, []
     for chunk in chunks:
-        if (chunk[1:] if chunk[0] == " " else chunk).isalpha():
-            out.append([chunk])
-        elif (m := match(chunk)) and m[1].lstrip(" ").isalpha():
-            out.append([m[1], m[2]])
+        word = chunk.rstrip(MARKS)
+        if (word[1:] if word[:1] == " " else word).isalpha():
+            out.append([chunk] if len(word) == len(chunk) else [word, chunk[len(word):]])
         else:
             out.append(split(chunk))
     return out

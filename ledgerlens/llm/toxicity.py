@@ -25,7 +25,7 @@ from __future__ import annotations
 import copy
 import re
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from zlib import crc32
 
 import numpy as np
@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.common import land, run_folder, table
+from ledgerlens.llm.common import land, pieces, run_folder, table
 
 #: Labelled rows that one task learns from in an epoch, about; the number of tasks follows the rows.
 SHARD = 4000
@@ -52,7 +52,7 @@ MIN_DOCUMENTS = 6
 #: Labelled rows of each kind that a language needs in the calibration part.
 CALIBRATE = 20
 #: Words of one numpy block, and words whose projections a worker keeps.
-BLOCK, CACHE = 200_000, 300_000
+BLOCK, CACHE = 200_000, 100_000
 #: Words that are pooled at a time, so that their projections stay in a processor's cache.
 POOL = 8_192
 #: Bytes of the longest word that is hashed among others, a column of bytes at a time.
@@ -189,22 +189,23 @@ class Scorer:
         self._forget()
 
     def _forget(self) -> None:
-        self.codes, self.p = _Codes(), np.zeros((1 << 16, TAPS), np.float32)
+        # room for the cache and a block: pages take memory as they are written, and nothing is copied to grow
+        self.codes, self.p = _Codes(), np.zeros((CACHE + BLOCK + 1, TAPS), np.float32)
 
     def _learn(self) -> None:
-        """Project the words met since the last call; the array doubles when it is full."""
+        """Project the words met since the last call; a text of more words than a block makes the array grow."""
         new, self.codes.new = self.codes.new, []
         if new:
             last = len(self.codes) + 1
             if last > len(self.p):
-                self.p = np.concatenate([self.p, np.zeros((max(len(self.p), last), TAPS), np.float32)])
+                self.p = np.concatenate([self.p, np.zeros((last - len(self.p) + BLOCK, TAPS), np.float32)])
             self.p[last - len(new):last] = self.model.table[feature_table(new)].sum(axis=1) @ self.model.taps
 
     def _pool(self, docs: list[np.ndarray]) -> np.ndarray:
         """Pooled activations of a few documents, given as codes."""
         return _pools(self.p, docs, self.model.bias)
 
-    def scores(self, texts: list[str | None]) -> np.ndarray:
+    def scores(self, texts: Iterable[str | None]) -> np.ndarray:
         out, held, size = [], [], 0
         for text in texts:
             found = words(text)
@@ -391,13 +392,49 @@ def held_out(doc_id: Column) -> Column:
 
 #: Numbers in a row of what a shard sends: a row of the table and its Adagrad sum.
 WIDE = DIM + 1
+NUMBERS = [f"v{k}" for k in range(WIDE)]
 
 
-def _flat(model: Cnn, steps: _Steps) -> np.ndarray:
-    """All weights and sums as (row, WIDE) doubles: the table's rows, then the others, padded."""
+def _rest(model: Cnn, steps: _Steps) -> np.ndarray:
+    """All weights and sums but the table's as (row, WIDE) doubles, padded."""
     rest = np.concatenate([model.taps.ravel(), model.bias, model.out, [model.out_bias], steps.taps.ravel(), steps.bias, steps.out, [steps.out_bias]]).astype(np.float64)
-    rest = np.pad(rest, (0, -len(rest) % WIDE)).reshape(-1, WIDE)
-    return np.concatenate([np.hstack([model.table, steps.table]).astype(np.float64), rest])
+    return np.pad(rest, (0, -len(rest) % WIDE)).reshape(-1, WIDE)
+
+
+def _flat(model: Cnn, steps: _Steps) -> np.ndarray:
+    """All weights and sums as (row, WIDE) doubles: the table's rows, then the others."""
+    return np.concatenate([np.hstack([model.table, steps.table]).astype(np.float64), _rest(model, steps)])
+
+
+class _Changes:
+    """What shards changed, summed row by row: whole multiples of 1 / UNIT, and the number of shards."""
+
+    def __init__(self, model: Cnn, steps: _Steps):
+        self.model, self.steps = model, steps
+        self.rest = _rest(model, steps)
+        self.sums = np.zeros((ROWS + len(self.rest), WIDE), np.int64)
+        self.shards = np.zeros(len(self.sums), np.int32)
+
+    def add(self, model: Cnn, steps: _Steps) -> None:
+        """One shard's model; only rows that differ are widened to doubles."""
+        differ = np.flatnonzero((model.table != self.model.table).any(axis=1) | (steps.table != self.steps.table).any(axis=1))
+        for at in range(0, len(differ), 1 << 14):
+            rows = differ[at:at + (1 << 14)]
+            old, new = (np.hstack([m.table[rows], s.table[rows]]).astype(np.float64) for m, s in ((self.model, self.steps), (model, steps)))
+            self._add(rows, new - old)
+        self._add(np.arange(ROWS, len(self.sums)), _rest(model, steps) - self.rest)
+
+    def _add(self, rows: np.ndarray, change: np.ndarray) -> None:
+        change = np.rint(change * UNIT).astype(np.int64)
+        self.sums[rows] += change
+        self.shards[rows] += change.any(axis=1)
+
+    def batches(self) -> Iterator[pa.RecordBatch]:
+        """The rows that any shard changed."""
+        some = np.flatnonzero(self.shards)
+        for at in range(0, len(some), 1 << 14):
+            rows = some[at:at + (1 << 14)]
+            yield pa.RecordBatch.from_pydict({"row": rows.astype(np.int32), "shards": self.shards[rows]} | {v: self.sums[rows, k] for k, v in enumerate(NUMBERS)})
 
 
 def _unflat(flat: np.ndarray, model: Cnn, steps: _Steps) -> None:
@@ -464,27 +501,27 @@ def fit(docs: DataFrame, labels: DataFrame, epochs: int = EPOCHS) -> Cnn:
     df[:, counted["met"].to_numpy()] = counted["clean"].to_numpy(), counted["toxic"].to_numpy()
     model, steps, weight = Cnn(), _Steps(), _weight(n0, n1)
     _start_table(model, df, n0, n1)
-    numbers = [f"v{k}" for k in range(WIDE)]
     for epoch in range(epochs):
         shared = spark.sparkContext.broadcast((model, steps))
 
         def descend(batches):
-            """One epoch over each shard; what it changed.  Used in this round alone, so it binds the loop's names."""
-            before = _flat(*shared.value)
+            """One epoch over each shard; what a task's shards changed, each row once.  Used in this round alone, so it binds the loop's names."""
+            changes = None
             for held, docs, rows in _shards(batches):
                 if not held["learnt"]:
                     continue
                 mine, own = copy.deepcopy(shared.value)
                 rng = np.random.default_rng([1, epoch, held["shard"]])
                 _descend(mine, docs, rows, np.array(held["toxic"], np.float64), np.arange(held["learnt"]), 1, own, rng, weight)
-                change = np.rint((_flat(mine, own) - before) * UNIT).astype(np.int64)
-                some = np.nonzero(change.any(axis=1))[0]
-                yield pa.RecordBatch.from_pydict({"row": some.astype(np.int32)} | {v: change[some, k] for k, v in enumerate(numbers)})
+                changes = changes or _Changes(*shared.value)
+                changes.add(mine, own)
+            if changes:
+                yield from changes.batches()
 
-        changes = coded.select("shard", "learnt", "lengths", "codes", "table_rows", "toxic").mapInArrow(descend, "row int, " + ", ".join(f"{v} long" for v in numbers))
-        mean = changes.groupBy("row").agg(F.count(F.lit(1)).alias("n"), *[F.sum(v).alias(v) for v in numbers]).toArrow()  # the model's size at most
+        changes = coded.select("shard", "learnt", "lengths", "codes", "table_rows", "toxic").mapInArrow(descend, "row int, shards int, " + ", ".join(f"{v} long" for v in NUMBERS))
+        mean = changes.groupBy("row").agg(F.sum("shards").alias("n"), *[F.sum(v).alias(v) for v in NUMBERS]).toArrow()  # the model's size at most
         flat, where = _flat(model, steps), mean["row"].to_numpy()
-        flat[where] += np.stack([mean[v].to_numpy() for v in numbers], axis=1) / UNIT / mean["n"].to_numpy()[:, None]
+        flat[where] += np.stack([mean[v].to_numpy() for v in NUMBERS], axis=1) / UNIT / mean["n"].to_numpy()[:, None]
         _unflat(flat, model, steps)
         shared.unpersist()
     shared = spark.sparkContext.broadcast(model)
@@ -523,7 +560,7 @@ def scored(docs: DataFrame, model: Cnn) -> DataFrame:
         scorer = Scorer(shared.value)
         limits = shared.value.thresholds
         for batch in batches:
-            s = scorer.scores(batch.column("text").to_pylist())
+            s = scorer.scores(text for piece in pieces([batch]) for text in piece.column("text").to_pylist())
             toxic = [bool(x >= limits.get(g, THRESHOLD)) for x, g in zip(s, batch.column("lang").to_pylist())]
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in names], pa.array(s, pa.float64()), pa.array(toxic, pa.bool_())], [*names, "__score", "__toxic"])
 

@@ -1,8 +1,10 @@
 """Operator 2: the network against a plain forward pass, held-out accuracy, defined cases."""
 
+import copy
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from ledgerlens.llm import toxicity as tox
@@ -122,3 +124,55 @@ def test_a_shard_is_hashed_once(spark):
     met = dict(zip(row["met"], zip(row["met_clean"], row["met_toxic"])))
     assert met[tox.feature_rows("word2")[0]] == (1, 1) and met[tox.feature_rows("rotten")[0]] == (0, 1)
     assert tox.feature_rows("word9")[0] not in met
+
+
+def test_a_task_sends_each_changed_row_once():
+    """r03: what several shards of a task changed is summed before it leaves, row by row, to the last bit."""
+    start, shards = (tox.Cnn(), tox._Steps()), []
+    draw = np.random.default_rng(4)
+    for k in range(3):
+        model, steps = copy.deepcopy(start)
+        rows = draw.choice(tox.ROWS, 20_000, replace=False)
+        model.table[rows] += draw.standard_normal((len(rows), tox.DIM)).astype(np.float32)
+        steps.table[rows[:9]] += np.float32(0.5)
+        model.table[rows[9:12]] = np.nextafter(start[0].table[rows[9:12]], np.float32(9))  # rounds to nothing
+        model.out[k] += 1
+        steps.out_bias += 0.25 * k
+        shards.append((model, steps))
+    changes = tox._Changes(*start)
+    for shard in shards:
+        changes.add(*shard)
+    got = pa.Table.from_batches(list(changes.batches()))
+    each = [np.rint((tox._flat(*shard) - tox._flat(*start)) * tox.UNIT).astype(np.int64) for shard in shards]
+    some = np.flatnonzero(sum(c.any(axis=1).astype(int) for c in each))
+    assert got["row"].to_pylist() == some.tolist()  # 3 x 20,000 rows and the others, each once
+    assert got["shards"].to_pylist() == sum(c.any(axis=1).astype(int) for c in each)[some].tolist()
+    assert (np.stack([got[v].to_numpy() for v in tox.NUMBERS], axis=1) == sum(each)[some]).all()
+
+
+def test_scoring_holds_few_texts_and_never_copies_its_projections(spark, monkeypatch):
+    """r03: a batch's texts become objects some at a time; the words' projections have their room from the start."""
+    taken, scores, room = [], tox.Scorer.scores, []
+
+    def counted(self, texts):
+        assert iter(texts) is texts  # not a list of all texts
+        before, out = len(self.p), scores(self, texts)
+        taken.append(len(out))
+        room.append((before, len(self.p)))
+        return out
+
+    texts = [" ".join(f"w{k * 97 + j}" for j in range(120)) for k in range(1000)]
+    want = tox.Scorer(tox.Cnn()).scores(texts)
+    assert (tox.Scorer(tox.Cnn()).scores(iter(texts)) == want).all()
+    monkeypatch.setattr(tox.Scorer, "scores", counted)
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(1000)), "text": texts, "lang": ["en"] * 1000})
+
+    class Frame:
+        """Stands in for a data frame whose one batch is scored here."""
+        columns, sparkSession, schema = ["doc_id", "text", "lang"], spark, spark.createDataFrame([], "doc_id long, text string, lang string").schema
+
+        def mapInArrow(self, rows, _):
+            return list(rows([batch]))
+
+    (got,) = tox.scored(Frame(), tox.Cnn())
+    assert got["__score"].to_pylist() == want.tolist() and taken == [1000] and all(a == b for a, b in room)

@@ -18,29 +18,35 @@ in a text get the ids that the library gives them; an empty table gives no file;
 
 from __future__ import annotations
 
+import itertools
 import re
+from collections import defaultdict
+from collections.abc import Callable, Iterator
 from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm.chunks import Codes, coded
+from ledgerlens.llm.chunks import numbered, spaced_words
 from ledgerlens.llm.common import run_folder, table, text_of
 from ledgerlens.llm.wavelet import WaveletMatrix
 
 SHARD_TOKENS = 1 << 20
 CACHE = 1_500_000
 #: Parts that the library gets at a time.
-GROUP = 128
+GROUP = 512
+#: Runs of about ``SHARD_TOKENS`` characters that are encoded at a time: their distinct words are looked up once.
+RUNS = 4
 END_ID = 0
 FILES = "part int, shard int, start_in_part long, n_docs long, n_tokens long, doc_ids binary, without_id long, file binary"
 
 
-#: Letters or digits, then other marks: the pattern never matches across that place.
-_WORD_AND_MARKS = re.compile(r"( ?[^\W_]+)([^\w\s']+)")
+#: Letters or digits, then other marks, perhaps a line feed and the next line's first word: the pattern never matches across these places.
+_WORD_AND_MARKS = re.compile(r"( ?[^\W_]+)([^\w\s']+)(?:(\n)([^\W_]+)([^\w\s']+)?)?")
 
 
 class _Ragged:
@@ -64,15 +70,17 @@ class _Ragged:
         starts = self.starts[rows]
         lengths = self.starts[rows + 1] - starts
         ends = np.cumsum(lengths)
-        at = np.repeat(starts - (ends - lengths), lengths)
-        at += np.arange(len(at))
-        return self.flat[at], lengths
+        size = int(ends[-1]) if len(ends) else 0
+        kind = np.int32 if max(size, len(self.flat)) < 1 << 31 else np.int64
+        at = np.repeat((starts - (ends - lengths)).astype(kind), lengths)
+        at += np.arange(size, dtype=kind)
+        return self.flat.take(at), lengths
 
 
 class Encoder:
     """Ids of whole texts by the tokenizers library.  Distinct chunks are cut into a word and the marks
     after it, or as the pattern says; each distinct part is encoded once while it is kept (a part's ids don't depend on its
-    neighbours, since the pattern cuts there).  Parts that begin with a space are handed to the library one
+    neighbours, since the pattern cuts there), and a chunk's ids are those of its parts.  Parts that begin with a space are handed to the library one
     after another and told apart by the bytes of their ids, since the pattern cuts before such a space; others are joined by line feeds,
     which are tokens of their own between parts that hold none."""
 
@@ -95,14 +103,22 @@ class Encoder:
         return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
 
     def _forget(self) -> None:
-        self.codes, self.parts = Codes(), Codes()
-        self.chunk_parts, self.part_ids = _Ragged(np.int32), _Ragged(np.uint16)
-
-    def _learn(self) -> None:
-        """Cut the chunks met since the last call, encode the parts they bring."""
-        new, self.codes.new = self.codes.new, []
-        if not new:
-            return
+        #: Numbers of chunks: a space and the word (as bytes); other chunks.
+        count = itertools.count()
+        self.words: dict[bytes, int] = defaultdict(count.__next__)
+        self.others: dict[str, int] = defaultdict(count.__next__)
+        self.parts: dict[str, int] = defaultdict(itertools.count().__next__)
+        self.chunk_ids, self.part_ids = _Ragged(np.uint16), _Ragged(np.uint16)
+
+    def _numbers(self, known: defaultdict, keys: list, chunk: Callable[[list], list[str]]) -> np.ndarray:
+        """The numbers of keys; the new ones among them are learnt, as ``chunk`` makes chunks of them."""
+        numbers, new = numbered(known, keys, self.chunk_ids.n)
+        if new:
+            self._learn(chunk(new))
+        return numbers
+
+    def _learn(self, new: list[str]) -> None:
+        """Cut new chunks and encode the parts they bring."""
         cut, counts, match, pieces = [], [], _WORD_AND_MARKS.fullmatch, regex.compile(self.pattern).findall
         for chunk in new:
             if chunk[1:].isalpha():
@@ -110,11 +126,10 @@ class Encoder:
                 counts.append(1)
                 continue
             m = match(chunk)
-            parts = m.groups() if m else pieces(chunk)
+            parts = [p for p in m.groups() if p] if m else pieces(chunk)
             cut += parts
             counts.append(len(parts))
-        self.chunk_parts.add(np.fromiter(map(self.parts.__getitem__, cut), np.int32, len(cut)), np.array(counts))
-        words, self.parts.new = self.parts.new, []
+        numbers, words = numbered(self.parts, cut, self.part_ids.n)
         kinds: tuple[list, list, list] = [], [], []
         for k, w in enumerate(words):
             spaced = w[0] == " " and len(w) > 1 and not w[1].isspace()
@@ -125,6 +140,9 @@ class Encoder:
             for a in range(0, len(rows), GROUP):
                 found.add(*kind([words[k] for k in rows[a:a + GROUP]]))
         self.part_ids.add(*found.take(order))
+        ids, lengths = self.part_ids.take(numbers)
+        ends = np.concatenate([[0], np.cumsum(lengths)])[np.cumsum(counts)]
+        self.chunk_ids.add(ids, np.diff(ends, prepend=0))
 
     def _alone(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of words, each encoded by itself, and their numbers."""
@@ -151,23 +169,38 @@ class Encoder:
             return self._alone(words)
         return np.delete(ids, feeds), np.diff(np.concatenate([[-1], feeds, [len(ids)]])) - 1
 
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def encode(self, texts: list[str] | pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, each with the end id after it, and their numbers."""
-        if len(self.codes) > CACHE:
+        texts = pa.array(texts, pa.string()) if isinstance(texts, list) else texts
+        if self.chunk_ids.n > CACHE:
             self._forget()
-        whole = {k: np.array(self._ids(t), np.uint16) for k, t in enumerate(texts) if any(a in t for a in self.added)}
+        whole = {k for a in self.added for k in np.flatnonzero(pc.match_substring(texts, a)).tolist()}
         if whole:
-            ids, lengths = self.encode(["" if k in whole else t for k, t in enumerate(texts)])
-            own = np.split(ids, np.cumsum(lengths)[:-1])
-            own = [np.append(whole[k], END_ID).astype(ids.dtype) if k in whole else x for k, x in enumerate(own)]
-            return np.concatenate(own), np.array([len(x) for x in own])
-        distinct, codes, per_text = coded(pa.array(texts, pa.string()))
-        known = np.fromiter(map(self.codes.__getitem__, distinct), np.int32, len(distinct))
-        self._learn()
-        parts, per_chunk = self.chunk_parts.take(known[codes])
-        ids, per_part = self.part_ids.take(parts)
-        part_ends = np.concatenate([[0], np.cumsum(per_chunk)])[np.cumsum(per_text)]
-        at = np.concatenate([[0], np.cumsum(per_part)])[part_ends]
+            own = {k: np.array([*self._ids(texts[k].as_py()), END_ID], np.uint16) for k in whole}
+            rest = np.ones(len(texts), bool)
+            rest[list(whole)] = False
+            ids, lengths = self.encode(pc.if_else(pa.array(rest), texts, ""))
+            per_text = [own.get(k, x) for k, x in enumerate(np.split(ids, np.cumsum(lengths)[:-1]))]
+            return np.concatenate(per_text), np.array([len(x) for x in per_text])
+        if not len(texts):
+            return np.zeros(0, np.uint16), np.zeros(0, np.int64)
+        words, codes, at, ragged = spaced_words(texts)
+        distinct = words.cast(pa.binary()).to_numpy(zero_copy_only=False).tolist()
+        first = codes[at[:-1]]
+        codes = self._numbers(self.words, distinct, lambda new: [" " + w.decode() for w in new])[codes]
+        opening, of = np.unique(first, return_inverse=True)  # a text's first word has no space before it
+        codes[at[:-1]] = self._numbers(self.others, [distinct[k].decode() or " " for k in opening], list)[of]
+        per_text = np.diff(at)
+        drop = [k for k in np.flatnonzero(np.fromiter((not distinct[k] for k in opening), bool, len(opening))[of]).tolist()]
+        if ragged or drop:
+            pieces = np.split(codes, at[1:-1])
+            for k in drop:  # nothing before the first space
+                pieces[k] = pieces[k][1:]
+            for k, its in ragged.items():
+                pieces[k] = self._numbers(self.others, its, list)
+            codes, per_text = np.concatenate(pieces), np.array([len(p) for p in pieces], np.int64)
+        ids, per_chunk = self.chunk_ids.take(codes)
+        at = np.concatenate([[0], np.cumsum(per_chunk)])[np.cumsum(per_text)]
         return np.insert(ids, at, END_ID), np.diff(np.concatenate([[0], at])) + 1
 
 
@@ -181,48 +214,64 @@ def encoder(vocabulary: str) -> Encoder:
     return _ENCODERS[vocabulary]
 
 
+def _runs(batches, characters: int) -> Iterator[tuple[int, pa.Array, pa.StringArray]]:
+    """Part, ids and texts of consecutive documents: runs that end with the document that makes them as long."""
+    ids, texts, size = [], [], 0
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        part = batch.column("part")[0].as_py()
+        sizes = np.cumsum(np.asarray(pc.utf8_length(batch.column("text"))), dtype=np.int64)
+        at, before = 0, 0
+        while at < batch.num_rows:
+            stop = min(int(np.searchsorted(sizes, before + characters - size)) + 1, batch.num_rows)
+            ids.append(batch.column("doc_id").slice(at, stop - at))
+            texts.append(batch.column("text").slice(at, stop - at))
+            size, before, at = size + int(sizes[stop - 1]) - before, int(sizes[stop - 1]), stop
+            if size >= characters:
+                yield part, pa.concat_arrays(ids), pa.concat_arrays(texts)
+                ids, texts, size = [], [], 0
+    if ids:
+        yield part, pa.concat_arrays(ids), pa.concat_arrays(texts)
+
+
+def _encoded(runs, enc: Encoder) -> Iterator[tuple[int, pa.Array, np.ndarray, np.ndarray]]:
+    """Part, documents, their ids and lengths of each run; ``RUNS`` of them are encoded at a time."""
+    runs = iter(runs)
+    while some := list(itertools.islice(runs, RUNS)):
+        flat, n = enc.encode(pa.concat_arrays([texts for _, _, texts in some]))
+        docs = np.cumsum([0, *(len(texts) for _, _, texts in some)])
+        ends = np.concatenate([[0], np.cumsum(n)])[docs]
+        for k, (part, ids, _) in enumerate(some):
+            yield part, ids, flat[ends[k]:ends[k + 1]], n[docs[k]:docs[k + 1]]
+
+
 def _shards(batches, vocabulary: str, shard_tokens: int):
     """Wavelet files of the sorted documents of one range."""
-    enc, part, shard, start = encoder(vocabulary), 0, 0, 0
-    ids, texts, size = [], [], 0
+    shard, start = 0, 0
     tokens, lengths, named, held = [], [], [], 0
 
-    def flush():
-        nonlocal ids, texts, size, tokens, lengths, named, held
-        if texts:
-            t, n = enc.encode(texts)
-            tokens.append(t)
-            lengths.append(n)
-            named += ids
-            held += len(t)
-            ids, texts, size = [], [], 0
-
-    def file():
+    def file(part):
         nonlocal tokens, lengths, named, held, shard, start
-        flat, n = np.concatenate(tokens), np.concatenate(lengths)
-        without = sum(i is None for i in named)
+        flat, n, ids = np.concatenate(tokens), np.concatenate(lengths), pa.concat_arrays(named)
         row = {
             "part": [part], "shard": [shard], "start_in_part": [start], "n_docs": [len(n)], "n_tokens": [len(flat)],
-            "doc_ids": [np.array([0 if i is None else i for i in named], "<i8").tobytes()], "without_id": [without],
+            "doc_ids": [np.asarray(ids.fill_null(0)).astype("<i8").tobytes()], "without_id": [ids.null_count],
             "file": [WaveletMatrix(flat, n).to_bytes()]}
         shard, start = shard + 1, start + len(flat)
         tokens, lengths, named, held = [], [], [], 0
         kinds = {"part": pa.int32(), "shard": pa.int32(), "doc_ids": pa.binary(), "file": pa.binary()}
         return pa.RecordBatch.from_pydict({c: pa.array(v, kinds.get(c, pa.int64())) for c, v in row.items()})
 
-    for batch in batches:
-        for p, i, text in zip(batch.column("part").to_pylist(), batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-            part = p
-            ids.append(i)
-            texts.append(text)
-            size += len(text)
-            if size >= shard_tokens:  # characters, so a few tokens in ten of a shard
-                flush()
-                if held >= shard_tokens:
-                    yield file()
-    flush()
+    for part, ids, t, n in _encoded(_runs(batches, shard_tokens), encoder(vocabulary)):  # characters, so a few tokens in ten of a shard
+        tokens.append(t)
+        lengths.append(n)
+        named.append(ids)
+        held += len(t)
+        if held >= shard_tokens:
+            yield file(part)
     if held:
-        yield file()
+        yield file(part)
 
 
 def write(docs: DataFrame, path: str, vocabulary: str, shard_tokens: int = SHARD_TOKENS) -> None:

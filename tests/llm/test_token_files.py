@@ -1,6 +1,8 @@
 """Operator 8: chunks, the wavelet matrix, and files against the tokenizers library."""
 
+import itertools
 import random
+from collections import defaultdict
 from zlib import crc32
 
 import numpy as np
@@ -11,7 +13,7 @@ import regex
 from tokenizers import Tokenizer
 
 from ledgerlens.llm import token_files
-from ledgerlens.llm.chunks import chunks, coded
+from ledgerlens.llm.chunks import chunks, coded, numbered
 from ledgerlens.llm.wavelet import WaveletMatrix
 
 SCHEMA = "doc_id long, text string, part int, shard string"
@@ -105,3 +107,35 @@ def test_parts_with_a_space_need_no_line_feeds(monkeypatch):
     spaced = [" zebra", " naïve", " 日本語", " a1", " ?!", " x_y"]
     got, n = enc._spaced(spaced)
     assert [x.tolist() for x in np.split(got, np.cumsum(n)[:-1])] == [ids(w) for w in spaced]
+
+
+def test_new_keys_are_numbered_in_one_pass():
+    known = defaultdict(itertools.count().__next__)
+    for keys, numbers, new in ((["b", "a", "b"], [0, 1, 0], ["b", "a"]), (["a", "c", "b", "c", "d"], [1, 2, 0, 2, 3], ["c", "d"]), (["d"], [3], []), ([], [], [])):
+        first = len(known)
+        got, learnt = numbered(known, keys, first)
+        assert got.tolist() == numbers and learnt == new
+
+
+def test_runs_are_encoded_together_and_looked_up_once(monkeypatch):
+    """r03: words that recur in the next runs of a shard's length are looked up once for several of them, and cost no pass of the pattern."""
+    enc, asked, texts = token_files.Encoder(VOCABULARY), [], [f"same words here. {k}" for k in range(12)]
+    learn, encode = enc._learn, enc.encode
+    monkeypatch.setattr(enc, "_learn", lambda new: asked.extend(new) or learn(new))
+    calls = []
+    monkeypatch.setattr(enc, "encode", lambda t: calls.append(len(t)) or encode(t))
+    monkeypatch.setitem(token_files._ENCODERS, VOCABULARY, enc)
+    batch = pa.RecordBatch.from_pydict({"part": pa.array([0] * 12, pa.int32()), "doc_id": pa.array([None, *range(11)], pa.int64()), "text": texts})
+    files = pa.Table.from_batches(list(token_files._shards([batch, batch.slice(0, 0)], VOCABULARY, 20))).to_pylist()
+    assert calls == [8, 4]  # runs of two texts, four runs at a time
+    assert len(asked) == len(set(asked))
+    assert [f["n_docs"] for f in files] == [4, 4, 4] and [f["without_id"] for f in files] == [1, 0, 0]
+    want = [i for t in texts for i in [*Tokenizer.from_file(VOCABULARY).encode(t, add_special_tokens=False).ids, 0]]
+    assert sum((WaveletMatrix.from_bytes(f["file"]).tokens().tolist() for f in files), []) == want
+
+
+def test_line_feeds_between_marks_and_words_are_cut_without_the_pattern():
+    enc = token_files.Encoder(VOCABULARY)
+    for text in ["x the.\nFor it", "a.\n\nFor", "a1!?\nB2, c", "a.\n'tis", "é.\nÉ漢.", "a.\n b", "a_\nb_", "a.\r\nb", "a.\x1cb", "a.\n", "It\n's a.\nb's"]:
+        flat, n = enc.encode([text])
+        assert flat.tolist() == [*enc._ids(text), 0] and n.tolist() == [len(flat)]

@@ -28,6 +28,7 @@ from __future__ import annotations
 import base64
 import heapq
 import json
+import re
 from collections.abc import Callable, Iterable
 
 import numpy as np
@@ -91,15 +92,21 @@ def merge_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return [ranks[word[i:end[i]]] for i in range(n) if alive[i]]
 
 
+#: A word, marks, one line feed, a word, marks: each a match of the pattern, if the words are letters.
+_TWO_LINES = re.compile(r"( ?[^\W\d_]+)([%s]*)(\n)([^\W\d_]+)([%s]*)" % (re.escape(MARKS), re.escape(MARKS)))
+
+
 def split_chunks(chunks: list[str], pattern: str) -> list[list[str]]:
     """The matches of the pattern in each chunk; plain words are told without it."""
     import regex
 
-    split, out = regex.compile(pattern).findall, []
+    split, lines, out = regex.compile(pattern).findall, _TWO_LINES.fullmatch, []
     for chunk in chunks:
         word = chunk.rstrip(MARKS)
         if (word[1:] if word[:1] == " " else word).isalpha():
             out.append([chunk] if len(word) == len(chunk) else [word, chunk[len(word):]])
+        elif (m := lines(chunk)) and m[1].lstrip(" ").isalpha() and m[4].isalpha():
+            out.append([p for p in m.groups() if p])
         else:
             out.append(split(chunk))
     return out
@@ -175,7 +182,8 @@ def whole(docs: DataFrame) -> DataFrame:
 
 
 def cuckoo(entries: dict[int, int], sizes: tuple[int, int]) -> tuple[list[int], list[int]]:
-    """Two tables of ``key << ID | rank``; a key is in one or the other at its remainder by the table's size."""
+    """Two tables of ``key << ID | rank``; a key is in one or the other at its remainder by the table's size.
+    A key is in the second only if its place in the first is taken."""
     tables = [[-1] * sizes[0], [-1] * sizes[1]]
     for key, rank in entries.items():
         entry, side = key << ID | rank, 0
@@ -230,10 +238,12 @@ class RankMap:
     def pair(self, literal: Column, left: Column, right: Column) -> Column:
         """The rank of two parts side by side, or NO_RANK."""
 
+        none = F.lit(NO_RANK).cast("bigint")
+
         def found(key: Column) -> Column:
             probe = lambda name, size, other: let(F.get(literal[name], (key % size).cast("int")), lambda e: F.when(
-                F.shiftright(e, ID) == key, e.bitwiseAND(F.lit(2**ID - 1))).otherwise(other))
-            return probe("first", self.sizes[0], probe("second", self.sizes[1], F.lit(NO_RANK).cast("bigint")))
+                e < 0, none).when(F.shiftright(e, ID) == key, e.bitwiseAND(F.lit(2**ID - 1))).otherwise(other))
+            return probe("first", self.sizes[0], probe("second", self.sizes[1], none))
 
         return let(F.shiftleft(left, ID).bitwiseOR(right), found)
 
@@ -316,11 +326,12 @@ def encoded(block: DataFrame, ranks: RankMap, finish: Callable[[Column], Column]
                    .otherwise(fold(word, literal, ranks)))
 
     def document(doc: Column, words: Column) -> Column:
-        return let(F.slice("codes", doc["starts"] + 1, doc["lengths"]), lambda codes: F.struct(
+        # each code is looked up once; its fields are taken from all of them without a lambda
+        return let(F.transform(F.slice("codes", doc["starts"] + 1, doc["lengths"]), lambda c: F.get(words, c)), lambda its: F.struct(
             doc["doc_ids"].alias("doc_id"),
-            F.aggregate(codes, F.lit(0).cast("long"), lambda a, c: a + F.get(words, c)["n"]).alias("n_tokens"),
-            F.array_join(F.transform(codes, lambda c: F.get(words, c)["ids"]), ",").alias("ids"),
-            F.array_join(F.transform(codes, lambda c: F.get(words, c)["bytes"]), "").cast("binary").alias("decoded")))
+            F.aggregate(its["n"], F.lit(0).cast("long"), lambda a, n: a + n).alias("n_tokens"),
+            F.array_join(its["ids"], ",").alias("ids"),
+            F.array_join(its["bytes"], "").cast("binary").alias("decoded")))
 
     docs = F.arrays_zip("doc_ids", "starts", "lengths")
     every = let(ranks.literal(), lambda literal: let(

@@ -79,3 +79,34 @@ def test_plain_words_as_the_pattern_splits_them():
     parts = ["a", "é", "Ж漢", "1", "²", "Ⅷ", "_", "'", "'s", "!", "...", "\n", "\x1f", "e\u0301", "ª", "½", "😀", "%%%", "`", "~"]
     chunks = [lead + "".join(rng.choices(parts, k=rng.randrange(1, 5))) for _ in range(5_000) for lead in ("", " ")]
     assert bpe.split_chunks(chunks, public_tokenizers.PATTERN) == [regex.findall(public_tokenizers.PATTERN, c) for c in chunks]
+
+
+def test_an_empty_place_of_the_first_table_needs_no_second_look():
+    """r03: a pair is in the second table only if its place in the first is taken."""
+    entries = {rng.randrange(1 << 34): k for k in range(5000)}
+    sizes = (2 * len(entries) + 1, 2 * len(entries) + 3)
+    first, second = bpe.cuckoo(entries, sizes)
+    assert sum(e >= 0 for e in second) > 500
+    for e in second:
+        assert e < 0 or first[(e >> bpe.ID) % sizes[0]] >= 0
+    held = {e >> bpe.ID: e & (2**bpe.ID - 1) for e in first + second if e >= 0}
+    assert held == entries
+
+
+def test_a_line_feed_between_words_needs_no_pattern(monkeypatch):
+    """r03: a word, marks, a line feed, a word, marks are told without the pattern; all else is split as it says."""
+    import regex
+
+    words = ["a", "Zé", "a1", "²", "漢字", "_", "", " x", "'s", "\n", "\x1c"]
+    chunks = [f"{s}{a}{m}\n{b}{n}" for s in ("", " ", "  ") for a in words for b in words for m in ("", ".", "_!", "'") for n in ("", "?)", "\n", "'s")]
+    assert bpe.split_chunks(chunks, public_tokenizers.PATTERN) == [regex.findall(public_tokenizers.PATTERN, c) for c in chunks]
+    compiled = regex.compile
+
+    class Counting:
+        def __init__(self, pattern):
+            self.findall = lambda text: asked.append(text) or compiled(pattern).findall(text)
+
+    asked = []
+    monkeypatch.setattr(regex, "compile", Counting)
+    assert bpe.split_chunks([" the.\nFor", "é\nZ!", " don't"], public_tokenizers.PATTERN) == [[" the", ".", "\n", "For"], ["é", "\n", "Z", "!"], [" don", "'t"]]
+    assert asked == [" don't"]

@@ -6,9 +6,12 @@ of parts whose key range can hold one), rewrites only those, and commits all tab
 delete as one generation.  Parts that hold no such row are neither read for the rewrite nor
 written; the new manifest names them as they are.
 
-Doomed keys are never collected: they are a table in the shared folder, one per level.  A
-row meets the doomed keys by (key, salt), the salt taken from its own primary key, so the
-rows of an account that holds a third of the ledger are spread over ``SALTS`` tasks.
+Doomed keys are a table in the shared folder, one per level.  At most ``BROADCAST_KEYS`` of
+them are sent whole to every task, once each, and no row is moved to meet them.  With more, a
+row meets them in a merge join by (key, salt), the salt taken from its own primary key, so the
+rows of an account that holds a third of the ledger are spread over ``SALTS`` tasks.  The keys
+times ``SALTS`` are never broadcast, whatever size the planner takes them for: it sees the file
+they are read from, not the copies.
 """
 
 from __future__ import annotations
@@ -24,6 +27,8 @@ from ledgerlens.sources.generations import LAYOUT, Generation, Part, Store, _not
 from ledgerlens.sources.schemas import FOREIGN_KEYS, LOAD_ORDER, PRIMARY_KEYS
 
 SALTS = 16
+#: Doomed keys that are broadcast, as longs: some 70 MB in the driver and in an executor at most.
+BROADCAST_KEYS = 1_000_000
 
 
 def _salted(rows: DataFrame, gone: DataFrame, column: str, own: str) -> tuple[DataFrame, DataFrame]:
@@ -32,10 +37,23 @@ def _salted(rows: DataFrame, gone: DataFrame, column: str, own: str) -> tuple[Da
     return rows.withColumn("_salt", F.pmod(F.xxhash64(own), F.lit(SALTS)).cast("int")), many
 
 
-def touched_parts(store: Store, base: Generation, table: str, column: str, gone: DataFrame) -> list[Part]:
+def is_few(gone: DataFrame) -> bool:
+    """Whether ``gone`` is broadcast (one small job)."""
+    return gone.count() <= BROADCAST_KEYS
+
+
+def _sides(rows: DataFrame, gone: DataFrame, column: str, own: str, few: bool | None) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Both sides of a join with ``gone``, which has one column, _key, and the columns it is on; ``few`` as ``is_few`` says, where it is known."""
+    if is_few(gone) if few is None else few:
+        return rows, F.broadcast(gone.withColumnRenamed("_key", column)), [column]
+    left, right = _salted(rows, gone, column, own)
+    return left, right.hint("merge"), [column, "_salt"]
+
+
+def touched_parts(store: Store, base: Generation, table: str, column: str, gone: DataFrame, few: bool | None = None) -> list[Part]:
     """Parts of ``table`` with a row whose ``column`` is among ``gone``.
 
-    (key, file) pairs are distinct before they meet the keys, so a hot key is one row a task."""
+    Where the keys aren't broadcast, (key, file) pairs are distinct before they meet them, so a hot key is one row a task."""
     parts = base.tables.get(table, ())
     if column == LAYOUT[table][0]:
         lo, hi = gone.agg(F.min("_key"), F.max("_key")).first()
@@ -43,28 +61,32 @@ def touched_parts(store: Store, base: Generation, table: str, column: str, gone:
     if not parts:
         return []
     pairs = store.read_parts(table, parts).where(F.col(column).isNotNull()).select(column, F.col("_metadata.file_path").alias("file"))
-    hits = pairs.distinct().join(gone.withColumnRenamed("_key", column), column, "left_semi")
+    keys = gone.withColumnRenamed("_key", column)
+    if is_few(gone) if few is None else few:
+        hits = pairs.join(F.broadcast(keys), column, "left_semi")
+    else:
+        hits = pairs.distinct().join(keys.hint("merge"), column, "left_semi")
     folder = F.regexp_extract("file", f"({table}/generation=[^/]+/part=[0-9]+)/[^/]*$", 1)
-    found = {r.folder for r in hits.select(folder.alias("folder")).distinct().collect()}  # at most one row per part
+    found = {r.folder for r in hits.select("file").distinct().select(folder.alias("folder")).collect()}  # at most one row per file
     return [p for p in parts if p.path in found]
 
 
-def without(rows: DataFrame, gone: DataFrame, column: str, own: str) -> DataFrame:
+def without(rows: DataFrame, gone: DataFrame, column: str, own: str, few: bool | None = None) -> DataFrame:
     """Rows whose ``column`` is not among ``gone`` (NULL stays)."""
-    left, right = _salted(rows, gone, column, own)
-    return left.join(right, [column, "_salt"], "left_anti").select(rows.columns)
+    left, right, on = _sides(rows, gone, column, own, few)
+    return left.join(right, on, "left_anti").select(rows.columns)
 
 
-def among(rows: DataFrame, gone: DataFrame, column: str, own: str) -> DataFrame:
+def among(rows: DataFrame, gone: DataFrame, column: str, own: str, few: bool | None = None) -> DataFrame:
     """Rows whose ``column`` is among ``gone``."""
-    left, right = _salted(rows, gone, column, own)
-    return left.join(right, [column, "_salt"], "left_semi").select(rows.columns)
+    left, right, on = _sides(rows, gone, column, own, few)
+    return left.join(right, on, "left_semi").select(rows.columns)
 
 
-def nulled(rows: DataFrame, gone: DataFrame, column: str, own: str) -> DataFrame:
+def nulled(rows: DataFrame, gone: DataFrame, column: str, own: str, few: bool | None = None) -> DataFrame:
     """``rows`` with NULL for every value of ``column`` among ``gone``."""
-    left, right = _salted(rows, gone, column, own)
-    hit = left.join(right.withColumn("_hit", F.lit(True)), [column, "_salt"], "left")
+    left, right, on = _sides(rows, gone, column, own, few)
+    hit = left.join(right.withColumn("_hit", F.lit(True)), on, "left")
     return hit.select(*[F.when(F.col("_hit").isNull(), F.col(c)).alias(c) if c == column else F.col(c) for c in rows.columns])
 
 
@@ -76,20 +98,22 @@ def delete(store: Store, table: str, doomed: DataFrame, on_step: Callable[[str],
     scratch = f"{store.root}/_doomed/{uuid.uuid4().hex[:12]}"
     staged: dict[str, list[Part]] = {}
     current: dict[str, list[Part]] = {}
-    gone: dict[str, DataFrame] = {}
+    gone: dict[str, tuple[DataFrame, bool]] = {}  # keys, and whether they are few
 
     def keep_keys(name: str, keys: DataFrame) -> None:
         path = f"{scratch}/{name}"
         keys.toDF("_key").where(F.col("_key").isNotNull()).distinct().write.parquet(path)
-        gone[name] = store.spark.read.schema("_key long").parquet(path)
+        kept = store.spark.read.schema("_key long").parquet(path)
+        gone[name] = kept, is_few(kept)
 
-    def rewrite(name: str, column: str, keys: DataFrame, change: Callable) -> list[Part]:
+    def rewrite(name: str, column: str, parent: str, change: Callable) -> list[Part]:
         """Change the touched parts of ``name``; returns them as they were."""
         (own,) = PRIMARY_KEYS[name]
         at = Generation(base.number, base.tables | {t: tuple(p) for t, p in current.items()})
-        hit = touched_parts(store, at, name, column, keys)
+        keys, few = gone[parent]
+        hit = touched_parts(store, at, name, column, keys, few)
         if hit:
-            new = store.stage(name, change(store.read_parts(name, hit), keys, column, own))
+            new = store.stage(name, change(store.read_parts(name, hit), keys, column, own, few))
             staged.setdefault(name, []).extend(new)
             current[name] = [p for p in at.tables[name] if p not in hit] + new
             on_step(f"rewrote {name}")
@@ -98,18 +122,19 @@ def delete(store: Store, table: str, doomed: DataFrame, on_step: Callable[[str],
     try:
         (key,) = PRIMARY_KEYS[table]
         keep_keys(table, doomed)
-        rewrite(table, key, gone[table], without)
+        rewrite(table, key, table, without)
         for name in LOAD_ORDER:
             for child, column, parent, _, action in FOREIGN_KEYS:
                 if child != name or parent not in gone:
                     continue
                 if action == "set null":
-                    rewrite(name, column, gone[parent], nulled)
+                    rewrite(name, column, parent, nulled)
                     continue
                 (own,) = PRIMARY_KEYS[name]
-                hit = rewrite(name, column, gone[parent], without)
+                hit = rewrite(name, column, parent, without)
                 if any(p == name for _, _, p, _, _ in FOREIGN_KEYS):
-                    keep_keys(name, among(store.read_parts(name, hit), gone[parent], column, own).select(own))
+                    keys, few = gone[parent]
+                    keep_keys(name, among(store.read_parts(name, hit), keys, column, own, few).select(own))
         new = store.commit(base, current) if current else base
     except Exception:
         store.discard(staged)

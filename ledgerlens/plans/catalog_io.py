@@ -106,7 +106,8 @@ def s4_contents(spark, sf_dir):
     """Contents per table after a CSV round trip, and against copies with lost, repeated and changed rows."""
     L = ledger_for(spark, sf_dir)
     folder = files.fresh_dir(spark, "s4-contents")
-    loaded = files.ordered_load(spark, files.dump_csv(L.as_dict(), f"{folder}/csv"), f"{folder}/parquet")
+    paths = files.dump_csv(L.as_dict(), f"{folder}/csv")
+    loaded = files.ordered_load(spark, paths, f"{folder}/parquet", on_step=files.dropping_staged(spark, paths))
     spoilt = {}
     for t, df in loaded.items():
         (key,) = PRIMARY_KEYS[t]

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.temporal import month_start
-from ledgerlens.session import checkpoint_root
+from ledgerlens.session import checkpoint_root, file_system
 from ledgerlens.sources.generations import Store
 from ledgerlens.sources.schemas import LOAD_ORDER, PRIMARY_KEYS, SCHEMAS
 
@@ -134,6 +134,18 @@ def ordered_load(spark: SparkSession, csv_paths: dict[str, str], target: str, *,
     return store.tables(new)
 
 
+def dropping_staged(spark: SparkSession, csv_paths: dict[str, str]) -> Callable[[str], None]:
+    """An ``on_step`` of ``ordered_load`` for a CSV dump that nobody else reads: each table's files go once its parts are written."""
+
+    def on_step(step: str) -> None:
+        name = step.removeprefix("staged ")
+        if name != step:
+            fs, at = file_system(spark, csv_paths[name])
+            fs.delete(at, True)
+
+    return on_step
+
+
 def row_counts(tables: dict[str, DataFrame], column: str) -> DataFrame:
     """(table_name, <column>) with one count job per table, unioned."""
     frames = [
@@ -183,9 +195,11 @@ def differing_buckets(source: DataFrame, loaded: DataFrame, table: str, buckets:
 def differing_rows(source: DataFrame, loaded: DataFrame, table: str, buckets: int = CONTENT_BUCKETS) -> DataFrame:
     """Rows of one side only (side, copies, the table's columns): as many copies as one side has more than the other.
 
-    Tables are compared bucket by bucket; rows are brought together only where buckets differ."""
+    Tables are compared bucket by bucket; rows are brought together only where buckets differ.  The
+    differing buckets, at most ``buckets`` numbers, go to the rows: a row is moved once, to meet its like,
+    and none where no bucket differs."""
     names = SCHEMAS[table].fieldNames()
-    differ = differing_buckets(source, loaded, table, buckets)
+    differ = F.broadcast(differing_buckets(source, loaded, table, buckets))
 
     def of(df: DataFrame, sign: int) -> DataFrame:
         return _fingerprinted(df.select(names), table, buckets).join(differ, "_bucket", "left_semi").select(*names, F.lit(sign).alias("_sign"))
